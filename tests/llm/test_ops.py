@@ -66,7 +66,7 @@ def test_pii_base_equals_patterns():
         assert [(pii.KINDS[k], s, e) for k, s, e in pii.base_spans(t)] == base_reference(t), t
 
 
-def test_pii_query(spark):
+def test_pii_query(spark, tmp_path):
     texts = [*ODD, "mail a.b@c.org or A.B@c.org, ip 10.0.0.1", "card 4111 1111 1111 1111 and +1 (743) 555-3824 é +1 (743) 555-3824", "phone again (743) 555-3824 later +1 (743) 555-3824"]
     docs = frame(spark, texts)
     out = {r["doc_id"]: r for r in pii.find(docs, pii.train(docs)).collect()}
@@ -75,6 +75,12 @@ def test_pii_query(spark):
         assert [(pii.KINDS[s.kind], s.start, s.stop) for s in out[i]["spans"] if s.base] == base_reference(t or "")
     masked = {r["doc_id"]: r for r in pii.mask(docs, pii.train(docs)).collect()}
     assert masked[8]["text"].count("<phone>") == 2 and masked[8]["text"].startswith("card <card> and ") and masked[8]["n_chars"] == len(masked[8]["text"])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    for r in queries.op1_pii(spark, str(tmp_path)).collect():
+        want = base_reference(texts[r["doc_id"]] or "")
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(w[0] == k for w in want) for k in pii.KINDS]
+        assert r["base_sha256"] == hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in want).encode()).hexdigest()
+        assert {f"{k}:{s}:{e}" for k, s, e in want} <= set(r["spans"].split(",")) | {""}
     assert masked[0]["text"] is None and masked[5]["text"] == texts[5]
     assert pii.find(docs.limit(0), pii.train(docs.limit(0))).count() == 0
 
