@@ -20,7 +20,7 @@ NAMES = [
     ("sidn.nl.", "sidn.nl", None, "nl", 2), ("%%%.sidn.nl.", "sidn.nl", "%%%", "nl", 3), ("*.nl.", "*.nl", None, "nl", 2), ("*.sidn.nl.", "sidn.nl", "*", "nl", 3), ("test.www.sidn.nl.", "sidn.nl", "test.www", "nl", 4),
     ("test.blogspot.co.uk.", "blogspot.co.uk", "test", "co.uk", 4), ("www.nzrs.co.nz.", "nzrs.co.nz", "www", "co.nz", 4), ("_gc._tcp.bpw.net.nz.", "bpw.net.nz", "_gc._tcp", "net.nz", 5), ("email.test@example.com.", "test@example.com", "email", "com", 3),
     ("test .sidn.nl.", "sidn.nl", "test", "nl", 3), ("➊➋➌192.168.51.52.palazzodesign.co.nz.", "palazzodesign.co.nz", "???192.168.51.52", "co.nz", 7), ("nl.", None, None, "nl", 1), (".nl.", None, None, "nl", 1), ("co.nz.", None, None, "co.nz", 2),
-    (".", None, None, None, 0), ("", None, None, None, 0), (None, None, None, None, None), ("xxx.doesnotexists.", "xxx.doesnotexists", None, "doesnotexists", 2), ("WWW.Test.sidn.co.uk.", "sidn.co.uk", "www.test", "co.uk", 4), ("a..b.nl..", "b.nl", "a.", "nl", 4),
+    (".", None, None, None, 0), ("", None, None, None, 0), (None, None, None, None, None), ("xxx.doesnotexists.", "xxx.doesnotexists", None, "doesnotexists", 2), ("WWW.Test.sidn.co.uk.", "sidn.co.uk", "www.test", "co.uk", 5), ("a..b.nl..", "b.nl", "a.", "nl", 4),
 ]
 
 
@@ -165,7 +165,8 @@ def test_captures_to_rows(spark, tmp_path):
     for r in got:
         assert (r["dns_rcode"], r["dns_domainname"], r["server"], r["server_location"], r["edns_ecs"], r["edns_options"], r["edns_ext_error"], r["edns_udp"], r["edns_do"]) == (19, "sidn.nl", "ns1.dns.nl", "ams", "10.1.2.0/24", [8, 15], [22], 512, True)
         assert r["dns_cname"] == ["alias.nl."] and [tuple(x) for x in r["dns_rdata"]] == [(0, 5, "alias.nl."), (0, 1, "1.2.3.4")]
-        assert (r["ip_src"], r["ip_dst"], r["dns_proc_time"], r["prot_src_port"]) == ("10.0.0.9", "194.0.28.53", 1, 4000)
+        assert (r["ip_src"], r["ip_dst"], r["prot_src_port"]) == ("10.0.0.9", "194.0.28.53", 4000)
+    assert sorted(r["dns_proc_time"] for r in got) == [0, 1, 1, 1]  # the xz file's second part starts its own clock
 
 
 def test_malformed_messages_go():

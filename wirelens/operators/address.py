@@ -21,7 +21,7 @@ from .sizing import small
 def normalise(df: DataFrame, cidr: str = "cidr") -> DataFrame:
     """Adds version, plen, net, broadcast for version 4 ranges; rows that aren't addr/len of a version-4 network go."""
     parts = F.split(F.col(cidr), "/")
-    x = df.withColumn("_n", ipv4_number(F.try_element_at(parts, F.lit(1)))).withColumn("plen", F.expr(f"try_cast(split({cidr}, '/')[1] AS INT)"))
+    x = df.withColumn("_n", ipv4_number(F.try_element_at(parts, F.lit(1)))).withColumn("plen", F.expr(f"try_cast(get(split({cidr}, '/'), 1) AS INT)"))
     x = x.filter((F.size(parts) == 2) & F.col("_n").isNotNull() & F.col("plen").between(0, 32))
     x = x.withColumn("version", F.lit(4)).withColumn("net", ipv4_net(F.col("_n"), F.col("plen")))
     return x.withColumn("broadcast", F.col("net") + width(F.col("plen")) - 1).drop("_n")

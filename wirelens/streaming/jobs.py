@@ -35,10 +35,9 @@ def pair_stream(messages: DataFrame, expiry_ms: int = 10_000, late: str = "10 se
         transfer = -1  # responses since a transfer's request; -1: none
         if st.exists:
             text, transfer = st.get
-            pending = json.loads(text)
+            pending = {n: [a, t] for n, a, t in json.loads(text)}
         rows = []
         put = lambda name, a, b: rows.append((*k, name, a, b))
-        newest = 0
         if st.hasTimedOut:
             limit = st.getCurrentWatermarkMs()
             for name in [n for n, (_, t) in pending.items() if t + expiry_ms <= limit]:
@@ -47,7 +46,6 @@ def pair_stream(messages: DataFrame, expiry_ms: int = 10_000, late: str = "10 se
             data = pd.concat(list(batches)).sort_values(["t", "seq"])
             for name, qr, qtype, seq, t in data[["qname", "qr", "qtype", "seq", "t"]].itertuples(index=False):
                 ms = int(t.timestamp() * 1000)
-                newest = max(newest, ms)
                 if qr == 0 and qtype in TRANSFERS:
                     transfer = 0
                 elif qr == 0:
@@ -60,7 +58,7 @@ def pair_stream(messages: DataFrame, expiry_ms: int = 10_000, late: str = "10 se
                     got = pending.pop(name, None)
                     if got or name is not None:
                         put(name, got[0] if got else None, int(seq))
-        st.update((json.dumps(pending), transfer))
+        st.update((json.dumps([[n, *v] for n, v in pending.items()]), transfer))
         if pending:
             st.setTimeoutTimestamp(max(st.getCurrentWatermarkMs() + 1, min(t for _, t in pending.values()) + expiry_ms))
         frame = pd.DataFrame(rows, columns=[*key, "qname", "req_seq", "rsp_seq"])
