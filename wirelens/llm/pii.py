@@ -257,10 +257,12 @@ def added_spans(texts: list[str], found: list[list[Span]], x: Nodes, p: np.ndarr
 
 
 def train(docs: DataFrame, most_rows: int = 2000, longest: int = 20_000) -> Field:
-    """Fit on at most ``most_rows`` texts of at most ``longest`` characters that hold a digit or '@' (least hashes)."""
-    rows = docs.filter(F.col("text").rlike("[0-9@]") & (F.length("text") <= longest)).select("text")
-    sample = rows.orderBy(F.xxhash64(F.lit(1), "text"), "text").limit(most_rows)
-    texts = sample.toArrow().column("text").to_pylist()
+    """Fit on at most ``most_rows`` texts of at most ``longest`` characters that hold a digit or '@' (least hashes;
+    repeated texts count once)."""
+    rows = docs.filter(F.col("text").rlike("[0-9@]") & (F.length("text") <= longest)).select("text", F.xxhash64(F.lit(1), "text").alias("mark"))
+    chosen = rows.select("mark").distinct().orderBy("mark").limit(most_rows)  # numbers only; texts of the chosen follow
+    found = rows.join(F.broadcast(chosen), "mark", "left_semi").groupBy("mark").agg(F.min("text").alias("text")).orderBy("mark")
+    texts = found.toArrow().column("text").to_pylist()
     return Field().fit(nodes_of(texts, [base_spans(t) for t in texts]))
 
 
