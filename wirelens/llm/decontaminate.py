@@ -135,6 +135,23 @@ class _Class:
         return pairs // len(self.items), pairs % len(self.items)
 
 
+    def plausible(self, words: np.ndarray, first: np.ndarray, docs: np.ndarray, starts: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Candidates that can verify: k edits leave n - k words of the item in the window."""
+        keep = np.zeros(len(starts), dtype=bool)
+        order = np.argsort(items, kind="stable")
+        edges = np.searchsorted(items[order], np.arange(len(self.items) + 1))
+        for i in np.flatnonzero(edges[1:] > edges[:-1]):
+            known, n = np.unique(self.items[i]), len(self.items[i])
+            for at in range(edges[i], edges[i + 1], 20_000):
+                rows = order[at : min(at + 20_000, edges[i + 1])]
+                places = starts[rows, None] + np.arange(n + self.k[i])
+                inside = places < first[docs[starts[rows]] + 1][:, None]
+                window = words[np.minimum(places, len(words) - 1)]
+                found = known[np.minimum(np.searchsorted(known, window), len(known) - 1)] == window
+                keep[rows] = (found & inside).sum(axis=1) >= n - self.k[i]
+        return starts[keep], items[keep]
+
+
 def _grams(words: np.ndarray, q: int) -> np.ndarray:
     """64-bit hashes of all sequences of q words."""
     n = max(0, len(words) - q + 1)
@@ -165,6 +182,7 @@ def _verified(part: pa.RecordBatch, index: Index, key: str, text: str) -> pa.Rec
     best: dict[tuple[int, object], tuple] = {}
     for c in index.classes:
         starts, items = c.candidates(words, first, docs)
+        starts, items = c.plausible(words, first, docs, starts, items)
         for s, i in zip(starts.tolist(), items.tolist()):
             item, most, row = c.items[i], c.k[i], int(docs[s])
             edits, n = best_end(item, words[s : min(s + len(item) + most, first[row + 1])], most)
