@@ -33,6 +33,13 @@ def features(w: Words) -> list[np.ndarray]:
     return [((mix(w.hash_spans(a, b) + np.uint64(77 * i)) >> np.uint64(20)) % np.uint64(BUCKETS)).astype(np.int32) for i, (a, b) in enumerate(spans)]
 
 
+def sliced_features(texts: pa.Array) -> list[np.ndarray]:
+    """``features`` of all rows, hashed slice by slice to bound memory."""
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    parts = [features(Words(p.column("text"))) for p in slices(iter([batch]), "text")]
+    return [np.concatenate(x) for x in zip(*parts)]
+
+
 def marginals(odds: np.ndarray, first: np.ndarray, move: np.ndarray, start: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Probability of label 1 at each word by forward-backward, with the forward and backward ratios.
 
@@ -118,7 +125,7 @@ def fit(texts: pa.Array, toxic: np.ndarray, rounds: int = 9) -> Tagger:
     if not len(toxic) or toxic.min() == toxic.max():
         return tagger
     w = Words(texts)
-    found = features(w)
+    found = sliced_features(texts)
     gold = word_labels(found, w, toxic).astype(np.float64)
     rows = w.rows()
     inside = np.flatnonzero(rows[1:] == rows[:-1]) if len(w) else np.zeros(0, np.int64)
