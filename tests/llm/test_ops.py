@@ -337,6 +337,19 @@ def test_near_duplicates(spark, percent):
     assert all(got[i]["kept"] == (label[i] == i) for i in got)
 
 
+def test_near_duplicates_small_groups_beside_a_large_one(spark):
+    """Groups that share a long passage meet in buckets without linking; each still finds its own links."""
+    r = random.Random(8)
+    shared, texts = prose(500, 300), []
+    for g in range(20):
+        own = f"{shared} {prose(600 + g, 60)}"
+        texts += [edited(own, r, 0.006) for _ in range(60 if g == 0 else 2)]
+    sizes, label = components_by_force(texts, 85)
+    got = {x["doc_id"]: x["component_id"] for x in neardup.near_duplicates(frame(spark, texts)).collect()}
+    assert len(set(label)) == 20
+    assert [got[i] for i in range(len(texts))] == label
+
+
 def test_near_duplicates_odd_rows(spark):
     docs = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "q r s t u v"), (2, "A B c d e f"), (3, None)], "doc_id long, text string")
     got = sorted((str(x["doc_id"]), x["component_id"], x["kept"]) for x in neardup.near_duplicates(docs).collect())
