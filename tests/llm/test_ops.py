@@ -350,6 +350,28 @@ def test_near_duplicates_small_groups_beside_a_large_one(spark):
     assert [got[i] for i in range(len(texts))] == label
 
 
+def test_near_duplicates_links_inside_a_hot_group_under_the_threshold(spark):
+    """Texts of one template just under the threshold to each other share buckets; a few pairs among them link."""
+    r = random.Random(31)
+    base, texts = prose(31, 1200, 9000).split(), []
+    for i in range(200):
+        if i not in (60, 130):
+            own = {p * 100 + r.randrange(100): f"own{i}x{p}" for p in range(12)}
+        else:
+            own = dict(list(own.items())[:3]) | {p * 100 + r.randrange(100): f"own{i}x{p}" for p in range(3, 12)}
+        texts.append(" ".join(own.get(k, w) for k, w in enumerate(base)))
+    sets = [{hash(x) for x in zip(*(words(t)[k:] for k in range(5)))} for t in texts]
+    low = list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        both = len(sets[a] & sets[b])
+        if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both) and low[a] != low[b]:
+            x, y = sorted((low[a], low[b]))
+            low = [x if v == y else v for v in low]
+    assert 2 <= len(texts) - len(set(low)) <= 6
+    got = {x["doc_id"]: x["component_id"] for x in neardup.near_duplicates(frame(spark, texts)).collect()}
+    assert got == dict(enumerate(low))
+
+
 def test_near_duplicates_odd_rows(spark):
     docs = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "q r s t u v"), (2, "A B c d e f"), (3, None)], "doc_id long, text string")
     got = sorted((str(x["doc_id"]), x["component_id"], x["kept"]) for x in neardup.near_duplicates(docs).collect())

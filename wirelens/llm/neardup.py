@@ -9,8 +9,9 @@ Texts with equal sets form a class first, so a group of exact copies costs one n
 edges of a bucket lead from its centre to the others. Candidates that counts of shingles by class
 prove unlike are left out; every other one is confirmed on full sets. Buckets whose
 members then lie in several components get further centres: each round takes twice as many as the one before, of as
-many components, large and small ones alike, until a round finds no link. So pairs grow with members, not with their
-square, and a small group beside a large one gets its own centre.
+many components, large and small ones alike, until a round finds no link. That proves nothing about texts that were
+never a centre, so the members of buckets that still hold several components go through an exact prefix-filter join,
+which finds every link between different components among them.
 """
 
 from __future__ import annotations
@@ -197,6 +198,36 @@ def _centres(open_: DataFrame, step: int) -> DataFrame:
     return chosen.select("band", "key", F.col("c.node").alias("a"), F.col("c.n").alias("na"), F.col("c.counts").alias("ca"), F.col("c.label").alias("la"))
 
 
+def _prefix_pairs(open_: DataFrame, labels: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """(a, b): every pair of members of open buckets, of different components, that may reach ``percent``. Exact: with
+    shingles by rising frequency (then value), two sets that link share one of the first n - ceil(percent * n) + 1 of
+    each, and from the first shared one on both hold enough.
+
+    A shingle's rows of its largest component meet only those of others, and the rows of a frequent shingle are dealt
+    over copies of FAN rows.
+    """
+    nodes = cut(open_.select("node").distinct().join(labels, "node").join(known, "node").select("node", "label", "n", "shingles"))
+    each = nodes.select("node", "label", F.explode("shingles").alias("s"))
+    per = each.groupBy("s", "label").agg(F.count("*").alias("c")).groupBy("s")
+    often = cut(per.agg(F.sum("c").alias("often"), F.max_by("label", F.struct("c", "label")).alias("major"), F.count("*").alias("kinds")).filter("often > 1"))
+    # A shingle that no other member has stands before all shared ones, so only the number of those counts.
+    order = F.array_sort(F.collect_list(F.struct("often", "s", "major", "kinds"))).alias("order")
+    shared = each.join(often, "s").groupBy("node").agg(order).join(nodes.select("node", "label", "n"), "node")
+    alone = F.col("n") - F.size("order")
+    length = F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - alone).cast("int")
+    rows = shared.select("node", "label", "n", alone.alias("alone"), F.posexplode(F.slice("order", F.lit(1), length)).alias("at", "o")).filter("o.kinds > 1")
+    rows = cut(rows.select("node", "label", "n", (F.col("alone") + F.col("at")).alias("at"), "o.s", "o.major", F.ceil(F.col("o.often") / FAN).alias("fans")))
+    left = rows.filter("label <> major").select("s", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("at").alias("ata"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("fans") - 1)).alias("fan"))
+    right = rows.select("s", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("at").alias("atb"), (F.col("label") == F.col("major")).alias("most"), F.pmod(F.xxhash64("node"), F.col("fans")).alias("fan"))
+    rest = F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))
+    fits = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (rest * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)
+    found = left.join(right, ["s", "fan"]).filter((F.col("la") != F.col("lb")) & (F.col("most") | (F.col("a") < F.col("b"))) & fits)
+    pairs = found.select("a", "b").distinct()
+    of_a = known.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("counts").alias("ca"))
+    of_b = known.select(F.col("node").alias("b"), "n", "counts")
+    return pairs.join(of_a, "a").join(of_b, "b").filter(_can_link(percent)).select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, bands: int = 36, depth: int = 7) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``.
 
@@ -229,6 +260,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, bands: i
                 break
             continue
         labels = _merge(labels, good)
+    open_ = _open_buckets(open_, labels)
+    pairs = cut(_prefix_pairs(open_, labels, known, percent).join(tested, ["a", "b"], "left_anti") if tested is not None else _prefix_pairs(open_, labels, known, percent))
+    if not pairs.isEmpty():
+        labels = _merge(labels, cut(confirm(pairs, known, percent)))
     named = rows.join(nodes.select("set_id", "node"), "set_id", "left")
     named = named.join(labels, "node", "left")
     component = F.coalesce("label", "node", "doc_id")
