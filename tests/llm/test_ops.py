@@ -467,6 +467,15 @@ def test_mixing(spark):
     assert {x["taken"] for x in mixing.mix_sources(docs.filter("source = 'empty'")).collect()} == {0}
 
 
+def test_mixing_keeps_a_tiny_source_beside_a_large_corpus(spark):
+    texts = [prose(i, 100) for i in range(402)]
+    sources = ["large"] * 200 + ["other"] * 200 + ["tiny"] * 2
+    rows = mixing.mix_sources(frame(spark, texts, sources=sources), blocks=2).collect()
+    for name in set(sources):
+        mine = [x for x in rows if x["source"] == name]
+        assert abs(sum(x["taken"] for x in mine) - mine[0]["target"]) <= 4
+
+
 def test_apportionment_is_sainte_lague(spark):
     r = random.Random(8)
     for case in range(12):

@@ -83,9 +83,10 @@ def apportion(parties: DataFrame, group: list[str], party: str, votes: str, seat
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, blocks: int = 200_000, least_block: int = 4, most_block: int = 4096, shard_blocks: int = 512, seed: int = 17) -> DataFrame:
     """Words taken of each document so that sources come near their target shares.
 
-    The corpus is cut into ``blocks`` blocks of equal length (``least_block`` to ``most_block`` words). Sainte-Lague
-    deals the blocks to sources, then each source's blocks to its shards. A shard is a seeded part of a source of
-    about ``shard_blocks`` blocks, so a large source has many shards and no window holds more than one shard. In a
+    Sainte-Lague deals blocks of ``least_block`` words to sources, then each source's blocks to its shards. The block
+    is the same for every corpus, so that a small source is dealt its words beside a large one too. A shard is a
+    seeded part of a source of about ``shard_blocks`` times the corpus' part in ``blocks`` (``least_block`` to
+    ``most_block`` words), so a large source has many shards and no window holds more than one shard. In a
     shard the documents follow a seeded order; its quota of blocks is a run (around the end, if need be) from a
     seeded block on; whole rounds of the shard repeat it.
 
@@ -100,9 +101,9 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int
     sources = capped_targets(totals.withColumn("source_no", number.cast("long")).withColumn("weight", cycle), cap)
     everything = F.sum("size").over(Window.partitionBy())
     length = F.greatest(F.lit(least_block), F.least(F.lit(most_block), F.ceil(everything / blocks))).cast("long")
-    sources = sources.withColumn("block", length).withColumn("seats", F.round(everything / F.col("block")).cast("long"))
+    sources = sources.withColumn("block", F.lit(least_block).cast("long")).withColumn("length", length).withColumn("seats", F.round(everything / F.col("block")).cast("long"))
     sources = apportion(sources, [], "source_no", "target", "seats", "quota")
-    sources = sources.select("source", "source_no", F.col("size").alias("source_size"), "target", "block", "quota", F.greatest(F.lit(1), F.ceil(F.col("size") / (F.col("block") * shard_blocks))).alias("shards"))
+    sources = sources.select("source", "source_no", F.col("size").alias("source_size"), "target", "block", "quota", F.greatest(F.lit(1), F.ceil(F.col("size") / (F.col("length") * shard_blocks))).alias("shards"))
 
     placed = sized.join(sources, sized["source"].eqNullSafe(sources["source"])).drop(sources["source"]).withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), "_at"), F.col("shards")))
     parts = placed.groupBy("source_no", "shard").agg(F.sum("size").alias("shard_size"), F.first("quota").alias("quota"), F.first("block").alias("block"))
