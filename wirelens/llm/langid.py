@@ -16,6 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UND = "und"
+#: Level of compression, the same for texts of all lengths.
+LEVEL = 12
+#: Bytes of all dictionaries together; beyond it each gets an equal part.
+DICTIONARIES_BYTES = 64 << 20
 
 
 def fold_of(key: str, n: int) -> Column:
@@ -32,29 +36,26 @@ class Classifier:
     """One dictionary a language; a text is compressed in chunks against each, and margins compare total sizes.
 
     ``languages`` maps each language to its dictionary, the most frequent one first: of equal sizes the first wins.
-    A short text is compressed at the slowest level, which finds the shortest matches.
     """
 
-    def __init__(self, languages: dict[str, bytes], chunk: int = 1500, level: int = 5, short: int = 400, short_level: int = 19):
-        self.languages, self.chunk, self.levels, self.short = dict(languages), chunk, (level, short_level), short
-        self._tools: dict[int, list] = {}
+    def __init__(self, languages: dict[str, bytes], chunk: int = 1500, level: int = LEVEL):
+        self.languages, self.chunk, self.level = dict(languages), chunk, level
+        self._tools: list = []
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_tools": {}}
+        return self.__dict__ | {"_tools": []}
 
-    def tools(self, level: int) -> list:
-        if level not in self._tools:
-            made = []
+    def tools(self) -> list:
+        if not self._tools:
             for d in self.languages.values():
                 words = zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                words.precompute_compress(level=level)
-                made.append(zstandard.ZstdCompressor(dict_data=words, level=level, write_content_size=False, write_checksum=False, write_dict_id=False).compress)
-            self._tools[level] = made
-        return self._tools[level]
+                words.precompute_compress(level=self.level)
+                self._tools.append(zstandard.ZstdCompressor(dict_data=words, level=self.level, write_content_size=False, write_checksum=False, write_dict_id=False).compress)
+        return self._tools
 
     def sizes(self, text: bytes) -> list[int]:
         parts = [text[i : i + self.chunk] for i in range(0, len(text), self.chunk)]
-        return [sum(len(f(p)) for p in parts) for f in self.tools(self.levels[len(text) < self.short])]
+        return [sum(len(f(p)) for p in parts) for f in self.tools()]
 
     def predict(self, text: bytes) -> tuple[str, float, float]:
         """(language, score, margin): the score is the share of the winner under 2^(-bytes / 4), the margin the runner-up's excess in size."""
@@ -72,7 +73,8 @@ def train(docs: DataFrame, slots: int = 64, dictionary_bytes: int = 48_000) -> C
     """Dictionaries from at most ``slots`` whole documents a language, ``dictionary_bytes`` bytes each.
 
     Every labelled row competes: rows fall into slots by a hash of doc_id and each slot keeps the least hash, which
-    combines before the shuffle. Only those documents' texts come to the driver.
+    combines before the shuffle. Only those documents' texts come to the driver. Dictionaries of very many languages
+    are shorter, so that all together stay within DICTIONARIES_BYTES.
     """
     mark = F.xxhash64(F.lit(6), F.col("doc_id"))
     rows = docs.filter("lang is not null and text is not null").select("doc_id", "lang", "text", mark.alias("mark"))
@@ -88,6 +90,7 @@ def train(docs: DataFrame, slots: int = 64, dictionary_bytes: int = 48_000) -> C
     texts = texts.sort_by([("lang", "ascending"), ("mark", "ascending")])
     for lang, text in zip(texts.column("lang").to_pylist(), clean(texts.column("text").combine_chunks()).to_pylist()):
         found.setdefault(lang, []).append(text.encode())
+    dictionary_bytes = min(dictionary_bytes, DICTIONARIES_BYTES // len(found))
     made = {lang: fair(found[lang], dictionary_bytes) for lang in sorted(found, key=lambda x: (-seen[x], x))}
     return Classifier({lang: d for lang, d in made.items() if d.strip()})
 
