@@ -40,30 +40,83 @@ def sliced_features(texts: pa.Array) -> list[np.ndarray]:
     return [np.concatenate(x) for x in zip(*parts)]
 
 
+#: Words that a row advances in one sweep; longer rows are swept in parts of so many words at once.
+PART = 1024
+
+
 def marginals(odds: np.ndarray, first: np.ndarray, move: np.ndarray, start: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Probability of label 1 at each word by forward-backward, with the forward and backward ratios.
 
-    With two labels the messages are ratios. All rows advance together, longest first, so each step is one vector
-    operation over the rows that still have a word there. ``odds``: exp of each word's score for label 1;
-    ``move[i, j]``: weight of label j after i; ``start``: weight of label 1 at the first word.
+    With two labels the messages are ratios and a step is a 2 x 2 matrix. Rows are cut into parts of PART words that all
+    advance together. In rows of several parts the product of each part's matrices carries the ratio from part to
+    part first, so a sweep takes PART steps however long the longest row is. ``odds``: exp of each word's score for
+    label 1; ``move[i, j]``: weight of label j after i; ``start``: weight of label 1 at the first word.
     """
     counts = np.diff(first)
-    order = np.argsort(-counts, kind="stable")
-    base, length = first[:-1][order], counts[order]
-    longest = int(length[0]) if len(length) else 0
-    live = np.searchsorted(-length, -np.arange(longest), "left")  # rows with more than t words
+    parts = -(-counts // PART)
+    row = np.repeat(np.arange(len(counts)), parts)
+    head = np.cumsum(parts) - parts  # each row's first part
+    nth = np.arange(len(row)) - head[row]
+    base = first[:-1][row] + nth * PART
+    length = np.minimum(counts[row] - nth * PART, PART)
+    order = np.argsort(-length, kind="stable")
+    live = np.searchsorted(-length[order], -np.arange(int(length.max(initial=0))), "left")  # parts with more than t words
+
+    def enter(forward: bool) -> np.ndarray:
+        """The ratio just before each part (forward), or just behind it (backward); nan before a row's first word."""
+        into = np.full(len(row), np.nan if forward else 1.0)
+        many = np.flatnonzero(parts > 1)
+        if not len(many):
+            return into
+        mine = np.flatnonzero(parts[row] > 1)
+        m = np.tile(np.eye(2), (len(mine), 1, 1))  # from (1, ratio) before to (1, ratio) behind, up to a factor
+        for t in range(PART) if forward else range(PART - 1, -1, -1):
+            has = length[mine] > t
+            o = odds[base[mine[has]] + t]
+            top, low = (move[:, 0], move[:, 1]) if forward else (move[0], move[1])
+            # Forward (x, y): (m00 x + m10 y, o (m01 x + m11 y)); backward: (m00 x + m01 o y, m10 x + m11 o y).
+            x, y = m[has, 0], m[has, 1]
+            if forward:
+                new = np.stack([top[0] * x + top[1] * y, o[:, None] * (low[0] * x + low[1] * y)], axis=1)
+            else:
+                z = o[:, None] * y
+                new = np.stack([top[0] * x + top[1] * z, low[0] * x + low[1] * z], axis=1)
+            if forward and t == 0:  # a row's first word has no move before it
+                fresh = nth[mine[has]] == 0
+                new[fresh] = 0.0
+                new[fresh, 0, 0], new[fresh, 1, 0] = 1.0, o[fresh] * start
+            m[has] = new / new.sum(axis=(1, 2), keepdims=True)
+        at = np.full(len(row), -1)
+        at[mine] = np.arange(len(mine))
+        for step in range(1, int(parts.max())):
+            rows = many[parts[many] > step]
+            done = head[rows] + step - 1 if forward else head[rows] + parts[rows] - step
+            v = m[at[done]]
+            before = np.nan_to_num(into[done])
+            ratio = (v[:, 1, 0] + v[:, 1, 1] * before) / (v[:, 0, 0] + v[:, 0, 1] * before)
+            into[done + 1 if forward else done - 1] = np.clip(ratio, 1e-30, 1e30)
+        return into
+
     f, b = np.empty(len(odds)), np.ones(len(odds))
-    r = None
-    for t in range(longest):
-        at = base[: live[t]] + t
-        o = odds[at]
-        r = o * start if r is None else o * (move[0, 1] + r[: live[t]] * move[1, 1]) / (move[0, 0] + r[: live[t]] * move[1, 0])
-        r = np.clip(r, 1e-30, 1e30)
-        f[at] = r
-    for t in range(longest - 2, -1, -1):
-        at = base[: live[t + 1]] + t
-        z = odds[at + 1] * b[at + 1]
-        b[at] = (move[1, 0] + move[1, 1] * z) / (move[0, 0] + move[0, 1] * z)
+    into, r = enter(True)[order], None
+    for t in range(len(live)):
+        n = live[t]
+        o = odds[base[order[:n]] + t]
+        before = into[:n] if t == 0 else r[:n]
+        new = o * (move[0, 1] + before * move[1, 1]) / (move[0, 0] + before * move[1, 0])
+        if t == 0:
+            new = np.where(np.isnan(before), o * start, new)
+        r = np.clip(new, 1e-30, 1e30)
+        f[base[order[:n]] + t] = r
+    behind = enter(False)[order]
+    for t in range(len(live) - 1, -1, -1):
+        n = live[t]
+        at, more = base[order[:n]] + t, np.arange(n) < (live[t + 1] if t + 1 < len(live) else 0)
+        now = behind[:n].copy()
+        inner = at[more] + 1
+        z = odds[inner] * b[inner]
+        now[more] = (move[1, 0] + move[1, 1] * z) / (move[0, 0] + move[0, 1] * z)
+        b[at] = now
     p = f * b
     return p / (1 + p), f, b
 
