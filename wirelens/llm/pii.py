@@ -1,11 +1,13 @@
 """Personal data: base patterns plus a skip-chain conditional random field.
 
-Nodes are words that hold a digit or '@'; a word without either can be no e-mail address, number or card, so its label
+Nodes are words that hold a digit or '@'; a word without either can be none of the four kinds, so its label
 is fixed and the chain is cut there exactly. Neighbouring nodes share chain potentials. Skip edges tie each node to the
-one before it with the same or a similar form (e-mail address without case, last seven digits), however distant, so
-labels of repeated entities agree; links from one to the next keep edges in proportion to nodes. Loopy sum-product
-message passing runs over all documents of a batch at once. Weights come from pseudo-likelihood training on a bounded
-sample whose labels are the base matches.
+one before it and to the first one with the same or a similar form (e-mail address without case, last seven digits),
+however distant, so labels of repeated entities agree; two edges a node keep edges in proportion to nodes. Loopy
+sum-product messages are passed in each document until they settle: exact where its edges form no cycle, and no
+document's result depends on those beside it. Weights come from pseudo-likelihood training on a bounded
+sample. Its labels are the base matches, carried over by the constraint that words with the same address or the same
+last seven digits in one document are one entity, also where the patterns miss one of them.
 
 Null and empty texts have no spans. Repeated rows are handled one by one. Spans are in code points, end exclusive.
 Base matches always stay; the field adds words that no base match touches and whose probability is high.
@@ -14,6 +16,7 @@ Base matches always stay; the field adds words that no base match touches and wh
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._text import utf8
+from ._text import slices, utf8
 
 #: Kinds in their order.
 KINDS = ("email", "ip", "card", "phone")
@@ -96,6 +99,16 @@ class Nodes:
     label: np.ndarray  # 0, or 1 + kind by the base matches
     chain: np.ndarray  # edges x 2
     skip: np.ndarray
+    same: np.ndarray  # whether a skip edge is between mentions of one entity, not only of like form
+
+    def entity_labels(self) -> np.ndarray:
+        """``label``, carried from labelled mentions of an entity to the others."""
+        out = self.label.copy()
+        edges = self.skip[self.same].tolist()
+        for a, b in [*edges, *((b, a) for a, b in reversed(edges))]:
+            if out[b] == 0:
+                out[b] = out[a]
+        return out
 
 
 FEATURES, BUCKETS = 7, 4096
@@ -116,8 +129,6 @@ def _shape(word: str) -> list[str]:
 
 
 def _bucket(*parts: str) -> int:
-    import zlib
-
     return zlib.crc32("\x1f".join(parts).encode("utf-8", "replace")) % BUCKETS
 
 
@@ -130,10 +141,10 @@ def similar_key(word: str) -> str:
 
 
 def nodes_of(texts: list[str], found: list[list[Span]]) -> Nodes:
-    row, start, end, feats, label, chain, skip = [], [], [], [], [], [], []
+    row, start, end, feats, label, chain, skip, same = [], [], [], [], [], [], [], []
     for r, (text, spans) in enumerate(zip(texts, found)):
         cover = sorted((s, e, k) for k, s, e in spans)
-        at, last, prior_word = 0, {}, ""
+        at, last, prior_word = 0, {}, ""  # last: first and latest node of each key
         before = None  # number of the node right before
         for m in _WORD.finditer(text):
             word = m[0]
@@ -153,12 +164,15 @@ def nodes_of(texts: list[str], found: list[list[Span]]) -> Nodes:
             if before is not None:
                 chain.append((before, me))
             key = similar_key(word)
-            if key in last and last[key] != before:
-                skip.append((last[key], me))
-            last[key] = me
+            one = "@" in word or len(key) == 7 and key.isdigit()
+            first, latest = last.get(key, (me, me))
+            for twin in {first, latest} - {me, before}:
+                skip.append((twin, me))
+                same.append(one)
+            last[key] = first, me
             before, prior_word = me, word
     edges = lambda x: np.array(x, dtype=np.int64).reshape(-1, 2)
-    return Nodes(np.array(row, np.int64), np.array(start, np.int64), np.array(end, np.int64), np.array(feats, np.int64).reshape(-1, FEATURES), np.array(label, np.int64), edges(chain), edges(skip))
+    return Nodes(np.array(row, np.int64), np.array(start, np.int64), np.array(end, np.int64), np.array(feats, np.int64).reshape(-1, FEATURES), np.array(label, np.int64), edges(chain), edges(skip), np.array(same, bool))
 
 
 class Field:
@@ -172,27 +186,27 @@ class Field:
 
     def fit(self, x: Nodes, rounds: int = 60, rate: float = 0.5, ridge: float = 1e-4) -> Field:
         """Pseudo-likelihood: each node's label given its neighbours' labels, by AdaGrad on full gradients."""
-        n = len(x.label)
-        if not n or not x.label.any():
+        n, label = len(x.label), x.entity_labels()
+        if not n or not label.any():
             return self
-        gold = np.eye(LABELS)[x.label]
+        gold = np.eye(LABELS)[label]
         sums = [np.full_like(w, 1e-3) for w in (self.unary, self.chain, self.skip)]
         a, b, s, t = x.chain[:, 0], x.chain[:, 1], x.skip[:, 0], x.skip[:, 1]
         for _ in range(rounds):
             p = self.unary[x.features].sum(axis=1)
-            np.add.at(p, b, self.chain[x.label[a]])
-            np.add.at(p, a, self.chain[:, x.label[b]].T)
-            np.add.at(p, t, self.skip[x.label[s]])
-            np.add.at(p, s, self.skip[:, x.label[t]].T)
+            np.add.at(p, b, self.chain[label[a]])
+            np.add.at(p, a, self.chain[:, label[b]].T)
+            np.add.at(p, t, self.skip[label[s]])
+            np.add.at(p, s, self.skip[:, label[t]].T)
             p = np.exp(p - p.max(axis=1, keepdims=True))
             miss = (gold - p / p.sum(axis=1, keepdims=True)) / n
             unary, chain, skip = (np.zeros_like(w) for w in sums)
             for f in x.features.T:
                 np.add.at(unary, f, miss)
-            np.add.at(chain, x.label[a], miss[b])
-            np.add.at(chain.T, x.label[b], miss[a])
-            np.add.at(skip, x.label[s], miss[t])
-            np.add.at(skip, x.label[t], miss[s])
+            np.add.at(chain, label[a], miss[b])
+            np.add.at(chain.T, label[b], miss[a])
+            np.add.at(skip, label[s], miss[t])
+            np.add.at(skip, label[t], miss[s])
             skip = (skip + skip.T) / 2
             for w, g, v in zip((self.unary, self.chain, self.skip), (unary, chain, skip), sums):
                 g = g - ridge * w
@@ -201,37 +215,69 @@ class Field:
         self.trained = True
         return self
 
-    def infer(self, x: Nodes, rounds: int = 12, damp: float = 0.5) -> np.ndarray:
-        """Label probabilities by loopy sum-product; chains without skip edges converge to the exact ones."""
+    def infer(self, x: Nodes, settled: float = 1e-7, most: int = 1000) -> np.ndarray:
+        """Label probabilities by sum-product messages, until no message of a document moves by ``settled``.
+
+        Documents without cycles are passed undamped and end after as many rounds as their longest path, exactly; others
+        are damped, and left as they are after ``most`` rounds should they not settle.
+        """
         unary = self.unary[x.features].sum(axis=1)
         if not self.trained:
             return np.tile(np.eye(LABELS)[0], (len(unary), 1))
         edges = np.concatenate([x.chain, x.skip])
-        pot = np.concatenate([np.tile(self.chain, (len(x.chain), 1, 1)), np.tile(self.skip, (len(x.skip), 1, 1))])
-        a, b = edges[:, 0], edges[:, 1]
+        order = np.argsort(x.row[edges[:, 0]], kind="stable")
+        kind = np.repeat([0, 1], [len(x.chain), len(x.skip)])[order]
+        edges, pots = edges[order], np.stack([self.chain, self.skip])
         up, down = np.zeros((len(edges), LABELS)), np.zeros((len(edges), LABELS))  # log messages to b, to a
+        row = x.row[edges[:, 0]]
+        damp = np.where(_cyclic(x, edges)[row], 0.5, 0.0)[:, None] if len(edges) else np.zeros((0, 1))
+        belief, live, rounds = unary.copy(), np.arange(len(edges)), 0
 
-        def send(state: np.ndarray, pots: np.ndarray) -> np.ndarray:
-            m = state[:, :, None] + pots
+        def send(state: np.ndarray, pot: np.ndarray) -> np.ndarray:
+            m = state[:, :, None] + pot
             top = m.max(axis=1)
             out = np.log(np.exp(m - top[:, None]).sum(axis=1)) + top
             return out - out.max(axis=1, keepdims=True)
 
-        belief = unary.copy()
-        for _ in range(rounds if len(edges) else 0):
-            new_up = send(belief[a] - down, pot)
-            new_down = send(belief[b] - up, pot.transpose(0, 2, 1))
-            change = max(np.abs(new_up - up).max(), np.abs(new_down - down).max())
-            up, down = damp * up + (1 - damp) * new_up, damp * down + (1 - damp) * new_down
-            belief = unary.copy()
-            np.add.at(belief, b, up)
-            np.add.at(belief, a, down)
-            if change < 1e-4:
-                break
+        while len(live):
+            a, b, d = edges[live, 0], edges[live, 1], damp[live]
+            pot = pots[kind[live]]
+            new_up = d * up[live] + (1 - d) * send(belief[a] - down[live], pot)
+            new_down = d * down[live] + (1 - d) * send(belief[b] - up[live], pot.transpose(0, 2, 1))
+            change = np.maximum(np.abs(new_up - up[live]), np.abs(new_down - down[live])).max(axis=1)
+            up[live], down[live] = new_up, new_down
+            touched = np.unique(np.concatenate([a, b]))
+            belief[touched] = unary[touched]
+            np.add.at(belief, b, new_up)
+            np.add.at(belief, a, new_down)
+            rounds += 1
+            heads = np.flatnonzero(np.concatenate([[True], row[live][1:] != row[live][:-1]]))
+            moving = np.maximum.reduceat(change, heads) >= settled
+            if rounds >= most:
+                moving &= damp[live][heads, 0] == 0
+            live = live[np.repeat(moving, np.diff(np.concatenate([heads, [len(live)]])))]
         p = np.exp(belief - belief.max(axis=1, keepdims=True))
         return p / p.sum(axis=1, keepdims=True)
 
 
+def _cyclic(x: Nodes, edges: np.ndarray) -> np.ndarray:
+    """For each row whether its edges form a cycle: an edge that joins nodes which others already join."""
+    parent = list(range(len(x.row)))
+    out = np.zeros(int(x.row.max(initial=-1)) + 1, dtype=bool)
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    for a, b in edges.tolist():
+        ra, rb = root(a), root(b)
+        if ra == rb:
+            out[x.row[a]] = True
+        parent[max(ra, rb)] = min(ra, rb)
+    return out
+
+
 _EDGE = ".,;:!?\"'#*$%&=<>[]{}|"
 
 
@@ -287,16 +333,14 @@ def find(docs: DataFrame, field: Field, key: str = "doc_id", text: str = "text")
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 2000):
-                part = b.slice(at, 2000)
-                rows, found = spans_of(part.column(text), shared.value)
-                counts = np.zeros(part.num_rows, np.int64)
-                counts[rows] = [len(f) for f in found]
-                flat = [s for f in found for s in f]
-                cells = pa.StructArray.from_arrays([pa.array([s[i] for s in flat], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.bool_()))], names=["kind", "start", "stop", "base"])
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), cells)
-                yield pa.RecordBatch.from_arrays([part.column(key), lists], names=[key, "spans"])
+        for part in slices(batches, text):
+            rows, found = spans_of(part.column(text), shared.value)
+            counts = np.zeros(part.num_rows, np.int64)
+            counts[rows] = [len(f) for f in found]
+            flat = [s for f in found for s in f]
+            cells = pa.StructArray.from_arrays([pa.array([s[i] for s in flat], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.bool_()))], names=["kind", "start", "stop", "base"])
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), cells)
+            yield pa.RecordBatch.from_arrays([part.column(key), lists], names=[key, "spans"])
 
     return docs.select(key, text).mapInArrow(run, f"{key} {docs.schema[key].dataType.simpleString()}, spans {SPANS}")
 
@@ -322,19 +366,17 @@ def mask(docs: DataFrame, field: Field) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 2000):
-                part = b.slice(at, 2000)
-                column = part.column("text")
-                rows, found = spans_of(column, shared.value)
-                new = {r: mask_text(column[r].as_py(), f) for r, f in zip(rows, found) if f}
-                if not new:
-                    yield part
-                    continue
-                texts = column.to_pylist()
-                for r, t in new.items():
-                    texts[r] = t
-                yield part.set_column(part.schema.get_field_index("text"), part.schema.field("text"), pa.array(texts, column.type))
+        for part in slices(batches, "text"):
+            column = part.column("text")
+            rows, found = spans_of(column, shared.value)
+            new = {r: mask_text(column[r].as_py(), f) for r, f in zip(rows, found) if f}
+            if not new:
+                yield part
+                continue
+            texts = column.to_pylist()
+            for r, t in new.items():
+                texts[r] = t
+            yield part.set_column(part.schema.get_field_index("text"), part.schema.field("text"), pa.array(texts, column.type))
 
     done = docs.mapInArrow(run, docs.schema)
     return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else done
