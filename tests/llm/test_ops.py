@@ -110,7 +110,7 @@ def test_loopy_equals_exact_on_chains():
     field.trained = True
     field.unary, field.chain = rng.normal(size=field.unary.shape), rng.normal(size=field.chain.shape)
     x = pii.nodes_of(["1 22 333 4444"], [[]])
-    got = field.infer(x, rounds=60, damp=0.0)
+    got = field.infer(x)
     u = field.unary[x.features].sum(axis=1)
     want = np.zeros_like(got)
     for y in itertools.product(range(pii.LABELS), repeat=4):
@@ -120,6 +120,74 @@ def test_loopy_equals_exact_on_chains():
     assert np.allclose(got, want / want.sum(axis=1, keepdims=True), atol=1e-6)
 
 
+def test_messages_settle_in_each_document_alone():
+    """A long chain gets the forward-backward marginals, whatever documents stand beside it; cycles settle too."""
+    rng = np.random.default_rng(3)
+    field = pii.Field()
+    field.trained = True
+    field.unary, field.chain, field.skip = rng.normal(size=field.unary.shape), rng.normal(size=field.chain.shape), rng.normal(size=field.skip.shape) / 4
+    field.skip = field.skip + field.skip.T
+    chain = " ".join(str(10**5 * (i + 1) + i) for i in range(60))
+    loop = "77 1234567 x 1234567 88 y 1234567"
+    x = pii.nodes_of([chain], [[]])
+    u = field.unary[x.features].sum(axis=1)
+    f, b = np.zeros_like(u), np.zeros_like(u)
+    f[0] = u[0]
+    for i in range(1, len(u)):
+        f[i] = u[i] + np.log(np.exp(f[i - 1][:, None] + field.chain).sum(axis=0))
+    for i in range(len(u) - 2, -1, -1):
+        b[i] = np.log(np.exp(field.chain + u[i + 1] + b[i + 1]).sum(axis=1))
+    p = np.exp(f + b - (f + b).max(axis=1, keepdims=True))
+    alone = field.infer(x)
+    assert np.allclose(alone, p / p.sum(axis=1, keepdims=True), atol=1e-6)
+    both = field.infer(pii.nodes_of([loop, chain, loop], [[], [], []]))
+    assert np.allclose(both[5:65], alone)
+    assert np.allclose(both[:5], field.infer(pii.nodes_of([loop], [[]]))) and np.allclose(both[:5], both[65:])
+
+
+def test_pii_added_spans_on_planted_mentions(spark):
+    """Second mentions that the patterns miss, and numbers that are nobody's: precision and recall of the added spans."""
+    r = random.Random(9)
+    texts, planted, clean = [], [], []
+    number = lambda n: "".join(r.choice("123456789") for _ in range(n))
+    for i in range(300):
+        words_ = prose(i, 60).split()
+        tail = f"{number(3)}-{number(4)}"
+        kind = i % 3
+        first, again = [(f"+1 ({number(3)}) {tail}", tail), (f"user{number(4)}@mail.org", None), (None, f"{number(3)}-{number(4)}")][kind]
+        extra = ["2024", f"{number(2)},50", f"v{number(1)}.{number(1)}"]
+        if kind == 0:
+            words_[10:10], words_[40:40] = [first], [again]
+        elif kind == 1:
+            words_[20:20] = [first]
+        for e in extra:
+            words_.insert(r.randrange(45, 60), e)
+        texts.append(" ".join(words_))
+        if kind == 0:
+            at = texts[-1].rindex(tail)
+            planted.append((i, at, at + len(tail)))
+    docs = frame(spark, texts)
+    found = {(x["doc_id"], s["start"], s["stop"]) for x in pii.find(docs, pii.train(docs)).collect() for s in x["spans"] if not s["base"]}
+    hit = len(found & set(planted))
+    assert hit >= 0.9 * len(planted) and hit >= 0.9 * len(found), (hit, len(planted), len(found))
+
+
+def test_fingerprints_repeated_and_null_ids(spark):
+    """Rows that share an id, or have none, follow each other by hash; every row has one result."""
+    texts = [(5, "b"), (5, "a"), (5, "b"), (None, "n"), (None, "m"), (9, "z" * 10), *[(7, prose(i, 9)) for i in range(40)]]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    keyed = docs.selectExpr("doc_id", "text", "xxhash64(text) AS h").collect()
+    order = sorted(keyed, key=lambda x: (-(x["doc_id"] if x["doc_id"] is not None else -(2**63)), x["h"], x["text"]))
+    want = []
+    for i, x in enumerate(order):
+        t, nxt = x["text"], order[(i + 1) % len(order)]["text"]
+        h = len(t) // 2
+        want.append((str(x["doc_id"]), hashlib.sha256((t[: len(t) - h] + nxt[:h]).encode()).hexdigest()))
+    for size in (1, 4, 1000):
+        got = [(str(x["doc_id"]), x["edited_sha256"]) for x in fingerprints.edited_pairs(docs, rows_per_range=size).collect()]
+        assert sorted(got) == sorted(want)
+
+
 def test_fingerprints_query(spark):
     texts = [*ODD, "Ａｂ  c", "ab C", "AB\tc ", *[prose(i, 50) for i in range(12)], prose(3, 50)]
     docs = frame(spark, texts)
@@ -144,13 +212,16 @@ def test_fingerprints_query(spark):
 
 
 def test_fingerprint_collisions_are_told_apart(spark, monkeypatch):
-    docs = frame(spark, ["one", "two", "ONE"])
-    light = fingerprints.with_digest(docs, False).withColumn("digest", fingerprints.F.lit("same"))
+    docs = spark.createDataFrame([(0, "one"), (1, "two"), (2, "ONE"), (2, "two"), (None, "one")], "doc_id long, text string")
     keep = fingerprints.with_digest
     monkeypatch.setattr(fingerprints, "with_digest", lambda d, b, **k: keep(d, b, **k).withColumn("digest", fingerprints.F.lit("same")))
-    assert [r["digest"] for r in fingerprints.collisions(docs, light).collect()] == ["same"]
-    names = {r["doc_id"]: r["fingerprint"] for r in fingerprints._named(docs, light).collect()}
-    assert names[0] == names[2] != names[1]
+    assert fingerprints.clashes(docs) == {"same"}
+    odd = frozenset(keep(docs, False).select("digest").toPandas()["digest"])
+    monkeypatch.setattr(fingerprints, "clashes", lambda d: odd)
+    groups = {(r["doc_id"], r["fingerprint"]): r["group_id"] for r in fingerprints.exact_groups(docs).collect()}
+    assert len(groups) == 5 and len({f for _, f in groups}) == 2 and all(len(f) == 32 + 1 + 64 for _, f in groups)
+    got = fingerprints.fingerprint_edits(docs).collect()
+    assert len(got) == 5 and {r["fingerprint"] for r in got} == {f for _, f in groups}
 
 
 def test_chat(spark):
@@ -182,6 +253,37 @@ def test_chat_detects_rewriting(spark):
     assert got == [(1, 0, False), (1, 1, True), (2, 0, False)]
 
 
+def test_chat_renders_whole_prefixes(spark):
+    """Templates that number turns, or change the first turn late, in conversations of 40 turns."""
+
+    def numbered(messages):
+        return "".join(f"{i}:{m['text']};" for i, m in enumerate(messages))
+
+    def forgets(messages):  # from 12 turns on the first one is summarised
+        return "".join("[old];" if i == 0 and len(messages) >= 12 else f"{m['text']};" for i, m in enumerate(messages))
+
+    df = spark.createDataFrame([(1, i, "u", f"t{i}") for i in range(40)], "conv_id long, turn long, role string, text string")
+    messages = [{"role": "u", "text": f"t{i}"} for i in range(40)]
+    for template, rewriting in ((numbered, []), (forgets, [11])):
+        rows = sorted(chat.format_turns(df, template).collect(), key=lambda r: r["n"])
+        assert [r["n"] for r in rows if r["rewrites"]] == rewriting
+        whole = ""
+        for r in rows:
+            whole = whole[: r["start"]] + r["span"]
+        assert whole == template(messages)
+        assert all(whole[r["content_start"] : r["content_end"]] == f"t{r['n']}" for r in rows if r["n"] not in rewriting and r["n"] > 11 or not rewriting)
+
+
+def test_chat_local_template_equals_whole_rendering():
+    r = random.Random(5)
+    turns = [(r.choice(["user", "assistant", "\ue000\ue001", ""]), r.choice(["", "\ue000\ue001\ue001", "a<|b", "\\", prose(i, 5)])) for i in range(60)]
+    local, whole = chat.Renderer(chat.marked_turns), chat.Renderer(lambda m: chat.marked_turns(m))
+    assert local.most == 1 and whole.most is None
+    for role, text in turns:
+        a, b = local.add(role, text), whole.add(role, text)
+        assert a == b and a["located"] and chat.unescape(a["content"]) == text and chat.read_role(a["head"]) == role
+
+
 def test_token_scan(spark, tmp_path):
     rng = np.random.default_rng(3)
     want = {}
@@ -202,6 +304,22 @@ def test_token_scan(spark, tmp_path):
         assert sum(not r["closed"] for r in rows) == 1
 
 
+def test_token_scan_stitches_summaries_only(spark, capsys):
+    """The window over a file's blocks sees no list of separators."""
+    df = spark.createDataFrame([("f", 0, bytearray(b"\0\0"))], token_counts.BLOCK_SCHEMA)
+    plan = token_counts.scan(df, 0)._jdf.queryExecution().optimizedPlan().toString()
+    for line in plan.splitlines():
+        if "Window" in line:
+            assert "places" not in line
+    assert [r["n_tokens"] for r in token_counts.scan(df, 0).collect()] == [0]
+
+
+def test_wide_identifiers(spark):
+    docs = frame(spark, ["a b", "c"])
+    wide = token_counts.document_counts(docs, queries.TOKENIZER_RANKS, separator=70_000, width=4)
+    assert {r["doc_id"]: r["n_tokens"] for r in wide.collect()} == {0: 2, 1: 1}
+
+
 def test_token_counts(spark):
     texts = [*ODD[:5], *[prose(i, 300) for i in range(8)], prose(99, 9000), "it's a test of 12 words, isn't it? " * 900]
     docs = frame(spark, texts)
@@ -237,7 +355,7 @@ def test_decontamination_recall(spark):
     clean_from = len(texts)
     texts += [prose(20_000 + n, 200) for n in range(60)]
     docs = frame(spark, texts)
-    bench = spark.createDataFrame([*enumerate(items), (900, None), (901, "too short")], "item_id long, text string")
+    bench = spark.createDataFrame([*enumerate(items), (900, None), (901, ""), (902, "never there")], "item_id long, text string")
     found = decontaminate.find_leaks(docs, bench).collect()
     pairs = {(f["doc_id"], f["item_id"]) for f in found}
     assert len(planted & pairs) >= 0.98 * len(planted)
@@ -251,6 +369,52 @@ def test_decontamination_recall(spark):
     assert decontaminate.drop_leaks(docs, bench).count() == len(texts) - len({d for d, _ in pairs})
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 7, 12, 30, 80, 200])
+def test_decontamination_recall_by_length(n):
+    """All allowed edits at the start, at the end, in one block, spread, as every second word; replaced, dropped, inserted."""
+    r, k, texts, items = random.Random(n), int(0.2 * n), [], []
+    fresh = lambda: f"z{r.randrange(10**9)}"
+    for i in range(60):
+        w = [f"i{i}w{j}" for j in range(n)]
+        items.append(" ".join(w))
+        at = {0: range(k), 1: range(n - k, n), 2: range((n - k) // 2, (n - k) // 2 + k), 3: [j * n // max(1, k) for j in range(k)], 4: [2 * j for j in range(k)], 5: [n - 1 - 2 * j for j in range(k)]}[i % 6]
+        kind = i // 6 % 3
+        w = [x for j, v in enumerate(w) for x in ((v,) if j not in at else ((fresh(),), (), (fresh(), v))[kind])]
+        texts.append(" ".join([fresh() for _ in range(r.randrange(3 * n + 5))] + w + [fresh() for _ in range(r.randrange(3 * n + 5))]))
+    hashed = [Words(pa.array([t])).hashes() for t in items]
+    index = decontaminate.Index([(i, n) for i in range(60)], hashed, 0.2, 40, 3, 5)
+    found = decontaminate._verified(pa.RecordBatch.from_pydict({"doc_id": list(range(60)), "text": texts}), index, "doc_id", "text")
+    pairs = set(zip(found.column("doc_id").to_pylist(), found.column("item_id").to_pylist()))
+    assert len({(i, i) for i in range(60)} & pairs) >= 59 and all(d == i for d, i in pairs)
+
+
+def test_decontamination_short_and_unnamed_items(spark):
+    docs = frame(spark, ["say hello world now", "hello", "World, hello", None, "hello world; hello world"])
+    bench = spark.createDataFrame([(1, "Hello world"), (None, "say"), (None, "now"), (4, "hello world now then")], "item_id long, text string")
+    got = sorted((f["doc_id"], str(f["item_id"]), f["start_word"], f["n_words"], f["edits"]) for f in decontaminate.find_leaks(docs, bench).collect())
+    assert got == [(0, "1", 1, 2, 0), (0, "None", 0, 1, 0), (0, "None", 3, 1, 0), (4, "1", 0, 2, 0)]
+
+
+def test_language_id_is_the_smallest_compression(spark):
+    """Sizes restated by compressing every chunk with every dictionary, one text of many chunks and short ones."""
+    import zstandard
+
+    docs = frame(spark, [*ODD, "der die das und ist nicht", "the of and to in is", *[prose(i, n) for i, n in enumerate((3, 60, 399, 401, 3000))]], ["en", "fr", "en", "en", "fr", "de", "de", "de", "en", *["xx"] * 5])
+    model = langid.train(docs)
+    made = {k: zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_checksum=False, write_dict_id=False) for k, d in model.languages.items()}
+    for x in langid.identify(docs, model).join(docs, "doc_id").collect():
+        t = re.sub(r"[^\W\d_]", lambda m: m[0].lower(), x["text"] or "")
+        t = re.sub(r"(?:[\W\d_])+", " ", t).encode()
+        if not t.strip():
+            assert x["lang_pred"] == "und"
+            continue
+        size = {k: sum(len(c.compress(t[i : i + 1500])) for i in range(0, len(t), 1500)) for k, c in made.items()}
+        least = min(size.values())
+        assert size[x["lang_pred"]] == least and list(model.languages).index(x["lang_pred"]) == min(i for i, k in enumerate(model.languages) if size[k] == least)
+        rest = sorted(size.values())
+        assert x["margin"] == pytest.approx((rest[1] - rest[0]) / rest[0])
+
+
 def test_language_id(spark, sf):
     docs = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet")
     apart = queries.held_out(5, 0)
@@ -380,7 +544,62 @@ def test_near_duplicates_odd_rows(spark):
     assert neardup.near_duplicates(docs.limit(0)).count() == 0
 
 
-def test_forward_backward():
+@pytest.mark.parametrize("seed", range(3))
+def test_near_duplicates_one_link_among_texts_under_the_threshold(spark, seed):
+    """All pairs at similarity 0.844 but one at 0.8513; rows of the many buckets are never all centres."""
+    r = random.Random(seed)
+    n, own = 652, 55  # shingles of a text, those of its own words
+    base, texts = [f"w{k}" for k in range(n + 4)], []
+    spots = list(range(2, n, 5))
+    for i in range(120):
+        mine = dict.fromkeys(r.sample(spots, own // 5), f"x{i}")
+        texts.append(" ".join(f"{mine[k]}y{k}" if k in mine else w for k, w in enumerate(base)))
+    twin = texts[60].split()
+    changed = [k for k, w in enumerate(twin) if w.startswith("x")]
+    free = r.sample([k for k in spots if k not in changed], 10)
+    for k in free:
+        twin[k] = f"twin{k}"
+    texts.append(" ".join(twin))
+    sizes, label = components_by_force(texts, 85)
+    got = {x["doc_id"]: x for x in neardup.near_duplicates(frame(spark, texts)).collect()}
+    assert [got[i]["component_id"] for i in range(len(texts))] == label and 1 <= len(texts) - len(set(label)) <= 30
+
+
+def test_near_duplicates_prefix_join_alone_is_exact(spark):
+    """Without star rounds the closing join finds the same components."""
+    r = random.Random(12)
+    texts = []
+    for g in range(10):
+        t = prose(g, r.choice([12, 40, 150]))
+        texts += [edited(t, r, r.choice([0.005, 0.01, 0.02, 0.03])) for _ in range(7)]
+    sizes, label = components_by_force(texts, 85)
+    for rounds in (0, 1, 3):
+        got = {x["doc_id"]: x["component_id"] for x in neardup.near_duplicates(frame(spark, texts), rounds=rounds).collect()}
+        assert [got[i] for i in range(len(texts))] == label
+
+
+def test_near_duplicates_deals_hot_buckets_and_centres(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "HOT", 5)
+    monkeypatch.setattr(neardup, "FAN", 4)
+    r = random.Random(3)
+    texts = [edited(prose(1, 200), r, r.choice([0.005, 0.02, 0.04])) for _ in range(60)]
+    sizes, label = components_by_force(texts, 85)
+    got = {x["doc_id"]: x["component_id"] for x in neardup.near_duplicates(frame(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == label
+
+
+def test_near_duplicates_repeated_ids(spark):
+    a, b = "a b c d e f", "q r s t u v"
+    docs = spark.createDataFrame([(3, a, 1), (7, a, 2), (7, b, 1), (9, b, 1), (11, None, 1), (11, "k l m n o", 1), (12, "k l m n o", 1), (3, "other words of this one document", 5), (3, a, 0), (None, a, 1), (None, "z z z z z z", 1)], "doc_id long, text string, n int")
+    got = neardup.near_duplicates(docs.filter("doc_id is not null")).collect()
+    assert {(x["doc_id"], x["component_id"]) for x in got} == {(3, 3), (7, 3), (9, 3), (11, 11), (12, 11)} and len(got) == 9
+    kept = sorted((x["doc_id"], x["text"] or "", x["n"]) for x in neardup.drop_near_duplicates(docs.filter("doc_id is not null")).collect())
+    assert kept == [(3, a, 0), (3, "other words of this one document", 5), (11, "", 1), (11, "k l m n o", 1)]
+    assert neardup.drop_near_duplicates(docs).filter("doc_id is null").count() == 2
+
+
+def test_forward_backward(monkeypatch):
+    monkeypatch.setattr(toxicity, "PART", 2)
     rng = np.random.default_rng(1)
     lens = [4, 1, 0, 5]
     first = np.concatenate([[0], np.cumsum(lens)])
@@ -470,7 +689,7 @@ def test_mixing(spark):
 def test_mixing_keeps_a_tiny_source_beside_a_large_corpus(spark):
     texts = [prose(i, 100) for i in range(402)]
     sources = ["large"] * 200 + ["other"] * 200 + ["tiny"] * 2
-    rows = mixing.mix_sources(frame(spark, texts, sources=sources), blocks=2).collect()
+    rows = mixing.mix_sources(frame(spark, texts, sources=sources), shard_words=5000).collect()
     for name in set(sources):
         mine = [x for x in rows if x["source"] == name]
         assert abs(sum(x["taken"] for x in mine) - mine[0]["target"]) <= 4
@@ -495,6 +714,24 @@ def test_apportionment_is_sainte_lague(spark):
             assert [got[i] for i in range(len(votes))] == have
 
 
+@pytest.mark.parametrize("votes,seats", [([10_000] + [1000] * 50, 60), ([800.0] + [1.2] * 1000, 2000), ([1000.0] + [0.8] * 1000, 1800), ([300.49] + [1.0036] * 700, 1003), ([5] * 9, 4), ([0, 0, 3], 7)])
+def test_apportionment_with_many_small_parties(spark, votes, seats):
+    df = spark.createDataFrame([(i, float(v), seats) for i, v in enumerate(votes)], "p long, v double, s long")
+    got = {x["p"]: x["out"] for x in mixing.apportion(df, [], "p", "v", "s", "out").collect()}
+    have = [0] * len(votes)
+    for _ in range(seats):
+        have[max(range(len(votes)), key=lambda i: (votes[i] / (2 * have[i] + 1), -i))] += 1
+    assert [got[i] for i in range(len(votes))] == have
+
+
+def test_numbering_is_global(spark):
+    r = random.Random(1)
+    rows = [(r.randrange(50), r.choice(["a", "b", None])) for _ in range(300)]
+    df = spark.createDataFrame(rows, "x int, s string").repartition(7)
+    got = [(r["x"], r["s"]) for r in sorted(mixing.numbered(df, [mixing.F.col("s").asc_nulls_last(), mixing.F.col("x")], "n").collect(), key=lambda r: r["n"])]
+    assert got == sorted(rows, key=lambda t: (t[1] is None, t[1] or "", t[0]))
+
+
 def test_words_equal_pattern():
     texts = ["a b c", None, "", " x\ty\x0bz ", "É é", "end"]
     w = Words(pa.array(texts))

@@ -1,40 +1,50 @@
 """Near duplicates: one-permutation hashing with optimal densification, banded buckets, star-shaped candidate edges.
 
-Texts are sets of distinct word shingles (A-Z lower-cased). Texts with fewer words than a shingle are one shingle;
-texts without words have an empty set and link with nothing. Rows that share a doc_id are one document: they share a
-component. A null doc_id counts as the smallest possible one while linking and stays null in the result. Empty
-tables give empty results; further columns are left out.
+Texts are sets of distinct word shingles (A-Z lower-cased), compared as sets of their 64-bit hashes. Texts with fewer
+words than a shingle are one shingle; texts without words have an empty set and link with nothing. Rows that share a
+doc_id are one document: they share a component, whatever their texts. A null doc_id counts as the smallest possible one
+while linking and stays null in the result; such rows are documents of their own. Empty tables give empty results;
+further columns are left out.
 
 Texts with equal sets form a class first, so a group of exact copies costs one node however large it is. Candidate
-edges of a bucket lead from its centre to the others. Candidates that counts of shingles by class
-prove unlike are left out; every other one is confirmed on full sets. Buckets whose
-members then lie in several components get further centres: each round takes twice as many as the one before, of as
-many components, large and small ones alike, until a round finds no link. That proves nothing about texts that were
-never a centre, so the members of buckets that still hold several components go through an exact prefix-filter join,
-which finds every link between different components among them.
+edges of a bucket lead from its centre to the others; the centre follows an order that all buckets share, so buckets with
+the same members give the same edges. Candidates that counts of shingles by class prove unlike are left out; every
+other one is confirmed on full sets. Buckets whose members then lie in several components get another centre in a
+second round. A star shows nothing about two texts that were never its centre, so the members of buckets that still
+hold several components go through an exact prefix-filter join, which finds every link between different components
+among them. What remains is a pair that shares no bucket, with a probability under MISS by the choice of bands.
+
+No bucket is held in one task: a bucket with more than one ten-thousandth of all members is dealt by member, which is
+at most 10,000 buckets, and its centre is copied to the parts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._text import SLICE_BYTES, Words, cut, mix, slices
+from ..shared import cut
+from ._text import SLICE_BYTES, Words, mix, slices
 
 BINS = 256
 NO_ID = -(2**63)
-#: Document ids that are broadcast to fetch their sets; more are joined by shuffle.
-BROADCAST_IDS = 2_000_000
+#: Nodes (about 60 bytes each) that are broadcast to fetch their texts; more are joined by shuffle.
+BROADCAST_NODES = 500_000
 #: Classes by low hash bits whose shingles are counted per text.
 CLASSES = 64
 #: Members of a centre that one copy of the centre's set serves.
 FAN = 500
+#: Most probability that a pair at the threshold shares no bucket.
+MISS = 3e-6
+#: Star rounds before the exact join.
+ROUNDS = 2
+#: Members from which a bucket may be dealt by member; beyond it, one ten-thousandth of all members.
+HOT = 1000
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -92,8 +102,21 @@ def band_keys(signs: np.ndarray, bands: int, depth: int) -> np.ndarray:
     return mix(keys)
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, depth): the deepest bands of all bins that keep a pair at the threshold with probability 1 - MISS."""
+    for depth in range(16, 1, -1):
+        bands = BINS // depth
+        if (1 - (percent / 100) ** depth) ** bands <= MISS:
+            return bands, depth
+    return BINS, 1
+
+
+def _set_name(values: bytes) -> bytes:
+    return xxhash.xxh3_128_digest(values)
+
+
 def sketches(docs: DataFrame, width: int, bands: int, depth: int) -> DataFrame:
-    """(doc_id, n_shingles, set_id, bands): set_id is a 128-bit hash of the whole sorted set."""
+    """(doc_id, mark, n_shingles, set_id, bands): set_id is a 128-bit hash of the whole sorted set, mark one of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE_BYTES):
@@ -102,46 +125,76 @@ def sketches(docs: DataFrame, width: int, bands: int, depth: int) -> DataFrame:
             size = np.bincount(owner, minlength=n)
             at = np.concatenate([[0], np.cumsum(size)])
             raw = value.tobytes()
-            names = [xxhash.xxh3_128_digest(raw[8 * at[i] : 8 * at[i + 1]]) for i in range(n)]
+            names = [_set_name(raw[8 * at[i] : 8 * at[i + 1]]) for i in range(n)]
             lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size, pa.int64()), pa.array(names, pa.binary()), lists], names=["doc_id", "n_shingles", "set_id", "bands"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("mark"), pa.array(size, pa.int64()), pa.array(names, pa.binary()), lists], names=["doc_id", "mark", "n_shingles", "set_id", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, set_id binary, bands array<long>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+    return rows.mapInArrow(run, "doc_id long, mark long, n_shingles long, set_id binary, bands array<long>")
 
 
-def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(node, n, shingles, counts) of the documents in ``ids`` (node); counts: shingles in each of CLASSES classes."""
+def full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, n, shingles, counts) of ``nodes`` (node, set_id, id, mark: a row that has the set); counts: shingles in
+    each of CLASSES classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE_BYTES):
             owner, value, n = shingle_sets(part.column("text"), width)
             size = np.bincount(owner, minlength=n)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(value.view(np.int64)))
+            at = np.concatenate([[0], np.cumsum(size)])
+            raw, wanted = value.tobytes(), part.column("set_id").to_pylist()
+            mine = pa.array([_set_name(raw[8 * at[i] : 8 * at[i + 1]]) == wanted[i] for i in range(n)])
+            lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(value.view(np.int64)))
             classes = np.bincount(owner * CLASSES + (value & np.uint64(CLASSES - 1)).astype(np.int64), minlength=n * CLASSES)
             counts = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * CLASSES, pa.int32()), pa.array(classes, pa.int32()))
-            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(size, pa.int64()), lists, counts], names=["node", "n", "shingles", "counts"])
+            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(size, pa.int64()), lists, counts], names=["node", "n", "shingles", "counts"]).filter(mine)
 
-    wanted = ids.select("node").distinct()
-    if ids.count() <= BROADCAST_IDS:
+    wanted, n = nodes.select("node", "set_id", "id", "mark"), nodes.count()
+    if n <= BROADCAST_NODES:
         wanted = F.broadcast(wanted)
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("node"), "text").join(wanted, "node", "left_semi")
-    return rows.mapInArrow(run, "node long, n long, shingles array<long>, counts array<int>")
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("mark"), "text")
+    found = cut(rows.join(wanted, ["id", "mark"]).select("node", "set_id", "text").mapInArrow(run, "node long, n long, shingles array<long>, counts array<int>"))
+    return found if found.count() == n else cut(found.dropDuplicates(["node"]))  # repeated rows
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union.
+def _hot(pairs: DataFrame, side: str, total: int) -> DataFrame:
+    """(side, parts) of nodes that more than one ten-thousandth of the pairs have, at most 10,000 nodes."""
+    most = max(FAN, total // 10_000)
+    return F.broadcast(pairs.groupBy(side).agg(F.count("*").alias("c")).filter(F.col("c") > most).select(side, F.ceil(F.col("c") / most).cast("int").alias("parts")))
 
-    A centre's set is copied once for every FAN members, and members are dealt over the copies, so that a centre
-    with a third of all rows is spread like the rest.
+
+def _with_sets(pairs: DataFrame, known: DataFrame, fields: list[str]) -> DataFrame:
+    """(written) ``pairs`` (a, b) with the ``fields`` of both nodes, suffixed a and b.
+
+    A node of very many pairs, such as a centre with a third of all rows, is copied, and its pairs are dealt over the
+    copies by their other node.
     """
-    fans = pairs.groupBy("a").agg(F.ceil(F.count("*") / FAN).alias("fans"))
-    dealt = pairs.join(fans, "a").withColumn("fan", F.pmod(F.xxhash64("b"), F.col("fans"))).select("a", "b", "fan")
-    copies = sets.join(fans, sets["node"] == fans["a"]).select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("fans") - 1)).alias("fan"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
-    others = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-    both = dealt.join(others, "b").join(copies, ["a", "fan"])
-    fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    common = F.size(F.array_intersect("sa", "sb"))
-    return both.filter(fits).filter(common * 100 >= (F.col("na") + F.col("nb") - common) * percent).select("a", "b").distinct()
+    out, total = pairs, pairs.count()
+    for side, other in (("a", "b"), ("b", "a")):
+        hot = _hot(pairs, side, total)
+        named = known.select(F.col("node").alias(side), *[F.col(f).alias(f + side) for f in fields])
+        copies = named.join(hot, side, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+        dealt = out.join(hot, side, "left").withColumn("_part", F.pmod(F.xxhash64(other), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+        out = dealt.join(copies, [side, "_part"]).drop("_part")
+    return out
+
+
+def _alike_sizes(n: str, m: str, percent: int) -> Column:
+    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+
+
+def able(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) without those that sizes or class counts prove unlike: two sets share at most the lesser count of
+    each class."""
+    most = F.aggregate(F.zip_with("countsa", "countsb", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda total, x: total + x)
+    fits = F.when(_alike_sizes("na", "nb", percent), most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent).otherwise(False)
+    return _with_sets(pairs, known, ["n", "counts"]).filter(fits).select("a", "b")
+
+
+def confirm(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with 100 * intersection >= percent * union."""
+    common = F.size(F.array_intersect("shinglesa", "shinglesb"))
+    return _with_sets(pairs, known, ["n", "shingles"]).filter(common * 100 >= (F.col("na") + F.col("nb") - common) * percent).select("a", "b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -159,54 +212,46 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _merge(labels: DataFrame, good: DataFrame) -> DataFrame:
-    """``labels`` (node, label) with the components that ``good`` (a, b) links made one. Only labels that a new link
-    touches are spread over, so a late round with few links costs little."""
+def _merge(labels: DataFrame | None, good: DataFrame) -> DataFrame:
+    """``labels`` (node, label) of all nodes that have a link, with the components that ``good`` (a, b) links made one.
+    Only labels that a new link touches are spread over, so a late round with few links costs little."""
+    if labels is None:
+        return components(good)
     of_a, of_b = labels.toDF("a", "la"), labels.toDF("b", "lb")
-    ends = good.join(of_a, "a").join(of_b, "b").select(F.col("la").alias("a"), F.col("lb").alias("b")).filter("a <> b").distinct()
-    above = components(ends).toDF("label", "above")
-    return cut(labels.join(above, "label", "left").select("node", F.coalesce("above", "label").alias("label")))
-
-
-def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """``members`` (band, key, node, n), labelled, of buckets whose members lie in several components. The others
-    stay in one component, so later rounds needn't read them."""
-    placed = members.select("band", "key", "node", "n", "counts").join(labels, "node")
-    mixed = placed.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-    return cut(placed.join(mixed.select("band", "key"), ["band", "key"]))
-
-
-def _can_link(percent: int) -> Column:
-    """Whether sets with sizes n and na and class counts counts and ca can reach ``percent``: they share at most the
-    lesser count of each class. Exact: pairs that fail it don't link."""
-    size = F.least("n", "na") * 100 >= F.greatest("n", "na") * percent
-    most = F.aggregate(F.zip_with("counts", "ca", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda total, x: total + x)
-    return F.when(size, most * (100 + percent) >= (F.col("n") + F.col("na")) * percent).otherwise(False)
-
-
-def _centres(open_: DataFrame, step: int) -> DataFrame:
-    """(band, key, a, na, ca, la): centres of open buckets. At first one each, by a mark that all buckets share; then
-    2^(step-1), each of another component."""
-    if step == 0:
-        first = F.min(F.struct(F.xxhash64("node").alias("mark"), "node", "n", "counts", "label")).alias("c")
-        chosen = open_.groupBy("band", "key").agg(first)
-    else:
-        mark = F.xxhash64(F.lit(step), "band", "node").alias("mark")
-        one = open_.groupBy("band", "key", "label").agg(F.min(F.struct(mark, "node", "n", "counts", "label")).alias("c"))
-        order = Window.partitionBy("band", "key").orderBy("c.mark", "c.node")
-        chosen = one.drop("label").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= 2 ** (step - 1))
-    return chosen.select("band", "key", F.col("c.node").alias("a"), F.col("c.n").alias("na"), F.col("c.counts").alias("ca"), F.col("c.label").alias("la"))
-
-
-def _prefix_pairs(open_: DataFrame, labels: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """(a, b): every pair of members of open buckets, of different components, that may reach ``percent``. Exact: with
-    shingles by rising frequency (then value), two sets that link share one of the first n - ceil(percent * n) + 1 of
-    each, and from the first shared one on both hold enough.
+    ends = good.join(of_a, "a", "left").join(of_b, "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).filter("a <> b").distinct()
+    above = components(ends)
+    moved = labels.join(above.toDF("label", "above"), "label", "left").select("node", F.coalesce("above", "label").alias("label"))
+    return cut(moved.unionByName(above.join(labels.select("node"), "node", "left_anti")))
+
+
+def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``members`` with their node's component (label)."""
+    if labels is None:
+        return members.withColumn("label", F.col("node"))
+    return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _open_buckets(members: DataFrame, step: int) -> DataFrame:
+    """(bucket, salt, a, na, la): a centre for each bucket whose (labelled) members lie in several components, once for
+    each part of a hot bucket. Round ``step`` has its own order of centres."""
+    centre = F.min(F.struct(F.xxhash64(F.lit(step), "node").alias("mark"), "node", "n", "label")).alias("c")
+    one = members.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("parts").alias("parts"), centre).filter("lo <> hi")
+    return one.select("bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.col("c.node").alias("a"), F.col("c.n").alias("na"), F.col("c.label").alias("la"))
+
+
+def _prefix_pairs(open_: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """(a, b): every pair of the nodes ``open_`` (node, label), of different labels, that may reach ``percent``.
+
+    Exact: order each set by rising frequency of its shingles, then value. If two sets link, the first shingle they share
+    is among the first n - ceil(percent * n) + 1 of the larger one, which probes, and among the first
+    n - ceil(2 * percent / (100 + percent) * n) + 1 of the smaller one, which is indexed, since no larger set can share
+    fewer with it; from there on both hold enough. A group of texts just under the threshold has its common shingles
+    behind these prefixes, so they don't meet there.
 
     A shingle's rows of its largest component meet only those of others, and the rows of a frequent shingle are dealt
     over copies of FAN rows.
     """
-    nodes = cut(open_.select("node").distinct().join(labels, "node").join(known, "node").select("node", "label", "n", "shingles"))
+    nodes = cut(open_.join(known.select("node", "n", "shingles"), "node"))
     each = nodes.select("node", "label", F.explode("shingles").alias("s"))
     per = each.groupBy("s", "label").agg(F.count("*").alias("c")).groupBy("s")
     often = cut(per.agg(F.sum("c").alias("often"), F.max_by("label", F.struct("c", "label")).alias("major"), F.count("*").alias("kinds")).filter("often > 1"))
@@ -216,63 +261,112 @@ def _prefix_pairs(open_: DataFrame, labels: DataFrame, known: DataFrame, percent
     alone = F.col("n") - F.size("order")
     length = F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - alone).cast("int")
     rows = shared.select("node", "label", "n", alone.alias("alone"), F.posexplode(F.slice("order", F.lit(1), length)).alias("at", "o")).filter("o.kinds > 1")
-    rows = cut(rows.select("node", "label", "n", (F.col("alone") + F.col("at")).alias("at"), "o.s", "o.major", F.ceil(F.col("o.often") / FAN).alias("fans")))
-    left = rows.filter("label <> major").select("s", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("at").alias("ata"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("fans") - 1)).alias("fan"))
-    right = rows.select("s", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("at").alias("atb"), (F.col("label") == F.col("major")).alias("most"), F.pmod(F.xxhash64("node"), F.col("fans")).alias("fan"))
-    rest = F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))
-    fits = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (rest * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)
-    found = left.join(right, ["s", "fan"]).filter((F.col("la") != F.col("lb")) & (F.col("most") | (F.col("a") < F.col("b"))) & fits)
-    pairs = found.select("a", "b").distinct()
-    of_a = known.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("counts").alias("ca"))
-    of_b = known.select(F.col("node").alias("b"), "n", "counts")
-    return pairs.join(of_a, "a").join(of_b, "b").filter(_can_link(percent)).select("a", "b")
-
-
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, bands: int = 36, depth: int = 7) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``.
-
-    36 bands of 7 bins: two texts with similarity 0.85 miss all buckets with probability 1e-6, more alike ones less.
-    """
-    rows = cut(sketches(docs, width, bands, depth))
-    nodes = rows.filter("n_shingles > 0").groupBy("set_id").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("node"), F.min("n_shingles").alias("n"), F.min("bands").alias("bands"))
-    nodes = cut(nodes)
-    banded = nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
-    shared = banded.groupBy("band", "key").agg(F.count("*").alias("c")).filter("c > 1").select("band", "key")
-    members = cut(banded.join(shared, ["band", "key"]))
-    labels = cut(members.select("node").distinct().withColumn("label", F.col("node")))
-    known = cut(full_sets(docs, labels, width))
-    open_, tested = members.join(known.select("node", "counts"), "node"), None
-    for step in count():
-        open_ = _open_buckets(open_, labels)
-        pairs = open_.join(_centres(open_, step), ["band", "key"]).filter("label <> la").filter(_can_link(percent))
-        pairs = pairs.select("a", F.col("node").alias("b")).distinct()
+    rest = F.col("n") - F.col("alone") - F.col("at")
+    rows = rows.select("node", "label", "n", rest.alias("rest"), "o.s", (F.col("label") == F.col("o.major")).alias("most"), F.ceil(F.col("o.often") / FAN).alias("fans"))
+    rows = cut(rows.withColumn("index", F.col("rest") * (100 + percent) >= 2 * F.col("n") * percent))
+    copied = F.explode(F.sequence(F.lit(0).cast("long"), F.col("fans") - 1))
+    part = F.pmod(F.xxhash64("node"), F.col("fans"))
+
+    def side(df: DataFrame, name: str, fan: Column) -> DataFrame:
+        return df.select("s", F.col("node").alias(name), F.col("label").alias(f"l{name}"), F.col("n").alias(f"n{name}"), F.col("rest").alias(f"r{name}"), fan.alias("fan"))
+
+    larger = (F.col("na") > F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") > F.col("b")))
+    enough = _alike_sizes("na", "nb", percent) & (F.least("ra", "rb") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)
+    index = rows.filter("index")
+    one = side(rows.filter("not most"), "a", copied).join(side(index, "b", part), ["s", "fan"])
+    two = side(rows.filter("most"), "a", part).join(side(index.filter("not most"), "b", copied), ["s", "fan"])
+    return one.unionByName(two).filter((F.col("la") != F.col("lb")) & larger & enough).select("a", "b").distinct()
+
+
+def _buckets(nodes: DataFrame) -> DataFrame:
+    """(bucket, salt, parts, node, n) of the buckets with several nodes; members of hot ones are dealt over parts."""
+    banded = nodes.select("node", "n", F.posexplode("bands").alias("band", "key")).select("node", "n", F.xxhash64("band", "key").alias("bucket"))
+    sizes = cut(banded.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1"))
+    total = sizes.agg(F.sum("c")).first()[0] or 0
+    most = max(HOT, total // 10_000)  # at most 10,000 buckets hold more
+    hot = F.broadcast(sizes.filter(F.col("c") > most).select("bucket", F.ceil(F.col("c") / most).cast("int").alias("parts")))
+    dealt = banded.join(hot, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("salt", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    listed = sizes.select("bucket", F.explode(F.sequence(F.lit(0), F.when(F.col("c") > most, F.ceil(F.col("c") / most)).otherwise(1).cast("int") - 1)).alias("salt"))
+    return dealt.join(listed, ["bucket", "salt"], "left_semi")
+
+
+def _same_id(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b): links between the different sets that rows with one (not null) doc_id have."""
+    mine = rows.filter("doc_id is not null and n_shingles > 0")
+    several = mine.groupBy("doc_id").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).filter("lo <> hi").select("doc_id")
+    named = mine.join(several, "doc_id").select("doc_id", "set_id").distinct().join(nodes.select("set_id", "node"), "set_id")
+    return named.join(named.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
+
+
+def links(docs: DataFrame, rows: DataFrame, nodes: DataFrame, width: int, percent: int, rounds: int) -> DataFrame | None:
+    """(node, label): components of the nodes that have a link; None if there is no link."""
+    good = cut(_same_id(rows, nodes))
+    labels = None if good.isEmpty() else _merge(None, good)
+    open_ = cut(_buckets(nodes))
+    met = nodes.join(open_.select("node").distinct(), "node", "left_semi")
+    known, tested = full_sets(docs, met, width), None
+    for step in range(rounds + 1):
+        placed = _labelled(open_, labels)
+        centres = _open_buckets(placed, step)
+        joined = cut(placed.join(centres, ["bucket", "salt"]))
+        if joined.isEmpty():
+            return labels
+        if step == rounds:
+            pairs = _prefix_pairs(joined.select("node", "label").distinct(), known, percent)
+        else:
+            pairs = joined.filter("label <> la").filter(_alike_sizes("n", "na", percent)).select("a", F.col("node").alias("b")).distinct()
+            open_ = joined.select("bucket", "salt", "parts", "node", "n")
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
+            pairs = pairs.join(tested, (F.least("a", "b") == tested["lo"]) & (F.greatest("a", "b") == tested["hi"]), "left_anti")
+        pairs = cut(able(cut(pairs.select("a", "b")), known, percent))
         if pairs.isEmpty():
-            if step:
-                break
             continue
+        done = pairs.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+        tested = done if tested is None else tested.unionByName(done)
         good = cut(confirm(pairs, known, percent))
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if good.isEmpty():
-            if step:
-                break
-            continue
-        labels = _merge(labels, good)
-    open_ = _open_buckets(open_, labels)
-    pairs = cut(_prefix_pairs(open_, labels, known, percent).join(tested, ["a", "b"], "left_anti") if tested is not None else _prefix_pairs(open_, labels, known, percent))
-    if not pairs.isEmpty():
-        labels = _merge(labels, cut(confirm(pairs, known, percent)))
-    named = rows.join(nodes.select("set_id", "node"), "set_id", "left")
-    named = named.join(labels, "node", "left")
-    component = F.coalesce("label", "node", "doc_id")
-    named = named.withColumn("component_id", F.when(component != NO_ID, component))
+        if not good.isEmpty():
+            labels = _merge(labels, good)
+    return labels
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, bands: int | None = None, depth: int | None = None, rounds: int = ROUNDS) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``.
+
+    At 85 percent there are 36 bands of 7 bins: two texts at the threshold share no bucket with probability 1e-6, more
+    alike ones with less. ``rounds`` of stars change the cost, not the result.
+    """
+    if bands is None or depth is None:
+        bands, depth = banding(percent)
+    rows = cut(sketches(docs, width, bands, depth))
+    ident = F.coalesce("doc_id", F.lit(NO_ID))
+    sets = rows.filter("n_shingles > 0").groupBy("set_id").agg(F.min(F.struct(ident.alias("id"), "mark")).alias("r"), F.min("n_shingles").alias("n"), F.min("bands").alias("bands"))
+    # Numbers are given once and kept in the written table.
+    nodes = cut(sets.select(F.monotonically_increasing_id().alias("node"), "set_id", "n", "bands", "r.id", "r.mark"))
+    labels = links(docs, rows, nodes.select("node", "set_id", "n", "bands", "id", "mark"), width, percent, rounds)
+    least = nodes.select("set_id", "node", F.col("id").alias("least"))
+    if labels is not None:
+        tied = cut(least.join(labels, "node"))
+        lowest = tied.groupBy("label").agg(F.min("least").alias("low"))
+        least = least.join(tied.join(lowest, "label").select("node", "low"), "node", "left").select("set_id", F.coalesce("low", "least").alias("least"))
+    named = rows.select("doc_id", "n_shingles", "set_id").join(least.select("set_id", "least"), "set_id", "left").withColumn("least", F.coalesce("least", "doc_id"))
+    # Rows of one doc_id with and without words share the component too.
+    mixed = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.count_if(F.col("n_shingles") == 0).alias("empty"), F.count("*").alias("all")).filter("empty > 0 AND empty < all").select("doc_id")
+    mixed = cut(mixed)
+    if not mixed.isEmpty():
+        shared = named.join(mixed, "doc_id").groupBy("doc_id").agg(F.min("least").alias("all"))
+        named = named.join(shared, "doc_id", "left").withColumn("least", F.coalesce("all", "least"))
+    named = named.withColumn("component_id", F.when(F.col("least") != NO_ID, F.col("least")))
     return named.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group; of repeated rows with one doc_id, one. A null doc_id stays."""
-    kept = near_duplicates(docs, percent=percent).filter("kept").select("doc_id").distinct()
-    chosen = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return chosen.unionByName(docs.filter("doc_id is null"))
+    """``docs`` with one document of each group: that with the smallest doc_id. Of its repeated rows one of each text
+    stays (the least by its other columns). Rows with a null doc_id stay."""
+    found = cut(near_duplicates(docs, percent=percent).filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_rows"), F.max("kept").alias("_kept")))
+    chosen = docs.join(found.filter("_rows > 1 OR NOT _kept").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    repeated = found.filter("_rows > 1 AND _kept").select("doc_id")
+    if repeated.isEmpty():
+        return chosen
+    mine, others = docs.join(repeated, "doc_id", "left_semi"), [c for c in docs.columns if c not in ("doc_id", "text")]
+    least = mine.groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0), *others)).alias("_o"))
+    return chosen.unionByName(least.select("doc_id", "text", *[F.col("_o").getField(c).alias(c) for c in others]).select(docs.columns))
