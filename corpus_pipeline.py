@@ -7,12 +7,11 @@ of documents. Null and empty texts have no language and go in the first stage; a
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from wirelens.llm import decontaminate, langid, mixing, neardup, pii
-from wirelens.llm._text import shared_dir, table
+from wirelens.llm._text import table
+from wirelens.shared import new_path
 
 #: A language is rejected where the runner-up is smaller than this share above the winner.
 LEAST_MARGIN = 0.001
@@ -62,7 +61,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
-            path = f"{shared_dir(spark).rstrip('/')}/pipeline-{name}-{uuid.uuid4().hex}"
+            path = new_path(spark, f"pipeline-{name}")
             docs.write.parquet(path)
             docs = spark.read.parquet(path)
     return docs
