@@ -449,19 +449,67 @@ def test_maxent_base_is_exact(spark, monkeypatch):
     assert maxent.scores(docs.limit(0), queries.held_out(7, 2)).count() == 0
 
 
-def test_maxent_normalises_and_learns():
-    """Class probabilities sum to 1; words of a class and one unseen word too; the model beats the base."""
-    m = maxent.Model()
-    m.weights = [np.random.default_rng(i).normal(size=t.shape).astype(np.float32) for i, t in enumerate(m.weights)]
-    s = maxent.Sequence(pa.array(["a b c", "", None]))
-    assert np.allclose(np.exp(m.log_classes(s.features())).sum(axis=1), 1, atol=1e-5)
-    assert len(s.keys) == 6 and s.classes[3] == maxent.CLASSES - 1
-
-
-def test_maxent_beats_base(spark, sf):
+def test_maxent_scores_are_normalised_probabilities(spark):
+    """Scores restated token by token from the model's weights; the probabilities of all training words and of an unseen
+    word of each last class sum to 1 after any history."""
+    texts = [*[prose(i, 60, 30) for i in range(25)], None, "", "a never seen word", "A b\tC a b"]
+    docs = frame(spark, texts)
+    apart = queries.held_out(7, 2)
+    model = maxent.train(docs.filter(~apart))[0].model
+    got = {r["doc_id"]: r["score"] for r in maxent.scores(docs, apart).collect()}
+    vocabulary = maxent.Sequence(pa.array([t for i, t in enumerate(texts) if crc32(str(i).encode()) % 7 != 2]))
+    keys, counts = np.unique(vocabulary.keys, return_counts=True)
+    leaf_tokens, leaf_words = np.zeros(maxent.LEAVES), np.zeros(maxent.LEAVES)
+    np.add.at(leaf_tokens, (keys & maxent._CODE).astype(int), counts)
+    np.add.at(leaf_words, (keys & maxent._CODE).astype(int), 1)
+    count = dict(zip(keys.tolist(), counts.tolist()))
+
+    def log10_leaf(history, code):
+        out = 0.0
+        for level in range(maxent.LEVELS):
+            above, mine = code >> 4 * (maxent.LEVELS - level), code >> 4 * (maxent.LEVELS - 1 - level) & 15
+            inside = (leaf_tokens + leaf_words + maxent.UNSEEN).reshape(16**level, 16, -1)[above].sum(axis=1)
+            s = np.log(inside / inside.sum())
+            for x in model.places([np.array([h]) for h in history], np.array([above]), level):
+                s = s + model.weights[int(x[0])]
+            out += s[mine] - np.log(np.exp(s).sum())
+        return out / np.log(10)
+
+    for i in (0, 4, 25, 26, 27, 28):
+        seq = maxent.Sequence(pa.array([texts[i]]))
+        history = list(zip(*seq.features()))
+        want = 0.0
+        for h, key in zip(history, seq.keys.tolist()):
+            code = key & 0xFFFF
+            want += log10_leaf(h, code) + log10((count[key] + 1 if key in count else maxent.UNSEEN) / (leaf_tokens[code] + leaf_words[code] + maxent.UNSEEN))
+        assert got[i] == pytest.approx(want, rel=1e-5)
+    codes = np.arange(maxent.LEAVES)
+    inside = np.zeros(maxent.LEAVES)
+    for key, n in count.items():
+        inside[key & 0xFFFF] += (n + 1) / (leaf_tokens[key & 0xFFFF] + leaf_words[key & 0xFFFF] + maxent.UNSEEN)
+    inside += maxent.UNSEEN / (leaf_tokens + leaf_words + maxent.UNSEEN)
+    assert np.allclose(inside, 1)
+    for h in history[:3]:
+        leaf = 10 ** model.log10_classes([np.full(len(codes), x, np.uint64) for x in h], codes)
+        assert leaf.sum() == pytest.approx(1, abs=1e-4) and (leaf * inside).sum() == pytest.approx(1, abs=1e-4)
+    assert np.abs(model.weights).max() > 0.1
+
+
+def test_maxent_sums_as_a_tree(spark):
+    n = 3 * maxent.CHUNK
+    rows = [(p, c, bytearray(np.full(maxent.CHUNK, p + c, np.float32).tobytes())) for p in range(10) for c in range(3)]
+    got = maxent.total(spark.createDataFrame(rows, maxent.SUMS), n, fan=2)
+    assert got.reshape(3, -1).mean(axis=1).tolist() == [45.0, 55.0, 65.0] and got.std() > 0
+
+
+def test_maxent_learns_from_history(spark, sf):
+    """On held-out text the model beats the base, and more rounds beat fewer."""
     docs = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet")
-    got = maxent.scores(docs, queries.held_out(7, 2)).filter("held_out").agg({"score": "sum", "base_score": "sum"}).first()
-    assert got["sum(score)"] > got["sum(base_score)"]
+    result = []
+    for rounds in (1, 3):
+        got = maxent.scores(docs, queries.held_out(7, 2), rounds).filter("held_out").agg({"score": "sum", "base_score": "sum", "n_tokens": "sum"}).first()
+        result.append((got["sum(score)"] - got["sum(base_score)"]) / got["sum(n_tokens)"])
+    assert result[0] < result[1] and result[1] > 0.02
 
 
 def components_by_force(texts, percent, width=5):
