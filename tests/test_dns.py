@@ -17,10 +17,10 @@ from wirelens.sources import capture, reference
 from wirelens.streaming import jobs
 
 NAMES = [
-    ("sidn.nl.", "sidn.nl", None, "nl", 2), ("%%%.sidn.nl.", "sidn.nl", "%%%", "nl", 3), ("*.nl.", "*.nl", None, "nl", 2), ("*.sidn.nl.", "sidn.nl", "*", "nl", 3), ("test.www.sidn.nl.", "sidn.nl", "test.www", "nl", 4),
-    ("test.blogspot.co.uk.", "blogspot.co.uk", "test", "co.uk", 4), ("www.nzrs.co.nz.", "nzrs.co.nz", "www", "co.nz", 4), ("_gc._tcp.bpw.net.nz.", "bpw.net.nz", "_gc._tcp", "net.nz", 5), ("email.test@example.com.", "test@example.com", "email", "com", 3),
-    ("test .sidn.nl.", "sidn.nl", "test", "nl", 3), ("➊➋➌192.168.51.52.palazzodesign.co.nz.", "palazzodesign.co.nz", "???192.168.51.52", "co.nz", 7), ("nl.", None, None, "nl", 1), (".nl.", None, None, "nl", 1), ("co.nz.", None, None, "co.nz", 2),
-    (".", None, None, None, 0), ("", None, None, None, 0), (None, None, None, None, None), ("xxx.doesnotexists.", "xxx.doesnotexists", None, "doesnotexists", 2), ("WWW.Test.sidn.co.uk.", "sidn.co.uk", "www.test", "co.uk", 5), ("a..b.nl..", "b.nl", "a.", "nl", 4),
+    ("zone.nl.", "zone.nl", None, "nl", 2), ("%%%.zone.nl.", "zone.nl", "%%%", "nl", 3), ("*.nl.", "*.nl", None, "nl", 2), ("*.zone.nl.", "zone.nl", "*", "nl", 3), ("test.www.zone.nl.", "zone.nl", "test.www", "nl", 4),
+    ("test.blogspot.co.uk.", "blogspot.co.uk", "test", "co.uk", 4), ("www.acme.co.nz.", "acme.co.nz", "www", "co.nz", 4), ("_gc._tcp.host.net.nz.", "host.net.nz", "_gc._tcp", "net.nz", 5), ("email.test@example.com.", "test@example.com", "email", "com", 3),
+    ("test .zone.nl.", "zone.nl", "test", "nl", 3), ("➊➋➌192.168.51.52.studio.co.nz.", "studio.co.nz", "???192.168.51.52", "co.nz", 7), ("nl.", None, None, "nl", 1), (".nl.", None, None, "nl", 1), ("co.nz.", None, None, "co.nz", 2),
+    (".", None, None, None, 0), ("", None, None, None, 0), (None, None, None, None, None), ("xxx.doesnotexists.", "xxx.doesnotexists", None, "doesnotexists", 2), ("WWW.Test.zone.co.uk.", "zone.co.uk", "www.test", "co.uk", 5), ("a..b.nl..", "b.nl", "a.", "nl", 4),
 ]
 
 
@@ -34,9 +34,9 @@ def test_name_table(spark):
 
 def test_hot_rules_and_standard(spark):
     rules = names.suffix_rules(spark.createDataFrame([("nl",), ("co.nl",), ("// x",), ("",), ("aw",), ("co.aw",)], "value string"), hot=("nl", "aw"))
-    df = spark.createDataFrame([(n,) for n in ("lab1.lab2.sidn.nl", " www. sidn .nl ", "domain.co.nl", "domain.co.aw", "nl")], "qname string")
+    df = spark.createDataFrame([(n,) for n in ("lab1.lab2.zone.nl", " www. zone .nl ", "domain.co.nl", "domain.co.aw", "nl")], "qname string")
     got = {r["qname"]: (r["domain"], r["subdomain"]) for r in names.domain_parts(df, rules).collect()}
-    assert got == {"lab1.lab2.sidn.nl": ("sidn.nl", "lab1.lab2"), " www. sidn .nl ": ("sidn.nl", "www"), "domain.co.nl": ("co.nl", "domain"), "domain.co.aw": ("co.aw", "domain"), "nl": (None, None)}
+    assert got == {"lab1.lab2.zone.nl": ("zone.nl", "lab1.lab2"), " www. zone .nl ": ("zone.nl", "www"), "domain.co.nl": ("co.nl", "domain"), "domain.co.aw": ("co.aw", "domain"), "nl": (None, None)}
     std = spark.createDataFrame([(n,) for n in ("a.b.ck", "x.www.ck", "a.city.kawasaki.jp", "a.b.kawasaki.jp", "pvt.k12.ma.us", "a.pvt.k12.ma.us", "foo.bar")], "qname string")
     out = {r["qname"]: r["tld"] for r in names.domain_parts_standard(std, Q.rules(spark)).collect()}
     assert out == {"a.b.ck": "b.ck", "x.www.ck": "ck", "a.city.kawasaki.jp": "kawasaki.jp", "a.b.kawasaki.jp": "b.kawasaki.jp", "pvt.k12.ma.us": "pvt.k12.ma.us", "a.pvt.k12.ma.us": "pvt.k12.ma.us", "foo.bar": "bar"}
@@ -125,7 +125,7 @@ def name_bytes(n):
     return b"".join(bytes([len(p)]) + p.encode() for p in n.rstrip(".").split(".")) + b"\0"
 
 
-def dns_message(ident=7, qr=0, name="www.sidn.nl", rcode=0, answers=(), edns=False):
+def dns_message(ident=7, qr=0, name="www.zone.nl", rcode=0, answers=(), edns=False):
     flags = qr << 15 | 1 << 8 | rcode
     m = struct.pack("!6H", ident, flags, 1, len(answers), 0, int(edns)) + name_bytes(name) + struct.pack("!HH", 1, 1)
     for kind, data in answers:
@@ -148,10 +148,10 @@ def pcap(frames):
 
 
 def test_captures_to_rows(spark, tmp_path):
-    ask = udp("10.0.0.9", "194.0.28.53", 4000, 53, dns_message(edns=True))
-    say = udp("194.0.28.53", "10.0.0.9", 53, 4000, dns_message(qr=1, rcode=3, answers=[(5, name_bytes("alias.nl")), (1, bytes([1, 2, 3, 4]))], edns=True))
+    ask = udp("10.0.0.9", "198.51.100.53", 4000, 53, dns_message(edns=True))
+    say = udp("198.51.100.53", "10.0.0.9", 53, 4000, dns_message(qr=1, rcode=3, answers=[(5, name_bytes("alias.nl")), (1, bytes([1, 2, 3, 4]))], edns=True))
     one, two = pcap([ask]), pcap([ask, say])
-    name = "x_ns1.dns.nl_ams-1.pcap"
+    name = "x_ns1.zone.nl_ams-1.pcap"
     (tmp_path / name).write_bytes(two)
     (tmp_path / f"{name}.gz").write_bytes(gzip.compress(two))
     (tmp_path / f"{name}.bz2").write_bytes(bz2.compress(two[:30]) + bz2.compress(two[30:]))
@@ -163,9 +163,9 @@ def test_captures_to_rows(spark, tmp_path):
     got = rows.build_dns(pairing.transactions(capture.flat_messages(decoded)), Q.rules(spark), o=rows.Options(rdata=True)).collect()
     assert len(got) == 4
     for r in got:
-        assert (r["dns_rcode"], r["dns_domainname"], r["server"], r["server_location"], r["edns_ecs"], r["edns_options"], r["edns_ext_error"], r["edns_udp"], r["edns_do"]) == (19, "sidn.nl", "ns1.dns.nl", "ams", "10.1.2.0/24", [8, 15], [22], 512, True)
+        assert (r["dns_rcode"], r["dns_domainname"], r["server"], r["server_location"], r["edns_ecs"], r["edns_options"], r["edns_ext_error"], r["edns_udp"], r["edns_do"]) == (19, "zone.nl", "ns1.zone.nl", "ams", "10.1.2.0/24", [8, 15], [22], 512, True)
         assert r["dns_cname"] == ["alias.nl."] and [tuple(x) for x in r["dns_rdata"]] == [(0, 5, "alias.nl."), (0, 1, "1.2.3.4")]
-        assert (r["ip_src"], r["ip_dst"], r["prot_src_port"]) == ("10.0.0.9", "194.0.28.53", 4000)
+        assert (r["ip_src"], r["ip_dst"], r["prot_src_port"]) == ("10.0.0.9", "198.51.100.53", 4000)
     assert sorted(r["dns_proc_time"] for r in got) == [0, 1, 1, 1]  # the xz file's second part starts its own clock
 
 

@@ -6,7 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Resource record types by number.
-RR_TYPES = {1: "A", 2: "NS", 5: "CNAME", 6: "SOA", 12: "PTR", 15: "MX", 16: "TXT", 28: "AAAA", 33: "SRV", 35: "NAPTR", 39: "DNAME", 41: "OPT", 43: "DS", 46: "RRSIG", 47: "NSEC", 48: "DNSKEY", 50: "NSEC3", 51: "NSEC3PARAM", 52: "TLSA", 59: "CDS", 60: "CDNSKEY", 64: "SVCB", 65: "HTTPS", 99: "SPF", 251: "IXFR", 252: "AXFR", 255: "ANY", 257: "CAA"}
+RR_TYPES = {
+    1: "A", 2: "NS", 3: "MD", 4: "MF", 5: "CNAME", 6: "SOA", 7: "MB", 8: "MG", 9: "MR", 10: "NULL", 11: "WKS", 12: "PTR", 13: "HINFO", 14: "MINFO", 15: "MX", 16: "TXT", 17: "RP", 18: "AFSDB", 19: "X25", 20: "ISDN",
+    21: "RT", 22: "NSAP", 23: "NSAP-PTR", 24: "SIG", 25: "KEY", 26: "PX", 27: "GPOS", 28: "AAAA", 29: "LOC", 30: "NXT", 31: "EID", 32: "NIMLOC", 33: "SRV", 34: "ATMA", 35: "NAPTR", 36: "KX", 37: "CERT", 38: "A6", 39: "DNAME", 40: "SINK",
+    41: "OPT", 42: "APL", 43: "DS", 44: "SSHFP", 45: "IPSECKEY", 46: "RRSIG", 47: "NSEC", 48: "DNSKEY", 49: "DHCID", 50: "NSEC3", 51: "NSEC3PARAM", 52: "TLSA", 53: "SMIMEA", 55: "HIP", 56: "NINFO", 57: "RKEY", 58: "TALINK", 59: "CDS", 60: "CDNSKEY",
+    61: "OPENPGPKEY", 62: "CSYNC", 63: "ZONEMD", 64: "SVCB", 65: "HTTPS", 99: "SPF", 100: "UINFO", 101: "UID", 102: "GID", 103: "UNSPEC", 104: "NID", 105: "L32", 106: "L64", 107: "LP", 108: "EUI48", 109: "EUI64",
+    249: "TKEY", 250: "TSIG", 251: "IXFR", 252: "AXFR", 253: "MAILB", 254: "MAILA", 255: "ANY", 256: "URI", 257: "CAA", 258: "AVC", 259: "DOA", 260: "AMTRELAY", 32768: "TA", 32769: "DLV",
+}
 #: Transfer queries, DNSSEC record types, option codes.
 TRANSFERS = (251, 252)
 DNSSEC_TYPES = (43, 46, 48)
@@ -47,14 +53,22 @@ def ipv4_number(address: str | Column) -> Column:
     return F.when(ok, F.aggregate(parts, F.lit(0).cast("long"), lambda t, p: t * 256 + p.cast("long")))
 
 
-def ipv4_net(number: Column, plen: Column) -> Column:
-    """Masked network number."""
-    return number - F.pmod(number, width(plen))
-
-
-def width(plen: Column) -> Column:
-    """Number of addresses of a version-4 network."""
-    return F.call_function("shiftleft", F.lit(1).cast("long"), F.lit(32) - plen)
+def ipv6_halves(address: str | Column) -> Column:
+    """struct(hi, lo) of a version-6 address, with '::' and a dotted version-4 tail allowed; null for any other text."""
+    a = F.lower(col(address))
+    tail = F.regexp_extract(a, r":([0-9]{1,3}(?:\.[0-9]{1,3}){3})$", 1)
+    four = ipv4_number(tail)
+    text = F.when(F.length(tail) > 0, F.concat(F.left(a, F.length(a) - F.length(tail)), F.format_string("%x:%x", F.shiftright(four, 16), four.bitwiseAND(0xFFFF)))).otherwise(a)
+    sides = F.split(text, "::")
+    none = F.array().cast("array<string>")
+    groups = lambda i: F.when(F.length(sides[i]) > 0, F.split(sides[i], ":")).otherwise(none)
+    zeros = F.lit(8) - F.size(groups(0)) - F.size(F.when(F.size(sides) == 2, groups(1)).otherwise(none))
+    whole = F.when(F.size(sides) == 1, groups(0)).when((F.size(sides) == 2) & (zeros > 0), F.concat(groups(0), F.array_repeat(F.lit("0"), zeros), F.when(F.size(sides) == 2, groups(1)).otherwise(none)))
+    digits = F.array_join(F.transform(whole, lambda g: F.lpad(g, 4, "0")), "")
+    word = lambda i: F.conv(F.substring(digits, 8 * i + 1, 8), 16, 10).cast("long")
+    half = lambda i: F.shiftleft(word(i), 32).bitwiseOR(word(i + 1))
+    ok = F.contains(a, F.lit(":")) & (F.size(whole) == 8) & F.forall(whole, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
+    return F.when(ok, F.struct(half(0).alias("hi"), half(2).alias("lo")))
 
 
 def is_v4(address: str | Column) -> Column:
@@ -77,8 +91,10 @@ def extended_rcode(raw: str | Column, extension: str | Column) -> Column:
 
 
 def type_name(number: str | Column) -> Column:
-    """Name of a record type; null for one that isn't listed."""
-    return F.element_at(F.create_map(*[F.lit(x) for kv in RR_TYPES.items() for x in kv]), col(number).cast("int"))
+    """Name of a record type; TYPE and the number for one without a name, null for null."""
+    n = col(number).cast("int")
+    named = F.try_element_at(F.create_map(*[F.lit(x) for kv in RR_TYPES.items() for x in kv]), n)
+    return F.coalesce(named, F.concat(F.lit("TYPE"), n.cast("string")))
 
 
 def time_bin(ts: str | Column, seconds: int = 10) -> Column:

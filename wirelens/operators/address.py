@@ -1,112 +1,106 @@
-"""Networks and addresses: CIDR normalisation and lookup as hash joins on (prefix length, network).
+"""Networks and addresses of both versions: CIDR normalisation and lookup as one hash join on (version, prefix length, network).
 
-Addresses are enriched once each (distinct, then joined back). A lookup explodes the few prefix lengths that the
-list has (at most 33, or 129 for version 6), so it is an equi-join and never a range or nested-loop join.
+An address is two longs, hi and lo; version 4 has hi = 0. Addresses are enriched once each (distinct, then joined back).
+A lookup explodes the prefix lengths that the lists have (at most 33 and 129), so it is an equi-join and never a range
+or nested-loop join, and all enrichments share one explode, one join and one grouping. All of it stays in the JVM.
 """
 
 from __future__ import annotations
 
-import ipaddress
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import ipv4_net, ipv4_number, is_v4, is_v6, width
+from ..functions.columns import ipv4_number, ipv6_halves, is_v4
 from .sizing import small
 
 
-def normalise(df: DataFrame, cidr: str = "cidr") -> DataFrame:
-    """Adds version, plen, net, broadcast for version 4 ranges; rows that aren't addr/len of a version-4 network go."""
-    parts = F.split(F.col(cidr), "/")
-    x = df.withColumn("_n", ipv4_number(F.try_element_at(parts, F.lit(1)))).withColumn("plen", F.expr(f"try_cast(get(split({cidr}, '/'), 1) AS INT)"))
-    x = x.filter((F.size(parts) == 2) & F.col("_n").isNotNull() & F.col("plen").between(0, 32))
-    x = x.withColumn("version", F.lit(4)).withColumn("net", ipv4_net(F.col("_n"), F.col("plen")))
-    return x.withColumn("broadcast", F.col("net") + width(F.col("plen")) - 1).drop("_n")
+def _halves(address: Column) -> Column:
+    """struct(version, hi, lo) of an address; null if it is none."""
+    four, six = ipv4_number(address), ipv6_halves(address)
+    as_four = F.struct(F.lit(4).alias("version"), F.lit(0).cast("long").alias("hi"), four.alias("lo"))
+    as_six = F.struct(F.lit(6).alias("version"), six["hi"].alias("hi"), six["lo"].alias("lo"))
+    return F.when(is_v4(address) & four.isNotNull(), as_four).when(six.isNotNull(), as_six)
 
 
-def v6_halves(df: DataFrame, column: str) -> DataFrame:
-    """Adds hi, lo (unsigned halves kept in longs) and plen of a version-6 address or range, null if it is none.
-
-    The text form needs a parser; give distinct values."""
+def _mask(bits: Column) -> Column:
+    """A long whose first ``bits`` (0 to 64) are set."""
+    shift = F.least(F.greatest(F.lit(64) - bits, F.lit(0)), F.lit(63))
+    return F.when(bits <= 0, F.lit(0).cast("long")).otherwise(F.call_function("shiftleft", F.lit(-1).cast("long"), shift.cast("int")))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            hi, lo, size = [], [], []
-            for t in b.column(column).to_pylist():
-                try:
-                    n = ipaddress.IPv6Interface(t)
-                    v, p = int(n.ip) >> (128 - n.network.prefixlen) << (128 - n.network.prefixlen), n.network.prefixlen
-                    pair = [(h ^ (1 << 63)) - (1 << 63) for h in (v >> 64, v & (2**64 - 1))]
-                except (ValueError, TypeError):
-                    pair, p = [None, None], None
-                hi.append(pair[0])
-                lo.append(pair[1])
-                size.append(p)
-            yield pa.RecordBatch.from_arrays([b.column(column), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(size, pa.int32())], names=[column, "hi", "lo", "plen"])
 
-    return df.select(column).mapInArrow(run, f"{column} string, hi long, lo long, plen int")
+def _masks(version: Column, plen: Column) -> tuple[Column, Column]:
+    """Masks of hi and lo; a version-4 prefix counts in the last 32 bits."""
+    return _mask(F.when(version == 4, F.lit(64)).otherwise(F.least(plen, F.lit(64)))), _mask(F.when(version == 4, plen + 32).otherwise(plen - 64))
 
 
-def _mask(half: str, bits: Column) -> Column:
-    """The first ``bits`` (0 to 64) of a half, others zero."""
-    shift = F.least(F.greatest(F.lit(64) - bits, F.lit(0)), F.lit(63))
-    kept = F.expr(f"shiftleft(shiftright({half}, _shift), _shift)")
-    return F.when(bits <= 0, F.lit(0).cast("long")).otherwise(kept).alias(half), shift.cast("int").alias("_shift")
-
-
-def match_v6(addresses: DataFrame, networks: DataFrame, pick: Column, address: str = "address") -> DataFrame:
-    """(address, picked) of version-6 addresses in ``networks`` (cidr and what ``pick`` aggregates); plain containment."""
-    nets = networks.filter(is_v6("cidr"))
-    wide = v6_halves(nets.select("cidr").distinct(), "cidr").filter("plen is not null")
-    nets = small(nets.join(small(wide), "cidr"))
-    lengths = [r[0] for r in wide.select("plen").distinct().collect()]  # at most 129
-    if not lengths:
-        return addresses.select(address).limit(0).withColumn("picked", F.lit(None).cast("string"))
-    halves = v6_halves(addresses.filter(is_v6(address)).select(address).distinct(), address).filter("hi is not null").drop("plen")
-    x = halves.withColumn("plen", F.explode(F.array(*[F.lit(p) for p in lengths])))
-    for half, bits in (("hi", F.least(F.col("plen"), F.lit(64))), ("lo", F.greatest(F.col("plen") - 64, F.lit(0)))):
-        masked, shift = _mask(half, bits)
-        x = x.withColumn("_shift", shift).withColumn(half, masked).drop("_shift")
-    return x.join(nets, ["hi", "lo", "plen"]).groupBy(address).agg(pick.alias("picked"))
-
-
-def match(addresses: DataFrame, networks: DataFrame, pick: Column, inclusive: bool = True, address: str = "address") -> DataFrame:
-    """(address, picked) of version-4 addresses in normalised ``networks``. ``inclusive`` False leaves a network's
-    first and last address out, and with them networks of one or two addresses."""
-    lengths = [r[0] for r in networks.select("plen").distinct().collect()]  # at most 33
-    x = addresses.filter(is_v4(address)).select(address).distinct().withColumn("_ip", ipv4_number(address)).filter("_ip is not null")
-    x = x.withColumn("plen", F.explode(F.array(*[F.lit(p) for p in lengths]).cast("array<int>"))).withColumn("net", ipv4_net(F.col("_ip"), F.col("plen")))
-    hit = x.join(small(networks), ["plen", "net"])
-    if not inclusive:
-        hit = hit.filter((F.col("_ip") > F.col("net")) & (F.col("_ip") < F.col("broadcast")))
-    return hit.groupBy(address).agg(pick.alias("picked"))
+def normalise(df: DataFrame, cidr: str = "cidr") -> DataFrame:
+    """Adds version, plen, and first and last address (hi, lo, last_hi, last_lo) of ranges of both versions; rows that
+    aren't addr/len of a network go."""
+    parts = F.split(F.col(cidr), "/")
+    x = df.withColumn("_a", _halves(F.try_element_at(parts, F.lit(1)))).withColumn("plen", F.expr(f"try_cast(get(split({cidr}, '/'), 1) AS INT)"))
+    x = x.filter((F.size(parts) == 2) & F.col("_a").isNotNull() & (F.col("plen") >= 0) & (F.col("plen") <= F.when(F.col("_a.version") == 4, 32).otherwise(128)))
+    hi, lo = _masks(F.col("_a.version"), F.col("plen"))
+    x = x.select("*", F.col("_a.version").alias("version"), F.col("_a.hi").bitwiseAND(hi).alias("hi"), F.col("_a.lo").bitwiseAND(lo).alias("lo"))
+    end = F.col("lo").bitwiseOR(F.bitwise_not(lo))
+    last = F.when(F.col("version") == 4, end.bitwiseAND(0xFFFFFFFF)).otherwise(end)
+    return x.select("*", F.when(F.col("version") == 4, F.lit(0).cast("long")).otherwise(F.col("hi").bitwiseOR(F.bitwise_not(hi))).alias("last_hi"), last.alias("last_lo")).drop("_a")
 
 
 @dataclass(frozen=True)
 class Enrichment:
-    """One column of the address dimension: where it comes from and which of several networks wins."""
+    """One column of the address dimension: the value of that normalised network, of those that hold the address, which is
+    ``largest`` or smallest in ``by``. ``inclusive`` False leaves a version-4 network's first and last address out,
+    and with them networks of one or two addresses."""
 
     column: str
     networks: DataFrame
-    pick: Column
+    value: str
+    by: str = "plen"
+    largest: bool = True
     inclusive: bool = True
 
 
 def resolver(networks: DataFrame, inclusive: bool = False) -> Enrichment:
     """The public resolver's name; of several lists the one with the lowest priority number wins."""
-    return Enrichment("dns_pub_resolver", networks, F.min_by("name", "priority"), inclusive)
+    return Enrichment("dns_pub_resolver", networks, "name", "priority", False, inclusive)
 
 
 def longest_prefix(column: str, networks: DataFrame, value: str) -> Enrichment:
-    return Enrichment(column, networks, F.max_by(value, "plen"))
+    return Enrichment(column, networks, value)
 
 
 def address_dimension(addresses: DataFrame, enrichments: list[Enrichment], address: str = "address") -> DataFrame:
     """One row per distinct address with a column for each enrichment (null where no network has it)."""
-    out = addresses.select(address).filter(F.col(address).isNotNull()).distinct()
+    lists: list[DataFrame] = []
+    for e in enrichments:
+        if not any(e.networks is n for n in lists):
+            lists.append(e.networks)
+    number = {id(n): i for i, n in enumerate(lists)}
+    nets = None
+    for i, n in enumerate(lists):
+        fields = [F.col(c).alias(f"_{i}_{c}") for c in dict.fromkeys(c for e in enrichments if e.networks is n for c in (e.value, e.by))]
+        x = n.select("version", "plen", "hi", "lo", "last_lo", F.lit(i).alias("_list"), *fields)
+        nets = x if nets is None else nets.unionByName(x, allowMissingColumns=True)
+    lengths: dict[int, list[int]] = {}
+    for r in nets.select("version", "plen").distinct().collect():  # at most 33 and 129
+        lengths.setdefault(r["version"], []).append(r["plen"])
+    some = F.lit(None).cast("array<int>")
+    for version, plens in lengths.items():
+        some = F.when(F.col("_a.version") == version, F.array(*[F.lit(p) for p in sorted(plens)])).otherwise(some)
+    x = addresses.select(address).filter(F.col(address).isNotNull()).distinct().withColumn("_a", _halves(F.col(address)))
+    x = x.select(address, F.col("_a.version").alias("version"), F.col("_a.hi").alias("_hi"), F.col("_a.lo").alias("_ip"), F.explode_outer(some).alias("plen"))
+    hi, lo = _masks(F.col("version"), F.col("plen"))
+    x = x.select(address, "version", "plen", "_ip", F.col("_hi").bitwiseAND(hi).alias("hi"), F.col("_ip").bitwiseAND(lo).alias("lo"))
+    hit = x.join(small(nets), ["version", "plen", "hi", "lo"], "left")
+    picks = []
     for e in enrichments:
-        out = out.join(match(out, e.networks, e.pick, e.inclusive, address).withColumnRenamed("picked", e.column), address, "left")
-    return out
+        i = number[id(e.networks)]
+        name = lambda c, i=i: F.col(c) if c in ("version", "plen") else F.col(f"_{i}_{c}")
+        counts = F.col("_list") == i
+        if not e.inclusive:
+            counts = counts & ((F.col("version") == 6) | ((F.col("_ip") > F.col("lo")) & (F.col("_ip") < F.col("last_lo"))))
+        order = F.when(counts, F.struct(name(e.by).alias("by"), name(e.value).alias("value")))
+        picks.append((F.max if e.largest else F.min)(order)["value"].alias(e.column))
+    return hit.groupBy(address).agg(*picks)

@@ -92,10 +92,20 @@ def edns(df: DataFrame, o: Options = Options()) -> dict[str, Column]:
     }
 
 
-def build_dns(pairs: DataFrame, rules: DataFrame, enrichments: list[Enrichment] = (), o: Options = Options()) -> DataFrame:
+def addresses_of(messages: DataFrame) -> DataFrame:
+    """The distinct addresses that rows of ``messages`` are enriched by: clients and client subnets. Taken here, before
+    pairing, they cost one small aggregation."""
+    known = messages.select(F.col("client_ip").alias("address"))
+    if "ecs_ip" in messages.columns:
+        known = known.unionByName(messages.select(F.col("ecs_ip").alias("address")))
+    return known.filter("address IS NOT NULL").distinct()
+
+
+def build_dns(pairs: DataFrame, rules: DataFrame, enrichments: list[Enrichment] = (), o: Options = Options(), addresses: DataFrame | None = None) -> DataFrame:
     """The 50-column rows of transactions. The blocked suffixes go before addresses are looked up; each distinct
     address is looked up once. ``enrichments`` with columns of the table fill client columns; those of country and
-    ASN also fill the client-subnet columns."""
+    ASN also fill the client-subnet columns. ``addresses`` are those of the messages (``addresses_of``); without them
+    they are taken from the pairs, which computes the pairs once more."""
     rr = "array<struct<name:string,type:int,data:string>>"
     name = F.coalesce(F.col("req.qname"), F.col("rsp.qname"))
     x = pairs.withColumn("_client", either(pairs, "client_ip", "string")).withColumn("_ecs", _field(pairs, "req", "ecs_ip", "string")).withColumn("_qname", name)
@@ -108,10 +118,13 @@ def build_dns(pairs: DataFrame, rules: DataFrame, enrichments: list[Enrichment]
     columns["dns_rdata"] = rdata(*sections, dnssec=o.rdata_dnssec) if o.rdata else F.lit(None).cast(_RDATA)
     columns["dns_cname"] = cname_chain(sections[0]) if o.cname else F.lit(None).cast(_LS)
     if enrichments:
-        known = x.select(F.col("_client").alias("address")).unionByName(x.select(F.col("_ecs").alias("address")))
-        dim = address_dimension(known, list(enrichments))
-        x = x.join(dim.select(F.col("address").alias("_a"), F.struct(*[e.column for e in enrichments]).alias("_c")), F.col("_client") == F.col("_a"), "left").drop("_a")
-        x = x.join(dim.select(F.col("address").alias("_a"), F.struct(*[e.column for e in enrichments]).alias("_e")), F.col("_ecs") == F.col("_a"), "left").drop("_a")
+        if addresses is None:
+            addresses = x.select(F.col("_client").alias("address")).unionByName(x.select(F.col("_ecs").alias("address")))
+        dim = address_dimension(addresses, list(enrichments))
+        # Rows without a subnet are spread over keys that no address has, not all sent to the task of null.
+        x = x.withColumn("_key", F.coalesce("_ecs", F.concat(F.lit("-"), F.pmod(F.xxhash64("_client"), F.lit(9973)).cast("string"))))
+        for key, name in (("_client", "_c"), ("_key", "_e")):
+            x = x.join(dim.select(F.col("address").alias("_a"), F.struct(*[e.column for e in enrichments]).alias(name)), F.col(key) == F.col("_a"), "left").drop("_a")
         columns |= {e.column: F.col(f"_c.{e.column}") for e in enrichments}
         columns |= {f"edns_ecs_{e.column}": F.col(f"_e.{e.column}") for e in enrichments if f"edns_ecs_{e.column}" in dict(COLUMNS)}
     return x.select(*[columns.get(n, F.lit(None)).cast(t).alias(n) for n, t in COLUMNS])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..operators.rows import COLUMNS
 from . import views as V
 
 M = f"dns_messages AS ({V.duck(V.MESSAGES)})"
@@ -51,26 +52,47 @@ IP = "(CAST(split_part({0}, '.', 1) AS BIGINT) * 16777216 + CAST(split_part({0},
 
 
 def nets(rows: list[tuple], names: str, alias: str) -> str:
-    return f"{alias} AS (SELECT *, CAST(split_part(cidr, '/', 2) AS INT) AS plen, {IP.format('split_part(cidr, ' + chr(39) + '/' + chr(39) + ', 1)')} AS net, CAST(pow(2, 32 - CAST(split_part(cidr, '/', 2) AS INT)) AS BIGINT) AS width FROM {V.values(rows)} AS t(cidr, {names}))"
+    ip, plen = IP.format("split_part(cidr, '/', 1)"), "CAST(split_part(cidr, '/', 2) AS INT)"
+    return f"{alias} AS (SELECT *, {plen} AS plen, CASE WHEN contains(cidr, '.') THEN {ip} END AS net, CASE WHEN contains(cidr, '.') THEN CAST(pow(2, 32 - {plen}) AS BIGINT) END AS width FROM {V.values(rows)} AS t(cidr, {names}))"
 
 
 RES, GEO = nets(V.RESOLVERS, "name, priority", "res"), nets(V.PLACES, "iso, asn, org", "geo")
+def inside(address: str, cidr: str) -> str:
+    """Containment of this file's version-6 addresses, 2001:db8:group::host, as text."""
+    return f"""({address} LIKE '2001:db8:%' AND ({cidr} = '2001:db8::/32' OR {cidr} LIKE '%/48' AND starts_with({address}, split_part({cidr}, '::', 1) || '::') OR {cidr} LIKE '%/112' AND starts_with({address}, split_part({cidr}, '::', 1) || '::')
+ OR {cidr} LIKE '%::80/121' AND starts_with({address}, split_part({cidr}, '::', 1) || '::') AND length(split_part({address}, '::', 2)) = 2 AND split_part({address}, '::', 2) >= '80'))"""
+
+
 #: dim: each address with what is known of it.
 DIM = f"""{RES}, {GEO},
-addr AS (SELECT DISTINCT a AS address, {IP.format('a')} AS ip FROM (SELECT client_ip AS a FROM dns_messages UNION ALL SELECT ecs_ip FROM dns_messages) WHERE a IS NOT NULL),
+addr AS (SELECT DISTINCT a AS address, CASE WHEN contains(a, '.') THEN {IP.format('a')} END AS ip FROM (SELECT client_ip AS a FROM dns_messages UNION ALL SELECT ecs_ip FROM dns_messages) WHERE a IS NOT NULL),
 dim AS (SELECT address,
- (SELECT min_by(name, priority) FROM res WHERE ip > net AND ip < net + width - 1) AS resolver,
- (SELECT max_by(iso, plen) FROM geo WHERE ip >= net AND ip < net + width) AS iso,
- (SELECT max_by(asn, plen) FROM geo WHERE ip >= net AND ip < net + width) AS asn,
- (SELECT max_by(org, plen) FROM geo WHERE ip >= net AND ip < net + width) AS org FROM addr)"""
-#: tx: transactions with all flat columns; q_ and r_ sides.
+ (SELECT min_by(name, priority) FROM res WHERE ip > net AND ip < net + width - 1 OR {inside('address', 'cidr')}) AS resolver,
+ (SELECT max_by(iso, plen) FROM geo WHERE ip >= net AND ip < net + width OR {inside('address', 'cidr')}) AS iso,
+ (SELECT max_by(asn, plen) FROM geo WHERE ip >= net AND ip < net + width OR {inside('address', 'cidr')}) AS asn,
+ (SELECT max_by(org, plen) FROM geo WHERE ip >= net AND ip < net + width OR {inside('address', 'cidr')}) AS org FROM addr)"""
+OPTS = ", ".join(f"CASE WHEN {cond} THEN '{code}' END" for cond, code in V.OPTIONS)
+
+
+def codes(side: str) -> str:
+    return f"nullif(concat_ws(',', {OPTS.replace('user_id', side + '.who').replace('event_id', side + '.seq')}), '')"
+
+
+def rdata(side: str) -> str:
+    return "concat_ws(';', " + ", ".join(f"CASE WHEN ({side}.seq + {t}) % 3 <> 0 THEN '{s}:{t}:{data}' || ({side}.who % 9) END" for s, _, t, data in V.RECORDS if t != 46) + ")"
+
+
+#: tx: transactions with all columns, lists as text; q and r sides.
 TX = f"""{PAIRS}, {parts('SELECT DISTINCT qname FROM dns_messages')}, {DIM},
 tx AS (SELECT p.req_seq, p.rsp_seq, q, r, coalesce(q.dns_id, r.dns_id) AS dns_id, coalesce(q.ts, r.ts) AS time, n.subdomain AS dns_qname, n.domain AS dns_domainname, n.tld AS dns_tld, n.qname_full AS dns_qname_full, n.labels AS dns_labels,
  q.ip_ttl AS ip_ttl, coalesce(q.ip_version, r.ip_version) AS ip_version, coalesce(q.prot, r.prot) AS prot, coalesce(q.client_ip, r.client_ip) AS ip_src, coalesce(q.client_port, r.client_port) AS prot_src_port, coalesce(q.server_ip, r.server_ip) AS ip_dst, CAST(53 AS INT) AS prot_dst_port,
- r.aa AS dns_aa, r.tc AS dns_tc, q.rd AS dns_rd, coalesce(q.opcode, r.opcode) AS dns_opcode, CAST(CASE WHEN r.seq IS NULL THEN -1 ELSE r.opt_ext_rcode * 16 + r.rcode END AS INT) AS dns_rcode, CAST(coalesce(r.rcode, -1) AS INT) AS raw_rcode,
+ r.aa AS dns_aa, r.tc AS dns_tc, q.rd AS dns_rd, r.ra AS dns_ra, r.ad AS dns_ad, q.cd AS dns_cd, r.ancount AS dns_ancount, r.arcount AS dns_arcount, r.nscount AS dns_nscount, coalesce(r.qdcount, q.qdcount) AS dns_qdcount,
+ q.edns_udp AS edns_udp, q.edns_version AS edns_version, q.edns_do AS edns_do, {codes('q')} AS edns_options, {codes('r')} AS edns_server_options, CASE WHEN r.seq % 5 = 0 THEN CAST(r.seq % 25 AS VARCHAR) END AS edns_ext_error,
+ CASE WHEN q.seq % 7 = 0 THEN '10.3.0.' || (q.who % 250) || '/27' WHEN q.who % 6 = 0 THEN '10.0.0.' || (q.who % 250) || '/24' END AS edns_ecs,
+ {rdata('r')} AS dns_rdata, CASE WHEN (r.seq + 5) % 3 <> 0 THEN 'alias' || (r.who % 9) END AS dns_cname, coalesce(q.opcode, r.opcode) AS dns_opcode, CAST(CASE WHEN r.seq IS NULL THEN -1 ELSE r.opt_ext_rcode * 16 + r.rcode END AS INT) AS dns_rcode, CAST(coalesce(r.rcode, -1) AS INT) AS raw_rcode,
  coalesce(q.qtype, r.qtype) AS dns_qtype, coalesce(q.qclass, r.qclass) AS dns_qclass, c.iso AS ip_geo_country, c.asn AS ip_asn, c.org AS ip_asn_org, e.asn AS edns_ecs_ip_asn, e.org AS edns_ecs_ip_asn_org, e.iso AS edns_ecs_ip_geo_country,
  q.msg_len AS dns_req_len, CAST((epoch_us(r.ts) - epoch_us(q.ts)) // 1000 AS INT) AS dns_proc_time, r.msg_len AS dns_res_len, c.resolver AS dns_pub_resolver, CASE WHEN q.prot = 6 AND q.tcp_rtt <> -1 THEN q.tcp_rtt END AS tcp_rtt,
- CASE WHEN coalesce(q.capture_file, r.capture_file) LIKE '%ns1%' THEN 'ns1.dns.nl' ELSE 'ns2.dns.nl' END AS server, 'ams' AS server_location
+ CASE WHEN coalesce(q.capture_file, r.capture_file) LIKE '%ns1%' THEN 'ns1.zone.nl' ELSE 'ns2.zone.nl' END AS server, 'ams' AS server_location
  FROM pairs p LEFT JOIN dns_messages q ON q.seq = p.req_seq LEFT JOIN dns_messages r ON r.seq = p.rsp_seq
  LEFT JOIN named_ n ON n.qname = coalesce(q.qname, r.qname) LEFT JOIN dim c ON c.address = coalesce(q.client_ip, r.client_ip) LEFT JOIN dim e ON e.address = q.ecs_ip)"""
 
@@ -87,13 +109,15 @@ def counted(name: str, expr: str) -> str:
 
 QTYPE = "CASE dns_qtype WHEN 1 THEN 'A' WHEN 28 THEN 'AAAA' WHEN 252 THEN 'AXFR' END"
 PROTOCOL = "CASE WHEN prot = 17 THEN 'UDP' ELSE 'TCP' END"
+PKT = f"""{M}, pkt AS (SELECT *, 'f' || (seq // {V.EVENTS_PER_FILE}) || '.pcap' AS file, row_number() OVER (PARTITION BY seq // {V.EVENTS_PER_FILE} ORDER BY seq) - 1 AS n, seq % {V.MALFORMED} = 0 AS bad,
+ CASE WHEN ip_version = 4 THEN server_ip ELSE '2001:db8::' || (who % 2 + 1) END AS server FROM dns_messages)"""
 SEG = f"seg AS ({V.duck(V.SEGMENTS)})"
 LED = f"led AS ({V.duck(V.LEDGER)})"
-REC = f"rec AS ({V.duck(V.RECORDS)})"
+REC = f"""rec AS (SELECT event_id AS seq, r.section, r.pos, r.type, r.prefix || (user_id % 9) AS data FROM events CROSS JOIN {V.values(V.RECORDS)} AS r(section, pos, type, prefix)
+ WHERE event_type IN ('purchase', 'error') AND (event_id + r.type) % 3 <> 0)"""
 STATE = """CASE WHEN max_tries_reached THEN 'exhausted' WHEN started IS NOT NULL AND ended IS NULL AND started + INTERVAL 1 DAY < TIMESTAMP '2024-01-20' THEN 'incomplete'
  WHEN started IS NOT NULL THEN CASE WHEN ended IS NOT NULL THEN 'done' ELSE 'claimed' END WHEN detected AND modified + INTERVAL 2 DAY < TIMESTAMP '2024-01-20' THEN 'not_picked_up' ELSE 'waiting' END"""
 CIDR = "(s_suppkey % 223 + 1) || '.' || s_nationkey || '.0.0/' || (8 + s_suppkey % 25)"
-OPTS = ", ".join(f"CASE WHEN {cond} THEN '{code}' END" for cond, code in V.OPTIONS)
 
 
 def avg_of(v: str) -> str:
@@ -114,9 +138,18 @@ def points() -> str:
 
 
 ORACLES = {
-    "packet_fields": f"WITH {M} SELECT seq, prot, ip_version, ip_ttl, CASE WHEN qr = 0 THEN client_ip ELSE server_ip END AS src, CASE WHEN qr = 0 THEN client_port ELSE 53 END AS src_port, CASE WHEN qr = 0 THEN server_ip ELSE client_ip END AS dst, CASE WHEN qr = 0 THEN 53 ELSE client_port END AS dst_port FROM dns_messages",
-    "dns_only": f"WITH {M} SELECT seq, CASE WHEN qr = 0 THEN client_port ELSE 53 END AS src_port, CASE WHEN seq % 7 = 0 THEN 80 WHEN qr = 0 THEN 53 ELSE client_port END AS dst_port FROM dns_messages WHERE qr = 1 OR seq % 7 <> 0",
-    "dns_header": f"WITH {M} SELECT seq, dns_id AS id, qr, aa, tc, rd, rcode FROM dns_messages",
+    "packet_fields": f"WITH {PKT} SELECT file, n AS seq, prot, ip_version, ip_ttl, CASE WHEN qr = 0 THEN client_ip ELSE server END AS src, CASE WHEN qr = 0 THEN client_port ELSE 53 END AS src_port, CASE WHEN qr = 0 THEN server ELSE client_ip END AS dst, CASE WHEN qr = 0 THEN 53 ELSE client_port END AS dst_port, ip_version = 4 AS do_not_fragment, CASE WHEN prot = 6 THEN seq END AS tcp_seq, date_trunc('milliseconds', ts) AS ts FROM pkt",
+    "dns_only": f"WITH {PKT} SELECT file, n AS seq, CASE WHEN qr = 0 THEN client_port ELSE 53 END AS src_port, CASE WHEN n % 7 = 0 THEN 80 WHEN qr = 0 THEN 53 ELSE client_port END AS dst_port FROM pkt WHERE qr = 1 OR n % 7 <> 0",
+    "malformed_messages": f"WITH {PKT} SELECT file, n AS seq, date_trunc('milliseconds', ts) AS ts FROM pkt WHERE prot = 17 AND bad",
+    "dns_header": f"WITH {PKT} SELECT file, n AS seq, dns_id AS id, qr, aa, tc, rd, ra, ad, cd, rcode, CAST(1 AS INT) AS qdcount, CAST(1 AS INT) AS arcount, 'u' || who || '.zone.nl.' AS qname, qtype, CAST(1232 AS INT) AS udp, seq % 2 = 0 AS do, opt_ext_rcode AS ext_rcode, '10.10.' || (who % 250) || '.0/24' AS ecs, CAST(seq % 25 AS VARCHAR) AS errors FROM pkt WHERE prot = 17 AND NOT bad",
+    "capture_pairing": f"""WITH {PKT}, m AS (SELECT * EXCLUDE (qname), who AS qname FROM pkt WHERE prot = 17 AND NOT bad),
+x AS (SELECT *, sum(CASE WHEN qr = 0 AND qtype IN (251, 252) THEN 1 ELSE 0 END) OVER (PARTITION BY file, dns_id, client_ip, client_port ORDER BY date_trunc('milliseconds', ts), n) AS epoch FROM m),
+y AS (SELECT *, sum(qr) OVER (PARTITION BY file, dns_id, client_ip, client_port, epoch ORDER BY date_trunc('milliseconds', ts), n) AS nth FROM x),
+k AS (SELECT * FROM y WHERE NOT (qr = 0 AND qtype IN (251, 252)) AND NOT (qr = 1 AND epoch > 0 AND nth > 1)),
+w AS (SELECT *, lag(qr) OVER v AS pqr, lead(qr) OVER v AS nqr FROM k WINDOW v AS (PARTITION BY file, dns_id, client_ip, client_port, qname ORDER BY date_trunc('milliseconds', ts), n)),
+a AS (SELECT file, count(*) AS messages, count(*) FILTER (qr = 0) AS requests, count(*) FILTER (qr = 1) AS responses FROM m GROUP BY 1),
+b AS (SELECT file, count(*) FILTER (qr = 1 AND pqr = 0) AS matched, count(*) FILTER (qr = 0 AND nqr IS NULL) AS unmatched, count(*) FILTER (qr = 1 AND pqr IS DISTINCT FROM 0) AS response_only FROM w GROUP BY 1)
+SELECT file AS capture_file, messages, requests, responses, coalesce(matched, 0) AS matched, coalesce(unmatched, 0) AS unmatched, coalesce(response_only, 0) AS response_only FROM a LEFT JOIN b USING (file)""",
     "ip_reassembly": "SELECT l_orderkey AS ip_id, count(*) AS fragments, (max(l_linenumber) - 1) * 8 AS last_offset, string_agg(lpad(upper(to_hex(l_partkey % 65536)), 8, '0'), '' ORDER BY l_linenumber) AS payload FROM (SELECT DISTINCT ON (l_orderkey, l_linenumber) * FROM lineitem) GROUP BY 1 HAVING max(l_linenumber) = count(*) AND min(l_linenumber) = 1",
     "tcp_reassembly": f"""WITH {SEG}, a AS (SELECT *, max(tcp_seq + length) OVER (PARTITION BY capture_file, src, src_port, dst, dst_port ORDER BY tcp_seq, length DESC, ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM seg WHERE length > 0)
 SELECT capture_file, src, src_port, count(*) AS segments, CAST(sum(CASE WHEN tcp_seq > seen THEN 1 ELSE 0 END) AS BIGINT) AS gaps, CAST(sum(length - greatest(0, coalesce(seen - tcp_seq, 0))) AS BIGINT) AS bytes FROM a WHERE seen IS NULL OR tcp_seq + length > seen GROUP BY ALL""",
@@ -131,13 +164,17 @@ SELECT DISTINCT rule, CASE k WHEN 1 THEN 'wildcard' WHEN 2 THEN 'exception' ELSE
 n AS (SELECT name, priority, CAST(split_part(cidr, '/', 2) AS INT) AS plen, {IP.format("split_part(cidr, '/', 1)")} AS ip FROM u), m AS (SELECT *, ip - ip % CAST(pow(2, 32 - plen) AS BIGINT) AS net FROM n)
 SELECT name, CAST(priority AS INT) AS priority, plen, count(*) AS n, min(net) AS lo, max(net + CAST(pow(2, 32 - plen) AS BIGINT) - 1) AS hi FROM m GROUP BY ALL""",
     "cidr_normalise": f"""WITH c AS (SELECT s_suppkey, (s_suppkey % 300) || '.' || s_nationkey || '.3.4/' || (s_suppkey % 36) AS cidr FROM supplier WHERE s_suppkey % 9 <> 0 AND s_suppkey % 10 <> 0 AND s_suppkey % 300 < 256 AND s_suppkey % 36 <= 32),
-n AS (SELECT *, CAST(split_part(cidr, '/', 2) AS INT) AS plen, {IP.format("split_part(cidr, '/', 1)")} AS ip FROM c), m AS (SELECT *, ip - ip % CAST(pow(2, 32 - plen) AS BIGINT) AS net FROM n)
-SELECT s_suppkey, cidr, plen, net, net + CAST(pow(2, 32 - plen) AS BIGINT) - 1 AS broadcast FROM m""",
+n AS (SELECT *, CAST(split_part(cidr, '/', 2) AS INT) AS plen, {IP.format("split_part(cidr, '/', 1)")} AS ip FROM c), m AS (SELECT *, ip - ip % CAST(pow(2, 32 - plen) AS BIGINT) AS net FROM n),
+s AS (SELECT s_suppkey, s_suppkey % 49 AS plen, CAST(2306139568115548160 AS UBIGINT) + CAST('0x' || (s_suppkey % 9999) AS UBIGINT) * 65536 + 9 AS v FROM supplier WHERE s_suppkey % 9 = 0)
+SELECT s_suppkey, cidr, CAST(4 AS INT) AS version, plen, '0' AS hi, net AS lo, net + CAST(pow(2, 32 - plen) AS BIGINT) - 1 AS last FROM m
+UNION ALL SELECT s_suppkey, '2001:db8:' || (s_suppkey % 9999) || ':9::1/' || plen, 6, CAST(plen AS INT), CASE WHEN plen = 0 THEN '0' ELSE upper(to_hex((v >> (64 - plen)) << (64 - plen))) END, 0, NULL FROM s""",
     "cidr_v6": "SELECT CASE WHEN user_id % 8 = 3 THEN 'three' WHEN user_id % 8 = 5 AND event_id % 65536 >= 32768 THEN 'high' ELSE 'wide' END AS picked, count(DISTINCT (user_id % 8, event_id % 65536)) AS n FROM events GROUP BY 1",
     "html_table_cells": "SELECT page_id, i - 1 AS row_no, regexp_extract(r, '(?is)<a [^>]*>(.*?)</a>', 1) AS cell FROM (SELECT page_id, unnest(l) AS r, generate_subscripts(l, 1) AS i FROM (SELECT page_id, regexp_extract_all(regexp_extract(html, '(?is)<ul.*?</ul>'), '(?is)<li[^>]*>.*?</li>') AS l FROM pages)) WHERE contains(r, '<a ')",
-    "geo_networks": "SELECT n_name, (n_nationkey + 1) || '.0.0.0/' || (n_nationkey % 9 + 8) AS cidr, x.net, x.net + x.w - 1 AS broadcast FROM (SELECT *, CAST(pow(2, 24 - n_nationkey % 9) AS BIGINT) AS w, CAST(n_nationkey + 1 AS BIGINT) * 16777216 AS net FROM nation) x",
+    "html_ranges": "SELECT cidr, count(*) AS n FROM (SELECT (s_suppkey % 223 + 1) || '.' || s_nationkey || '.0.0/16' AS cidr FROM supplier UNION ALL SELECT '2001:db8:' || (s_suppkey % 9999) || '::/48' FROM supplier) GROUP BY 1",
+    "geo_networks": """SELECT n_name, (n_nationkey + 1) || '.0.0.0/' || (n_nationkey % 9 + 8) AS cidr, CAST(4 AS INT) AS version, CAST(n_nationkey % 9 + 8 AS INT) AS plen, '0' AS hi, CAST(n_nationkey + 1 AS BIGINT) * 16777216 AS lo FROM nation
+UNION ALL SELECT n_name, '2001:db8:' || (n_nationkey + 1) || '::/48', 6, 48, '20010DB8' || lpad(CAST(n_nationkey + 1 AS VARCHAR), 4, '0') || '0000', 0 FROM nation""",
     "server_site": f"""WITH {LED}, t AS (SELECT *, CASE WHEN size_bytes % 2 = 0 THEN 'site' WHEN size_bytes % 3 = 0 THEN 'odd' END AS ts FROM led)
-SELECT object_key, CASE WHEN tries = 1 AND ts IS NOT NULL THEN 'tagged' WHEN tries = 3 THEN 'unknown' ELSE regexp_extract(object_key, 'x_(ns[0-9]+\\.dns\\.nl)_', 1) END AS server, CASE WHEN tries = 1 AND ts IS NOT NULL THEN ts WHEN tries = 3 THEN 'unknown' ELSE 'ams' END AS site FROM t""",
+SELECT object_key, CASE WHEN tries = 1 AND ts IS NOT NULL THEN 'tagged' WHEN tries = 3 THEN 'unknown' ELSE regexp_extract(object_key, 'x_(ns[0-9]+\\.zone\\.nl)_', 1) END AS server, CASE WHEN tries = 1 AND ts IS NOT NULL THEN ts WHEN tries = 3 THEN 'unknown' ELSE 'ams' END AS site FROM t""",
     "transport_fields": tx("SELECT req_seq, rsp_seq, time, ip_ttl, ip_version, prot, ip_src, prot_src_port, ip_dst, prot_dst_port, tcp_rtt FROM tx"),
     "header_merge": tx("SELECT req_seq, rsp_seq, dns_rd, dns_aa, dns_tc, dns_req_len, dns_res_len FROM tx"),
     "question_pick": tx("SELECT req_seq, rsp_seq, dns_qtype, dns_qclass FROM tx"),
@@ -155,7 +192,8 @@ SELECT object_key, CASE WHEN tries = 1 AND ts IS NOT NULL THEN 'tagged' WHEN tri
     "rdata_top_a": f"WITH {REC} SELECT data, count(*) AS n FROM rec WHERE type = 1 GROUP BY data ORDER BY n DESC, data LIMIT 25",
     "privacy_mask": tx("SELECT ip_dst, prot_src_port, count(*) AS n, CAST(0 AS BIGINT) AS sources FROM tx GROUP BY ALL"),
     "day_partitions": tx("SELECT CAST(CAST(time AS DATE) AS VARCHAR) AS day, count(*) AS n FROM tx GROUP BY ALL"),
-    "dns_rows": tx("SELECT " + ", ".join(["dns_id", "time", "dns_qname", "dns_domainname", "dns_tld", "dns_qname_full", "dns_labels", "ip_ttl", "ip_version", "prot", "ip_src", "prot_src_port", "ip_dst", "prot_dst_port", "dns_aa", "dns_tc", "dns_rd", "dns_opcode", "dns_rcode", "dns_qtype", "dns_qclass", "ip_geo_country", "ip_asn", "ip_asn_org", "edns_ecs_ip_asn", "edns_ecs_ip_asn_org", "edns_ecs_ip_geo_country", "dns_req_len", "dns_proc_time", "dns_res_len", "dns_pub_resolver", "tcp_rtt", "server", "server_location"]) + " FROM tx"),
+    "dns_rows": tx("SELECT " + ", ".join(n for n, _ in COLUMNS) + " FROM tx"),
+    "stored_day": tx("SELECT dns_domainname, count(*) AS n, max(dns_id) AS most_id FROM tx WHERE CAST(time AS DATE) = DATE '2024-01-10' GROUP BY 1"),
     "schema_align": tx("SELECT CASE WHEN dns_id >= 8 THEN dns_tld END AS dns_tld, count(*) AS n, count(CASE WHEN dns_id >= 8 THEN dns_qname_full END) AS full_names FROM tx GROUP BY 1"),
     "pairing": f"WITH {PAIRS} SELECT m.capture_file, req_seq, rsp_seq FROM pairs JOIN dns_messages m ON m.seq = coalesce(req_seq, rsp_seq)",
     "unmatched_requests": f"WITH {PAIRS} SELECT m.seq, m.qname FROM pairs JOIN dns_messages m ON m.seq = req_seq WHERE rsp_seq IS NULL",
@@ -184,7 +222,7 @@ SELECT a.*, coalesce(matched, 0) AS matched, coalesce(unmatched, 0) AS unmatched
     "metrics_proc_time": avg_of("dns_proc_time"),
     "metric_points": points(),
     "object_state": f"WITH {LED} SELECT object_key, {STATE} AS state FROM led",
-    "ingest_stats": f"WITH {LED} SELECT regexp_extract(object_key, 'x_(ns[0-9]+\\.dns\\.nl)_', 1) AS server, 'ams' AS site, {STATE} AS state, count(*) AS objects, CAST(sum(size_bytes) AS BIGINT) AS bytes, round(avg(tries), 6) AS avg_tries FROM led GROUP BY ALL",
+    "ingest_stats": f"WITH {LED} SELECT regexp_extract(object_key, 'x_(ns[0-9]+\\.zone\\.nl)_', 1) AS server, 'ams' AS site, {STATE} AS state, count(*) AS objects, CAST(sum(size_bytes) AS BIGINT) AS bytes, round(avg(tries), 6) AS avg_tries FROM led GROUP BY ALL",
     "reference_staleness": f"WITH {LED} SELECT object_key, coalesce(started + INTERVAL 240 HOUR < TIMESTAMP '2024-01-20', true) AS stale FROM led",
     "row_count": tx("SELECT count(*) AS n FROM tx"),
     "top_domains": tx("SELECT dns_domainname, count(*) AS n FROM tx WHERE dns_domainname IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 25"),

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from .. import sinks
 from ..operators import address, metrics, names, objects, pairing, rows, tcp
-from ..sources import reference
+from ..shared import new_path
+from ..sources import capture, reference
 from . import views as V
 
 QUERIES: dict = {}
-RR = "array<struct<name:string,type:int,data:string>>"
 
 
 def query(f):
@@ -48,8 +49,13 @@ def enrichments(spark: SparkSession) -> list[address.Enrichment]:
     return [address.resolver(resolvers(spark)), *(address.longest_prefix(c, p, v) for c, v in (("ip_geo_country", "iso"), ("ip_asn", "asn"), ("ip_asn_org", "org")))]
 
 
-def dns(spark: SparkSession, d: str, enrich: bool = False, **options) -> DataFrame:
-    return rows.build_dns(pairs(spark, d), rules(spark), enrichments(spark) if enrich else [], rows.Options(**options))
+def dns(spark: SparkSession, d: str, enrich: list[address.Enrichment] = (), full: bool = False, **options) -> DataFrame:
+    m = with_lists(messages(spark, d)) if full else messages(spark, d)
+    return rows.build_dns(pairing.transactions(m), rules(spark), enrich, rows.Options(**options), rows.addresses_of(m) if enrich else None)
+
+
+def country(spark: SparkSession) -> address.Enrichment:
+    return address.longest_prefix("ip_geo_country", places(spark), "iso")
 
 
 def sided(df: DataFrame) -> DataFrame:
@@ -63,28 +69,46 @@ def ids(df: DataFrame) -> list:
 # Sources
 
 
+def packets(spark, d) -> DataFrame:
+    """Packets out of the bytes of capture files that are made of the messages."""
+    return capture.packets(V.captures(messages(spark, d)))
+
+
 @query
 def packet_fields(spark, d):
-    """Orientation-free packet columns: DNS packets with source and destination by direction."""
-    m = messages(spark, d)
-    side = lambda a, b: F.when(F.col("qr") == 0, a).otherwise(b)
-    return m.select("seq", "prot", "ip_version", "ip_ttl", side(F.col("client_ip"), F.col("server_ip")).alias("src"), side(F.col("client_port"), F.lit(53)).alias("src_port"), side(F.col("server_ip"), F.col("client_ip")).alias("dst"), side(F.lit(53), F.col("client_port")).alias("dst_port"))
+    return packets(spark, d).select("file", "seq", F.col("protocol").alias("prot"), "ip_version", F.col("ttl").alias("ip_ttl"), "src", "src_port", "dst", "dst_port", "do_not_fragment", F.col("tcp_seq").alias("tcp_seq"), "ts")
 
 
 @query
 def dns_only(spark, d):
-    x = packet_fields(spark, d).withColumn("dst_port", F.when(F.col("seq") % 7 == 0, 80).otherwise(F.col("dst_port")))
-    return pairing.dns_only(x).select("seq", "src_port", "dst_port")
+    x = packets(spark, d).withColumnRenamed("protocol", "prot").withColumn("dst_port", F.when(F.col("seq") % 7 == 0, 80).otherwise(F.col("dst_port")))
+    return pairing.dns_only(x).select("file", "seq", "src_port", "dst_port")
+
+
+def datagrams(spark, d) -> DataFrame:
+    return packets(spark, d).filter("protocol = 17").select("file", "seq", "ts", "payload")
+
+
+@query
+def malformed_messages(spark, d):
+    return capture.malformed(datagrams(spark, d)).select("file", "seq", "ts")
 
 
 @query
 def dns_header(spark, d):
-    """Header fields out of the bytes of a 12-byte header."""
-    h = messages(spark, d).select("seq", F.format_string("%04x%04x", F.col("dns_id"), F.shiftleft("qr", 15).bitwiseOR(F.shiftleft(F.col("aa").cast("int"), 10)).bitwiseOR(F.shiftleft(F.col("tc").cast("int"), 9)).bitwiseOR(F.shiftleft(F.col("rd").cast("int"), 8)).bitwiseOR(F.col("rcode"))).alias("h"))
-    h = h.select("seq", F.unhex("h").alias("b"))
-    word = lambda i: F.conv(F.hex(F.substring("b", 2 * i + 1, 2)), 16, 10).cast("int")
-    bit = lambda n: F.shiftright(word(1), n).bitwiseAND(1) == 1
-    return h.select("seq", word(0).alias("id"), F.shiftright(word(1), 15).alias("qr"), bit(10).alias("aa"), bit(9).alias("tc"), bit(8).alias("rd"), word(1).bitwiseAND(15).alias("rcode"))
+    """Header, question and option record out of the bytes of datagrams."""
+    x = capture.messages(datagrams(spark, d))
+    q, o = F.element_at("questions", 1), F.col("opt.options")
+    head = [F.col(f"header.{n}").alias(n) for n in ("id", "qr", "aa", "tc", "rd", "ra", "ad", "cd", "rcode", "qdcount", "arcount")]
+    return x.select("file", "seq", *head, q["qname"].alias("qname"), q["qtype"].alias("qtype"), F.col("opt.udp").alias("udp"), F.col("opt.do").alias("do"), F.col("opt.ext_rcode").alias("ext_rcode"), C.client_subnet(o).alias("ecs"), F.array_join(C.extended_errors(o).cast("array<string>"), ",").alias("errors"))
+
+
+@query
+def capture_pairing(spark, d):
+    """Transactions of decoded captures, from bytes to pairs, by file."""
+    x = capture.messages(datagrams(spark, d).join(packets(spark, d).drop("payload", "ts"), ["file", "seq"]).withColumn("msg_len", F.length("payload")).withColumn("tcp_rtt", F.lit(None).cast("int")))
+    p = pairing.transactions(capture.flat_messages(x))
+    return pairing.capture_stats(capture.flat_messages(x), p)
 
 
 @query
@@ -137,22 +161,23 @@ def resolver_lists(spark, d):
     site = reference.site_ranges(s.select(F.concat(cidr, F.when(F.col("s_suppkey") % 7 == 0, " a b").otherwise(F.concat(F.lit(" "), F.col("s_name")))).alias("value")).withColumn("value", F.regexp_replace("value", "#.*", "")))
     plain = reference.plain_ranges(s.filter("s_suppkey % 2 = 0").select(cidr.alias("value")), s.filter("s_suppkey % 2 = 1").select(F.concat(F.lit(" "), cidr).alias("value")))
     out = reference.resolver_networks([("Google", 2, site), ("CloudFlare", 1, plain)])
-    return out.groupBy("name", "priority", "plen").agg(F.count("*").alias("n"), F.min("net").alias("lo"), F.max("broadcast").alias("hi"))
+    return out.groupBy("name", "priority", "plen").agg(F.count("*").alias("n"), F.min("lo").alias("lo"), F.max("last_lo").alias("hi"))
 
 
 @query
 def cidr_normalise(spark, d):
     s = table(spark, d, "supplier")
-    text = F.when(F.col("s_suppkey") % 9 == 0, "2001:db8::/32").when(F.col("s_suppkey") % 10 == 0, "10.0.0.0").otherwise(F.format_string("%d.%d.3.4/%d", F.col("s_suppkey") % 300, F.col("s_nationkey"), F.col("s_suppkey") % 36))
-    return address.normalise(s.select("s_suppkey", text.alias("cidr"))).select("s_suppkey", "cidr", "plen", "net", "broadcast")
+    text = F.when(F.col("s_suppkey") % 9 == 0, F.format_string("2001:db8:%d:9::1/%d", F.col("s_suppkey") % 9999, F.col("s_suppkey") % 49)).when(F.col("s_suppkey") % 10 == 0, "10.0.0.0").otherwise(F.format_string("%d.%d.3.4/%d", F.col("s_suppkey") % 300, F.col("s_nationkey"), F.col("s_suppkey") % 36))
+    x = address.normalise(s.select("s_suppkey", text.alias("cidr")))
+    return x.select("s_suppkey", "cidr", "version", "plen", F.hex("hi").alias("hi"), "lo", F.when(F.col("version") == 4, F.col("last_lo")).alias("last"))
 
 
 @query
 def cidr_v6(spark, d):
     """Version-6 addresses of users in nested networks; the longest prefix wins."""
     a = table(spark, d, "events").select(F.format_string("2001:db8:%x::%x", F.col("user_id") % 8, F.col("event_id") % 65536).alias("address"))
-    nets = spark.createDataFrame([("2001:db8::/32", "wide", 32), ("2001:db8:3::/48", "three", 48), ("2001:db8:5::8000/113", "high", 113)], "cidr string, name string, size int")
-    return address.match_v6(a, nets, F.max_by("name", "size")).groupBy("picked").agg(F.count("*").alias("n"))
+    nets = spark.createDataFrame([("2001:db8::/32", "wide"), ("2001:db8:3::/48", "three"), ("2001:db8:5::8000/113", "high")], "cidr string, name string")
+    return address.address_dimension(a, [address.longest_prefix("picked", address.normalise(nets), "name")]).groupBy("picked").agg(F.count("*").alias("n"))
 
 
 @query
@@ -162,10 +187,21 @@ def html_table_cells(spark, d):
     return x.select("page_id", F.col("row_no").cast("long").alias("row_no"), "cell")
 
 
+@query
+def html_ranges(spark, d):
+    """Ranges of both versions out of an HTML table with id networks, made of the suppliers of a nation."""
+    s = table(spark, d, "supplier")
+    row = F.format_string("<tr><td>%d</td><td>x</td><td>y</td><td><b>%d.%d.0.0/16</b></td><td> 2001:db8:%d::/48 </td></tr>", "s_suppkey", F.col("s_suppkey") % 223 + 1, F.col("s_nationkey"), F.col("s_suppkey") % 9999)
+    page = F.concat(F.lit("<html><table><tr><td>no</td></tr></table><table class=a id='networks'><tr><th>a</th><th>b</th><th>c</th><th>v4</th><th>v6</th></tr>"), F.array_join(F.array_sort(F.collect_list(row)), ""), F.lit("</table></html>"))
+    return reference.html_ranges(s.groupBy("s_nationkey").agg(page.alias("html"))).groupBy("cidr").agg(F.count("*").alias("n"))
+
+
 @query
 def geo_networks(spark, d):
     n = table(spark, d, "nation")
-    return address.normalise(n.select("n_name", F.format_string("%d.0.0.0/%d", F.col("n_nationkey") + 1, F.col("n_nationkey") % 9 + 8).alias("cidr"))).select("n_name", "cidr", "net", "broadcast")
+    four, six = F.format_string("%d.0.0.0/%d", F.col("n_nationkey") + 1, F.col("n_nationkey") % 9 + 8), F.format_string("2001:db8:%d::/48", F.col("n_nationkey") + 1)
+    x = reference.geo_networks(n.select("n_name", F.explode(F.array(four, six)).alias("network")))
+    return x.select("n_name", "cidr", "version", "plen", F.hex("hi").alias("hi"), "lo")
 
 
 @query
@@ -220,8 +256,16 @@ def proc_time(spark, d):
 
 def with_options(spark, d) -> DataFrame:
     e = table(spark, d, "events")
-    one = [F.when(F.expr(cond), F.struct(F.lit(code).alias("code"), (F.when(F.lit(code == 15), F.col("event_id") % 25)).cast("int").alias("info_code"), F.when(F.lit(code == 8), F.format_string(f"10.{i}.0.%d", F.col("user_id") % 250)).alias("ecs_addr"), F.when(F.lit(code == 8), 24 + i).alias("ecs_mask"))) for i, (cond, code) in enumerate(V.OPTIONS)]
-    return e.select(F.col("event_id").alias("seq"), F.filter(F.array(*one), lambda o: o.isNotNull()).alias("options"), F.struct(F.lit(1232).alias("udp"), F.lit(0).alias("version"), (F.col("event_id") % 3 == 0).alias("do")).alias("opt"))
+    return e.select(F.col("event_id").alias("seq"), V.options(F.col("event_id"), F.col("user_id")).alias("options"), F.struct(F.lit(1232).alias("udp"), F.lit(0).alias("version"), (F.col("event_id") % 3 == 0).alias("do")).alias("opt"))
+
+
+SECTIONS = ("answer", "authority", "additional")
+
+
+def with_lists(m: DataFrame) -> DataFrame:
+    """Messages with their options and, on responses, their records."""
+    lists = [F.when(F.col("qr") == 1, V.records(i, F.col("seq"), F.col("who"))).alias(n) for i, n in enumerate(SECTIONS)]
+    return m.select("*", V.options(F.col("seq"), F.col("who")).alias("options"), *lists)
 
 
 @query
@@ -245,10 +289,10 @@ def edns_client_subnet(spark, d):
 
 
 def with_records(spark, d) -> DataFrame:
-    """Responses with their answer, authority and additional records as arrays."""
-    r = V.view(spark, d, V.RECORDS)
-    part = lambda s: F.transform(F.array_sort(F.collect_list(F.when(F.col("section") == s, F.struct("pos", F.lit("n").alias("name"), "type", "data")))), lambda x: F.struct(x["name"].alias("name"), x["type"].alias("type"), x["data"].alias("data")))
-    return r.groupBy("seq").agg(part(0).alias("answer"), part(1).alias("authority"), part(2).alias("additional"))
+    """Responses that have records, with their answer, authority and additional sections as arrays."""
+    e = table(spark, d, "events").filter(F.col("event_type").isin("purchase", "error"))
+    x = e.select(F.col("event_id").alias("seq"), *[V.records(i, F.col("event_id"), F.col("user_id")).alias(n) for i, n in enumerate(SECTIONS)])
+    return x.filter(F.size("answer") + F.size("authority") + F.size("additional") > 0)
 
 
 def _inline(df: DataFrame, column) -> DataFrame:
@@ -292,12 +336,22 @@ def day_partitions(spark, d):
     return dns(spark, d).groupBy(F.to_date("time").cast("string").alias("day")).agg(F.count("*").alias("n"))
 
 
-FLAT = ["dns_id", "time", "dns_qname", "dns_domainname", "dns_tld", "dns_qname_full", "dns_labels", "ip_ttl", "ip_version", "prot", "ip_src", "prot_src_port", "ip_dst", "prot_dst_port", "dns_aa", "dns_tc", "dns_rd", "dns_opcode", "dns_rcode", "dns_qtype", "dns_qclass", "ip_geo_country", "ip_asn", "ip_asn_org", "edns_ecs_ip_asn", "edns_ecs_ip_asn_org", "edns_ecs_ip_geo_country", "dns_req_len", "dns_proc_time", "dns_res_len", "dns_pub_resolver", "tcp_rtt", "server", "server_location"]
+@query
+def dns_rows(spark, d):
+    """All 50 columns of paired, enriched transactions; lists as text."""
+    x = dns(spark, d, enrichments(spark), full=True, rdata=True)
+    text = {n: F.array_join(F.col(n).cast("array<string>"), ",") for n in ("edns_options", "edns_server_options", "edns_ext_error", "dns_cname")}
+    text["dns_rdata"] = F.array_join(F.transform("dns_rdata", lambda r: F.concat_ws(":", r["section"].cast("string"), r["type"].cast("string"), r["data"])), ";")
+    return x.select(*[text.get(n, F.col(n)).alias(n) for n in x.columns])
 
 
 @query
-def dns_rows(spark, d):
-    return dns(spark, d, enrich=True).select(*FLAT)
+def stored_day(spark, d):
+    """Rows of one day of the written table, read with its partition pruned: counts and order checks by domain."""
+    path = new_path(spark, "dns")
+    sinks.write_dns(dns(spark, d), path)
+    day = sinks.read_dns(spark, path).filter("day = '2024-01-10'")
+    return day.groupBy("dns_domainname").agg(F.count("*").alias("n"), F.max("dns_id").alias("most_id"))
 
 
 @query
@@ -399,15 +453,15 @@ def asn_lookup(spark, d):
 
 @query
 def ecs_enrich(spark, d):
-    x = dns(spark, d, enrich=True)
+    x = dns(spark, d, enrichments(spark))
     return x.groupBy("edns_ecs_ip_geo_country", "edns_ecs_ip_asn", "edns_ecs_ip_asn_org").agg(F.count("*").alias("n"))
 
 
 # Metrics
 
 
-def metric_rows(spark, d) -> DataFrame:
-    return sided(dns(spark, d, enrich=True, extended_rcode=False))
+def metric_rows(spark, d, places: bool = False) -> DataFrame:
+    return sided(dns(spark, d, [country(spark)] if places else [], extended_rcode=False))
 
 
 @query
@@ -415,9 +469,9 @@ def metrics_counters(spark, d):
     return metrics.counters(metric_rows(spark, d))
 
 
-def _counts(name, column):
+def _counts(name, column, places=False):
     def run(spark, d):
-        return metrics.counts_by(metric_rows(spark, d), column(), name)
+        return metrics.counts_by(metric_rows(spark, d, places), column(), name)
 
     run.__name__ = f"metrics_{name}"
     return query(run)
@@ -426,7 +480,7 @@ def _counts(name, column):
 _counts("qtype", lambda: C.type_name("dns_qtype"))
 _counts("rcode", lambda: F.col("dns_rcode"))
 _counts("opcode", lambda: F.col("dns_opcode"))
-_counts("country", lambda: F.when(F.length("ip_geo_country") > 0, F.col("ip_geo_country")))
+_counts("country", lambda: F.when(F.length("ip_geo_country") > 0, F.col("ip_geo_country")), places=True)
 _counts("protocol", lambda: F.when(F.col("prot") == 17, "UDP").otherwise("TCP"))
 _counts("version", lambda: F.col("ip_version"))
 QUERIES["metrics_ip_version"] = QUERIES.pop("metrics_version")
@@ -444,7 +498,7 @@ def metrics_proc_time(spark, d):
 
 @query
 def metric_points(spark, d):
-    return metrics.metric_points(metric_rows(spark, d)).withColumn("value", F.round("value", 6))
+    return metrics.metric_points(metric_rows(spark, d, places=True)).withColumn("value", F.round("value", 6))
 
 
 # Objects
@@ -487,7 +541,10 @@ def top_domains(spark, d):
 
 @query
 def top_domains_on_date(spark, d):
-    x = dns(spark, d).filter((F.to_date("time") == "2024-01-10") & F.col("dns_domainname").isNotNull())
+    """Over the written table, of which only the day's partition is read."""
+    path = new_path(spark, "dns")
+    sinks.write_dns(dns(spark, d), path)
+    x = sinks.read_dns(spark, path).filter((F.col("day") == "2024-01-10") & F.col("dns_domainname").isNotNull())
     return x.groupBy("dns_domainname").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dns_domainname").limit(10)
 
 

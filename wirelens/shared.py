@@ -1,4 +1,4 @@
-"""Tables in the folder that the driver and all executors share."""
+"""Tables in the folder that the driver and all executors share, and files opened in tasks."""
 
 from __future__ import annotations
 
@@ -29,3 +29,15 @@ def cut(df: DataFrame) -> DataFrame:
     path = new_path(df.sparkSession, "cut")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def open_path(path: str):
+    """A seekable file by URI or path; Spark's ``file:/x`` has one slash where others want three."""
+    from pyarrow import fs
+
+    if ":/" not in path:
+        return fs.LocalFileSystem().open_input_file(path)
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = path.replace("file:/", "file:///", 1)
+    system, name = fs.FileSystem.from_uri(path)
+    return system.open_input_file(name)

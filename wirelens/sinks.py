@@ -2,30 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators.rows import DDL
+
 
 def day(ts: str = "time") -> Column:
     return F.to_date(ts)
 
 
-def write_dns(rows: DataFrame, path: str, sort: str | None = "dns_domainname", salts: int = 1, rows_per_file: int = 10_000_000, bloom: bool = True) -> None:
-    """Append rows as Parquet (zstd) by day. Each day is dealt to ``salts`` tasks by a hash of the sort column and
-    sorted there, nulls last, so row groups can be skipped; an unknown sort column leaves the order as it is."""
+def write_dns(rows: DataFrame, path: str, sort: str | None = "dns_domainname", rows_per_file: int = 10_000_000, tasks: int | None = None, bloom: bool = True) -> None:
+    """Append rows as Parquet (zstd) by day, sorted in each file by ``sort`` (nulls last), so row groups can be skipped.
+
+    Rows are dealt by ranges of (day, sort column, client port): a busy day, or a busy domain within it, goes to as many
+    tasks as its share of the rows asks for. ``tasks`` is the number of ranges (the session's shuffle partitions if
+    unset). An unknown sort column leaves the order as it is.
+    """
     x = rows.withColumn("day", day())
     if sort and sort in rows.columns:
-        x = x.repartition("day", F.pmod(F.xxhash64(sort), F.lit(salts))).sortWithinPartitions("day", F.asc_nulls_last(sort))
+        spread = [F.col("prot_src_port")] if "prot_src_port" in rows.columns else []
+        order = [F.col("day"), F.asc_nulls_last(sort)]
+        x = (x.repartitionByRange(tasks, *order, *spread) if tasks else x.repartitionByRange(*order, *spread)).sortWithinPartitions(*order)
     w = x.write.mode("append").partitionBy("day").option("compression", "zstd").option("maxRecordsPerFile", rows_per_file)
     if bloom:
         w = w.option("parquet.bloom.filter.enabled#dns_domainname", "true").option("parquet.bloom.filter.max.bytes", 1 << 20).option("parquet.dictionary.page.size", 2 << 20)
     w.parquet(path)
 
 
+def read_dns(spark: SparkSession, path: str) -> DataFrame:
+    """The written table; a filter on ``day`` reads that day's folder only. Columns that older files lack are null."""
+    return spark.read.schema(f"{DDL}, day date").parquet(path)
+
+
+def compact(spark: SparkSession, path: str, target: str, rows_per_file: int = 10_000_000, sort: str = "dns_domainname") -> None:
+    """Write the table anew to ``target`` with as many files as its rows ask for, sorted over each day: joins the small
+    files that frequent appends leave."""
+    rows = read_dns(spark, path)
+    write_dns(rows.drop("day"), target, sort, rows_per_file, max(1, -(-rows.count() // rows_per_file)))
+
+
 def write_points(points: DataFrame, path: str) -> None:
+    """Append metric points, by metric."""
     points.write.mode("append").partitionBy("metric").parquet(path)
 
 
 def dispose(objects: DataFrame, path: str) -> None:
     """Append what became of each capture (object_key, state, ended) to the ledger."""
     objects.select("object_key", "state", "ended").write.mode("append").parquet(path)
+
+
+def report_malformed(malformed: DataFrame, path: str) -> None:
+    """Append messages that could not be decoded (file, seq, ts, reason) to their ledger."""
+    malformed.select("file", "seq", "ts", "reason").write.mode("append").parquet(path)

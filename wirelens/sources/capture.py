@@ -1,19 +1,24 @@
-"""Capture files to packets and DNS messages. A file isn't splittable, so each is one row and one kernel call; what
-follows is repartitioned by flow. Decoding bytes needs Python; everything behind it is columns."""
+"""Capture files to packets and DNS messages. A compressed file isn't splittable, so each is streamed through one task, a
+frame at a time, whatever its size; what follows is repartitioned by flow. Decoding bytes needs Python; everything
+behind it is columns."""
 
 from __future__ import annotations
 
 import bz2
 import gzip
+import io
 import ipaddress
 import lzma
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import time_of_millis
+from ..shared import open_path
+
 PACKETS = "file string, seq long, ts_ms long, ip_version int, protocol int, ttl int, src string, src_port int, dst string, dst_port int, do_not_fragment boolean, frag_offset int, more_fragments boolean, ip_id int, tcp_seq long, tcp_flags int, payload binary"
 RR = "array<struct<name:string,type:int,data:string>>"
 MESSAGES = f"header struct<id:int,qr:int,opcode:int,aa:boolean,tc:boolean,rd:boolean,ra:boolean,ad:boolean,cd:boolean,rcode:int,qdcount:int,ancount:int,nscount:int,arcount:int>, questions array<struct<qname:string,qtype:int,qclass:int>>, answer {RR}, authority {RR}, additional {RR}, opt struct<udp:int,ext_rcode:int,version:int,do:boolean,options:array<struct<code:int,info_code:int,ecs_addr:string,ecs_mask:int>>>"
@@ -24,24 +29,25 @@ def read_captures(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.{pcap,gz,xz,bz2}").option("recursiveFileLookup", "true").load(path)
 
 
-def _open(path: str, content: bytes) -> bytes:
+def _open(path: str, raw) -> io.BufferedIOBase:
+    """The file unpacked by its suffix, as a stream; gz, xz and bz2 files may hold several parts."""
     kind = path.rsplit(".", 1)[-1]
-    return {"gz": gzip.decompress, "xz": lzma.decompress, "bz2": bz2.decompress}.get(kind, bytes)(content)
+    return {"gz": lambda f: gzip.GzipFile(fileobj=f), "xz": lzma.LZMAFile, "bz2": bz2.BZ2File}.get(kind, lambda f: f)(raw)
 
 
-def _frames(raw: bytes) -> Iterator[tuple[int, bytes]]:
-    if len(raw) < 24:
+def _frames(f) -> Iterator[tuple[int, bytes]]:
+    """(milliseconds, frame) of a capture; one that is cut off ends with its last whole frame."""
+    head = f.read(24)
+    if len(head) < 24:
         return
-    magic = raw[:4]
+    magic = head[:4]
     order = "<" if magic in (b"\xd4\xc3\xb2\xa1", b"\x4d\x3c\xb2\xa1") else ">"
     nano = magic in (b"\x4d\x3c\xb2\xa1", b"\xa1\xb2\x3c\x4d")
-    at = 24
-    while at + 16 <= len(raw):
-        sec, part, size, _ = struct.unpack_from(order + "IIII", raw, at)
-        if at + 16 + size > len(raw):
+    while len(record := f.read(16)) == 16:
+        sec, part, size, _ = struct.unpack(order + "IIII", record)
+        if len(frame := f.read(size)) < size:
             return
-        yield sec * 1000 + part // (1_000_000 if nano else 1000), raw[at + 16 : at + 16 + size]
-        at += 16 + size
+        yield sec * 1000 + part // (1_000_000 if nano else 1000), frame
 
 
 def _packet(frame: bytes) -> dict | None:
@@ -72,25 +78,48 @@ def _packet(frame: bytes) -> dict | None:
     return p | {"payload": body}
 
 
+def _packet_rows(path: str, raw) -> Iterator[pa.RecordBatch]:
+    names = [x.strip().split(" ") for x in PACKETS.split(",")]
+    kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
+    schema = pa.schema([(n, kinds[k]) for n, k in names])
+    out, size = [], 0
+    for seq, (ts, frame) in enumerate(_frames(_open(path, raw))):
+        if p := _packet(frame):
+            out.append({"file": path, "seq": seq, "ts_ms": ts} | p)
+            size += len(frame)
+        if len(out) >= 5000 or size > 4 << 20:
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+            out, size = [], 0
+    yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+
+def _timed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("ts", time_of_millis("ts_ms")).drop("ts_ms")
+
+
 def packets(captures: DataFrame) -> DataFrame:
-    """One row per captured IP packet, in order within its file (``seq``), times in milliseconds."""
+    """One row per captured IP packet of (path, content) rows, in order within its file (``seq``), times in milliseconds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.strip().split(" ") for x in PACKETS.split(",")]
-        kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
-        schema = pa.schema([(n, kinds[k]) for n, k in names])
         for b in batches:
-            for path, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
-                out = []
-                for seq, (ts, frame) in enumerate(_frames(_open(path, content))):
-                    if p := _packet(frame):
-                        out.append({"file": path, "seq": seq, "ts_ms": ts} | p)
-                    if len(out) >= 5000:
-                        yield pa.RecordBatch.from_pylist(out, schema=schema)
-                        out = []
-                yield pa.RecordBatch.from_pylist(out, schema=schema)
+            for path, content in zip(b.column("path").to_pylist(), b.column("content")):
+                yield from _packet_rows(path, io.BytesIO(memoryview(content.as_buffer())))
+
+    return _timed(captures.select("path", "content").mapInArrow(run, PACKETS))
+
+
+def read_packets(spark: SparkSession, path: str, open_file: Callable = open_path) -> DataFrame:
+    """``packets`` of the capture files under a path, of any size: Spark lists them, and each is opened by ``open_file``
+    in a task and streamed."""
+    files = read_captures(spark, path).select("path", "length").filter("length > 0")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name in b.column("path").to_pylist():
+                with open_file(name) as raw:
+                    yield from _packet_rows(name, raw)
 
-    return captures.select("path", "content").mapInArrow(run, PACKETS).withColumn("ts", F.timestamp_millis("ts_ms").cast("timestamp_ntz")).drop("ts_ms")
+    return _timed(files.repartition("path").select("path").mapInArrow(run, PACKETS))
 
 
 def _name(m: bytes, at: int) -> tuple[str, int]:
@@ -148,53 +177,71 @@ def _options(d: bytes) -> list[dict]:
 def decode(m: bytes) -> dict | None:
     """Header, questions, sections and option record of a DNS message; None if it is malformed."""
     try:
-        ident, flags, qd, an, ns, ar = struct.unpack_from("!6H", m)
-        bit = lambda n: bool(flags >> n & 1)
-        head = {"id": ident, "qr": flags >> 15, "opcode": flags >> 11 & 15, "aa": bit(10), "tc": bit(9), "rd": bit(8), "ra": bit(7), "ad": bit(5), "cd": bit(4), "rcode": flags & 15, "qdcount": qd, "ancount": an, "nscount": ns, "arcount": ar}
-        at, questions, opt = 12, [], None
-        for _ in range(qd):
-            name, at = _name(m, at)
-            kind, cls = struct.unpack_from("!HH", m, at)
-            at += 4
-            questions.append({"qname": name, "qtype": kind, "qclass": cls})
-        sections: list[list[dict]] = [[], [], []]
-        for i, n in enumerate((an, ns, ar)):
-            for _ in range(n):
-                name, at = _name(m, at)
-                kind, cls, ttl, size = struct.unpack_from("!HHIH", m, at)
-                at += 10
-                if at + size > len(m):
-                    return None
-                if kind == 41:
-                    opt = {"udp": cls, "ext_rcode": ttl >> 24, "version": ttl >> 16 & 255, "do": bool(ttl >> 15 & 1), "options": _options(m[at : at + size])}
-                else:
-                    sections[i].append({"name": name, "type": kind, "data": _rdata(m, kind, at, size)})
-                at += size
-        return {"header": head, "questions": questions, "answer": sections[0], "authority": sections[1], "additional": sections[2], "opt": opt}
+        return _decode(m)
     except (IndexError, ValueError, struct.error):
         return None
 
 
-def messages(rows: DataFrame, payload: str = "payload") -> DataFrame:
-    """``rows`` with the decoded message's columns in place of the payload; malformed ones go."""
+def _decode(m: bytes) -> dict:
+    ident, flags, qd, an, ns, ar = struct.unpack_from("!6H", m)
+    bit = lambda n: bool(flags >> n & 1)
+    head = {"id": ident, "qr": flags >> 15, "opcode": flags >> 11 & 15, "aa": bit(10), "tc": bit(9), "rd": bit(8), "ra": bit(7), "ad": bit(5), "cd": bit(4), "rcode": flags & 15, "qdcount": qd, "ancount": an, "nscount": ns, "arcount": ar}
+    at, questions, opt = 12, [], None
+    for _ in range(qd):
+        name, at = _name(m, at)
+        kind, cls = struct.unpack_from("!HH", m, at)
+        at += 4
+        questions.append({"qname": name, "qtype": kind, "qclass": cls})
+    sections: list[list[dict]] = [[], [], []]
+    for i, n in enumerate((an, ns, ar)):
+        for _ in range(n):
+            name, at = _name(m, at)
+            kind, cls, ttl, size = struct.unpack_from("!HHIH", m, at)
+            at += 10
+            if at + size > len(m):
+                raise ValueError("record data is cut off")
+            if kind == 41:
+                opt = {"udp": cls, "ext_rcode": ttl >> 24, "version": ttl >> 16 & 255, "do": bool(ttl >> 15 & 1), "options": _options(m[at : at + size])}
+            else:
+                sections[i].append({"name": name, "type": kind, "data": _rdata(m, kind, at, size)})
+            at += size
+    return {"header": head, "questions": questions, "answer": sections[0], "authority": sections[1], "additional": sections[2], "opt": opt}
+
+
+def decoded(rows: DataFrame, payload: str = "payload") -> DataFrame:
+    """``rows`` with the decoded message's columns in place of the payload, and ``malformed``: why a message could not be
+    decoded, or null."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     keep = [f for f in rows.schema.fields if f.name != payload]
-    target = StructType([*keep, *StructType.fromDDL(MESSAGES).fields])
+    target = StructType([*keep, *StructType.fromDDL(MESSAGES + ", malformed string").fields])
     schema = to_arrow_schema(target)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for r in b.to_pylist():
-                if (d := decode(r.pop(payload) or b"")) is not None:
-                    out.append(r | d)
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 5000):
+                out = []
+                for r in whole.slice(at, 5000).to_pylist():
+                    try:
+                        out.append(r | _decode(r.pop(payload) or b""))
+                    except (IndexError, ValueError, struct.error) as e:
+                        out.append(r | {"malformed": str(e) or type(e).__name__})
+                yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     return rows.mapInArrow(run, target)
 
 
+def messages(rows: DataFrame, payload: str = "payload") -> DataFrame:
+    """``rows`` whose payload is a DNS message, decoded; see ``malformed`` for the others."""
+    return decoded(rows, payload).filter("malformed IS NULL").drop("malformed")
+
+
+def malformed(rows: DataFrame, payload: str = "payload") -> DataFrame:
+    """(file, seq, ts, reason) of rows whose payload could not be decoded."""
+    return decoded(rows, payload).filter("malformed IS NOT NULL").select("file", "seq", "ts", F.col("malformed").alias("reason"))
+
+
 def flat_messages(decoded: DataFrame) -> DataFrame:
     """Decoded messages as the flat columns that pairing takes: the client is the side that isn't port 53."""
     asks = F.col("header.qr") == 0

@@ -49,6 +49,11 @@ def resolver_networks(lists: list[tuple[str, int, DataFrame]]) -> DataFrame:
     return out
 
 
-def geo_csv(spark: SparkSession, path: str, columns: str = "network string, value string, org string") -> DataFrame:
-    """Normalised networks of a vendor's CSV file."""
-    return normalise(spark.read.csv(path, schema=columns, header=True).withColumnRenamed("network", "cidr"))
+def geo_networks(rows: DataFrame, network: str = "network") -> DataFrame:
+    """Normalised networks of both versions from the rows of a vendor's network list."""
+    return normalise(rows.withColumnRenamed(network, "cidr"))
+
+
+def geo_csv(spark: SparkSession, paths: str | list[str], columns: str = "network string, value string, org string") -> DataFrame:
+    """``geo_networks`` of a vendor's CSV files (version 4 and 6 come in files of their own)."""
+    return geo_networks(spark.read.csv(paths, schema=columns, header=True))
