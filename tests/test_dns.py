@@ -2,6 +2,7 @@
 
 import bz2
 import gzip
+import ipaddress
 import lzma
 import random
 import struct
@@ -11,11 +12,12 @@ from pyspark.sql import functions as F
 
 from wirelens import sinks
 from wirelens.functions import columns as C
-from wirelens.operators import address, names, objects, pairing, rows, tcp
+from wirelens.operators import address, metrics, names, objects, pairing, rows, tcp
 from wirelens.plans import queries as Q
 from wirelens.sources import capture, reference
 from wirelens.streaming import jobs
 
+#: Names with their registered domain, the part before it, public suffix and number of labels.
 NAMES = [
     ("zone.nl.", "zone.nl", None, "nl", 2), ("%%%.zone.nl.", "zone.nl", "%%%", "nl", 3), ("*.nl.", "*.nl", None, "nl", 2), ("*.zone.nl.", "zone.nl", "*", "nl", 3), ("test.www.zone.nl.", "zone.nl", "test.www", "nl", 4),
     ("test.blogspot.co.uk.", "blogspot.co.uk", "test", "co.uk", 4), ("www.acme.co.nz.", "acme.co.nz", "www", "co.nz", 4), ("_gc._tcp.host.net.nz.", "host.net.nz", "_gc._tcp", "net.nz", 5), ("email.test@example.com.", "test@example.com", "email", "com", 3),
@@ -43,16 +45,32 @@ def test_hot_rules_and_standard(spark):
 
 
 def test_cidr_table(spark):
-    nets = ["192.168.1.0/24", "10.0.0.0/8", "172.16.0.0/12", "2001:db8::/32", "2001:0db8:85a3::/64"]
-    n = spark.createDataFrame([(c, c, 1) for c in [*nets, "bad", "1.2.3.4/40"]], "cidr string, name string, priority int")
-    a = spark.createDataFrame([(x,) for x in ("192.168.1.5", "192.168.1.0", "192.168.1.255", "10.1.1.1", "2001:db8::1", "192.168.2.5", "2001:db9::1", "2001:db8:85a3::9", None, "x.y")], "address string")
-    v4 = address.normalise(n)
-    assert v4.count() == 3
-    got = {r["address"] for r in address.match(a, v4, F.min("name"), inclusive=False).collect()}
-    assert got == {"192.168.1.5", "10.1.1.1"}
-    assert {r["address"] for r in address.match(a, v4, F.min("name")).collect()} == {"192.168.1.5", "192.168.1.0", "192.168.1.255", "10.1.1.1"}
-    v6 = {r["address"]: r["picked"] for r in address.match_v6(a, n, F.max_by("name", "plen")).collect()}
-    assert v6 == {"2001:db8::1": "2001:db8::/32", "2001:db8:85a3::9": "2001:0db8:85a3::/64"}
+    nets = ["192.168.1.0/24", "10.0.0.0/8", "172.16.0.0/12", "2001:db8::/32", "2001:0db8:85a3::/64", "0.0.0.0/0", "10.9.9.9/32"]
+    n = address.normalise(spark.createDataFrame([(c, c, 1) for c in [*nets, "bad", "1.2.3.4/40", "2001:db8::/129", "1::2::3/64", "1.2.3.4", "/8"]], "cidr string, name string, priority int"))
+    assert n.count() == len(nets)
+    a = spark.createDataFrame([(x,) for x in ("192.168.1.5", "192.168.1.0", "192.168.1.255", "10.1.1.1", "10.9.9.9", "2001:db8::1", "192.168.2.5", "2001:db9::1", "2001:db8:85a3::9", None, "x.y", "10.1.1.1")], "address string")
+    own = n.filter("cidr <> '0.0.0.0/0'")
+    both = [address.Enrichment("open", own, "name", "plen", True, False), address.longest_prefix("plain", own, "name"), address.longest_prefix("all", n, "name")]
+    got = {r["address"]: (r["open"], r["plain"], r["all"]) for r in address.address_dimension(a, both).collect()}
+    local, wide = "192.168.1.0/24", "0.0.0.0/0"
+    assert got == {
+        "192.168.1.5": (local, local, local), "192.168.1.0": (None, local, local), "192.168.1.255": (None, local, local), "10.1.1.1": ("10.0.0.0/8",) * 3, "10.9.9.9": ("10.0.0.0/8", "10.9.9.9/32", "10.9.9.9/32"),
+        "2001:db8::1": ("2001:db8::/32",) * 3, "192.168.2.5": (None, None, wide), "2001:db9::1": (None,) * 3, "2001:db8:85a3::9": ("2001:0db8:85a3::/64",) * 3, "x.y": (None,) * 3,
+    }
+
+
+def test_version_6_text(spark):
+    r = random.Random(2)
+    texts = ["::", "::1", "1::", "fe80::1", "::ffff:1.2.3.4", "1:2:3:4:5:6:1.2.3.4", "2001:DB8::A", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8", "", ":", ":::", "1:2", "1::2::3", "1:2:3:4:5:6:7:8:9", "12345::", "g::", "::1.2.3.400", "1.2.3.4", "1:2:3:4:5:6:7:8::", None]
+    texts += [str(ipaddress.IPv6Address(r.getrandbits(128) & r.choice([2**128 - 1, 2**64 - 1, (2**64 - 1) << 64, 0xFFFF << 48]))) for _ in range(100)]
+    df = spark.createDataFrame([(t,) for t in texts], "a string").select("a", C.ipv6_halves("a").alias("h"))
+    for row in df.collect():
+        try:
+            want = int(ipaddress.IPv6Address(row["a"]))
+        except (ValueError, TypeError):
+            want = None
+        got = None if row["h"] is None else (row["h"]["hi"] % 2**64 << 64) + row["h"]["lo"] % 2**64
+        assert got == want, row["a"]
 
 
 FIELDS = "capture_file string, seq long, ts timestamp_ntz, qr int, dns_id int, client_ip string, client_port int, qname string, qtype int"
@@ -98,27 +116,98 @@ def test_pairing_needs_few_exchanges(spark, sf, capsys):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def stream(spark, df, path, batches, run):
+    """Run a stream over ``df`` cut into micro-batches by seq, to its end; rows of each batch."""
+    n = df.agg(F.max("seq")).first()[0] + 1
+    for i in range(batches):
+        df.filter(F.floor(F.col("seq") * batches / n) == i).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    q = run(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")).option("checkpointLocation", f"{path}/cp").start()
+    q.processAllAvailable()
+    return q
+
+
 def test_streaming_pairing_is_batch_pairing(spark, tmp_path):
     data, df = random_messages(spark, 11, 200)
-    for i in range(4):
-        df.filter((F.col("seq") >= i * 50) & (F.col("seq") < (i + 1) * 50)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    q = jobs.pair_stream(stream, expiry_ms=10**9).writeStream.format("memory").queryName("paired").option("checkpointLocation", str(tmp_path / "cp")).start()
-    q.processAllAvailable()
+    q = stream(spark, df, tmp_path, 4, lambda s: jobs.pair_stream(s, expiry_ms=10**9).writeStream.format("memory").queryName("paired"))
     q.stop()
     got = {(r["req_seq"], r["rsp_seq"]) for r in spark.table("paired").collect()}
     assert got == {p for p in sequential(data) if p[1] is not None}
 
 
-def test_metric_stream(spark, tmp_path, sf):
-    x = Q.sided(Q.dns(spark, sf)).select("time", "server", "server_location", "has_request", "has_response", "dns_proc_time")
-    x.write.parquet(str(tmp_path / "in"))
-    s = spark.readStream.schema(x.schema).parquet(str(tmp_path / "in"))
-    q = jobs.metric_stream(s).writeStream.format("memory").queryName("points").outputMode("complete").option("checkpointLocation", str(tmp_path / "cp")).start()
-    q.processAllAvailable()
+def test_streaming_pairing_expires_and_forgets(spark, tmp_path):
+    """Requests leave alone once their time is over, late responses don't pair, and no state stays behind."""
+    at = [(0, 0, "a", 1, 0), (1, 0, "b", 1, 100), (2, 1, "b", 1, 200), (3, 0, None, 1, 300), (4, 0, "x", 252, 400), (5, 1, "a", 1, 60_000), (6, 0, "c", 1, 61_000), (7, 1, "c", 1, 61_500), (8, 1, "d", 1, 200_000), (9, 1, "e", 1, 400_000)]
+    df = spark.createDataFrame([("f", s, qr, 1, "ip", 1, name, kind, ms) for s, qr, name, kind, ms in at], "capture_file string, seq long, qr int, dns_id int, client_ip string, client_port int, qname string, qtype int, ms long")
+    df = df.withColumn("ts", F.timestamp_millis(F.col("ms") + 10**12).cast("timestamp_ntz")).drop("ms")
+    q = stream(spark, df, tmp_path, 10, lambda s: jobs.pair_stream(s, expiry_ms=1000, late="1 second").writeStream.format("memory").queryName("expired"))
+    left = q.lastProgress["stateOperators"][0]["numRowsTotal"]
+    q.stop()
+    got = {(r["qname"], r["req_seq"], r["rsp_seq"]) for r in spark.table("expired").collect()}
+    assert got == {("a", 0, None), ("b", 1, 2), ("a", None, 5), ("c", 6, 7), ("d", None, 8), ("e", None, 9)}
+    assert left == 0
+
+
+def test_metric_stream_is_metric_points(spark, tmp_path, sf):
+    x = Q.sided(Q.dns(spark, sf, [Q.country(spark)])).withColumn("seq", F.monotonically_increasing_id() % 1000)
+    x = spark.createDataFrame(x.select("seq", "time", "server", "server_location", "has_request", "has_response", "dns_qtype", "dns_rcode", "dns_opcode", "ip_geo_country", "prot", "ip_version", "tcp_rtt", "dns_proc_time").limit(300).collect(), "seq long, time timestamp_ntz, server string, server_location string, has_request boolean, has_response boolean, dns_qtype int, dns_rcode int, dns_opcode int, ip_geo_country string, prot int, ip_version int, tcp_rtt int, dns_proc_time int")
+    path = str(tmp_path / "points")
+    q = stream(spark, x, tmp_path, 3, lambda s: jobs.metric_stream(s, late="1000 days").writeStream.outputMode("update").foreachBatch(lambda df, i: jobs.upsert_points(df, i, path)))
     q.stop()
-    t = spark.table("points").agg(F.sum("requests"), F.sum("responses")).first()
-    assert tuple(t) == (x.filter("has_request").count(), x.filter("has_response").count())
+    got, want = jobs.latest_points(spark, path), metrics.metric_points(x)
+    key = lambda df: sorted(tuple(str(r[c]) for c in ("metric", "bin", "tag", "server", "type", "value")) for r in df.collect())
+    assert key(got) == key(want) and got.count() > 100
+
+
+def test_ingest_rolls_at_the_least_rows(spark, tmp_path):
+    ask = udp("10.0.0.9", "198.51.100.53", 4000, 53, dns_message())
+    for i in range(3):
+        (tmp_path / f"x_ns1_ams-{i}.pcap").write_bytes(pcap([ask] * 4 + [ask[:50]]))
+    written, bad = str(tmp_path / "table"), str(tmp_path / "bad")
+    roller = jobs.Roller(spark, str(tmp_path / "staged"), lambda df: df.write.mode("append").parquet(written), 10)
+
+    def build(df):
+        p = capture.packets(df)
+        sinks.report_malformed(capture.malformed(p), bad)
+        return capture.messages(p).select("file", "seq")
+
+    numbers = iter(range(9))
+    q = jobs.ingest(jobs.new_captures(spark, str(tmp_path), 1), build, lambda df: roller.add(df, next(numbers)), str(tmp_path / "cp"))
+    q.awaitTermination()
+    assert spark.read.parquet(written).count() == 12 and spark.read.parquet(bad).count() == 3
+    assert [r["reason"] != "" for r in spark.read.parquet(bad).collect()] == [True] * 3
+    roller.add(spark.createDataFrame([("late", 1)], "file string, seq long"), 7)
+    assert spark.read.parquet(written).count() == 12
+    roller.flush()
+    roller.flush()
+    assert spark.read.parquet(written).count() == 13
+
+
+def test_small_sinks(spark, sf, tmp_path):
+    points = metrics.metric_points(Q.sided(Q.dns(spark, sf, [Q.country(spark)])))
+    sinks.write_points(points, str(tmp_path / "points"))
+    assert spark.read.parquet(str(tmp_path / "points")).count() == points.count()
+    led = objects.object_state(Q.V.view(spark, sf, Q.V.LEDGER), F.lit(Q.NOW).cast("timestamp_ntz"), 3600, 3600)
+    for _ in range(2):
+        sinks.dispose(led, str(tmp_path / "ledger"))
+    assert spark.read.parquet(str(tmp_path / "ledger")).count() == 2 * led.count()
+    (tmp_path / "geo.csv").write_text("network,value,org\n10.0.0.0/8,ZZ,Own\n2001:db8::/32,SE,Wide\nbad,x,y\n")
+    geo = reference.geo_csv(spark, str(tmp_path / "geo.csv"))
+    got = address.address_dimension(spark.createDataFrame([("10.1.1.1",), ("2001:db8::7",)], "address string"), [address.longest_prefix("iso", geo, "value"), address.longest_prefix("org", geo, "org")])
+    assert sorted(map(tuple, got.collect())) == [("10.1.1.1", "ZZ", "Own"), ("2001:db8::7", "SE", "Wide")]
+
+
+def test_rows_need_pairing_once(spark, sf):
+    """Enrichment doesn't compute the pairs again: the windows of the plan are those of pairing."""
+    plan = Q.dns(spark, sf, Q.enrichments(spark))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == Q.pairs(spark, sf)._jdf.queryExecution().executedPlan().toString().count("Window [") == 3
+
+
+def test_stored_day_is_pruned(spark, sf, tmp_path):
+    sinks.write_dns(Q.dns(spark, sf), str(tmp_path / "t"))
+    plan = sinks.read_dns(spark, str(tmp_path / "t")).filter("day = '2024-01-10' AND dns_domainname = 'zone.nl'").select("dns_domainname")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "EqualTo(dns_domainname,zone.nl)" in plan and "ReadSchema: struct<dns_domainname:string>" in plan
+    sinks.compact(spark, str(tmp_path / "t"), str(tmp_path / "one"))
+    assert sinks.read_dns(spark, str(tmp_path / "one")).count() == sinks.read_dns(spark, str(tmp_path / "t")).count()
 
 
 def name_bytes(n):
@@ -158,6 +247,7 @@ def test_captures_to_rows(spark, tmp_path):
     (tmp_path / f"{name}.xz").write_bytes(lzma.compress(one) + lzma.compress(pcap([say])[24:]))
     (tmp_path / "skipped.PCAP").write_bytes(two)
     packets = capture.packets(capture.read_captures(spark, str(tmp_path)))
+    assert sorted(map(str, packets.collect())) == sorted(map(str, capture.read_packets(spark, str(tmp_path)).collect()))
     assert packets.count() == 8 and packets.filter("do_not_fragment").count() == 8
     decoded = capture.messages(packets.withColumn("msg_len", F.length("payload")).withColumn("tcp_rtt", F.lit(None).cast("int")))
     got = rows.build_dns(pairing.transactions(capture.flat_messages(decoded)), Q.rules(spark), o=rows.Options(rdata=True)).collect()
@@ -198,9 +288,9 @@ def test_sink(spark, sf, tmp_path):
     sinks.write_dns(x, str(tmp_path / "t"))
     back = spark.read.parquet(str(tmp_path / "t"))
     assert back.count() == x.count()
-    part = back.filter("day = '2024-01-05'").select("dns_domainname").collect()
-    values = [r[0] for r in part]
-    assert values == sorted([v for v in values if v is not None]) + [None] * values.count(None)
+    for file in {r[0] for r in back.select(F.input_file_name()).distinct().collect()}:
+        values = [r[0] for r in spark.read.parquet(file).select("dns_domainname").collect()]
+        assert values == sorted([v for v in values if v is not None]) + [None] * values.count(None)
     assert all(".zstd." in f for f in back.inputFiles())
 
 

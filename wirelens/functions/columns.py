@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,11 @@ TRANSFERS = (251, 252)
 DNSSEC_TYPES = (43, 46, 48)
 OPTION_SUBNET, OPTION_ERROR = 8, 15
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed and written once however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 _TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
 
@@ -31,7 +38,7 @@ def clean_name(name: str | Column) -> Column:
     x = F.regexp_replace(col(name), _TRIM, "")
     x = F.regexp_replace(F.regexp_replace(x, r"\.$", ""), r"^\.+", "")
     x = F.regexp_replace(F.regexp_replace(x, r"[\x00-\x20]", ""), r"[^\x00-\x7E]", "?")
-    return F.translate(x, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return ascii_lower(x)
 
 
 def labels(clean: str | Column) -> Column:
@@ -48,27 +55,31 @@ def last_labels(parts: Column, n: int) -> Column:
 def ipv4_number(address: str | Column) -> Column:
     """Number of a dotted address; null unless it has four parts of 0 to 255."""
     a = col(address)
-    parts = F.split(a, r"\.")
-    ok = a.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$") & F.forall(parts, lambda p: p.cast("int") <= 255)
-    return F.when(ok, F.aggregate(parts, F.lit(0).cast("long"), lambda t, p: t * 256 + p.cast("long")))
+    number = let(F.split(a, r"\.").cast("array<int>"), lambda parts: F.when(F.forall(parts, lambda p: p <= 255), F.aggregate(parts, F.lit(0).cast("long"), lambda t, p: t * 256 + p)))
+    return F.when(a.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), number)
 
 
 def ipv6_halves(address: str | Column) -> Column:
     """struct(hi, lo) of a version-6 address, with '::' and a dotted version-4 tail allowed; null for any other text."""
-    a = F.lower(col(address))
-    tail = F.regexp_extract(a, r":([0-9]{1,3}(?:\.[0-9]{1,3}){3})$", 1)
-    four = ipv4_number(tail)
-    text = F.when(F.length(tail) > 0, F.concat(F.left(a, F.length(a) - F.length(tail)), F.format_string("%x:%x", F.shiftright(four, 16), four.bitwiseAND(0xFFFF)))).otherwise(a)
-    sides = F.split(text, "::")
     none = F.array().cast("array<string>")
-    groups = lambda i: F.when(F.length(sides[i]) > 0, F.split(sides[i], ":")).otherwise(none)
-    zeros = F.lit(8) - F.size(groups(0)) - F.size(F.when(F.size(sides) == 2, groups(1)).otherwise(none))
-    whole = F.when(F.size(sides) == 1, groups(0)).when((F.size(sides) == 2) & (zeros > 0), F.concat(groups(0), F.array_repeat(F.lit("0"), zeros), F.when(F.size(sides) == 2, groups(1)).otherwise(none)))
-    digits = F.array_join(F.transform(whole, lambda g: F.lpad(g, 4, "0")), "")
-    word = lambda i: F.conv(F.substring(digits, 8 * i + 1, 8), 16, 10).cast("long")
-    half = lambda i: F.shiftleft(word(i), 32).bitwiseOR(word(i + 1))
-    ok = F.contains(a, F.lit(":")) & (F.size(whole) == 8) & F.forall(whole, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
-    return F.when(ok, F.struct(half(0).alias("hi"), half(2).alias("lo")))
+
+    def dotted(a: Column) -> Column:
+        tail = F.regexp_extract(a, r":([0-9]{1,3}(?:\.[0-9]{1,3}){3})$", 1)
+        return F.when(F.contains(a, F.lit(".")), let(tail, lambda t: let(ipv4_number(t), lambda n: F.concat(F.left(a, F.length(a) - F.length(t)), F.format_string("%x:%x", F.shiftright(n, 16), n.bitwiseAND(0xFFFF)))))).otherwise(a)
+
+    def sides(text: Column) -> Column:
+        groups = F.transform(F.split(text, "::"), lambda s: F.when(F.length(s) > 0, F.split(s, ":")).otherwise(none))
+        return let(groups, lambda g: F.when(F.size(g) == 1, g[0]).when((F.size(g) == 2) & (F.size(g[0]) + F.size(F.get(g, F.lit(1))) < 8), F.concat(g[0], F.array_repeat(F.lit("0"), F.lit(8) - F.size(g[0]) - F.size(F.get(g, F.lit(1)))), F.get(g, F.lit(1)))))
+
+    def halves(whole: Column) -> Column:
+        digits = F.array_join(F.transform(whole, lambda g: F.lpad(g, 4, "0")), "")
+        word = lambda d, i: F.conv(F.substring(d, 8 * i + 1, 8), 16, 10).cast("long")
+        half = lambda d, i: F.shiftleft(word(d, i), 32).bitwiseOR(word(d, i + 1))
+        pair = let(digits, lambda d: F.struct(half(d, 0).alias("hi"), half(d, 2).alias("lo")))
+        return F.when((F.size(whole) == 8) & F.forall(whole, lambda g: g.rlike("^[0-9a-f]{1,4}$")), pair)
+
+    a = F.lower(col(address))
+    return F.when(F.contains(a, F.lit(":")), let(let(let(a, dotted), sides), halves))
 
 
 def is_v4(address: str | Column) -> Column:
@@ -79,10 +90,9 @@ def is_v6(address: str | Column) -> Column:
     return F.contains(col(address), F.lit(":"))
 
 
-def same_ascii(a: str | Column, b: str | Column) -> Column:
-    """Equality without regard to ASCII case."""
-    up, low = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return F.translate(col(a), up, low) == F.translate(col(b), up, low)
+def ascii_lower(text: str | Column) -> Column:
+    """Lower case of A to Z only; equal for names that are equal without regard to ASCII case."""
+    return F.translate(col(text), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def extended_rcode(raw: str | Column, extension: str | Column) -> Column:

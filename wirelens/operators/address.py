@@ -12,16 +12,20 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import ipv4_number, ipv6_halves, is_v4
+from ..functions.columns import ipv4_number, ipv6_halves, is_v6, let
 from .sizing import small
 
 
 def _halves(address: Column) -> Column:
     """struct(version, hi, lo) of an address; null if it is none."""
-    four, six = ipv4_number(address), ipv6_halves(address)
-    as_four = F.struct(F.lit(4).alias("version"), F.lit(0).cast("long").alias("hi"), four.alias("lo"))
-    as_six = F.struct(F.lit(6).alias("version"), six["hi"].alias("hi"), six["lo"].alias("lo"))
-    return F.when(is_v4(address) & four.isNotNull(), as_four).when(six.isNotNull(), as_six)
+    as_four = let(ipv4_number(address), lambda n: F.when(n.isNotNull(), F.struct(F.lit(4).alias("version"), F.lit(0).cast("long").alias("hi"), n.alias("lo"))))
+    as_six = let(ipv6_halves(address), lambda h: F.when(h.isNotNull(), F.struct(F.lit(6).alias("version"), h["hi"].alias("hi"), h["lo"].alias("lo"))))
+    return F.when(is_v6(address), as_six).otherwise(as_four)
+
+
+def _parsed(address: Column) -> Column:
+    """Columns version, hi and lo of an address, null if it is none; unrolled, so that it is parsed once a row."""
+    return F.inline(F.array(_halves(address)))
 
 
 def _mask(bits: Column) -> Column:
@@ -39,13 +43,14 @@ def normalise(df: DataFrame, cidr: str = "cidr") -> DataFrame:
     """Adds version, plen, and first and last address (hi, lo, last_hi, last_lo) of ranges of both versions; rows that
     aren't addr/len of a network go."""
     parts = F.split(F.col(cidr), "/")
-    x = df.withColumn("_a", _halves(F.try_element_at(parts, F.lit(1)))).withColumn("plen", F.expr(f"try_cast(get(split({cidr}, '/'), 1) AS INT)"))
-    x = x.filter((F.size(parts) == 2) & F.col("_a").isNotNull() & (F.col("plen") >= 0) & (F.col("plen") <= F.when(F.col("_a.version") == 4, 32).otherwise(128)))
-    hi, lo = _masks(F.col("_a.version"), F.col("plen"))
-    x = x.select("*", F.col("_a.version").alias("version"), F.col("_a.hi").bitwiseAND(hi).alias("hi"), F.col("_a.lo").bitwiseAND(lo).alias("lo"))
-    end = F.col("lo").bitwiseOR(F.bitwise_not(lo))
+    x = df.filter(F.size(parts) == 2).select("*", F.expr(f"try_cast(get(split({cidr}, '/'), 1) AS INT)").alias("plen"), _parsed(F.try_element_at(parts, F.lit(1))))
+    x = x.filter((F.col("plen") >= 0) & (F.col("plen") <= F.when(F.col("version") == 4, 32).otherwise(128)))
+    hi, lo = _masks(F.col("version"), F.col("plen"))
+    x = x.select("*", F.struct(hi.alias("hi"), lo.alias("lo")).alias("_m")).withColumn("hi", F.col("hi").bitwiseAND(F.col("_m.hi"))).withColumn("lo", F.col("lo").bitwiseAND(F.col("_m.lo")))
+    end = F.col("lo").bitwiseOR(F.bitwise_not(F.col("_m.lo")))
     last = F.when(F.col("version") == 4, end.bitwiseAND(0xFFFFFFFF)).otherwise(end)
-    return x.select("*", F.when(F.col("version") == 4, F.lit(0).cast("long")).otherwise(F.col("hi").bitwiseOR(F.bitwise_not(hi))).alias("last_hi"), last.alias("last_lo")).drop("_a")
+    x = x.withColumn("last_hi", F.when(F.col("version") == 4, F.lit(0).cast("long")).otherwise(F.col("hi").bitwiseOR(F.bitwise_not(F.col("_m.hi"))))).withColumn("last_lo", last)
+    return x.filter("version IS NOT NULL").drop("_m")
 
 
 @dataclass(frozen=True)
@@ -88,9 +93,9 @@ def address_dimension(addresses: DataFrame, enrichments: list[Enrichment], addre
         lengths.setdefault(r["version"], []).append(r["plen"])
     some = F.lit(None).cast("array<int>")
     for version, plens in lengths.items():
-        some = F.when(F.col("_a.version") == version, F.array(*[F.lit(p) for p in sorted(plens)])).otherwise(some)
-    x = addresses.select(address).filter(F.col(address).isNotNull()).distinct().withColumn("_a", _halves(F.col(address)))
-    x = x.select(address, F.col("_a.version").alias("version"), F.col("_a.hi").alias("_hi"), F.col("_a.lo").alias("_ip"), F.explode_outer(some).alias("plen"))
+        some = F.when(F.col("version") == version, F.array(*[F.lit(p) for p in sorted(plens)])).otherwise(some)
+    x = addresses.select(address).filter(F.col(address).isNotNull()).distinct().select(address, _parsed(F.col(address)))
+    x = x.select(address, "version", F.col("hi").alias("_hi"), F.col("lo").alias("_ip"), F.explode_outer(some).alias("plen"))
     hi, lo = _masks(F.col("version"), F.col("plen"))
     x = x.select(address, "version", "plen", "_ip", F.col("_hi").bitwiseAND(hi).alias("hi"), F.col("_ip").bitwiseAND(lo).alias("lo"))
     hit = x.join(small(nets), ["version", "plen", "hi", "lo"], "left")

@@ -27,22 +27,32 @@ def averages(rows: DataFrame, value: str, seconds: int = 10) -> DataFrame:
     return x.groupBy("bin", *PLACE).agg(F.avg(v).alias("avg"), F.count("*").alias("sample"), F.min(v).alias("min"), F.max(v).alias("max"))
 
 
-def metric_points(rows: DataFrame, seconds: int = 10, include_unpaired_zero: bool = False) -> DataFrame:
-    """Long form (metric, bin, tag, server, server_location, type, value): each row's measures are unrolled and
-    grouped once; counters have one point, averages four."""
+def measures(include_unpaired_zero: bool = False) -> Column:
+    """A row's measures: array of (metric, tag, v, counter) with a value; v is 1 for counters."""
     text = lambda c: F.col(c).cast("string")
     none = F.lit(None).cast("string")
     proc = F.coalesce(F.col("dns_proc_time"), F.lit(0)) if include_unpaired_zero else F.col("dns_proc_time")
     rtt = F.when(F.col("prot") == 6, F.col("tcp_rtt"))
-    measures = [
+    found = [
         ("dns_request", none, F.when(F.col("has_request"), 1), True), ("dns_response", none, F.when(F.col("has_response"), 1), True),
-        ("dns_qtype", type_name("dns_qtype"), F.when(type_name("dns_qtype").isNotNull(), 1), True), ("dns_rcode", text("dns_rcode"), F.lit(1), True), ("dns_opcode", text("dns_opcode"), F.lit(1), True),
+        ("dns_qtype", type_name("dns_qtype"), F.when(F.col("dns_qtype").isNotNull(), 1), True), ("dns_rcode", text("dns_rcode"), F.lit(1), True), ("dns_opcode", text("dns_opcode"), F.lit(1), True),
         ("geo_country", F.col("ip_geo_country"), F.when(F.length("ip_geo_country") > 0, 1), True), ("network_protocol", F.when(F.col("prot") == 17, "UDP").otherwise("TCP"), F.lit(1), True),
         ("ip_version", F.when(F.col("ip_version") == 4, "4").otherwise("6"), F.lit(1), True), ("tcp_rtt", none, rtt, False), ("dns_proc_time", none, proc, False),
     ]
-    cells = F.array(*[F.struct(F.lit(m).alias("metric"), t.alias("tag"), v.cast("long").alias("v"), F.lit(c).alias("counter")) for m, t, v, c in measures])
-    x = rows.withColumn("bin", time_bin("time", seconds)).select("bin", *PLACE, F.inline(F.filter(cells, lambda c: c["v"].isNotNull())))
-    g = x.groupBy("metric", "bin", "tag", *PLACE, "counter").agg(F.sum("v").alias("sum"), F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    cells = F.array(*[F.struct(F.lit(m).alias("metric"), t.alias("tag"), v.cast("long").alias("v"), F.lit(c).alias("counter")) for m, t, v, c in found])
+    return F.filter(cells, lambda c: c["v"].isNotNull())
+
+
+def points() -> Column:
+    """Points (type, value) of a group's sum, n, lo and hi: one of a counter, four of an average."""
     point = lambda kind, v: F.struct(F.lit(kind).alias("type"), v.cast("double").alias("value"))
-    points = F.when(F.col("counter"), F.array(point("count", F.col("sum")))).otherwise(F.array(point("avg", F.col("sum") / F.col("n")), point("sample", F.col("n")), point("min", F.col("lo")), point("max", F.col("hi"))))
-    return g.select("metric", "bin", "tag", *PLACE, F.inline(points))
+    four = F.array(point("avg", F.col("sum") / F.col("n")), point("sample", F.col("n")), point("min", F.col("lo")), point("max", F.col("hi")))
+    return F.when(F.col("counter"), F.array(point("count", F.col("sum")))).otherwise(four)
+
+
+def metric_points(rows: DataFrame, seconds: int = 10, include_unpaired_zero: bool = False) -> DataFrame:
+    """Long form (metric, bin, tag, server, server_location, type, value): each row's measures are unrolled and
+    grouped once; counters have one point, averages four."""
+    x = rows.withColumn("bin", time_bin("time", seconds)).select("bin", *PLACE, F.inline(measures(include_unpaired_zero)))
+    g = x.groupBy("metric", "bin", "tag", *PLACE, "counter").agg(F.sum("v").alias("sum"), F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    return g.select("metric", "bin", "tag", *PLACE, F.inline(points()))

@@ -47,11 +47,19 @@ def object_state(ledger: DataFrame, now: Column, max_proc: int, max_wait: int) -
     return ledger.withColumn("state", state)
 
 
+def claimable(objects: DataFrame, ledger: DataFrame, max_tries: int) -> DataFrame:
+    """Objects that may be taken up: none that the ledger (object_key, started, ended, tries, max_tries_reached) has as claimed,
+    done or tried too often. Of several entries of an object any one rules it out."""
+    taken = F.col("started").isNotNull() | F.coalesce(F.col("max_tries_reached"), F.lit(False)) | (F.coalesce("tries", F.lit(0)) >= max_tries)
+    return objects.join(ledger.filter(taken).select("object_key").distinct(), "object_key", "left_anti")
+
+
 def stale(modified: Column, now: Column, max_age_hours: int = 24) -> Column:
     """Reference data without a date or older than the age."""
     return F.coalesce(modified + F.make_interval(hours=F.lit(max_age_hours)) < now, F.lit(True))
 
 
 def ingest_stats(states: DataFrame) -> DataFrame:
-    """Objects and bytes by server, site and state."""
-    return states.groupBy("server", "site", "state").agg(F.count("*").alias("objects"), F.sum("size_bytes").alias("bytes"), F.avg("tries").alias("avg_tries"))
+    """Objects, bytes, tries and seconds of work by server, site and state."""
+    took = (F.unix_micros(F.col("ended").cast("timestamp")) - F.unix_micros(F.col("started").cast("timestamp"))) / 1_000_000
+    return states.groupBy("server", "site", "state").agg(F.count("*").alias("objects"), F.sum("size_bytes").alias("bytes"), F.avg("tries").alias("avg_tries"), F.avg(took).alias("avg_seconds"), F.max(took).alias("most_seconds"))

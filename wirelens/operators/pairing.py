@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import TRANSFERS
+from ..functions.columns import TRANSFERS, ascii_lower
 
 CLIENT = ("capture_file", "dns_id", "client_ip", "client_port")
 
@@ -38,7 +38,7 @@ def transactions(messages: DataFrame, keep_retransmits: bool = False, fold_case:
     ``keep_retransmits`` also keeps overwritten requests; ``fold_case`` pairs names without regard to case.
     """
     kept = drop_transfers(messages)
-    name = F.lower("qname") if fold_case else F.col("qname")
+    name = ascii_lower("qname") if fold_case else F.col("qname")
     key = Window.partitionBy(*CLIENT, name).orderBy("ts", "seq")
     fields = F.struct(*messages.columns)
     near = kept.select("capture_file", "qr", "qname", fields.alias("this"), F.lag(fields).over(key).alias("before"), F.lead("qr").over(key).alias("next"))

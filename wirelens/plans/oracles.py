@@ -158,6 +158,7 @@ s AS (SELECT capture_file, src, src_port, dst, min(epoch_us(ts)) AS synack FROM
 n AS (SELECT *, row_number() OVER (PARTITION BY capture_file, src, src_port, dst ORDER BY ts, seq) AS k FROM seg) SELECT n.seq, CASE WHEN k = 1 THEN rtt END AS tcp_rtt FROM n LEFT JOIN r USING (capture_file, src, src_port, dst)""",
     "notifications": "SELECT 'b' AS bucket, 'in/u' || user_id || ' x.pcap' AS key, CAST(1 AS BIGINT) AS n FROM events WHERE event_id % 4 <> 2 AND event_id % 3 > 0 GROUP BY user_id",
     "new_objects": f"WITH {LED} SELECT object_key, size_bytes FROM led WHERE regexp_matches(object_key, '\\.(pcap|gz|xz|bz2)$') AND object_key NOT IN (SELECT object_key FROM led WHERE detected)",
+    "claimable_objects": f"WITH {LED} SELECT object_key, size_bytes FROM led WHERE object_key NOT IN (SELECT object_key FROM led WHERE started IS NOT NULL OR max_tries_reached OR tries >= 3)",
     "psl_rules": """WITH h AS (SELECT page_id % 5 AS k, lower(regexp_extract(url, '^[a-z]+://([^/]+)', 1)) AS rule FROM pages)
 SELECT DISTINCT rule, CASE k WHEN 1 THEN 'wildcard' WHEN 2 THEN 'exception' ELSE 'exact' END AS kind, CAST(len(string_split(rule, '.')) AS INT) AS n_labels FROM h WHERE k <> 0 AND rule <> '' AND NOT ends_with(rule, '.org')""",
     "resolver_lists": f"""WITH c AS (SELECT {CIDR} AS cidr, s_suppkey, s_name FROM supplier), u AS (SELECT cidr, 'Google' AS name, 2 AS priority FROM c WHERE s_suppkey % 7 <> 0 AND len(string_split_regex(trim(regexp_replace(s_name, '#.*', '')), '\\s+')) = 1 AND trim(regexp_replace(s_name, '#.*', '')) <> '' UNION ALL SELECT cidr, 'CloudFlare', 1 FROM c),
@@ -198,6 +199,7 @@ SELECT object_key, CASE WHEN tries = 1 AND ts IS NOT NULL THEN 'tagged' WHEN tri
     "pairing": f"WITH {PAIRS} SELECT m.capture_file, req_seq, rsp_seq FROM pairs JOIN dns_messages m ON m.seq = coalesce(req_seq, rsp_seq)",
     "unmatched_requests": f"WITH {PAIRS} SELECT m.seq, m.qname FROM pairs JOIN dns_messages m ON m.seq = req_seq WHERE rsp_seq IS NULL",
     "pairing_keep_retransmits": f"WITH {WIN} SELECT CASE WHEN qr = 0 THEN seq WHEN pqr = 0 THEN pseq END AS req_seq, CASE WHEN qr = 1 THEN seq END AS rsp_seq FROM win WHERE qr = 1 OR nqr IS NULL OR nqr = 0",
+    "pairing_fold_case": f"WITH {WIN.replace('qname ORDER', 'lower(qname) ORDER')} SELECT CASE WHEN qr = 0 THEN seq WHEN pqr = 0 THEN pseq END AS req_seq, CASE WHEN qr = 1 THEN seq END AS rsp_seq FROM win WHERE qr = 1 OR nqr IS NULL",
     "zone_transfer": f"WITH {XFR} SELECT seq, qr, qtype FROM kept",
     "capture_stats": f"""WITH {PAIRS}, a AS (SELECT capture_file, count(*) AS messages, count(*) FILTER (qr = 0) AS requests, count(*) FILTER (qr = 1) AS responses FROM dns_messages GROUP BY 1),
 b AS (SELECT m.capture_file, count(*) FILTER (req_seq IS NOT NULL AND rsp_seq IS NOT NULL) AS matched, count(*) FILTER (rsp_seq IS NULL) AS unmatched, count(*) FILTER (req_seq IS NULL) AS response_only FROM pairs JOIN dns_messages m ON m.seq = coalesce(req_seq, rsp_seq) GROUP BY 1)
@@ -222,7 +224,7 @@ SELECT a.*, coalesce(matched, 0) AS matched, coalesce(unmatched, 0) AS unmatched
     "metrics_proc_time": avg_of("dns_proc_time"),
     "metric_points": points(),
     "object_state": f"WITH {LED} SELECT object_key, {STATE} AS state FROM led",
-    "ingest_stats": f"WITH {LED} SELECT regexp_extract(object_key, 'x_(ns[0-9]+\\.zone\\.nl)_', 1) AS server, 'ams' AS site, {STATE} AS state, count(*) AS objects, CAST(sum(size_bytes) AS BIGINT) AS bytes, round(avg(tries), 6) AS avg_tries FROM led GROUP BY ALL",
+    "ingest_stats": f"WITH {LED} SELECT regexp_extract(object_key, 'x_(ns[0-9]+\\.zone\\.nl)_', 1) AS server, 'ams' AS site, {STATE} AS state, count(*) AS objects, CAST(sum(size_bytes) AS BIGINT) AS bytes, round(avg(tries), 6) AS avg_tries, round(avg(epoch_us(ended) - epoch_us(started)) / 1000000, 6) AS avg_seconds, CAST(max(epoch_us(ended) - epoch_us(started)) AS DOUBLE) / 1000000 AS most_seconds FROM led GROUP BY ALL",
     "reference_staleness": f"WITH {LED} SELECT object_key, coalesce(started + INTERVAL 240 HOUR < TIMESTAMP '2024-01-20', true) AS stale FROM led",
     "row_count": tx("SELECT count(*) AS n FROM tx"),
     "top_domains": tx("SELECT dns_domainname, count(*) AS n FROM tx WHERE dns_domainname IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 25"),

@@ -146,6 +146,12 @@ def new_objects(spark, d):
     return objects.new_objects(led.select("object_key", "size_bytes"), led.filter("detected"))
 
 
+@query
+def claimable_objects(spark, d):
+    led = V.view(spark, d, V.LEDGER)
+    return objects.claimable(led.select("object_key", "size_bytes"), led, 3)
+
+
 @query
 def psl_rules(spark, d):
     """Rules from lines made of the pages' hosts."""
@@ -385,6 +391,14 @@ def pairing_keep_retransmits(spark, d):
     return p.select(*ids(p))
 
 
+@query
+def pairing_fold_case(spark, d):
+    """Pairing without regard to ASCII case, of messages of which every other one has its name in capitals."""
+    m = messages(spark, d).withColumn("qname", F.when(F.col("seq") % 2 == 0, F.upper("qname")).otherwise(F.col("qname")))
+    p = pairing.transactions(m, fold_case=True)
+    return p.select(*ids(p))
+
+
 @query
 def zone_transfer(spark, d):
     return pairing.drop_transfers(messages(spark, d)).select("seq", "qr", "qtype")
@@ -516,7 +530,7 @@ def object_state(spark, d):
 def ingest_stats(spark, d):
     x = objects.object_state(V.view(spark, d, V.LEDGER), F.lit(NOW).cast("timestamp_ntz"), 3600 * 24, 3600 * 48)
     x = x.withColumn("p", C.server_site("object_key")).select("*", "p.server", "p.site")
-    return objects.ingest_stats(x).withColumn("avg_tries", F.round("avg_tries", 6))
+    return objects.ingest_stats(x).withColumn("avg_tries", F.round("avg_tries", 6)).withColumn("avg_seconds", F.round("avg_seconds", 6))
 
 
 @query

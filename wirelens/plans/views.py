@@ -42,7 +42,7 @@ SELECT concat('pcap-in/p', CAST(user_id % 2 + 1 AS VARCHAR(9)), '/x_ns', CAST(us
  event_id % 100 AS size_bytes, ts AS modified,
  event_id % 3 = 0 AS detected,
  CASE WHEN event_id % 4 = 0 THEN ts END AS started,
- CASE WHEN event_id % 8 = 0 THEN ts END AS ended,
+ CASE WHEN event_id % 24 = 0 THEN ts + INTERVAL '7' SECOND WHEN event_id % 8 = 0 THEN ts + INTERVAL '2' SECOND END AS ended,
  CAST(event_id % 4 AS INT) AS tries, event_id % 40 = 0 AS max_tries_reached
 FROM {events}"""
 

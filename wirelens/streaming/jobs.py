@@ -1,55 +1,85 @@
-"""Structured Streaming forms: metrics on packet time, pairing with expiry, and continuous ingest."""
+"""Structured Streaming forms: metrics on packet time, pairing with expiry, continuous ingest, and rolling of files."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.columns import TRANSFERS
+from ..operators.metrics import PLACE, measures, points
 from ..operators.pairing import CLIENT
 
 
 def metric_stream(rows: DataFrame, seconds: int = 10, late: str = "60 seconds") -> DataFrame:
-    """Requests, responses and processing time per bin; a bin is final once the watermark has passed it."""
-    x = rows.withColumn("t", F.col("time").cast("timestamp")).withWatermark("t", late)
-    g = x.groupBy(F.window("t", f"{seconds} seconds").alias("w"), "server", "server_location")
-    return g.agg(F.count_if("has_request").alias("requests"), F.count_if("has_response").alias("responses"), F.avg("dns_proc_time").alias("avg_proc_time")).select(F.col("w.start").alias("bin"), "server", "server_location", "requests", "responses", "avg_proc_time")
+    """All measures of ``metric_points`` as a stream: (metric, bin, tag, server, server_location, type, value).
+
+    A bin is final once the watermark has passed it by ``late``. With output mode append each point is written once and
+    later packets are dropped; with update a late packet writes its bin's points again, to be upserted by the
+    receiver (``upsert_points``)."""
+    x = rows.withColumn("_t", F.col("time").cast("timestamp")).withWatermark("_t", late)
+    x = x.select("_t", *PLACE, F.inline(measures()))
+    g = x.groupBy(F.window("_t", f"{seconds} seconds").alias("_w"), "metric", "tag", *PLACE, "counter")
+    g = g.agg(F.sum("v").alias("sum"), F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    return g.select("metric", F.unix_seconds("_w.start").alias("bin"), "tag", *PLACE, F.inline(points()))
+
+
+def upsert_points(points: DataFrame, batch: int, path: str) -> None:
+    """Write a micro-batch of updated points; the folder keeps each batch apart and a reader takes the latest."""
+    points.withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(f"{path}/flush={batch:012d}")
+
+
+def latest_points(spark: SparkSession, path: str) -> DataFrame:
+    """Points as the last flush that wrote each of them left them."""
+    key = ["metric", "bin", "tag", *PLACE, "type"]
+    return spark.read.parquet(path).groupBy(*key).agg(F.max_by("value", "batch").alias("value"))
+
+
+PAIRED = "capture_file string, dns_id int, client_ip string, client_port int, qname string, req_seq long, rsp_seq long"
 
 
 def pair_stream(messages: DataFrame, expiry_ms: int = 10_000, late: str = "10 seconds") -> DataFrame:
     """(client key, qname, req_seq, rsp_seq) over micro-batches: a pending request waits ``expiry_ms`` of packet time for
-    its response and then leaves alone. State is one pending request and the transfer mark for each name of a client."""
+    its response and then leaves alone.
+
+    A client's state is its pending requests by name and, for ``expiry_ms`` after a transfer's request, the mark of that
+    transfer. When the last of them has been answered or has expired, the state is removed."""
     key = [*CLIENT]
-    out = "capture_file string, dns_id int, client_ip string, client_port int, qname string, req_seq long, rsp_seq long"
-    state = "pending string, transfer int"
+    state = "names array<string>, seqs array<bigint>, times array<bigint>, transfer int, marked bigint"
     source = messages.select(*key, "qname", "qr", "qtype", "seq", F.col("ts").cast("timestamp").alias("t")).withWatermark("t", late)
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], st: GroupState) -> Iterator[pd.DataFrame]:
-        import json
-
-        pending: dict[str, list] = {}
-        transfer = -1  # responses since a transfer's request; -1: none
+        pending: dict[str | None, tuple[int, int]] = {}
+        transfer, marked = -1, 0  # responses since a transfer's request, and its time; -1: none
         if st.exists:
-            text, transfer = st.get
-            pending = {n: [a, t] for n, a, t in json.loads(text)}
+            names, seqs, times, transfer, marked = st.get
+            pending = {n: (a, t) for n, a, t in zip(names, seqs, times)}
         rows = []
-        put = lambda name, a, b: rows.append((*k, name, a, b))
-        if st.hasTimedOut:
-            limit = st.getCurrentWatermarkMs()
+
+        def expire(limit: int) -> None:
+            nonlocal transfer
             for name in [n for n, (_, t) in pending.items() if t + expiry_ms <= limit]:
-                put(name, pending.pop(name)[0], None)
+                seq = pending.pop(name)[0]
+                if name is not None:
+                    rows.append((*k, name, seq, None))
+            if transfer >= 0 and marked + expiry_ms <= limit:
+                transfer = -1
+
+        if st.hasTimedOut:
+            expire(st.getCurrentWatermarkMs())
         else:
             data = pd.concat(list(batches)).sort_values(["t", "seq"])
             for name, qr, qtype, seq, t in data[["qname", "qr", "qtype", "seq", "t"]].itertuples(index=False):
                 ms = int(t.timestamp() * 1000)
+                expire(ms)
                 if qr == 0 and qtype in TRANSFERS:
-                    transfer = 0
+                    transfer, marked = 0, ms
                 elif qr == 0:
-                    pending[name] = [int(seq), ms]
+                    pending[name] = (int(seq), ms)
                 else:
                     if transfer >= 0:
                         transfer += 1
@@ -57,23 +87,68 @@ def pair_stream(messages: DataFrame, expiry_ms: int = 10_000, late: str = "10 se
                             continue
                     got = pending.pop(name, None)
                     if got or name is not None:
-                        put(name, got[0] if got else None, int(seq))
-        st.update((json.dumps([[n, *v] for n, v in pending.items()]), transfer))
-        if pending:
-            st.setTimeoutTimestamp(max(st.getCurrentWatermarkMs() + 1, min(t for _, t in pending.values()) + expiry_ms))
+                        rows.append((*k, name, got[0] if got else None, int(seq)))
+        ends = [t for _, t in pending.values()] + [marked] * (transfer >= 0)
+        if ends:
+            st.update((list(pending), [a for a, _ in pending.values()], [t for _, t in pending.values()], transfer, marked))
+            st.setTimeoutTimestamp(max(st.getCurrentWatermarkMs() + 1, min(ends) + expiry_ms))
+        elif st.exists:
+            st.remove()
         frame = pd.DataFrame(rows, columns=[*key, "qname", "req_seq", "rsp_seq"])
         yield frame.astype({"req_seq": "Int64", "rsp_seq": "Int64"})
 
-    return source.groupBy(*key).applyInPandasWithState(step, out, state, "append", GroupStateTimeout.EventTimeTimeout)
+    return source.groupBy(*key).applyInPandasWithState(step, PAIRED, state, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def new_captures(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
-    """Stream of capture files; the checkpoint keeps which were read, so each is taken once."""
+def new_captures(spark: SparkSession, path: str, files_per_trigger: int = 100, archive: str | None = None) -> DataFrame:
+    """Stream of capture files; the checkpoint keeps which were read, so each is taken once. With ``archive``, files that
+    were read are moved there once their batch is done."""
     schema = "path string, modificationTime timestamp, length long, content binary"
-    return spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.{pcap,gz,xz,bz2}").option("maxFilesPerTrigger", files_per_trigger).load(path)
+    r = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.{pcap,gz,xz,bz2}").option("maxFilesPerTrigger", files_per_trigger)
+    if archive:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return r.load(path)
 
 
 def ingest(captures: DataFrame, build: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame], None], checkpoint: str):
     """Run ``build`` then ``write`` on each micro-batch of captures. Reference lists that ``build`` reads are read anew
     for each batch."""
     return captures.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, _: write(build(df))).trigger(availableNow=True).start()
+
+
+class Roller:
+    """Rolling of output: micro-batches gather in a staging folder until they hold ``least_rows``, and only then become
+    files of the table; ``flush`` forces it. What is staged survives a restart, since it is read back; a loss between the
+    table's write and the note of it writes those rows again."""
+
+    def __init__(self, spark: SparkSession, staging: str, write: Callable[[DataFrame], None], least_rows: int):
+        self.spark, self.staging, self.write, self.least_rows = spark, staging.rstrip("/"), write, least_rows
+
+    def add(self, rows: DataFrame, batch: int) -> None:
+        """Stage a micro-batch (again after a restart, under its own number) and roll if there is enough."""
+        rows.write.mode("overwrite").parquet(f"{self.staging}/batch={batch:012d}")
+        self._roll(self.least_rows)
+
+    def flush(self) -> None:
+        self._roll(1)
+
+    def _read(self, path: str) -> DataFrame | None:
+        """The table under a path, or None if nothing is there yet."""
+        try:
+            return self.spark.read.parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def _roll(self, least: int) -> None:
+        staged, done = self._read(self.staging), self._read(f"{self.staging}-rolled")
+        if staged is None:
+            return
+        if done is not None:
+            staged = staged.join(F.broadcast(done.distinct()), "batch", "left_anti")
+        batches = [r["batch"] for r in staged.groupBy("batch").count().collect()]  # as many as since the last roll
+        if not batches or staged.count() < least:
+            return
+        self.write(staged.drop("batch"))
+        self.spark.createDataFrame([(int(b),) for b in batches], "batch long").write.mode("append").parquet(f"{self.staging}-rolled")
