@@ -10,7 +10,7 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
-from wirelens import sinks
+from wirelens import shared, sinks
 from wirelens.functions import columns as C
 from wirelens.operators import address, metrics, names, objects, pairing, rows, tcp
 from wirelens.plans import queries as Q
@@ -283,6 +283,20 @@ def test_tcp_messages(spark):
     assert got == {"a": ms, "h": ms, "g": ms}
 
 
+def test_sequence_numbers_wrap(spark):
+    m = [dns_message(i) for i in range(3)]
+    stream_ = b"".join(struct.pack("!H", len(x)) + x for x in m)
+    segs = [(2**32 - 20, stream_[:20]), (0, stream_[20:60]), (40, stream_[60:]), (0, stream_[20:60])]
+    df = spark.createDataFrame([("f", "a", 1, "b", 53, s, bytearray(p), i) for i, (s, p) in enumerate(segs)], "capture_file string, src string, src_port int, dst string, dst_port int, tcp_seq long, payload binary, i int").withColumn("ts", F.timestamp_seconds("i"))
+    assert [bytes(r["payload"]) for r in tcp.split_messages(df).orderBy("n").collect()] == m
+
+
+def test_shared_tables_are_cleared(spark):
+    shared.clear(spark)
+    x = shared.cut(spark.range(3))
+    assert x.count() == 3 and shared.clear(spark) == 1 and shared.clear(spark) == 0
+
+
 def test_sink(spark, sf, tmp_path):
     x = Q.dns(spark, sf)
     sinks.write_dns(x, str(tmp_path / "t"))

@@ -47,6 +47,11 @@ def object_state(ledger: DataFrame, now: Column, max_proc: int, max_wait: int) -
     return ledger.withColumn("state", state)
 
 
+def tags(text: str | Column) -> Column:
+    """Map of an object's tags from their JSON form; null for text that is none."""
+    return F.from_json(F.col(text) if isinstance(text, str) else text, "map<string,string>")
+
+
 def claimable(objects: DataFrame, ledger: DataFrame, max_tries: int) -> DataFrame:
     """Objects that may be taken up: none that the ledger (object_key, started, ended, tries, max_tries_reached) has as claimed,
     done or tried too often. Of several entries of an object any one rules it out."""

@@ -28,12 +28,15 @@ def reassemble_fragments(packets: DataFrame) -> DataFrame:
 def contiguous(segments: DataFrame) -> DataFrame:
     """Segments in order without retransmissions, with ``gap`` true behind a hole.
 
-    (capture_file, flow columns, tcp_seq, length, ...): a segment that adds nothing beyond the highest byte seen goes."""
-    w = Window.partitionBy(*FLOW).orderBy("tcp_seq", F.desc("length"), "ts")
-    seen = F.max(F.col("tcp_seq") + F.col("length")).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    x = segments.filter("length > 0").withColumn("_seen", seen)
-    fresh = x.filter(F.col("_seen").isNull() | (F.col("tcp_seq") + F.col("length") > F.col("_seen")))
-    return fresh.withColumn("gap", F.coalesce(F.col("tcp_seq") > F.col("_seen"), F.lit(False))).withColumn("overlap", F.greatest(F.lit(0), F.coalesce(F.col("_seen") - F.col("tcp_seq"), F.lit(0)))).drop("_seen")
+    (capture_file, flow columns, tcp_seq, length, ...): a segment that adds nothing beyond the highest byte seen goes.
+    ``place`` is the sequence number relative to the flow's first segment, so that numbers may wrap at 32 bits."""
+    flow = Window.partitionBy(*FLOW)
+    first = F.first("tcp_seq").over(flow.orderBy("ts", "tcp_seq").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    x = segments.filter("length > 0").withColumn("place", F.pmod(F.col("tcp_seq") - first + 2**31, F.lit(2**32)) - 2**31)
+    w = flow.orderBy("place", F.desc("length"), "ts")
+    x = x.withColumn("_seen", F.max(F.col("place") + F.col("length")).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    fresh = x.filter(F.col("_seen").isNull() | (F.col("place") + F.col("length") > F.col("_seen")))
+    return fresh.withColumn("gap", F.coalesce(F.col("place") > F.col("_seen"), F.lit(False))).withColumn("overlap", F.greatest(F.lit(0), F.coalesce(F.col("_seen") - F.col("place"), F.lit(0)))).drop("_seen")
 
 
 def handshake_rtt(segments: DataFrame) -> DataFrame:
@@ -57,8 +60,8 @@ def split_messages(segments: DataFrame) -> DataFrame:
     """DNS messages of TCP streams (two-byte length before each): segments stream through in order, a message may
     span several; behind a gap the rest of the flow is dropped."""
     fields = [*FLOW, "n", "payload"]
-    ordered = contiguous(segments.withColumn("length", F.length("payload"))).select(*FLOW, "tcp_seq", "gap", F.expr("substring(payload, cast(overlap as int) + 1)").alias("payload"))
-    ordered = ordered.repartition(*FLOW).sortWithinPartitions(*FLOW, "tcp_seq")
+    ordered = contiguous(segments.withColumn("length", F.length("payload"))).select(*FLOW, "place", "gap", F.expr("substring(payload, cast(overlap as int) + 1)").alias("payload"))
+    ordered = ordered.repartition(*FLOW).sortWithinPartitions(*FLOW, "place")
 
     def run(batches):
         flow, held, dead, n = None, b"", False, 0

@@ -214,8 +214,10 @@ def geo_networks(spark, d):
 def server_site(spark, d):
     led = V.view(spark, d, V.LEDGER)
     key = F.when(F.col("tries") == 3, F.lit("plain-1.pcap")).otherwise(F.col("object_key"))
-    tag = F.when(F.col("tries") == 1, F.lit("tagged"))
-    return led.select("object_key", C.server_site(key, tag, F.when(F.col("size_bytes") % 2 == 0, F.lit("site")).otherwise(F.when(F.col("size_bytes") % 3 == 0, F.lit("odd")))).alias("p")).select("object_key", "p.server", "p.site")
+    site = F.when(F.col("size_bytes") % 2 == 0, F.lit("site")).when(F.col("size_bytes") % 3 == 0, F.lit("odd"))
+    body = F.to_json(F.create_map(F.lit("server"), F.when(F.col("tries") == 1, F.lit("tagged")), F.lit("site"), site))
+    x = led.select("object_key", key.alias("key"), objects.tags(body).alias("tags"))
+    return x.select("object_key", C.server_site("key", F.col("tags")["server"], F.col("tags")["site"]).alias("p")).select("object_key", "p.server", "p.site")
 
 
 # Projections

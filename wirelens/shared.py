@@ -19,9 +19,24 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+#: Paths that this process has given out and not yet cleared.
+_given: list[str] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _given.append(f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _given[-1]
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete what this process has written to the shared folder, once no result that reads it is needed any more; how
+    many tables there were."""
+    n, jvm = 0, spark.sparkContext._jvm
+    while _given:
+        path = jvm.org.apache.hadoop.fs.Path(_given.pop())
+        n += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    return n
 
 
 def cut(df: DataFrame) -> DataFrame:
