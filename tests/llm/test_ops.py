@@ -467,8 +467,8 @@ def test_maxent_scores_are_normalised_probabilities(spark):
     def log10_leaf(history, code):
         out = 0.0
         for level in range(maxent.LEVELS):
-            above, mine = code >> 4 * (maxent.LEVELS - level), code >> 4 * (maxent.LEVELS - 1 - level) & 15
-            inside = (leaf_tokens + leaf_words + maxent.UNSEEN).reshape(16**level, 16, -1)[above].sum(axis=1)
+            above, mine = code >> maxent.BITS * (maxent.LEVELS - level), code >> maxent.BITS * (maxent.LEVELS - 1 - level) & (maxent.WAYS - 1)
+            inside = (leaf_tokens + leaf_words + maxent.UNSEEN).reshape(maxent.WAYS**level, maxent.WAYS, -1)[above].sum(axis=1)
             s = np.log(inside / inside.sum())
             for x in model.places([np.array([h]) for h in history], np.array([above]), level):
                 s = s + model.weights[int(x[0])]
@@ -592,25 +592,25 @@ def test_near_duplicates_odd_rows(spark):
     assert neardup.near_duplicates(docs.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_near_duplicates_one_link_among_texts_under_the_threshold(spark, seed):
-    """All pairs at similarity 0.844 but one at 0.8513; rows of the many buckets are never all centres."""
-    r = random.Random(seed)
-    n, own = 652, 55  # shingles of a text, those of its own words
-    base, texts = [f"w{k}" for k in range(n + 4)], []
-    spots = list(range(2, n, 5))
-    for i in range(120):
-        mine = dict.fromkeys(r.sample(spots, own // 5), f"x{i}")
-        texts.append(" ".join(f"{mine[k]}y{k}" if k in mine else w for k, w in enumerate(base)))
-    twin = texts[60].split()
-    changed = [k for k, w in enumerate(twin) if w.startswith("x")]
-    free = r.sample([k for k in spots if k not in changed], 10)
-    for k in free:
-        twin[k] = f"twin{k}"
-    texts.append(" ".join(twin))
-    sizes, label = components_by_force(texts, 85)
-    got = {x["doc_id"]: x for x in neardup.near_duplicates(frame(spark, texts)).collect()}
-    assert [got[i]["component_id"] for i in range(len(texts))] == label and 1 <= len(texts) - len(set(label)) <= 30
+def test_near_duplicates_one_link_among_texts_under_the_threshold(spark):
+    """Groups in which nearly all pairs are at similarity 0.844 and few at 0.8513: no bucket's members are all centres."""
+    texts = []
+    for seed in range(10):
+        r = random.Random(seed)
+        n, own = 652, 55  # shingles of a text, those of its own words
+        base, spots = [f"s{seed}w{k}" for k in range(n + 4)], list(range(2, n, 5))
+        for i in range(40):
+            mine = set(r.sample(spots, own // 5))
+            texts.append(" ".join(f"s{seed}x{i}y{k}" if k in mine else w for k, w in enumerate(base)))
+        twin = texts[-20].split()
+        for k in r.sample([k for k in spots if "x" not in twin[k]], 10):
+            twin[k] = f"s{seed}twin{k}"
+        texts.append(" ".join(twin))
+    label = []
+    for seed in range(10):
+        label += [x + 41 * seed for x in components_by_force(texts[41 * seed : 41 * seed + 41], 85)[1]]
+    got = {x["doc_id"]: x["component_id"] for x in neardup.near_duplicates(frame(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == label and 10 <= len(texts) - len(set(label)) <= 60
 
 
 def test_near_duplicates_prefix_join_alone_is_exact(spark):
@@ -621,7 +621,7 @@ def test_near_duplicates_prefix_join_alone_is_exact(spark):
         t = prose(g, r.choice([12, 40, 150]))
         texts += [edited(t, r, r.choice([0.005, 0.01, 0.02, 0.03])) for _ in range(7)]
     sizes, label = components_by_force(texts, 85)
-    for rounds in (0, 1, 3):
+    for rounds in (0, 1):
         got = {x["doc_id"]: x["component_id"] for x in neardup.near_duplicates(frame(spark, texts), rounds=rounds).collect()}
         assert [got[i] for i in range(len(texts))] == label
 
@@ -678,7 +678,7 @@ def test_toxicity(spark):
                 w.insert(r.randrange(len(w)), r.choice(bad))
         texts.append("É " + " ".join(w))
         toxic.append(int(i % 5 == 0))
-    docs = frame(spark, [*texts, None, ""])
+    docs = frame(spark, [*texts, None, "", "w " * 30_000 + "snarkel grubble vomton snarkel grubble", "x" * 30_000])
     labels = spark.createDataFrame([(i, t, 1) for i, t in enumerate(toxic)] + [(0, None, 1), (5000, 1, 0)], "doc_id long, toxic int, quality int")
     apart = queries.held_out(5, 0)
     model = toxicity.train(docs.filter(~apart), labels)
@@ -689,6 +689,7 @@ def test_toxicity(spark):
         for s in got[i]["toxic_spans"]:
             assert texts[i][s["start"] : s["stop"]] in bad
     assert 0 <= got[400]["score"] == got[401]["score"] < 0.5
+    assert [s["start"] for s in got[402]["toxic_spans"]][0] == 60_000 and got[402]["score"] > 0.5 > got[403]["score"]
     assert toxicity.score(docs.limit(0), model).count() == 0
     assert {x["score"] for x in toxicity.score(docs, toxicity.train(docs, labels.limit(0))).collect()} == {0.0}
 
