@@ -9,10 +9,11 @@ further columns are left out.
 Texts with equal sets form a class first, so a group of exact copies costs one node however large it is. Candidate
 edges of a bucket lead from its centre to the others; the centre follows an order that all buckets share, so buckets with
 the same members give the same edges. Candidates that counts of shingles by class prove unlike are left out; every
-other one is confirmed on full sets. Buckets whose members then lie in several components get another centre in a
-second round. A star shows nothing about two texts that were never its centre, so the members of buckets that still
-hold several components go through an exact prefix-filter join, which finds every link between different components
-among them. What remains is a pair that shares no bucket, with a probability under MISS by the choice of bands.
+other one is confirmed on full sets. A centre then leaves its bucket, whose other members, if they lie in several
+components, get another one in the next round; so ROUNDS rounds test every pair of buckets with up to ROUNDS + 1
+members. The members of buckets that then still hold several components go through an exact prefix-filter join, which
+finds every link between different components among them. What remains is a pair that shares no bucket, with a
+probability under MISS by the choice of bands.
 
 No bucket is held in one task: a bucket with more than one ten-thousandth of all members is dealt by member, which is
 at most 10,000 buckets, and its centre is copied to the parts.
@@ -42,7 +43,7 @@ FAN = 500
 #: Most probability that a pair at the threshold shares no bucket.
 MISS = 3e-6
 #: Star rounds before the exact join.
-ROUNDS = 2
+ROUNDS = 4
 #: Members from which a bucket may be dealt by member; beyond it, one ten-thousandth of all members.
 HOT = 1000
 
@@ -170,6 +171,8 @@ def _with_sets(pairs: DataFrame, known: DataFrame, fields: list[str]) -> DataFra
     copies by their other node.
     """
     out, total = pairs, pairs.count()
+    met = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    known = known.select("node", *fields).join(met, "node", "left_semi")
     for side, other in (("a", "b"), ("b", "a")):
         hot = _hot(pairs, side, total)
         named = known.select(F.col("node").alias(side), *[F.col(f).alias(f + side) for f in fields])
@@ -231,10 +234,10 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def _open_buckets(members: DataFrame, step: int) -> DataFrame:
+def _open_buckets(members: DataFrame) -> DataFrame:
     """(bucket, salt, a, na, la): a centre for each bucket whose (labelled) members lie in several components, once for
-    each part of a hot bucket. Round ``step`` has its own order of centres."""
-    centre = F.min(F.struct(F.xxhash64(F.lit(step), "node").alias("mark"), "node", "n", "label")).alias("c")
+    each part of a hot bucket."""
+    centre = F.min(F.struct(F.xxhash64("node").alias("mark"), "node", "n", "label")).alias("c")
     one = members.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("parts").alias("parts"), centre).filter("lo <> hi")
     return one.select("bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.col("c.node").alias("a"), F.col("c.n").alias("na"), F.col("c.label").alias("la"))
 
@@ -248,19 +251,21 @@ def _prefix_pairs(open_: DataFrame, known: DataFrame, percent: int) -> DataFrame
     fewer with it; from there on both hold enough. A group of texts just under the threshold has its common shingles
     behind these prefixes, so they don't meet there.
 
-    A shingle's rows of its largest component meet only those of others, and the rows of a frequent shingle are dealt
+    A shingle's rows of its largest component meet only rows of others, and the rows of a frequent shingle are dealt
     over copies of FAN rows.
     """
-    nodes = cut(open_.join(known.select("node", "n", "shingles"), "node"))
-    each = nodes.select("node", "label", F.explode("shingles").alias("s"))
-    per = each.groupBy("s", "label").agg(F.count("*").alias("c")).groupBy("s")
-    often = cut(per.agg(F.sum("c").alias("often"), F.max_by("label", F.struct("c", "label")).alias("major"), F.count("*").alias("kinds")).filter("often > 1"))
+    sizes = open_.groupBy("label").agg(F.count("*").alias("size"))
+    nodes = cut(open_.join(sizes, "label").join(known.select("node", "n", "shingles"), "node"))
+    each = nodes.select("node", "label", "size", F.explode("shingles").alias("s"))
+    # Which component counts as a shingle's largest changes the cost only: the largest of all that have it.
+    most = F.max(F.struct("size", "label"))["label"].alias("major")
+    often = cut(each.groupBy("s").agg(F.count("*").alias("often"), most, (F.min("label") < F.max("label")).alias("several")).filter("often > 1"))
     # A shingle that no other member has stands before all shared ones, so only the number of those counts.
-    order = F.array_sort(F.collect_list(F.struct("often", "s", "major", "kinds"))).alias("order")
-    shared = each.join(often, "s").groupBy("node").agg(order).join(nodes.select("node", "label", "n"), "node")
+    order = F.array_sort(F.collect_list(F.struct("often", "s", "major", "several"))).alias("order")
+    shared = each.select("node", "s").join(often, "s").groupBy("node").agg(order).join(nodes.select("node", "label", "n"), "node")
     alone = F.col("n") - F.size("order")
     length = F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - alone).cast("int")
-    rows = shared.select("node", "label", "n", alone.alias("alone"), F.posexplode(F.slice("order", F.lit(1), length)).alias("at", "o")).filter("o.kinds > 1")
+    rows = shared.select("node", "label", "n", alone.alias("alone"), F.posexplode(F.slice("order", F.lit(1), length)).alias("at", "o")).filter("o.several")
     rest = F.col("n") - F.col("alone") - F.col("at")
     rows = rows.select("node", "label", "n", rest.alias("rest"), "o.s", (F.col("label") == F.col("o.major")).alias("most"), F.ceil(F.col("o.often") / FAN).alias("fans"))
     rows = cut(rows.withColumn("index", F.col("rest") * (100 + percent) >= 2 * F.col("n") * percent))
@@ -307,8 +312,8 @@ def links(docs: DataFrame, rows: DataFrame, nodes: DataFrame, width: int, percen
     known, tested = full_sets(docs, met, width), None
     for step in range(rounds + 1):
         placed = _labelled(open_, labels)
-        centres = _open_buckets(placed, step)
-        joined = cut(placed.join(centres, ["bucket", "salt"]))
+        joined = placed.join(_open_buckets(placed), ["bucket", "salt"])
+        joined = cut(joined if step == rounds else joined.filter("node <> a"))
         if joined.isEmpty():
             return labels
         if step == rounds:
