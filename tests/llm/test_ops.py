@@ -744,33 +744,31 @@ def test_mixing_keeps_a_tiny_source_beside_a_large_corpus(spark):
         assert abs(sum(x["taken"] for x in mine) - mine[0]["target"]) <= 4
 
 
-def test_apportionment_is_sainte_lague(spark):
-    r = random.Random(8)
-    for case in range(12):
-        votes = [r.choice([0, 1, 5, r.randrange(1, 2000)]) for _ in range(r.randrange(1, 30))]
-        if not any(votes):
-            continue
-        seats = r.randrange(0, 80)
-        df = spark.createDataFrame([(case, i, float(v), seats) for i, v in enumerate(votes)], "g int, p long, v double, s long")
-        got = {x["p"]: x["out"] for x in mixing.apportion(df, ["g"], "p", "v", "s", "out").collect()}
-        have = [0] * len(votes)
-        for _ in range(seats):
-            have[max(range(len(votes)), key=lambda i: (votes[i] / (2 * have[i] + 1), -i))] += 1
-        quotients = sorted((votes[i] / (2 * k + 1) for i in range(len(votes)) for k in range(seats + 1)), reverse=True)
-        if seats and abs(quotients[seats - 1] - quotients[seats]) < 1e-9:
-            assert sum(got.values()) == seats
-        else:
-            assert [got[i] for i in range(len(votes))] == have
-
-
-@pytest.mark.parametrize("votes,seats", [([10_000] + [1000] * 50, 60), ([800.0] + [1.2] * 1000, 2000), ([1000.0] + [0.8] * 1000, 1800), ([300.49] + [1.0036] * 700, 1003), ([5] * 9, 4), ([0, 0, 3], 7)])
-def test_apportionment_with_many_small_parties(spark, votes, seats):
-    df = spark.createDataFrame([(i, float(v), seats) for i, v in enumerate(votes)], "p long, v double, s long")
-    got = {x["p"]: x["out"] for x in mixing.apportion(df, [], "p", "v", "s", "out").collect()}
+def dealt(votes, seats):
     have = [0] * len(votes)
     for _ in range(seats):
         have[max(range(len(votes)), key=lambda i: (votes[i] / (2 * have[i] + 1), -i))] += 1
-    assert [got[i] for i in range(len(votes))] == have
+    return have
+
+
+def test_apportionment_is_sainte_lague(spark):
+    """Sequential dealing of random groups, one large party beside many small ones, ties and zero votes; all at once."""
+    r = random.Random(8)
+    cases = [([r.choice([0, 1, 5, r.randrange(1, 2000)]) for _ in range(r.randrange(1, 30))] + [3], r.randrange(0, 80)) for _ in range(12)]
+    cases += [([10_000] + [1000] * 50, 60), ([800.0] + [1.2] * 1000, 2000), ([1000.0] + [0.8] * 1000, 1800), ([300.49] + [1.0036] * 700, 1003), ([5] * 9, 4), ([0, 0, 3], 7), ([0, 0], 3)]
+    df = spark.createDataFrame([(g, i, float(v), seats) for g, (votes, seats) in enumerate(cases) for i, v in enumerate(votes)], "g int, p long, v double, s long")
+    got = {}
+    for x in mixing.apportion(df, ["g"], "p", "v", "s", "out").collect():
+        got[x["g"], x["p"]] = x["out"]
+    for g, (votes, seats) in enumerate(cases):
+        assert [got[g, i] for i in range(len(votes))] == (dealt(votes, seats) if any(votes) else [0] * len(votes)), g
+
+
+def test_apportionment_of_one_group(spark):
+    votes = [10_000.0] + [1000.0] * 50
+    df = spark.createDataFrame([(i, v, 60) for i, v in enumerate(votes)], "p long, v double, s long")
+    got = {x["p"]: x["out"] for x in mixing.apportion(df, [], "p", "v", "s", "out").collect()}
+    assert [got[i] for i in range(len(votes))] == dealt(votes, 60)
 
 
 def test_numbering_is_global(spark):
