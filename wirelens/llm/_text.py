@@ -7,9 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text handled at once inside a task; a longer document is handled alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: Word separators: space and the controls 09 to 0D.
 SEPARATOR = np.zeros(256, dtype=bool)
@@ -109,5 +110,14 @@ class Words:
         return self.hash_spans(self.starts, self.ends)
 
 
+#: Keys of 8 bytes that are broadcast (some 32 MB in a task's memory); more are joined by shuffle.
+BROADCAST_KEYS = 1_000_000
+
+
+def checked(keys: DataFrame, n: int) -> DataFrame:
+    """A column of ``n`` numbers, marked for broadcast if they are at most BROADCAST_KEYS."""
+    return F.broadcast(keys) if n <= BROADCAST_KEYS else keys
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shared import cut
-from ._text import SLICE_BYTES, Words, mix, slices
+from ._text import SLICE_BYTES, Words, checked, mix, slices
 
 BINS = 256
 NO_ID = -(2**63)
@@ -285,14 +285,14 @@ def _prefix_pairs(open_: DataFrame, known: DataFrame, percent: int) -> DataFrame
 
 def _buckets(nodes: DataFrame) -> DataFrame:
     """(bucket, salt, parts, node, n) of the buckets with several nodes; members of hot ones are dealt over parts."""
-    banded = nodes.select("node", "n", F.posexplode("bands").alias("band", "key")).select("node", "n", F.xxhash64("band", "key").alias("bucket"))
+    banded = nodes.select("node", F.posexplode("bands").alias("band", "key")).select(F.xxhash64("band", "key").alias("bucket"), "node")
     sizes = cut(banded.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1"))
-    total = sizes.agg(F.sum("c")).first()[0] or 0
-    most = max(HOT, total // 10_000)  # at most 10,000 buckets hold more
+    n, total = sizes.agg(F.count("*"), F.sum("c")).first()
+    most = max(HOT, (total or 0) // 10_000)  # at most 10,000 buckets hold more
+    shared = cut(banded.join(checked(sizes.select("bucket"), n), "bucket", "left_semi"))
     hot = F.broadcast(sizes.filter(F.col("c") > most).select("bucket", F.ceil(F.col("c") / most).cast("int").alias("parts")))
-    dealt = banded.join(hot, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("salt", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    listed = sizes.select("bucket", F.explode(F.sequence(F.lit(0), F.when(F.col("c") > most, F.ceil(F.col("c") / most)).otherwise(1).cast("int") - 1)).alias("salt"))
-    return dealt.join(listed, ["bucket", "salt"], "left_semi")
+    dealt = shared.join(hot, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    return dealt.join(nodes.select("node", "n"), "node").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
 
 
 def _same_id(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -368,7 +368,8 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group: that with the smallest doc_id. Of its repeated rows one of each text
     stays (the least by its other columns). Rows with a null doc_id stay."""
     found = cut(near_duplicates(docs, percent=percent).filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_rows"), F.max("kept").alias("_kept")))
-    chosen = docs.join(found.filter("_rows > 1 OR NOT _kept").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    gone = found.filter("_rows > 1 OR NOT _kept").select("doc_id")
+    chosen = docs.join(checked(gone, gone.count()), "doc_id", "left_anti").select(docs.columns)
     repeated = found.filter("_rows > 1 AND _kept").select("doc_id")
     if repeated.isEmpty():
         return chosen
