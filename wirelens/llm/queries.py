@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprints, langid, maxent, mixing, neardup, pii, token_counts, toxicity
+from . import chat, decontaminate, fingerprints, langid, maxent, mixing, neardup, pii, token_counts, toxicity, trie_bpe
 from ._text import table
 
 #: Vocabulary files of public tokenizers; a parameter, never part of the repository.
 TOKENIZER_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+WORD_VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 
 
 def held_out(n: int, remainder: int) -> Column:
@@ -80,6 +81,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_bpe.digests(table(spark, sf_dir, "documents"), trie_bpe.load_vocabulary(WORD_VOCABULARY))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,7 +92,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_fingerprints, op3_chat, op4_tokens, op5_decontaminate, op6_langid, op7_maxent, op8_neardup, op9_toxicity, op10_mixing, pipeline)
+    f.__name__: f for f in (op1_pii, op2_fingerprints, op3_chat, op4_tokens, op5_decontaminate, op6_langid, op7_maxent, op8_neardup, op9_toxicity, op10_mixing, op11_bpe, pipeline)
 }
 
 _MARKS = r"\\|<\||<s>|</s>|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]"
