@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprints, langid, maxent, mixing, neardup, pii, token_counts, toxicity, trie_bpe
+from . import chat, decontaminate, fingerprints, langid, maxent, mixing, neardup, pii, repair, token_counts, toxicity, trie_bpe
 from ._text import table
 
 #: Vocabulary files of public tokenizers; a parameter, never part of the repository.
@@ -85,6 +85,10 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_bpe.digests(table(spark, sf_dir, "documents"), trie_bpe.load_vocabulary(WORD_VOCABULARY))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repairs(repair.damage(table(spark, sf_dir, "conversations")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,7 +96,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_fingerprints, op3_chat, op4_tokens, op5_decontaminate, op6_langid, op7_maxent, op8_neardup, op9_toxicity, op10_mixing, op11_bpe, pipeline)
+    f.__name__: f for f in (op1_pii, op2_fingerprints, op3_chat, op4_tokens, op5_decontaminate, op6_langid, op7_maxent, op8_neardup, op9_toxicity, op10_mixing, op11_bpe, op13_repair, pipeline)
 }
 
 _MARKS = r"\\|<\||<s>|</s>|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]"
@@ -122,4 +126,58 @@ r(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, e.y FROM r JO
 m AS (SELECT x, min(y) AS component_id FROM r GROUP BY x)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
 FROM documents d JOIN m ON m.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
+    "op13_repair": r"""
+WITH RECURSIVE crc AS (
+  SELECT list(v ORDER BY n) AS tab FROM (
+    SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v FROM range(256) r(n))),
+src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+kinds AS (
+  SELECT src.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(k, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: xor(c // 256, tab[(xor(c, b) % 256) + 1])), 4294967295) % 20 AS kind FROM src, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM kinds, (SELECT unnest([1, 2]) AS c) WHERE kind <> 0 AND (c = 1 OR kind = 3)),
+ordered AS (
+  SELECT *, row_number() OVER w AS i, lag(left(role, 1)) OVER w AS before,
+    regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS bare
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+faults AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM ordered),
+sums AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM faults GROUP BY conv_id),
+go(f, x, g) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+name(x, role) AS (VALUES ('u', 'user'), ('a', 'assistant')),
+ins AS (
+  SELECT DISTINCT f, f AS g, '' AS ks, [] :: VARCHAR[] AS rows FROM go
+  UNION ALL SELECT 3, 3, '', []
+  UNION ALL SELECT f, g, 'I', [role || ':'] FROM go JOIN name USING (x)
+  UNION ALL SELECT a.f, b.g, 'II', [n.role || ':', m.role || ':'] FROM go a JOIN go b ON b.f = a.g JOIN name n ON n.x = a.x JOIN name m ON m.x = b.x),
+pre AS (SELECT DISTINCT * FROM ins),
+moves AS (
+  SELECT f, g, ks || 'D' AS ks, rows, 5 * len(ks) + 2 AS cost, '' AS x, '' AS role FROM pre
+  UNION ALL SELECT p.f, go.g, ks || 'K', rows, 5 * len(ks), go.x, '' FROM pre p JOIN go ON go.f = p.g
+  UNION ALL SELECT p.f, go.g, ks || 'R', rows, 5 * len(ks) + 1, go.x, name.role FROM pre p JOIN go ON go.f = p.g JOIN name ON name.x = go.x),
+talks AS (SELECT DISTINCT conv_id FROM conversations),
+dp AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS st, CAST(0 AS BIGINT) AS cost, '' AS audit, [] :: VARCHAR[] AS rows FROM talks
+  UNION ALL
+  SELECT d.conv_id, f.i, m.g, d.cost + m.cost + CASE WHEN f.fault = 'truncated' AND right(m.ks, 1) <> 'D' THEN 5 ELSE 0 END, d.audit || m.ks,
+    list_concat(d.rows, list_concat(m.rows, CASE WHEN right(m.ks, 1) = 'D' THEN [] :: VARCHAR[] WHEN right(m.ks, 1) = 'K' THEN [f.role || ':' || f.text] ELSE [m.role || ':' || f.text] END))
+  FROM dp d JOIN faults f ON f.conv_id IS NOT DISTINCT FROM d.conv_id AND f.i = d.i + 1 JOIN moves m ON m.f = d.st
+  WHERE CASE right(m.ks, 1) WHEN 'D' THEN true WHEN 'K' THEN left(f.role, 1) = m.x AND f.fault NOT IN ('blank', 'duplicate') ELSE f.fault NOT IN ('blank', 'duplicate') END
+  QUALIFY row_number() OVER (PARTITION BY d.conv_id, m.g ORDER BY d.cost + m.cost + CASE WHEN f.fault = 'truncated' AND right(m.ks, 1) <> 'D' THEN 5 ELSE 0 END, d.audit || m.ks) = 1),
+ends AS (
+  SELECT d.conv_id, d.cost + 5 * len(p.ks) AS cost, d.audit || p.ks AS audit, list_concat(d.rows, p.rows) AS rows
+  FROM dp d JOIN pre p ON p.f = d.st LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM d.conv_id
+  WHERE d.i = coalesce(s.n, 0) AND p.g IN (0, 3)
+  QUALIFY row_number() OVER (PARTITION BY d.conv_id ORDER BY d.cost + 5 * len(p.ks), d.audit || p.ks) = 1)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, e.cost, e.audit, sha256(array_to_string(e.rows, chr(10))) AS repaired_sha256
+FROM ends e LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM e.conv_id""",
 }
