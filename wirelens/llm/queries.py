@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprints, langid, maxent, mixing, neardup, pii, repair, token_counts, toxicity, trie_bpe
+from . import chat, decontaminate, fingerprints, langid, lexical, maxent, mixing, neardup, pii, repair, token_counts, toxicity, trie_bpe
 from ._text import table
 
 #: Vocabulary files of public tokenizers; a parameter, never part of the repository.
@@ -85,6 +85,10 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_bpe.digests(table(spark, sf_dir, "documents"), trie_bpe.load_vocabulary(WORD_VOCABULARY))
 
 
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repairs(repair.damage(table(spark, sf_dir, "conversations")))
 
@@ -96,7 +100,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_fingerprints, op3_chat, op4_tokens, op5_decontaminate, op6_langid, op7_maxent, op8_neardup, op9_toxicity, op10_mixing, op11_bpe, op13_repair, pipeline)
+    f.__name__: f for f in (op1_pii, op2_fingerprints, op3_chat, op4_tokens, op5_decontaminate, op6_langid, op7_maxent, op8_neardup, op9_toxicity, op10_mixing, op11_bpe, op12_lexical, op13_repair, pipeline)
 }
 
 _MARKS = r"\\|<\||<s>|</s>|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]"
@@ -126,6 +130,20 @@ r(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, e.y FROM r JO
 m AS (SELECT x, min(y) AS component_id FROM r GROUP BY x)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
 FROM documents d JOIN m ON m.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
+    "op12_lexical": r"""
+WITH t AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM n),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf, total GROUP BY term),
+s AS (
+  SELECT q.item_id, tf.doc_id, CAST(sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 20 * (50 + (50 * n.n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN n ON n.doc_id = tf.doc_id, total GROUP BY q.item_id, tf.doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 50""",
     "op13_repair": r"""
 WITH RECURSIVE crc AS (
   SELECT list(v ORDER BY n) AS tab FROM (
