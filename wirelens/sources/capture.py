@@ -1,14 +1,12 @@
-"""Capture files to packets and DNS messages. A compressed file isn't splittable, so each is streamed through one task, a
-frame at a time, whatever its size; what follows is repartitioned by flow. Decoding bytes needs Python; everything
-behind it is columns."""
+"""Capture files to packets and DNS messages. Plain captures are read by ranges of bytes, so one file is read by many
+tasks; a compressed one can't be split and is streamed through one task, a frame at a time, whatever its size. A file
+that can't be read to its end gives the packets before the damage and one failure. Decoding bytes needs Python;
+everything behind it is columns."""
 
 from __future__ import annotations
 
-import bz2
-import gzip
 import io
 import ipaddress
-import lzma
 import struct
 from collections.abc import Callable, Iterator
 
@@ -18,8 +16,13 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import time_of_millis
 from ..shared import open_path
+from . import records
+from .frames import packet
+from .records import Damaged, layout, opened
 
-PACKETS = "file string, seq long, ts_ms long, ip_version int, protocol int, ttl int, src string, src_port int, dst string, dst_port int, do_not_fragment boolean, frag_offset int, more_fragments boolean, ip_id int, tcp_seq long, tcp_flags int, payload binary"
+PACKETS = "file string, seq long, ts_ms long, ip_version int, protocol int, ttl int, src string, src_port int, dst string, dst_port int, do_not_fragment boolean, frag_offset int, more_fragments boolean, ip_id long, tcp_seq long, tcp_flags int, payload binary"
+#: Rows of a scan: packets, and for each file read to its end or to its damage one row with ``records`` (``seq`` is null).
+SCAN = f"{PACKETS}, records long, failure string"
 RR = "array<struct<name:string,type:int,data:string>>"
 MESSAGES = f"header struct<id:int,qr:int,opcode:int,aa:boolean,tc:boolean,rd:boolean,ra:boolean,ad:boolean,cd:boolean,rcode:int,qdcount:int,ancount:int,nscount:int,arcount:int>, questions array<struct<qname:string,qtype:int,qclass:int>>, answer {RR}, authority {RR}, additional {RR}, opt struct<udp:int,ext_rcode:int,version:int,do:boolean,options:array<struct<code:int,info_code:int,ecs_addr:string,ecs_mask:int>>>"
 
@@ -29,97 +32,116 @@ def read_captures(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.{pcap,gz,xz,bz2}").option("recursiveFileLookup", "true").load(path)
 
 
-def _open(path: str, raw) -> io.BufferedIOBase:
-    """The file unpacked by its suffix, as a stream; gz, xz and bz2 files may hold several parts."""
-    kind = path.rsplit(".", 1)[-1]
-    return {"gz": lambda f: gzip.GzipFile(fileobj=f), "xz": lzma.LZMAFile, "bz2": bz2.BZ2File}.get(kind, lambda f: f)(raw)
-
-
-def _frames(f) -> Iterator[tuple[int, bytes]]:
-    """(milliseconds, frame) of a capture; one that is cut off ends with its last whole frame."""
-    head = f.read(24)
-    if len(head) < 24:
-        return
-    magic = head[:4]
-    order = "<" if magic in (b"\xd4\xc3\xb2\xa1", b"\x4d\x3c\xb2\xa1") else ">"
-    nano = magic in (b"\x4d\x3c\xb2\xa1", b"\xa1\xb2\x3c\x4d")
-    while len(record := f.read(16)) == 16:
-        sec, part, size, _ = struct.unpack(order + "IIII", record)
-        if len(frame := f.read(size)) < size:
-            return
-        yield sec * 1000 + part // (1_000_000 if nano else 1000), frame
-
-
-def _packet(frame: bytes) -> dict | None:
-    at = 14
-    kind = frame[12:14]
-    while kind in (b"\x81\x00", b"\x88\xa8"):
-        kind, at = frame[at + 2 : at + 4], at + 4
-    ip = frame[at:]
-    p: dict = {"do_not_fragment": False, "frag_offset": 0, "more_fragments": False, "ip_id": None, "tcp_seq": None, "tcp_flags": None, "src_port": None, "dst_port": None}
-    if kind == b"\x08\x00" and len(ip) >= 20:
-        size = (ip[0] & 15) * 4
-        total, ip_id, frag = struct.unpack_from("!HHH", ip, 2)
-        p |= {"ip_version": 4, "ttl": ip[8], "protocol": ip[9], "ip_id": ip_id, "do_not_fragment": bool(frag & 0x4000), "more_fragments": bool(frag & 0x2000), "frag_offset": (frag & 0x1FFF) * 8}
-        p |= {"src": str(ipaddress.IPv4Address(ip[12:16])), "dst": str(ipaddress.IPv4Address(ip[16:20]))}
-        body = ip[size:total]
-    elif kind == b"\x86\xdd" and len(ip) >= 40:
-        p |= {"ip_version": 6, "ttl": ip[7], "protocol": ip[6], "src": str(ipaddress.IPv6Address(ip[8:24])), "dst": str(ipaddress.IPv6Address(ip[24:40]))}
-        body = ip[40 : 40 + struct.unpack_from("!H", ip, 4)[0]]
-    else:
-        return None
-    if p["frag_offset"] == 0 and p["protocol"] in (6, 17) and len(body) >= 8 and not p["more_fragments"]:
-        p["src_port"], p["dst_port"] = struct.unpack_from("!HH", body)
-        if p["protocol"] == 17:
-            body = body[8:]
-        elif len(body) >= 20:
-            p["tcp_seq"], p["tcp_flags"] = struct.unpack_from("!I", body, 4)[0], body[13]
-            body = body[(body[12] >> 4) * 4 :]
-    return p | {"payload": body}
-
-
-def _packet_rows(path: str, raw) -> Iterator[pa.RecordBatch]:
-    names = [x.strip().split(" ") for x in PACKETS.split(",")]
-    kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
-    schema = pa.schema([(n, kinds[k]) for n, k in names])
-    out, size = [], 0
-    for seq, (ts, frame) in enumerate(_frames(_open(path, raw))):
-        if p := _packet(frame):
-            out.append({"file": path, "seq": seq, "ts_ms": ts} | p)
-            size += len(frame)
-        if len(out) >= 5000 or size > 4 << 20:
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
-            out, size = [], 0
-    yield pa.RecordBatch.from_pylist(out, schema=schema)
+_KINDS = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
+_SCAN_ARROW = pa.schema([(n, _KINDS[k]) for n, k in (x.split() for x in SCAN.split(", "))])
+
+
+def _scan_rows(path: str, found: Iterator[tuple[int, int, bytes]], link: Callable[[], int], first: int = 0, skip: int = 0, ends: bool = True) -> Iterator[pa.RecordBatch]:
+    """Batches of a scan from a file's records; ``first`` is the number of the first of them, records numbered under
+    ``skip`` aren't given. With ``ends`` a last row tells how many records the file has."""
+    out, size, seq, failure = [], 0, first, None
+    try:
+        for _, ts, frame in found:
+            if seq >= skip and (p := packet(frame, link())):
+                out.append({"file": path, "seq": seq, "ts_ms": ts} | p)
+                size += len(frame)
+            seq += 1
+            if len(out) >= 5000 or size > 4 << 20:
+                yield pa.RecordBatch.from_pylist(out, schema=_SCAN_ARROW)
+                out, size = [], 0
+    except Damaged as e:
+        failure = str(e)
+    if ends or failure:
+        out.append({"file": path, "records": seq, "failure": failure})
+    yield pa.RecordBatch.from_pylist(out, schema=_SCAN_ARROW)
+
+
+def _stream_rows(path: str, raw, skip: int = 0) -> Iterator[pa.RecordBatch]:
+    """A scan of one file from its first byte, unpacked as it is read."""
+    lay = None
+
+    def found():
+        nonlocal lay
+        f = opened(path, raw)
+        lay = layout(records._read(f, records.FILE_HEADER))
+        yield from records.records(f, lay)
+
+    yield from _scan_rows(path, found(), lambda: lay.link, skip=skip)
 
 
 def _timed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("ts", time_of_millis("ts_ms")).drop("ts_ms")
 
 
-def packets(captures: DataFrame) -> DataFrame:
-    """One row per captured IP packet of (path, content) rows, in order within its file (``seq``), times in milliseconds."""
+def scan(captures: DataFrame) -> DataFrame:
+    """Packets and endings of (path, content) rows. Where there is a column ``skip``, a file's first ``skip`` records aren't
+    given again."""
+    skip = F.col("skip").cast("long") if "skip" in captures.columns else F.lit(0).cast("long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for path, content in zip(b.column("path").to_pylist(), b.column("content")):
-                yield from _packet_rows(path, io.BytesIO(memoryview(content.as_buffer())))
+            for path, content, n in zip(b.column("path").to_pylist(), b.column("content"), b.column("skip").to_pylist()):
+                yield from _stream_rows(path, io.BytesIO(memoryview(content.as_buffer()) if content.is_valid else b""), n or 0)
 
-    return _timed(captures.select("path", "content").mapInArrow(run, PACKETS))
+    return _timed(captures.select("path", "content", skip.alias("skip")).mapInArrow(run, SCAN))
 
 
-def read_packets(spark: SparkSession, path: str, open_file: Callable = open_path) -> DataFrame:
-    """``packets`` of the capture files under a path, of any size: Spark lists them, and each is opened by ``open_file``
-    in a task and streamed."""
-    files = read_captures(spark, path).select("path", "length").filter("length > 0")
+def scan_files(spark: SparkSession, files: DataFrame, open_file: Callable = open_path, block_bytes: int = 64 << 20) -> DataFrame:
+    """Packets and endings of the capture files in ``files`` (path, length and, if wanted, skip), of any size: each is
+    opened by ``open_file`` in tasks; plain ones are read by ranges of ``block_bytes``."""
+    name = F.col("path").alias("file")
+    skip = (F.col("skip") if "skip" in files.columns else F.lit(0)).cast("long").alias("skip")
+    packed = F.lower(F.element_at(F.split("path", r"\."), -1)).isin("gz", "xz", "bz2")
+    rows = files.select(name, F.col("length").alias("size"), skip, packed.alias("packed"))
+    blocks = records.stitched(rows.filter("NOT packed"), block_bytes, open_file).join(rows.select("file", "skip"), "file")
+    last = F.col("failure").isNotNull() | (F.col("stop") >= F.col("size"))
+    plain = blocks.filter("records > 0 OR failure IS NOT NULL OR stop >= size").select("file", "start", "stop", "first", "failure", last.alias("last"), "skip")
+    whole = rows.filter("packed").select("file", F.lit(None).cast("long").alias("start"), F.lit(None).cast("long").alias("stop"), F.lit(0).cast("long").alias("first"), F.lit(None).cast("string").alias("failure"), F.lit(True).alias("last"), "skip")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for name in b.column("path").to_pylist():
-                with open_file(name) as raw:
-                    yield from _packet_rows(name, raw)
+            for r in b.to_pylist():
+                with open_file(r["file"]) as raw:
+                    if r["start"] is None:
+                        yield from _stream_rows(r["file"], raw, r["skip"] or 0)
+                        continue
+                    yield from _range_rows(raw, r)
+
+    return _timed(plain.unionByName(whole).repartition("file", "first").mapInArrow(run, SCAN))
+
+
+def _range_rows(raw, r: dict) -> Iterator[pa.RecordBatch]:
+    """The records of a range whose first one is known."""
+    lay = None
+
+    def found():
+        nonlocal lay
+        lay = layout(raw.read(records.FILE_HEADER))
+        raw.seek(r["start"])
+        yield from records.records(io.BufferedReader(raw, records.READ_BYTES) if isinstance(raw, io.RawIOBase) else raw, lay, r["start"], r["stop"])
+
+    yield from _scan_rows(r["file"], found(), lambda: lay.link, r["first"], r["skip"] or 0, r["last"])
+
+
+def of_scan(rows: DataFrame) -> DataFrame:
+    """The packets of a scan."""
+    return rows.filter("seq IS NOT NULL").drop("records", "failure")
+
+
+def endings(rows: DataFrame) -> DataFrame:
+    """(file, records, failure) of each file of a scan: null where it was read to its end, else why not; ``records`` are those
+    that were read."""
+    return rows.filter("seq IS NULL").select("file", "records", "failure")
+
+
+def packets(captures: DataFrame) -> DataFrame:
+    """One row per captured IP packet of (path, content) rows, in order within its file (``seq``), times in milliseconds."""
+    return of_scan(scan(captures))
+
 
-    return _timed(files.repartition("path").select("path").mapInArrow(run, PACKETS))
+def read_packets(spark: SparkSession, path: str, open_file: Callable = open_path, block_bytes: int = 64 << 20) -> DataFrame:
+    """``packets`` of the capture files under a path."""
+    return of_scan(scan_files(spark, read_captures(spark, path).select("path", "length"), open_file, block_bytes))
 
 
 def _name(m: bytes, at: int) -> tuple[str, int]:
