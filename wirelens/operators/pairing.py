@@ -20,10 +20,15 @@ def dns_only(packets: DataFrame, port: int = 53) -> DataFrame:
     return packets.filter(F.col("prot").isin(6, 17) & ((F.col("src_port") == port) | (F.col("dst_port") == port)))
 
 
+def _order(messages: DataFrame) -> list[str]:
+    """Messages that one packet completed follow by ``part``."""
+    return [c for c in ("ts", "seq", "part") if c in messages.columns]
+
+
 def drop_transfers(messages: DataFrame) -> DataFrame:
     """Without zone-transfer requests, and with only the first response of each transfer."""
     transfer = (F.col("qr") == 0) & F.col("qtype").isin(*TRANSFERS)
-    client = Window.partitionBy(*CLIENT).orderBy("ts", "seq")
+    client = Window.partitionBy(*CLIENT).orderBy(*_order(messages))
     epoch = messages.withColumn("_epoch", F.sum(transfer.cast("int")).over(client.rowsBetween(Window.unboundedPreceding, 0)))
     # Responses since the transfer's request: all so far less those before it.
     so_far = F.sum("qr").over(client.rowsBetween(Window.unboundedPreceding, 0))
@@ -39,7 +44,7 @@ def transactions(messages: DataFrame, keep_retransmits: bool = False, fold_case:
     """
     kept = drop_transfers(messages)
     name = ascii_lower("qname") if fold_case else F.col("qname")
-    key = Window.partitionBy(*CLIENT, name).orderBy("ts", "seq")
+    key = Window.partitionBy(*CLIENT, name).orderBy(*_order(messages))
     fields = F.struct(*messages.columns)
     near = kept.select("capture_file", "qr", "qname", fields.alias("this"), F.lag(fields).over(key).alias("before"), F.lead("qr").over(key).alias("next"))
     alone = (F.col("next").isNull() | (F.lit(keep_retransmits) & (F.col("next") == 0))) & F.col("qname").isNotNull()
@@ -53,10 +58,19 @@ def unmatched_requests(pairs: DataFrame) -> DataFrame:
     return pairs.filter(F.col("rsp").isNull())
 
 
-def capture_stats(messages: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Per file: messages, requests, responses, matched and unmatched."""
+def capture_stats(messages: DataFrame, pairs: DataFrame, packets: DataFrame | None = None, expiry_ms: int | None = None) -> DataFrame:
+    """Per file: messages, requests, responses, matched and unmatched; with ``packets`` (file) their number, with
+    ``expiry_ms`` the unmatched requests that had waited that long when the file's last message came."""
     seen = messages.groupBy("capture_file").agg(F.count("*").alias("messages"), F.count_if(F.col("qr") == 0).alias("requests"), F.count_if(F.col("qr") == 1).alias("responses"))
     both = F.col("req").isNotNull() & F.col("rsp").isNotNull()
     made = pairs.groupBy("capture_file").agg(F.count_if(both).alias("matched"), F.count_if(F.col("rsp").isNull()).alias("unmatched"), F.count_if(F.col("req").isNull()).alias("response_only"))
-    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("matched", "unmatched", "response_only")]
-    return seen.join(made, "capture_file", "left").select("capture_file", "messages", "requests", "responses", *zero)
+    out, more = seen.join(made, "capture_file", "left"), []
+    if expiry_ms is not None:
+        last = messages.groupBy("capture_file").agg(F.max("ts").alias("_last"))
+        late = pairs.filter("rsp IS NULL").select("capture_file", F.col("req.ts").alias("_ts")).join(last, "capture_file")
+        late = late.filter(F.col("_ts") + F.make_interval(secs=F.lit(expiry_ms / 1000)) <= F.col("_last"))
+        out, more = out.join(late.groupBy("capture_file").agg(F.count("*").alias("expired")), "capture_file", "left"), ["expired"]
+    if packets is not None:
+        out, more = packets.groupBy(F.col("file").alias("capture_file")).agg(F.count("*").alias("packets")).join(out, "capture_file", "left"), [*more, "packets"]
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("messages", "requests", "responses", "matched", "unmatched", "response_only", *more)]
+    return out.select("capture_file", *zero)

@@ -51,7 +51,7 @@ def handshake_rtt(segments: DataFrame) -> DataFrame:
 def first_with_rtt(messages: DataFrame, rtt: DataFrame) -> DataFrame:
     """Adds tcp_rtt to the first message of each client flow only."""
     keys = ["capture_file", "src", "src_port", "dst"]
-    w = Window.partitionBy(*keys).orderBy("ts", "seq")
+    w = Window.partitionBy(*keys).orderBy("ts", "seq", *(["part"] if "part" in messages.columns else []))
     x = messages.withColumn("_n", F.row_number().over(w)).join(rtt, keys, "left")
     return x.withColumn("tcp_rtt", F.when(F.col("_n") == 1, F.col("rtt_ms"))).drop("_n", "rtt_ms")
 

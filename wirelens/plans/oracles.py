@@ -109,8 +109,17 @@ def counted(name: str, expr: str) -> str:
 
 QTYPE = "CASE dns_qtype WHEN 1 THEN 'A' WHEN 28 THEN 'AAAA' WHEN 252 THEN 'AXFR' END"
 PROTOCOL = "CASE WHEN prot = 17 THEN 'UDP' ELSE 'TCP' END"
-PKT = f"""{M}, pkt AS (SELECT *, 'f' || (seq // {V.EVENTS_PER_FILE}) || '.pcap' AS file, row_number() OVER (PARTITION BY seq // {V.EVENTS_PER_FILE} ORDER BY seq) - 1 AS n, seq % {V.MALFORMED} = 0 AS bad,
- CASE WHEN ip_version = 4 THEN server_ip ELSE '2001:db8::' || (who % 2 + 1) END AS server FROM dns_messages)"""
+FILE = f"'f' || (seq // {V.EVENTS_PER_FILE}) || '.pcap'"
+#: pkt: messages with the number of packets they are sent in and the number of the packet that completes them.
+PKT = f"""{M}, sent AS (SELECT *, {FILE} AS file, seq // {V.EVENTS_PER_FILE} AS file_no, seq % {V.MALFORMED} = 0 AS bad,
+ CASE WHEN ip_version = 4 THEN server_ip ELSE '2001:db8::' || (who % 2 + 1) END AS server,
+ CASE WHEN prot = 6 THEN [1, 2, 2, 3][seq % 4 + 1] WHEN seq % 5 = 2 THEN 2 ELSE 1 END AS pieces FROM dns_messages),
+pkt AS (SELECT *, CAST(sum(pieces) OVER f AS BIGINT) - pieces AS first_n, CAST(sum(pieces) OVER f AS BIGINT) - pieces + CASE WHEN pieces = 1 THEN 0 ELSE 1 END AS n FROM sent WINDOW f AS (PARTITION BY file_no ORDER BY seq))"""
+#: rec: one row per packet; ``fragment`` 1 is the first and 2 the last one of a datagram, ``skip`` what a segment leaves out.
+REC_PKT = f"""{PKT}, size AS (SELECT *, 2 + 12 + length('u' || who) + 10 + 4 + 11 + 11 + 6 - CASE WHEN bad THEN 3 ELSE 0 END AS bytes FROM pkt),
+flow AS (SELECT *, coalesce(CAST(sum(bytes) OVER (PARTITION BY file, prot, client_ip, client_port, server, qr ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS sent_before FROM size),
+rec AS (SELECT * EXCLUDE (n), first_n + k AS n, CASE WHEN prot = 17 AND pieces = 2 THEN CASE WHEN (k = 0) = (seq % 10 = 2) THEN 1 ELSE 2 END ELSE 0 END AS fragment,
+ CASE WHEN prot = 6 AND pieces > 1 AND (k = 1) = (seq % 4 <> 2) THEN {V.FIRST_SEGMENT} ELSE 0 END AS skip FROM flow, (SELECT unnest([0, 1, 2]) AS k) WHERE k < pieces)"""
 SEG = f"seg AS ({V.duck(V.SEGMENTS)})"
 LED = f"led AS ({V.duck(V.LEDGER)})"
 REC = f"""rec AS (SELECT event_id AS seq, r.section, r.pos, r.type, r.prefix || (user_id % 9) AS data FROM events CROSS JOIN {V.values(V.RECORDS)} AS r(section, pos, type, prefix)
@@ -138,18 +147,28 @@ def points() -> str:
 
 
 ORACLES = {
-    "packet_fields": f"WITH {PKT} SELECT file, n AS seq, prot, ip_version, ip_ttl, CASE WHEN qr = 0 THEN client_ip ELSE server END AS src, CASE WHEN qr = 0 THEN client_port ELSE 53 END AS src_port, CASE WHEN qr = 0 THEN server ELSE client_ip END AS dst, CASE WHEN qr = 0 THEN 53 ELSE client_port END AS dst_port, ip_version = 4 AS do_not_fragment, CASE WHEN prot = 6 THEN seq END AS tcp_seq, date_trunc('milliseconds', ts) AS ts FROM pkt",
-    "dns_only": f"WITH {PKT} SELECT file, n AS seq, CASE WHEN qr = 0 THEN client_port ELSE 53 END AS src_port, CASE WHEN n % 7 = 0 THEN 80 WHEN qr = 0 THEN 53 ELSE client_port END AS dst_port FROM pkt WHERE qr = 1 OR n % 7 <> 0",
-    "malformed_messages": f"WITH {PKT} SELECT file, n AS seq, date_trunc('milliseconds', ts) AS ts FROM pkt WHERE prot = 17 AND bad",
-    "dns_header": f"WITH {PKT} SELECT file, n AS seq, dns_id AS id, qr, aa, tc, rd, ra, ad, cd, rcode, CAST(1 AS INT) AS qdcount, CAST(1 AS INT) AS arcount, 'u' || who || '.zone.nl.' AS qname, qtype, CAST(1232 AS INT) AS udp, seq % 2 = 0 AS do, opt_ext_rcode AS ext_rcode, '10.10.' || (who % 250) || '.0/24' AS ecs, CAST(seq % 25 AS VARCHAR) AS errors FROM pkt WHERE prot = 17 AND NOT bad",
-    "capture_pairing": f"""WITH {PKT}, m AS (SELECT * EXCLUDE (qname), who AS qname FROM pkt WHERE prot = 17 AND NOT bad),
+    "packet_fields": f"""WITH {REC_PKT} SELECT file, n AS seq, prot, ip_version, ip_ttl, CASE WHEN qr = 0 THEN client_ip ELSE server END AS src, CASE WHEN fragment > 0 THEN NULL WHEN qr = 0 THEN client_port ELSE 53 END AS src_port,
+ CASE WHEN qr = 0 THEN server ELSE client_ip END AS dst, CASE WHEN fragment > 0 THEN NULL WHEN qr = 0 THEN 53 ELSE client_port END AS dst_port, ip_version = 4 AND fragment = 0 AS do_not_fragment,
+ CASE WHEN prot = 6 THEN ({V.FIRST_SEQUENCE} + sent_before + skip) % 4294967296 END AS tcp_seq, date_trunc('milliseconds', ts) AS ts FROM rec""",
+    "dns_only": f"""WITH {REC_PKT}, p AS (SELECT file, n AS seq, CASE WHEN fragment > 0 THEN NULL WHEN qr = 0 THEN client_port ELSE 53 END AS src_port, CASE WHEN n % 7 = 0 THEN 80 WHEN fragment > 0 THEN NULL WHEN qr = 0 THEN 53 ELSE client_port END AS dst_port FROM rec)
+SELECT * FROM p WHERE src_port = 53 OR dst_port = 53""",
+    "malformed_messages": f"WITH {PKT} SELECT file, n AS seq, date_trunc('milliseconds', ts) AS ts FROM pkt WHERE bad",
+    "dns_header": f"WITH {PKT} SELECT file, n AS seq, prot AS protocol, ip_ttl AS ttl, CASE WHEN qr = 0 THEN client_ip ELSE server END AS src, CASE WHEN qr = 0 THEN 53 ELSE client_port END AS dst_port, dns_id AS id, qr, aa, tc, rd, ra, ad, cd, rcode, CAST(1 AS INT) AS qdcount, CAST(1 AS INT) AS arcount, 'u' || who || '.zone.nl.' AS qname, qtype, CAST(1232 AS INT) AS udp, seq % 2 = 0 AS do, opt_ext_rcode AS ext_rcode, '10.10.' || (who % 250) || '.0/24' AS ecs, CAST(seq % 25 AS VARCHAR) AS errors FROM pkt WHERE NOT bad",
+    "capture_failures": f"""WITH {PKT}, whole AS (SELECT file, any_value(file_no) AS k, CAST(sum(pieces) AS BIGINT) AS n, min(CASE WHEN seq % {V.EVENTS_PER_FILE} = {V.DAMAGED_EVENT} THEN first_n END) AS bad_n FROM pkt GROUP BY file),
+f AS (SELECT file, CASE WHEN k % 4 = 1 THEN n - 1 WHEN k % 4 = 2 THEN 0 WHEN k % 4 = 3 THEN coalesce(bad_n, n) ELSE n END AS records,
+ CASE WHEN k % 4 = 1 THEN 'record is cut off' WHEN k % 4 = 2 THEN 'not a capture' WHEN k % 4 = 3 AND bad_n IS NOT NULL THEN 'record length is damaged' END AS failure FROM whole)
+SELECT *, records AS packets FROM f""",
+    "capture_pairing": f"""WITH {PKT}, m AS (SELECT * EXCLUDE (qname), who AS qname FROM pkt WHERE NOT bad),
 x AS (SELECT *, sum(CASE WHEN qr = 0 AND qtype IN (251, 252) THEN 1 ELSE 0 END) OVER (PARTITION BY file, dns_id, client_ip, client_port ORDER BY date_trunc('milliseconds', ts), n) AS epoch FROM m),
 y AS (SELECT *, sum(qr) OVER (PARTITION BY file, dns_id, client_ip, client_port, epoch ORDER BY date_trunc('milliseconds', ts), n) AS nth FROM x),
 k AS (SELECT * FROM y WHERE NOT (qr = 0 AND qtype IN (251, 252)) AND NOT (qr = 1 AND epoch > 0 AND nth > 1)),
 w AS (SELECT *, lag(qr) OVER v AS pqr, lead(qr) OVER v AS nqr FROM k WINDOW v AS (PARTITION BY file, dns_id, client_ip, client_port, qname ORDER BY date_trunc('milliseconds', ts), n)),
 a AS (SELECT file, count(*) AS messages, count(*) FILTER (qr = 0) AS requests, count(*) FILTER (qr = 1) AS responses FROM m GROUP BY 1),
-b AS (SELECT file, count(*) FILTER (qr = 1 AND pqr = 0) AS matched, count(*) FILTER (qr = 0 AND nqr IS NULL) AS unmatched, count(*) FILTER (qr = 1 AND pqr IS DISTINCT FROM 0) AS response_only FROM w GROUP BY 1)
-SELECT file AS capture_file, messages, requests, responses, coalesce(matched, 0) AS matched, coalesce(unmatched, 0) AS unmatched, coalesce(response_only, 0) AS response_only FROM a LEFT JOIN b USING (file)""",
+l AS (SELECT file, max(date_trunc('milliseconds', ts)) AS last FROM m GROUP BY 1),
+b AS (SELECT file, count(*) FILTER (qr = 1 AND pqr = 0) AS matched, count(*) FILTER (qr = 0 AND nqr IS NULL) AS unmatched, count(*) FILTER (qr = 1 AND pqr IS DISTINCT FROM 0) AS response_only,
+ count(*) FILTER (qr = 0 AND nqr IS NULL AND date_trunc('milliseconds', ts) + INTERVAL 10 MINUTE <= last) AS expired FROM w JOIN l USING (file) GROUP BY 1),
+p AS (SELECT file, CAST(sum(pieces) AS BIGINT) AS packets FROM pkt GROUP BY 1)
+SELECT file AS capture_file, packets, messages, requests, responses, coalesce(matched, 0) AS matched, coalesce(unmatched, 0) AS unmatched, coalesce(response_only, 0) AS response_only, coalesce(expired, 0) AS expired FROM p LEFT JOIN a USING (file) LEFT JOIN b USING (file)""",
     "ip_reassembly": "SELECT l_orderkey AS ip_id, count(*) AS fragments, (max(l_linenumber) - 1) * 8 AS last_offset, string_agg(lpad(upper(to_hex(l_partkey % 65536)), 8, '0'), '' ORDER BY l_linenumber) AS payload FROM (SELECT DISTINCT ON (l_orderkey, l_linenumber) * FROM lineitem) GROUP BY 1 HAVING max(l_linenumber) = count(*) AND min(l_linenumber) = 1",
     "tcp_reassembly": f"""WITH {SEG}, a AS (SELECT *, max(tcp_seq + length) OVER (PARTITION BY capture_file, src, src_port, dst, dst_port ORDER BY tcp_seq, length DESC, ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM seg WHERE length > 0)
 SELECT capture_file, src, src_port, count(*) AS segments, CAST(sum(CASE WHEN tcp_seq > seen THEN 1 ELSE 0 END) AS BIGINT) AS gaps, CAST(sum(length - greatest(0, coalesce(seen - tcp_seq, 0))) AS BIGINT) AS bytes FROM a WHERE seen IS NULL OR tcp_seq + length > seen GROUP BY ALL""",

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from .. import sinks
-from ..operators import address, metrics, names, objects, pairing, rows, tcp
-from ..shared import new_path
+from ..operators import address, assembly, metrics, names, objects, pairing, rows, tcp
+from ..shared import cut, new_path
 from ..sources import capture, reference
 from . import views as V
 
@@ -85,30 +85,38 @@ def dns_only(spark, d):
     return pairing.dns_only(x).select("file", "seq", "src_port", "dst_port")
 
 
-def datagrams(spark, d) -> DataFrame:
-    return packets(spark, d).filter("protocol = 17").select("file", "seq", "ts", "payload")
+def payloads(spark, d) -> DataFrame:
+    """DNS messages of the captures over both protocols, from datagrams, fragments and segments."""
+    return assembly.dns_payloads(packets(spark, d))
 
 
 @query
 def malformed_messages(spark, d):
-    return capture.malformed(datagrams(spark, d)).select("file", "seq", "ts")
+    return capture.malformed(payloads(spark, d)).select("file", "seq", "ts")
 
 
 @query
 def dns_header(spark, d):
-    """Header, question and option record out of the bytes of datagrams."""
-    x = capture.messages(datagrams(spark, d))
+    """Header, question and option record out of the bytes of messages over both protocols."""
+    x = capture.messages(payloads(spark, d))
     q, o = F.element_at("questions", 1), F.col("opt.options")
     head = [F.col(f"header.{n}").alias(n) for n in ("id", "qr", "aa", "tc", "rd", "ra", "ad", "cd", "rcode", "qdcount", "arcount")]
-    return x.select("file", "seq", *head, q["qname"].alias("qname"), q["qtype"].alias("qtype"), F.col("opt.udp").alias("udp"), F.col("opt.do").alias("do"), F.col("opt.ext_rcode").alias("ext_rcode"), C.client_subnet(o).alias("ecs"), F.array_join(C.extended_errors(o).cast("array<string>"), ",").alias("errors"))
+    return x.select("file", "seq", "protocol", "ttl", "src", "dst_port", *head, q["qname"].alias("qname"), q["qtype"].alias("qtype"), F.col("opt.udp").alias("udp"), F.col("opt.do").alias("do"), F.col("opt.ext_rcode").alias("ext_rcode"), C.client_subnet(o).alias("ecs"), F.array_join(C.extended_errors(o).cast("array<string>"), ",").alias("errors"))
 
 
 @query
 def capture_pairing(spark, d):
-    """Transactions of decoded captures, from bytes to pairs, by file."""
-    x = capture.messages(datagrams(spark, d).join(packets(spark, d).drop("payload", "ts"), ["file", "seq"]).withColumn("msg_len", F.length("payload")).withColumn("tcp_rtt", F.lit(None).cast("int")))
-    p = pairing.transactions(capture.flat_messages(x))
-    return pairing.capture_stats(capture.flat_messages(x), p)
+    """Transactions of decoded captures over both protocols, from bytes to pairs, by file. Messages are decoded once and kept."""
+    x = packets(spark, d)
+    m = cut(capture.flat_messages(capture.messages(assembly.dns_payloads(x))))
+    return pairing.capture_stats(m, pairing.transactions(m), x.select("file"), 600_000)
+
+
+@query
+def capture_failures(spark, d):
+    """What became of captures of which three in four are damaged: the packets before the damage are kept."""
+    x = capture.scan(V.captures(messages(spark, d), damaged=True))
+    return x.groupBy("file").agg(F.max("records").alias("records"), F.max("failure").alias("failure"), F.count("seq").alias("packets"))
 
 
 @query

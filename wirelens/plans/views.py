@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: One row per message.
@@ -86,39 +86,78 @@ def options(seq: Column, who: Column) -> Column:
 EVENTS_PER_FILE, MALFORMED = 500, 97
 
 
-def captures(messages: DataFrame) -> DataFrame:
-    """(path, content): capture files made of messages: Ethernet, IP of both versions, UDP or TCP, and a DNS message with
-    one question and an option record (client subnet, extended error), all in big-endian order."""
+#: Bytes in a first fragment and in a first segment, and where a file's sequence numbers begin (they wrap soon).
+FIRST_FRAGMENT, FIRST_SEGMENT, FIRST_SEQUENCE = 24, 20, 4_294_966_000
+
+
+def packets_of(messages: DataFrame) -> DataFrame:
+    """(path, seq, k, frame, ts): Ethernet frames of messages over IP of both versions, UDP or TCP, each a DNS message with
+    one question and an option record (client subnet, extended error), all in big-endian order.
+
+    Every fifth datagram comes as two fragments, every other of these in reverse. A flow's messages over TCP are one
+    stream of bytes: of four, one is one segment, the others are cut in two, in order, in reverse, and with the first
+    segment sent again."""
     two = lambda c: F.lpad(F.hex(c.cast("long")), 2, "0")
     four = lambda c: F.lpad(F.hex(c.cast("long")), 4, "0")
     eight = lambda c: F.lpad(F.hex(c.cast("long")), 8, "0")
     bit = lambda c, n: F.shiftleft(F.col(c).cast("int"), n)
+    file = F.concat(F.lit("f"), F.floor(F.col("seq") / EVENTS_PER_FILE).cast("string"), F.lit(".pcap"))
     name = F.concat(F.lit("u"), F.col("who").cast("string"), F.lit(".zone.nl"))
     labels = F.array_join(F.transform(F.split(name, r"\."), lambda x: F.concat(two(F.length(x)), F.hex(x))), "")
     flags = bit("qr", 15).bitwiseOR(bit("aa", 10)).bitwiseOR(bit("tc", 9)).bitwiseOR(bit("rd", 8)).bitwiseOR(bit("ra", 7)).bitwiseOR(bit("ad", 5)).bitwiseOR(bit("cd", 4)).bitwiseOR(F.col("rcode"))
     subnet, error = F.concat(F.lit("00080007000118000A0A"), two(F.col("who") % 250)), F.concat(F.lit("000F0002"), four(F.col("seq") % 25))
     opt = F.concat(F.lit("000029"), four(F.lit(1232)), two(F.col("opt_ext_rcode")), F.lit("00"), F.when(F.col("seq") % 2 == 0, "8000").otherwise("0000"), F.lit("0011"), subnet, error)
     whole = F.concat(four(F.col("dns_id")), four(flags), F.lit("0001000000000001"), labels, F.lit("00"), four(F.col("qtype")), F.lit("0001"), opt)
-    dns = F.when(F.col("seq") % MALFORMED == 0, F.left(whole, F.length(whole) - 6)).otherwise(whole)
     asks = F.col("qr") == 0
-    ports = F.when(asks, F.concat(four(F.col("client_port")), F.lit("0035"))).otherwise(F.concat(F.lit("0035"), four(F.col("client_port"))))
-    size = F.length(dns) / 2
-    tcp = F.concat(ports, eight(F.col("seq")), F.lit("000000005018040000000000"), four(size), dns)
-    body = F.when(F.col("prot") == 17, F.concat(ports, four(size + 8), F.lit("0000"), dns)).otherwise(tcp)
     octets = lambda c: F.array_join(F.transform(F.split(c, r"\."), lambda x: two(x)), "")
     groups = F.split("client_ip", ":")
     client = F.when(F.col("ip_version") == 4, octets("client_ip")).otherwise(F.concat(F.lit("20010DB8"), F.lpad(F.try_element_at(groups, F.lit(3)), 4, "0"), F.repeat(F.lit("0"), 16), F.lpad(F.element_at(groups, -1), 4, "0")))
     server = F.when(F.col("ip_version") == 4, octets("server_ip")).otherwise(F.concat(F.lit("20010DB8"), F.repeat(F.lit("0"), 20), four(F.col("who") % 2 + 1)))
-    ends = F.when(asks, F.concat(client, server)).otherwise(F.concat(server, client))
-    length = F.length(body) / 2
-    v4 = F.concat(F.lit("08004500"), four(length + 20), four(F.col("seq") % 65536), F.lit("4000"), two(F.col("ip_ttl")), two(F.col("prot")), F.lit("0000"), ends, body)
-    v6 = F.concat(F.lit("86DD60000000"), four(length), two(F.col("prot")), two(F.col("ip_ttl")), ends, body)
-    frame = F.concat(F.repeat(F.lit("0"), 24), F.when(F.col("ip_version") == 4, v4).otherwise(v6))
+    x = messages.select(
+        file.alias("path"), "seq", "ts", "prot", "ip_version", "ip_ttl", "qr", F.when(F.col("seq") % MALFORMED == 0, F.left(whole, F.length(whole) - 6)).otherwise(whole).alias("dns"),
+        F.when(asks, F.concat(four(F.col("client_port")), F.lit("0035"))).otherwise(F.concat(F.lit("0035"), four(F.col("client_port")))).alias("ports"),
+        F.when(asks, F.concat(client, server)).otherwise(F.concat(server, client)).alias("ends"),
+    )
+    sent = F.sum(F.length("dns") / 2 + 2).over(Window.partitionBy("path", "prot", "ends", "ports").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1))
+    x = x.withColumn("at", F.coalesce(sent, F.lit(0)).cast("long") + FIRST_SEQUENCE).withColumn("stream", F.concat(four(F.length("dns") / 2), F.col("dns")))
+    datagram = F.concat("ports", four(F.length("dns") / 2 + 8), F.lit("0000"), "dns")
+    segment = lambda skip, data: F.concat(F.col("ports"), eight((F.col("at") + skip) % 2**32), F.lit("000000005018040000000000"), data)
+    cut_at = 2 * FIRST_SEGMENT
+    one, left, right = segment(0, F.col("stream")), segment(0, F.left("stream", F.lit(cut_at))), segment(FIRST_SEGMENT, F.substr("stream", F.lit(cut_at + 1)))
+    head, tail = F.left(datagram, F.lit(2 * FIRST_FRAGMENT)), F.substr(datagram, F.lit(2 * FIRST_FRAGMENT + 1))
+
+    def frame(fragment: int, body: Column) -> Column:
+        """``fragment``: 0 a whole packet, 1 the first and 2 the last fragment."""
+        length, field = F.length(body) / 2, ("4000", "2000", f"{FIRST_FRAGMENT // 8:04X}")[fragment]
+        v4 = F.concat(F.lit("08004500"), four(length + 20), four(F.col("seq") % 65536), F.lit(field), two(F.col("ip_ttl")), two(F.col("prot")), F.lit("0000"), "ends", body)
+        more = F.concat(two(F.col("prot")), F.lit("00" + ("", "0001", f"{FIRST_FRAGMENT:04X}")[fragment]), eight(F.col("seq"))) if fragment else F.lit("")
+        v6 = F.concat(F.lit("86DD60000000"), four(length + 8 * bool(fragment)), F.lit("2C") if fragment else two(F.col("prot")), two(F.col("ip_ttl")), "ends", more, body)
+        return F.concat(F.repeat(F.lit("0"), 24), F.when(F.col("ip_version") == 4, v4).otherwise(v6))
+
+    over_tcp = F.when(F.col("seq") % 4 == 0, F.array(frame(0, one))).when(F.col("seq") % 4 == 1, F.array(frame(0, left), frame(0, right))).when(F.col("seq") % 4 == 2, F.array(frame(0, right), frame(0, left))).otherwise(F.array(frame(0, left), frame(0, right), frame(0, left)))
+    over_udp = F.when(F.col("seq") % 10 == 2, F.array(frame(1, head), frame(2, tail))).when(F.col("seq") % 10 == 7, F.array(frame(2, tail), frame(1, head))).otherwise(F.array(frame(0, datagram)))
+    return x.select("path", "seq", "ts", F.posexplode(F.when(F.col("prot") == 6, over_tcp).otherwise(over_udp)).alias("k", "frame"))
+
+
+#: What damages a file, by its number modulo 4: 0 nothing, 1 its last bytes are missing, 2 it is something else, 3 the length of a
+#: record is damaged (the first of the event with this number in the file).
+CUT_BYTES, DAMAGED_EVENT = 10, 400
+
+
+def captures(messages: DataFrame, damaged: bool = False) -> DataFrame:
+    """(path, content): capture files made of messages, some of them damaged."""
+    eight = lambda c: F.lpad(F.hex(c.cast("long")), 8, "0")
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    record = F.concat(eight(F.floor(micros / 1_000_000)), eight(micros % 1_000_000), eight(F.length(frame) / 2), eight(F.length(frame) / 2), frame)
-    file = F.concat(F.lit("f"), F.floor(F.col("seq") / EVENTS_PER_FILE).cast("string"), F.lit(".pcap"))
-    rows = messages.select(file.alias("path"), "seq", record.alias("r")).groupBy("path").agg(F.array_sort(F.collect_list(F.struct("seq", "r"))).alias("rs"))
-    return rows.select("path", F.unhex(F.concat(F.lit("A1B2C3D40002000400000000000000000000FFFF00000001"), F.array_join("rs.r", ""))).alias("content"))
+    number = F.floor(F.col("seq") / EVENTS_PER_FILE)
+    size = eight(F.length("frame") / 2)
+    if damaged:
+        size = F.when((number % 4 == 3) & (F.col("seq") % EVENTS_PER_FILE == DAMAGED_EVENT) & (F.col("k") == 0), "FFFFFFFF").otherwise(size)
+    record = F.concat(eight(F.floor(micros / 1_000_000)), eight(micros % 1_000_000), size, size, "frame")
+    rows = packets_of(messages).select("path", number.alias("number"), "seq", "k", record.alias("r")).groupBy("path", "number").agg(F.array_sort(F.collect_list(F.struct("seq", "k", "r"))).alias("rs"))
+    whole = F.concat(F.lit("A1B2C3D40002000400000000000000000000FFFF00000001"), F.array_join("rs.r", ""))
+    if damaged:
+        whole = F.when(F.col("number") % 4 == 1, F.left(whole, F.length(whole) - 2 * CUT_BYTES)).when(F.col("number") % 4 == 2, F.concat(F.lit("504B0304"), F.substr(whole, F.lit(9)))).otherwise(whole)
+    return rows.select("path", F.unhex(whole).alias("content"))
 
 
 def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:

@@ -260,7 +260,7 @@ def messages(rows: DataFrame, payload: str = "payload") -> DataFrame:
 
 
 def malformed(rows: DataFrame, payload: str = "payload") -> DataFrame:
-    """(file, seq, ts, reason) of rows whose payload could not be decoded."""
+    """(file, seq, ts, reason) of rows whose payload could not be decoded, over either protocol."""
     return decoded(rows, payload).filter("malformed IS NOT NULL").select("file", "seq", "ts", F.col("malformed").alias("reason"))
 
 
@@ -271,7 +271,8 @@ def flat_messages(decoded: DataFrame) -> DataFrame:
     q = F.try_element_at("questions", F.lit(1))
     head = [F.col(f"header.{n}").alias(n) for n in ("qr", "opcode", "aa", "tc", "rd", "ra", "ad", "cd", "rcode", "qdcount", "ancount", "nscount", "arcount")]
     subnet = F.try_element_at(F.filter("opt.options", lambda o: o["code"] == 8), F.lit(-1))["ecs_addr"]
+    more = ["part"] if "part" in decoded.columns else []
     return decoded.select(
-        F.col("file").alias("capture_file"), "seq", "ts", F.col("header.id").alias("dns_id"), *head, F.col("protocol").alias("prot"), "ip_version", F.col("ttl").alias("ip_ttl"), pick("src", "dst").alias("client_ip"), pick("src_port", "dst_port").alias("client_port"), pick("dst", "src").alias("server_ip"),
+        *more, F.col("file").alias("capture_file"), "seq", "ts", F.col("header.id").alias("dns_id"), *head, F.col("protocol").alias("prot"), "ip_version", F.col("ttl").alias("ip_ttl"), pick("src", "dst").alias("client_ip"), pick("src_port", "dst_port").alias("client_port"), pick("dst", "src").alias("server_ip"),
         q["qname"].alias("qname"), q["qtype"].alias("qtype"), q["qclass"].alias("qclass"), F.col("opt.ext_rcode").alias("opt_ext_rcode"), F.col("opt.udp").alias("edns_udp"), F.col("opt.version").alias("edns_version"), F.col("opt.do").alias("edns_do"), F.col("opt.options").alias("options"), subnet.alias("ecs_ip"), "msg_len", "tcp_rtt", "answer", "authority", "additional",
     )
