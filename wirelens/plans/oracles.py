@@ -120,6 +120,10 @@ REC_PKT = f"""{PKT}, size AS (SELECT *, 2 + 12 + length('u' || who) + 10 + 4 + 1
 flow AS (SELECT *, coalesce(CAST(sum(bytes) OVER (PARTITION BY file, prot, client_ip, client_port, server, qr ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS sent_before FROM size),
 rec AS (SELECT * EXCLUDE (n), first_n + k AS n, CASE WHEN prot = 17 AND pieces = 2 THEN CASE WHEN (k = 0) = (seq % 10 = 2) THEN 1 ELSE 2 END ELSE 0 END AS fragment,
  CASE WHEN prot = 6 AND pieces > 1 AND (k = 1) = (seq % 4 <> 2) THEN {V.FIRST_SEGMENT} ELSE 0 END AS skip FROM flow, (SELECT unnest([0, 1, 2]) AS k) WHERE k < pieces)"""
+#: failed: how many records of a damaged file are read, and why no more.
+FAILED = f"""{PKT}, whole AS (SELECT file, any_value(file_no) AS k, CAST(sum(pieces) AS BIGINT) AS n, min(CASE WHEN seq % {V.EVENTS_PER_FILE} = {V.DAMAGED_EVENT} THEN first_n END) AS bad_n FROM pkt GROUP BY file),
+failed AS (SELECT file, CASE WHEN k % 4 = 1 THEN n - 1 WHEN k % 4 = 2 THEN 0 WHEN k % 4 = 3 THEN coalesce(bad_n, n) ELSE n END AS records,
+ CASE WHEN k % 4 = 1 THEN 'record is cut off' WHEN k % 4 = 2 THEN 'not a capture' WHEN k % 4 = 3 AND bad_n IS NOT NULL THEN 'record length is damaged' END AS failure FROM whole)"""
 SEG = f"seg AS ({V.duck(V.SEGMENTS)})"
 LED = f"led AS ({V.duck(V.LEDGER)})"
 REC = f"""rec AS (SELECT event_id AS seq, r.section, r.pos, r.type, r.prefix || (user_id % 9) AS data FROM events CROSS JOIN {V.values(V.RECORDS)} AS r(section, pos, type, prefix)
@@ -154,10 +158,9 @@ ORACLES = {
 SELECT * FROM p WHERE src_port = 53 OR dst_port = 53""",
     "malformed_messages": f"WITH {PKT} SELECT file, n AS seq, date_trunc('milliseconds', ts) AS ts FROM pkt WHERE bad",
     "dns_header": f"WITH {PKT} SELECT file, n AS seq, prot AS protocol, ip_ttl AS ttl, CASE WHEN qr = 0 THEN client_ip ELSE server END AS src, CASE WHEN qr = 0 THEN 53 ELSE client_port END AS dst_port, dns_id AS id, qr, aa, tc, rd, ra, ad, cd, rcode, CAST(1 AS INT) AS qdcount, CAST(1 AS INT) AS arcount, 'u' || who || '.zone.nl.' AS qname, qtype, CAST(1232 AS INT) AS udp, seq % 2 = 0 AS do, opt_ext_rcode AS ext_rcode, '10.10.' || (who % 250) || '.0/24' AS ecs, CAST(seq % 25 AS VARCHAR) AS errors FROM pkt WHERE NOT bad",
-    "capture_failures": f"""WITH {PKT}, whole AS (SELECT file, any_value(file_no) AS k, CAST(sum(pieces) AS BIGINT) AS n, min(CASE WHEN seq % {V.EVENTS_PER_FILE} = {V.DAMAGED_EVENT} THEN first_n END) AS bad_n FROM pkt GROUP BY file),
-f AS (SELECT file, CASE WHEN k % 4 = 1 THEN n - 1 WHEN k % 4 = 2 THEN 0 WHEN k % 4 = 3 THEN coalesce(bad_n, n) ELSE n END AS records,
- CASE WHEN k % 4 = 1 THEN 'record is cut off' WHEN k % 4 = 2 THEN 'not a capture' WHEN k % 4 = 3 AND bad_n IS NOT NULL THEN 'record length is damaged' END AS failure FROM whole)
-SELECT *, records AS packets FROM f""",
+    "capture_failures": f"""WITH {FAILED} SELECT *, records AS packets FROM failed""",
+    "capture_tries": f"""WITH {FAILED}, t AS (SELECT file AS object_key, CASE WHEN failure IS NULL THEN 1 ELSE CAST(regexp_extract(file, '[0-9]+') AS BIGINT) % 4 + 1 END AS tries, records, failure FROM failed),
+s AS (SELECT *, CASE WHEN failure IS NULL THEN 'done' WHEN tries >= 3 THEN 'exhausted' ELSE 'failed' END AS state FROM t) SELECT *, CASE WHEN state = 'failed' THEN records END AS skip FROM s""",
     "capture_pairing": f"""WITH {PKT}, m AS (SELECT * EXCLUDE (qname), who AS qname FROM pkt WHERE NOT bad),
 x AS (SELECT *, sum(CASE WHEN qr = 0 AND qtype IN (251, 252) THEN 1 ELSE 0 END) OVER (PARTITION BY file, dns_id, client_ip, client_port ORDER BY date_trunc('milliseconds', ts), n) AS epoch FROM m),
 y AS (SELECT *, sum(qr) OVER (PARTITION BY file, dns_id, client_ip, client_port, epoch ORDER BY date_trunc('milliseconds', ts), n) AS nth FROM x),

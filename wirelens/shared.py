@@ -39,6 +39,17 @@ def clear(spark: SparkSession) -> int:
     return n
 
 
+def move(spark: SparkSession, path: str, folder: str | None) -> bool:
+    """Move a file into ``folder``, or delete it where that is None; False if it is gone already."""
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    source = hadoop.Path(path)
+    system = source.getFileSystem(conf)
+    if folder is None:
+        return bool(system.delete(source, False))
+    system.mkdirs(hadoop.Path(folder))
+    return bool(system.exists(source)) and bool(system.rename(source, hadoop.Path(f"{folder.rstrip('/')}/{source.getName()}")))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors."""
     path = new_path(df.sparkSession, "cut")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -11,8 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.columns import TRANSFERS
+from ..operators.attempts import due, outcomes, states
 from ..operators.metrics import PLACE, measures, points
 from ..operators.pairing import CLIENT
+from ..shared import cut, move
+from ..sinks import note_attempts, read_attempts
+from ..sources.capture import endings, of_scan, scan_files
 
 
 def metric_stream(rows: DataFrame, seconds: int = 10, late: str = "60 seconds") -> DataFrame:
@@ -110,6 +115,53 @@ def new_captures(spark: SparkSession, path: str, files_per_trigger: int = 100, a
     return r.load(path)
 
 
+def new_files(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
+    """Stream of capture files by name (path, length), without their content, so files may be of any size; the
+    checkpoint keeps which were listed, each is listed once."""
+    return new_captures(spark, path, files_per_trigger).select("path", "length")
+
+
+class CaptureIngest:
+    """Takes batches of capture files (path, length) to a table, at most once each record.
+
+    A batch is what is new and what failed before and may be tried again. Its packets go to ``write(packets, batch)``, which
+    must replace what the same batch wrote before (``write_dns(batch=...)``). Then the ledger is told how each file
+    ended, and files that ended well are moved to ``archive`` or deleted ("delete"). A batch that stops anywhere is run again
+    by the stream: before the ledger knows it everything is done anew under its number, afterwards only files are moved.
+    A bad file costs no other file's rows; its own are kept up to the damage, and a retry goes on behind them.
+    """
+
+    def __init__(self, spark: SparkSession, ledger: str, write: Callable[[DataFrame, int], None], max_tries: int = 3, archive: str | None = None, block_bytes: int = 64 << 20):
+        self.spark, self.ledger, self.write, self.max_tries, self.archive, self.block_bytes = spark, ledger, write, max_tries, archive, block_bytes
+
+    def __call__(self, files: DataFrame, batch: int) -> None:
+        attempts = read_attempts(self.spark, self.ledger)
+        if attempts.filter(F.col("batch") == batch).isEmpty():
+            began = time.time()
+            todo = cut(due(files.select("path", "length"), attempts, self.max_tries))
+            found = cut(scan_files(self.spark, todo, block_bytes=self.block_bytes))
+            self.write(of_scan(found), batch)
+            note_attempts(self.spark, outcomes(todo, endings(found)), self.ledger, batch, time.time() - began)
+        if self.archive:
+            done = read_attempts(self.spark, self.ledger).filter((F.col("batch") == batch) & F.col("failure").isNull())
+            for row in done.select("object_key").toLocalIterator():  # a batch's files
+                move(self.spark, row["object_key"], None if self.archive == "delete" else self.archive)
+
+    def start(self, path: str, checkpoint: str, files_per_trigger: int = 100):
+        """Run over what is under ``path`` now; failed files are tried once more with each batch, also of an empty folder
+        through ``retry``."""
+        return new_files(self.spark, path, files_per_trigger).writeStream.option("checkpointLocation", checkpoint).foreachBatch(self).trigger(availableNow=True).start()
+
+    def retry(self) -> int:
+        """One more batch of failed files only, numbered from below so that no stream's batch has its number; how many were due."""
+        attempts = read_attempts(self.spark, self.ledger)
+        n = states(attempts, self.max_tries).filter("state = 'failed'").count()
+        if n:
+            least = attempts.agg(F.min("batch")).first()[0]
+            self(self.spark.createDataFrame([], "path string, length long"), min(least, 0) - 1)
+        return n
+
+
 def ingest(captures: DataFrame, build: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame], None], checkpoint: str):
     """Run ``build`` then ``write`` on each micro-batch of captures. Reference lists that ``build`` reads are read anew
     for each batch."""
