@@ -124,8 +124,8 @@ def capture_tries(spark, d):
     """States of damaged captures after one to four attempts each, and what is due again."""
     ends = capture.endings(capture.scan(V.captures(messages(spark, d), damaged=True)))
     n = F.regexp_extract("file", "[0-9]+", 0).cast("long")
-    tried = F.when(F.col("failure").isNull(), 1).otherwise(n % 4 + 1)
-    x = ends.select(F.col("file").alias("object_key"), F.lit(1).cast("long").alias("length"), "records", "failure", F.lit(0.5).alias("seconds"), F.lit(None).cast("timestamp").alias("at"), F.explode(F.sequence(F.lit(1), tried)).cast("long").alias("batch"))
+    tried = F.when(F.col("failure").isNull(), F.lit(1).cast("long")).otherwise(n % 4 + 1)
+    x = ends.select(F.col("file").alias("object_key"), F.lit(1).cast("long").alias("length"), "records", "failure", F.lit(0.5).alias("seconds"), F.lit(None).cast("timestamp").alias("at"), F.explode(F.sequence(F.lit(1).cast("long"), tried)).alias("batch"))
     again = attempts.due(ends.limit(0).select(F.col("file").alias("path"), F.lit(1).cast("long").alias("length")), x, 3)
     return attempts.states(x, 3).join(again.select(F.col("path").alias("object_key"), "skip"), "object_key", "left").select("object_key", "tries", "records", "failure", "state", "skip")
 
