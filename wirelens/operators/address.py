@@ -1,18 +1,20 @@
-"""Networks and addresses of both versions: CIDR normalisation and lookup as one hash join on (version, prefix length, network).
+"""Networks and addresses of both versions: CIDR normalisation and lookup of addresses in networks.
 
-An address is two longs, hi and lo; version 4 has hi = 0. Addresses are enriched once each (distinct, then joined back).
-A lookup explodes the prefix lengths that the lists have (at most 33 and 129), so it is an equi-join and never a range
-or nested-loop join, and all enrichments share one explode, one join and one grouping. All of it stays in the JVM.
+An address is two longs, hi and lo; version 4 has hi = 0. Lists that fit are flattened to disjoint ranges and searched
+(``ranges``). A longer list's lookup explodes the prefix lengths that the lists have (at most 33 and 129) for each distinct
+address, so it is an equi-join and never a range or nested-loop join, and all enrichments share one explode, one join and
+one grouping.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import ipv4_number, ipv6_halves, is_v6, let
+from . import ranges
 from .sizing import small
 
 
@@ -55,7 +57,7 @@ def normalise(df: DataFrame, cidr: str = "cidr") -> DataFrame:
 
 @dataclass(frozen=True)
 class Enrichment:
-    """One column of the address dimension: the value of that normalised network, of those that hold the address, which is
+    """One column of the address dimension: the value of that network (``cidr``, normalised or not), of those that hold the address, which is
     ``largest`` or smallest in ``by``. ``inclusive`` False leaves a version-4 network's first and last address out,
     and with them networks of one or two addresses."""
 
@@ -77,7 +79,20 @@ def longest_prefix(column: str, networks: DataFrame, value: str) -> Enrichment:
 
 
 def address_dimension(addresses: DataFrame, enrichments: list[Enrichment], address: str = "address") -> DataFrame:
-    """One row per distinct address with a column for each enrichment (null where no network has it)."""
+    """One row per distinct address with a column for each enrichment (null where no network has it): by a binary search
+    in flat ranges, or by a hash join where the lists are too long to broadcast."""
+    found = ranges.lookup(enrichments)
+    if found is None:
+        return joined_dimension(addresses, enrichments, address)
+    x = addresses.select(address).filter(F.col(address).isNotNull()).distinct().withColumn("_found", found(address))
+    return x.select(address, *[F.col(f"_found.{e.column}").alias(e.column) for e in enrichments])
+
+
+def joined_dimension(addresses: DataFrame, enrichments: list[Enrichment], address: str = "address") -> DataFrame:
+    """``address_dimension`` for networks of any number: the prefix lengths that the lists have are exploded for each
+    address and joined by hash on (version, prefix length, network)."""
+    known = {id(e.networks): e.networks if "hi" in e.networks.columns else normalise(e.networks) for e in enrichments}
+    enrichments = [replace(e, networks=known[id(e.networks)]) for e in enrichments]
     lists: list[DataFrame] = []
     for e in enrichments:
         if not any(e.networks is n for n in lists):

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import cname_chain, client_subnet, extended_errors, extended_rcode, millis_between, option_codes, rdata, server_site
-from .address import Enrichment, address_dimension
+from .address import Enrichment, joined_dimension
 from .names import domain_parts, tld_filter
+from .ranges import lookup
 
 _RDATA = "array<struct<section:int,type:int,data:string>>"
 _I, _S, _B, _LI, _LS = "int", "string", "boolean", "array<int>", "array<string>"
@@ -25,6 +26,10 @@ COLUMNS = [
 DDL = ", ".join(f"{n} {t}" for n, t in COLUMNS)
 
 
+#: Copies of an address's entry where the dimension is joined.
+SALTS = 8
+
+
 @dataclass(frozen=True)
 class Options:
     """How rows are built."""
@@ -101,11 +106,26 @@ def addresses_of(messages: DataFrame) -> DataFrame:
     return known.filter("address IS NOT NULL").distinct()
 
 
+def _with_dimension(x: DataFrame, enrichments: list[Enrichment], addresses: DataFrame | None) -> DataFrame:
+    """Adds _c and _e, the enrichments of _client and _ecs, by joins with the dimension of all addresses."""
+    if addresses is None:
+        addresses = x.select(F.col("_client").alias("address")).unionByName(x.select(F.col("_ecs").alias("address")))
+    dim = joined_dimension(addresses, enrichments)
+    # Rows without an address are spread over keys that none has, and a busy client's rows over salted copies of its entry.
+    salt = F.pmod(F.xxhash64("req.seq", "rsp.seq"), F.lit(SALTS)).cast("string")
+    entry = F.explode(F.transform(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda i: F.concat("address", F.lit("/"), i.cast("string"))))
+    copies = dim.select(entry.alias("_a"), F.struct(*[e.column for e in enrichments]).alias("_v"))
+    for key, name in (("_client", "_c"), ("_ecs", "_e")):
+        own = x.withColumn("_key", F.concat(F.coalesce(key, F.xxhash64("req.seq", "rsp.seq").cast("string")), F.lit("/"), salt))
+        x = own.join(copies.withColumnRenamed("_v", name), F.col("_key") == F.col("_a"), "left").drop("_a", "_key")
+    return x
+
+
 def build_dns(pairs: DataFrame, rules: DataFrame, enrichments: list[Enrichment] = (), o: Options = Options(), addresses: DataFrame | None = None) -> DataFrame:
-    """The 50-column rows of transactions. The blocked suffixes go before addresses are looked up; each distinct
-    address is looked up once. ``enrichments`` with columns of the table fill client columns; those of country and
-    ASN also fill the client-subnet columns. ``addresses`` are those of the messages (``addresses_of``); without them
-    they are taken from the pairs, which computes the pairs once more."""
+    """The 50-column rows of transactions. The blocked suffixes go before addresses are looked up. ``enrichments`` with
+    columns of the table fill client columns; those of country and ASN also fill the client-subnet columns. Lists that
+    fit are searched where the rows are. Longer ones are joined, for which ``addresses`` are those of the messages
+    (``addresses_of``); without them they are taken from the pairs, which computes the pairs once more."""
     rr = "array<struct<name:string,type:int,data:string>>"
     name = F.coalesce(F.col("req.qname"), F.col("rsp.qname"))
     x = pairs.withColumn("_client", either(pairs, "client_ip", "string")).withColumn("_ecs", _field(pairs, "req", "ecs_ip", "string")).withColumn("_qname", name)
@@ -118,13 +138,8 @@ def build_dns(pairs: DataFrame, rules: DataFrame, enrichments: list[Enrichment]
     columns["dns_rdata"] = rdata(*sections, dnssec=o.rdata_dnssec) if o.rdata else F.lit(None).cast(_RDATA)
     columns["dns_cname"] = cname_chain(sections[0]) if o.cname else F.lit(None).cast(_LS)
     if enrichments:
-        if addresses is None:
-            addresses = x.select(F.col("_client").alias("address")).unionByName(x.select(F.col("_ecs").alias("address")))
-        dim = address_dimension(addresses, list(enrichments))
-        # Rows without a subnet are spread over keys that no address has, not all sent to the task of null.
-        x = x.withColumn("_key", F.coalesce("_ecs", F.concat(F.lit("-"), F.pmod(F.xxhash64("_client"), F.lit(9973)).cast("string"))))
-        for key, name in (("_client", "_c"), ("_key", "_e")):
-            x = x.join(dim.select(F.col("address").alias("_a"), F.struct(*[e.column for e in enrichments]).alias(name)), F.col(key) == F.col("_a"), "left").drop("_a")
+        found = lookup(list(enrichments))
+        x = x.withColumns({"_c": found("_client"), "_e": found("_ecs")}) if found else _with_dimension(x, list(enrichments), addresses)
         columns |= {e.column: F.col(f"_c.{e.column}") for e in enrichments}
         columns |= {f"edns_ecs_{e.column}": F.col(f"_e.{e.column}") for e in enrichments if f"edns_ecs_{e.column}" in dict(COLUMNS)}
     return x.select(*[columns.get(n, F.lit(None)).cast(t).alias(n) for n, t in COLUMNS])

@@ -37,11 +37,11 @@ def rules(spark: SparkSession) -> DataFrame:
 
 
 def resolvers(spark: SparkSession) -> DataFrame:
-    return address.normalise(spark.createDataFrame(V.RESOLVERS, "cidr string, name string, priority int"))
+    return spark.createDataFrame(V.RESOLVERS, "cidr string, name string, priority int")
 
 
 def places(spark: SparkSession) -> DataFrame:
-    return address.normalise(spark.createDataFrame(V.PLACES, "cidr string, iso string, asn string, org string"))
+    return spark.createDataFrame(V.PLACES, "cidr string, iso string, asn string, org string")
 
 
 def enrichments(spark: SparkSession) -> list[address.Enrichment]:
