@@ -163,7 +163,7 @@ def test_ingest_rolls_at_the_least_rows(spark, tmp_path):
     for i in range(3):
         (tmp_path / f"x_ns1_ams-{i}.pcap").write_bytes(pcap([ask] * 4 + [ask[:50]]))
     written, bad = str(tmp_path / "table"), str(tmp_path / "bad")
-    roller = jobs.Roller(spark, str(tmp_path / "staged"), lambda df: df.write.mode("append").parquet(written), 10)
+    roller = jobs.Roller(spark, str(tmp_path / "staged"), lambda df, n: df.write.mode("overwrite").parquet(f"{written}/roll={n}"), 10)
 
     def build(df):
         p = capture.packets(df)
@@ -182,6 +182,23 @@ def test_ingest_rolls_at_the_least_rows(spark, tmp_path):
     assert spark.read.parquet(written).count() == 13
 
 
+def test_rolls_replace_what_was_lost(spark, tmp_path):
+    """A loss between the table's write and the note of it leaves no row twice; a batch that was rolled isn't staged again."""
+    def write(df, n):
+        df.write.mode("overwrite").parquet(f"{tmp_path}/table/roll={n}")
+        if lost:
+            raise RuntimeError(lost.pop())
+
+    lost, batch = ["gone"], lambda i: spark.range(i * 10, i * 10 + 10)
+    with pytest.raises(RuntimeError, match="gone"):
+        jobs.Roller(spark, str(tmp_path / "staged"), write, 10).add(batch(0), 0)
+    again = jobs.Roller(spark, str(tmp_path / "staged"), write, 10)
+    again.add(batch(0), 0)
+    again.add(batch(1), 1)
+    again.add(batch(1), 1)
+    assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "table")).select("id").collect()) == list(range(20))
+
+
 def test_small_sinks(spark, sf, tmp_path):
     points = metrics.metric_points(Q.sided(Q.dns(spark, sf, [Q.country(spark)])))
     sinks.write_points(points, str(tmp_path / "points"))

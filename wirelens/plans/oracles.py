@@ -5,6 +5,9 @@ from __future__ import annotations
 from ..operators.rows import COLUMNS
 from . import views as V
 
+#: Milliseconds that a streamed request waits.
+WAIT_MS = 21_600_000
+
 M = f"dns_messages AS ({V.duck(V.MESSAGES)})"
 XFR = f"""{M},
 x AS (SELECT *, sum(CASE WHEN qr = 0 AND qtype IN (251, 252) THEN 1 ELSE 0 END) OVER (PARTITION BY capture_file, dns_id, client_ip, client_port ORDER BY ts, seq) AS epoch FROM dns_messages),
@@ -252,4 +255,12 @@ SELECT a.*, coalesce(matched, 0) AS matched, coalesce(unmatched, 0) AS unmatched
     "top_domains": tx("SELECT dns_domainname, count(*) AS n FROM tx WHERE dns_domainname IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 25"),
     "top_domains_on_date": tx("SELECT dns_domainname, count(*) AS n FROM tx WHERE dns_domainname IS NOT NULL AND CAST(time AS DATE) = DATE '2024-01-10' GROUP BY 1 ORDER BY n DESC, 1 LIMIT 10"),
     "rcodes_per_day": tx("SELECT CAST(CAST(time AS DATE) AS VARCHAR) AS day, dns_rcode, count(*) AS n FROM tx GROUP BY ALL"),
+    "stream_pairing": f"""WITH {M}, x AS (SELECT *, epoch_ms(ts) AS ms, qr = 0 AND qtype IN (251, 252) AS asks FROM dns_messages),
+y AS (SELECT *, max(CASE WHEN asks THEN ms END) OVER c AS mark, sum(CASE WHEN asks THEN 1 ELSE 0 END) OVER c AS epoch FROM x WINDOW c AS (PARTITION BY capture_file, dns_id, client_ip, client_port ORDER BY ts, seq)),
+z AS (SELECT *, sum(qr) OVER (PARTITION BY capture_file, dns_id, client_ip, client_port, epoch ORDER BY ts, seq) AS nth FROM y),
+k AS (SELECT * FROM z WHERE NOT asks AND NOT (qr = 1 AND epoch > 0 AND mark + {WAIT_MS} > ms AND nth > 1)),
+w AS (SELECT *, lag(qr) OVER v AS pqr, lag(seq) OVER v AS pseq, lag(ms) OVER v AS pms, lead(ms) OVER v AS nms FROM k WINDOW v AS (PARTITION BY capture_file, dns_id, client_ip, client_port, qname ORDER BY ts, seq))
+SELECT capture_file, qname, CASE WHEN qr = 0 THEN seq WHEN pqr = 0 AND pms + {WAIT_MS} > ms THEN pseq END AS req_seq, CASE WHEN qr = 1 THEN seq END AS rsp_seq FROM w WHERE qr = 1 OR nms IS NULL OR nms >= ms + {WAIT_MS}""",
 }
+#: The streams give what the batch queries give.
+ORACLES |= {"stream_metrics": ORACLES["metric_points"], "rolled_rows": ORACLES["day_partitions"]}

@@ -10,6 +10,7 @@ from .. import sinks
 from ..operators import address, assembly, attempts, metrics, names, objects, pairing, rows, tcp
 from ..shared import cut, new_path
 from ..sources import capture, reference
+from ..streaming import jobs
 from . import views as V
 
 QUERIES: dict = {}
@@ -536,6 +537,53 @@ def metric_points(spark, d):
     return metrics.metric_points(metric_rows(spark, d, places=True)).withColumn("value", F.round("value", 6))
 
 
+# Streams
+
+#: Milliseconds of packet time that a streamed request waits, and files that one micro-batch takes.
+WAIT_MS, FILES = 6 * 3600 * 1000, 8
+
+
+@query
+def stream_pairing(spark, d):
+    """Pairing with expiry over micro-batches, state held as a map by name; messages come in order of time, and a last one
+    far behind lets everything expire."""
+    m = messages(spark, d).select(*pairing.CLIENT, "qname", "qr", "qtype", "seq", "ts")
+    path = new_path(spark, "messages")
+    first, last = (x.timestamp() for x in m.select(F.min("ts").cast("timestamp"), F.max("ts").cast("timestamp")).first())
+    for i in range(3):
+        t = F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000
+        share = F.least(F.floor((t - first) / max(last - first, 1) * 3), F.lit(2))
+        m.filter(share == i).repartition(FILES, *pairing.CLIENT).write.mode("append").parquet(path)
+    end = m.limit(1).withColumns({"qname": F.lit(None).cast("string"), "capture_file": F.lit("end"), "qr": F.lit(1), "ts": F.lit(last + 10 * WAIT_MS / 1000).cast("timestamp").cast("timestamp_ntz")})
+    end.write.mode("append").parquet(path)
+    out = new_path(spark, "paired")
+    jobs.pair_files(spark, path, m.schema, out, new_path(spark, "checkpoint"), WAIT_MS, FILES)
+    return spark.read.schema(jobs.PAIRED).parquet(out).select("capture_file", "qname", "req_seq", "rsp_seq")
+
+
+@query
+def stream_metrics(spark, d):
+    """All metric points by micro-batches of rows in any order, each flush upserted."""
+    x = metric_rows(spark, d, places=True)
+    x = x.select("time", "server", "server_location", "has_request", "has_response", "dns_qtype", "dns_rcode", "dns_opcode", "ip_geo_country", "prot", "ip_version", "tcp_rtt", "dns_proc_time")
+    path, out = new_path(spark, "rows"), new_path(spark, "points")
+    x.write.parquet(path)
+    jobs.metric_files(spark, path, x.schema, out, new_path(spark, "checkpoint"), FILES // 2, late="1000 days")
+    return jobs.latest_points(spark, out).withColumn("value", F.round("value", 6))
+
+
+@query
+def rolled_rows(spark, d):
+    """Rows by micro-batches, rolled to the table once enough are staged; rows per day of the table."""
+    x = dns(spark, d)
+    path, table_path = new_path(spark, "rows"), new_path(spark, "dns")
+    x.write.parquet(path)
+    roller = jobs.Roller(spark, new_path(spark, "staged"), lambda rows, n: sinks.write_dns(rows, table_path, batch=n), 1500)
+    jobs.roll_files(spark, path, x.schema, roller, new_path(spark, "checkpoint"), 1)
+    roller.flush()
+    return sinks.read_dns(spark, table_path).groupBy(F.col("day").cast("string").alias("day")).agg(F.count("*").alias("n"))
+
+
 # Objects
 
 NOW = "2024-01-20 00:00:00"

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.columns import TRANSFERS
 from ..operators.attempts import due, outcomes, states
@@ -45,64 +45,116 @@ def latest_points(spark: SparkSession, path: str) -> DataFrame:
 
 
 PAIRED = "capture_file string, dns_id int, client_ip string, client_port int, qname string, req_seq long, rsp_seq long"
+#: State by key needs a store that writes single entries.
+STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class _Pairing(StatefulProcessor):
+    """Pairing of one client's messages. A batch reads and writes the entries of its own names only; a timer at the end of
+    each request's time names the requests to look at then."""
+
+    def __init__(self, expiry_ms: int):
+        self.expiry_ms = expiry_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.pending = handle.getMapState("pending", "name string", "seq bigint, ms bigint")
+        self.due = handle.getMapState("due", "ms bigint", "names array<string>")
+        #: Responses since the last transfer's request, and its time.
+        self.transfer = handle.getValueState("transfer", "answers int, ms bigint")
+
+    @staticmethod
+    def _entry(name: str | None) -> tuple[str]:
+        """A key for a name, which may be null."""
+        return ("" if name is None else f"={name}",)
+
+    def _frame(self, key: tuple, rows: list[tuple]) -> pd.DataFrame:
+        frame = pd.DataFrame([(*key, *r) for r in rows], columns=[*CLIENT, "qname", "req_seq", "rsp_seq"])
+        return frame.astype({"req_seq": "Int64", "rsp_seq": "Int64"})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        data = pd.concat(list(rows)).sort_values(["t", "seq"])
+        held: dict[str | None, tuple[int, int] | None] = {}  # entries of this batch's names
+        out, due = [], {}
+        transfer = self.transfer.get() if self.transfer.exists() else None
+        for name, qr, qtype, seq, t in data[["qname", "qr", "qtype", "seq", "t"]].itertuples(index=False):
+            name, seq, ms = name if isinstance(name, str) else None, int(seq), t.value // 1_000_000
+            if transfer is not None and transfer[1] + self.expiry_ms <= ms:
+                transfer = None
+            if qr == 0 and qtype in TRANSFERS:
+                transfer = (0, ms)
+                due.setdefault(ms + self.expiry_ms, [])
+                continue
+            if name not in held:
+                entry = self._entry(name)
+                held[name] = tuple(self.pending.getValue(entry)) if self.pending.containsKey(entry) else None
+            before = held[name]
+            if before is not None and before[1] + self.expiry_ms <= ms:
+                held[name] = before = None if name is None else out.append((name, before[0], None))
+            if qr == 0:
+                held[name] = (seq, ms)
+                due.setdefault(ms + self.expiry_ms, []).append(self._entry(name)[0])
+                continue
+            if transfer is not None:
+                transfer = (transfer[0] + 1, transfer[1])
+                if transfer[0] > 1:
+                    continue
+            held[name] = None
+            if before is not None or name is not None:
+                out.append((name, before[0] if before else None, seq))
+        for name, value in held.items():
+            if value is not None:
+                self.pending.updateValue(self._entry(name), value)
+            elif self.pending.containsKey(self._entry(name)):
+                self.pending.removeKey(self._entry(name))
+        if transfer is not None:
+            self.transfer.update(transfer)
+        elif self.transfer.exists():
+            self.transfer.clear()
+        for ms, names in due.items():
+            known = list(self.due.getValue((ms,))[0]) if self.due.containsKey((ms,)) else []
+            self.due.updateValue((ms,), (known + names,))
+            self.handle.registerTimer(ms)
+        yield self._frame(key, out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        ms, out = expiredTimerInfo.getExpiryTimeInMs(), []
+        names = self.due.getValue((ms,))[0] if self.due.containsKey((ms,)) else []
+        for entry in dict.fromkeys(names):
+            if self.pending.containsKey((entry,)):
+                seq, since = self.pending.getValue((entry,))
+                if since + self.expiry_ms <= ms:
+                    self.pending.removeKey((entry,))
+                    if entry:
+                        out.append((entry[1:], seq, None))
+        if self.due.containsKey((ms,)):
+            self.due.removeKey((ms,))
+        if self.transfer.exists() and self.transfer.get()[1] + self.expiry_ms <= ms:
+            self.transfer.clear()
+        yield self._frame(key, out)
+
+    def close(self) -> None:
+        pass
 
 
 def pair_stream(messages: DataFrame, expiry_ms: int = 10_000, late: str = "10 seconds") -> DataFrame:
     """(client key, qname, req_seq, rsp_seq) over micro-batches: a pending request waits ``expiry_ms`` of packet time for
     its response and then leaves alone.
 
-    A client's state is its pending requests by name and, for ``expiry_ms`` after a transfer's request, the mark of that
-    transfer. When the last of them has been answered or has expired, the state is removed."""
-    key = [*CLIENT]
-    state = "names array<string>, seqs array<bigint>, times array<bigint>, transfer int, marked bigint"
-    source = messages.select(*key, "qname", "qr", "qtype", "seq", F.col("ts").cast("timestamp").alias("t")).withWatermark("t", late)
-
-    def step(k: tuple, batches: Iterator[pd.DataFrame], st: GroupState) -> Iterator[pd.DataFrame]:
-        pending: dict[str | None, tuple[int, int]] = {}
-        transfer, marked = -1, 0  # responses since a transfer's request, and its time; -1: none
-        if st.exists:
-            names, seqs, times, transfer, marked = st.get
-            pending = {n: (a, t) for n, a, t in zip(names, seqs, times)}
-        rows = []
-
-        def expire(limit: int) -> None:
-            nonlocal transfer
-            for name in [n for n, (_, t) in pending.items() if t + expiry_ms <= limit]:
-                seq = pending.pop(name)[0]
-                if name is not None:
-                    rows.append((*k, name, seq, None))
-            if transfer >= 0 and marked + expiry_ms <= limit:
-                transfer = -1
-
-        if st.hasTimedOut:
-            expire(st.getCurrentWatermarkMs())
-        else:
-            data = pd.concat(list(batches)).sort_values(["t", "seq"])
-            for name, qr, qtype, seq, t in data[["qname", "qr", "qtype", "seq", "t"]].itertuples(index=False):
-                ms = int(t.timestamp() * 1000)
-                expire(ms)
-                if qr == 0 and qtype in TRANSFERS:
-                    transfer, marked = 0, ms
-                elif qr == 0:
-                    pending[name] = (int(seq), ms)
-                else:
-                    if transfer >= 0:
-                        transfer += 1
-                        if transfer > 1:
-                            continue
-                    got = pending.pop(name, None)
-                    if got or name is not None:
-                        rows.append((*k, name, got[0] if got else None, int(seq)))
-        ends = [t for _, t in pending.values()] + [marked] * (transfer >= 0)
-        if ends:
-            st.update((list(pending), [a for a, _ in pending.values()], [t for _, t in pending.values()], transfer, marked))
-            st.setTimeoutTimestamp(max(st.getCurrentWatermarkMs() + 1, min(ends) + expiry_ms))
-        elif st.exists:
-            st.remove()
-        frame = pd.DataFrame(rows, columns=[*key, "qname", "req_seq", "rsp_seq"])
-        yield frame.astype({"req_seq": "Int64", "rsp_seq": "Int64"})
-
-    return source.groupBy(*key).applyInPandasWithState(step, PAIRED, state, "append", GroupStateTimeout.EventTimeTimeout)
+    A client's state is a map of its pending requests by name and, for ``expiry_ms`` after a transfer's request, the
+    mark of that transfer. A batch touches the entries of its own names; what has been answered or has expired is removed. Sets the
+    session's state store to one that writes single entries."""
+    messages.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
+    source = messages.select(*CLIENT, "qname", "qr", "qtype", "seq", F.col("ts").cast("timestamp").alias("t")).withWatermark("t", late)
+    return source.groupBy(*CLIENT).transformWithStateInPandas(_Pairing(expiry_ms), PAIRED, "append", "eventTime")
+
+
+def pair_files(spark: SparkSession, path: str, schema, out: str, checkpoint: str, expiry_ms: int, files_per_trigger: int = 100, late: str = "10 seconds") -> None:
+    """``pair_stream`` over the Parquet messages under ``path`` that are there now, oldest files first, appended to ``out``.
+    What is then still pending stays in the checkpoint for the next run."""
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+    q = pair_stream(source, expiry_ms, late).writeStream.option("checkpointLocation", checkpoint).option("path", out).format("parquet").trigger(availableNow=True).start()
+    q.awaitTermination()
 
 
 def new_captures(spark: SparkSession, path: str, files_per_trigger: int = 100, archive: str | None = None) -> DataFrame:
@@ -170,15 +222,20 @@ def ingest(captures: DataFrame, build: Callable[[DataFrame], DataFrame], write:
 
 class Roller:
     """Rolling of output: micro-batches gather in a staging folder until they hold ``least_rows``, and only then become
-    files of the table; ``flush`` forces it. What is staged survives a restart, since it is read back; a loss between the
-    table's write and the note of it writes those rows again."""
+    files of the table; ``flush`` forces it. What is staged survives a restart, since it is read back.
 
-    def __init__(self, spark: SparkSession, staging: str, write: Callable[[DataFrame], None], least_rows: int):
+    ``write(rows, number)`` must replace what was written under the same number (``write_dns(batch=...)``), which is that of
+    the first batch in the roll. So a loss between the table's write and the note of it leaves no row twice: the next roll
+    begins with the same batch and replaces those files."""
+
+    def __init__(self, spark: SparkSession, staging: str, write: Callable[[DataFrame, int], None], least_rows: int):
         self.spark, self.staging, self.write, self.least_rows = spark, staging.rstrip("/"), write, least_rows
 
     def add(self, rows: DataFrame, batch: int) -> None:
-        """Stage a micro-batch (again after a restart, under its own number) and roll if there is enough."""
-        rows.write.mode("overwrite").parquet(f"{self.staging}/batch={batch:012d}")
+        """Stage a micro-batch (again after a restart, under its own number) and roll if there is enough. One that was
+        rolled before stays as it is."""
+        if not self._noted(batch):
+            rows.write.mode("overwrite").parquet(f"{self.staging}/batch={batch:012d}")
         self._roll(self.least_rows)
 
     def flush(self) -> None:
@@ -193,14 +250,31 @@ class Roller:
                 raise
             return None
 
+    def _noted(self, batch: int) -> bool:
+        done = self._read(f"{self.staging}-rolled")
+        return done is not None and not done.filter(F.col("batch") == batch).isEmpty()
+
     def _roll(self, least: int) -> None:
         staged, done = self._read(self.staging), self._read(f"{self.staging}-rolled")
         if staged is None:
             return
         if done is not None:
             staged = staged.join(F.broadcast(done.distinct()), "batch", "left_anti")
-        batches = [r["batch"] for r in staged.groupBy("batch").count().collect()]  # as many as since the last roll
-        if not batches or staged.count() < least:
+        sizes = {int(r["batch"]): r["count"] for r in staged.groupBy("batch").count().collect()}  # as many as since the last roll
+        if not sizes or sum(sizes.values()) < least:
             return
-        self.write(staged.drop("batch"))
-        self.spark.createDataFrame([(int(b),) for b in batches], "batch long").write.mode("append").parquet(f"{self.staging}-rolled")
+        self.write(staged.drop("batch"), min(sizes))
+        self.spark.createDataFrame([(b,) for b in sorted(sizes)], "batch long").write.mode("append").parquet(f"{self.staging}-rolled")
+
+
+def roll_files(spark: SparkSession, path: str, schema, roller: Roller, checkpoint: str, files_per_trigger: int = 100) -> None:
+    """Roll the Parquet rows under ``path`` that are there now, some files a batch."""
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+    source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(roller.add).trigger(availableNow=True).start().awaitTermination()
+
+
+def metric_files(spark: SparkSession, path: str, schema, out: str, checkpoint: str, files_per_trigger: int = 100, late: str = "60 seconds") -> None:
+    """``metric_stream`` over the Parquet rows under ``path`` that are there now, upserted to ``out`` (``latest_points``)."""
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+    points = metric_stream(source, late=late).writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    points.foreachBatch(lambda df, i: upsert_points(df, i, out)).trigger(availableNow=True).start().awaitTermination()
