@@ -26,12 +26,14 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, kept between calls."""
+    """base**0 .. base**(n-1) modulo 2**64; those for a slice are kept between calls, those for a longer text aren't."""
     have = _powers.get(base)
     if have is None or len(have) < n:
         steps = np.full(max(n, SLICE_BYTES + 1), base, dtype=np.uint64)
         steps[0] = 1
-        have = _powers[base] = np.cumprod(steps, dtype=np.uint64)
+        have = np.cumprod(steps, dtype=np.uint64)
+        if n <= SLICE_BYTES + 1:
+            _powers[base] = have
     return have[:n]
 
 
@@ -57,6 +59,19 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, off - off[0]
 
 
+#: Rows of whole texts that the JVM hands to a Python worker at once.
+BATCH_ROWS = 500
+
+
+def bounded(docs: DataFrame) -> DataFrame:
+    """``docs``, with the session set so that batches handed to Python hold few whole texts; the default's 10,000 rows are
+    held several times over, in the JVM and in each worker."""
+    conf = docs.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return docs
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Row slices whose texts hold at most ``most`` bytes together, or one row."""
     for batch in batches:
@@ -68,6 +83,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
             end = max(at + 1, int(np.searchsorted(off, off[at] + most, "right")) - 1)
             yield batch.slice(at, end - at)
             at = end
+    pa.default_memory_pool().release_unused()  # a worker is kept for other tasks
 
 
 class Words:
