@@ -38,7 +38,7 @@ def test_pipeline(spark, sf):
 
 def test_oracles(spark, sf):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     for name, sql in queries.ORACLES.items():
         want = con.execute(sql).fetchdf()

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shared import cut
-from ._text import SLICE_BYTES, Words, checked, mix, slices
+from ._text import SLICE_BYTES, Words, bounded, checked, mix, slices
 
 #: Items of fewer words allow no edit and are matched by hash.
 EDITABLE = 5
@@ -285,5 +285,5 @@ def _scan(docs: DataFrame, index: Index) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; rows with a null doc_id can't be told apart and stay."""
-    leaks = cut(find_leaks(docs, benchmark).select("doc_id").distinct())
+    leaks = cut(find_leaks(bounded(docs), benchmark).select("doc_id").distinct())
     return docs.join(checked(leaks, leaks.count()), "doc_id", "left_anti")

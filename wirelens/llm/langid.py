@@ -15,6 +15,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._text import bounded
+
 UND = "und"
 #: Level of compression, the same for texts of all lengths.
 LEVEL = 12
@@ -121,7 +123,7 @@ def identify(docs: DataFrame, model: Classifier, key: str = "doc_id", text: str
 
 def keep_identified(docs: DataFrame, least_margin: float) -> DataFrame:
     """``docs`` without those that are rejected: no letters, or a margin under ``least_margin``."""
-    model = train(docs)
+    model = train(bounded(docs))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shared import cut
-from ._text import SLICE_BYTES, Words, checked, mix, slices
+from ._text import SLICE_BYTES, Words, bounded, checked, mix, slices
 
 BINS = 256
 NO_ID = -(2**63)
@@ -367,7 +367,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, bands: i
 def drop_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group: that with the smallest doc_id. Of its repeated rows one of each text
     stays (the least by its other columns). Rows with a null doc_id stay."""
-    found = cut(near_duplicates(docs, percent=percent).filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_rows"), F.max("kept").alias("_kept")))
+    found = cut(near_duplicates(bounded(docs), percent=percent).filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_rows"), F.max("kept").alias("_kept")))
     gone = found.filter("_rows > 1 OR NOT _kept").select("doc_id")
     chosen = docs.join(checked(gone, gone.count()), "doc_id", "left_anti").select(docs.columns)
     repeated = found.filter("_rows > 1 AND _kept").select("doc_id")

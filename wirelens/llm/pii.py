@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._text import slices, utf8
+from ._text import bounded, slices, utf8
 
 #: Kinds in their order.
 KINDS = ("email", "ip", "card", "phone")
@@ -363,7 +363,7 @@ def mask_text(text: str, spans: list[tuple[int, int, int, bool]]) -> str:
 
 def mask(docs: DataFrame, field: Field) -> DataFrame:
     """``docs`` with spans masked in text, and n_chars set to the new length; other columns unchanged."""
-    shared = docs.sparkSession.sparkContext.broadcast(field)
+    shared = bounded(docs).sparkSession.sparkContext.broadcast(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
