@@ -223,8 +223,6 @@ def test_stored_day_is_pruned(spark, sf, tmp_path):
     sinks.write_dns(Q.dns(spark, sf), str(tmp_path / "t"))
     plan = sinks.read_dns(spark, str(tmp_path / "t")).filter("day = '2024-01-10' AND dns_domainname = 'zone.nl'").select("dns_domainname")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and "EqualTo(dns_domainname,zone.nl)" in plan and "ReadSchema: struct<dns_domainname:string>" in plan
-    sinks.compact(spark, str(tmp_path / "t"), str(tmp_path / "one"))
-    assert sinks.read_dns(spark, str(tmp_path / "one")).count() == sinks.read_dns(spark, str(tmp_path / "t")).count()
 
 
 def name_bytes(n):

@@ -262,5 +262,6 @@ k AS (SELECT * FROM z WHERE NOT asks AND NOT (qr = 1 AND epoch > 0 AND mark + {W
 w AS (SELECT *, lag(qr) OVER v AS pqr, lag(seq) OVER v AS pseq, lag(ms) OVER v AS pms, lead(ms) OVER v AS nms FROM k WINDOW v AS (PARTITION BY capture_file, dns_id, client_ip, client_port, qname ORDER BY ts, seq))
 SELECT capture_file, qname, CASE WHEN qr = 0 THEN seq WHEN pqr = 0 AND pms + {WAIT_MS} > ms THEN pseq END AS req_seq, CASE WHEN qr = 1 THEN seq END AS rsp_seq FROM w WHERE qr = 1 OR nms IS NULL OR nms >= ms + {WAIT_MS}""",
 }
+ORACLES["compacted_days"] = ORACLES["day_partitions"].replace("count(*) AS n", "count(*) AS n, CAST(1 AS BIGINT) AS files")
 #: The streams give what the batch queries give.
 ORACLES |= {"stream_metrics": ORACLES["metric_points"], "rolled_rows": ORACLES["day_partitions"]}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from .. import sinks
+from .. import compaction, sinks
 from ..operators import address, assembly, attempts, metrics, names, objects, pairing, rows, tcp
 from ..shared import cut, new_path
 from ..sources import capture, reference
@@ -382,6 +382,17 @@ def stored_day(spark, d):
     return day.groupBy("dns_domainname").agg(F.count("*").alias("n"), F.max("dns_id").alias("most_id"))
 
 
+@query
+def compacted_days(spark, d):
+    """Rows of a table of many appends after its small files were packed; files that were joined are gone."""
+    path = new_path(spark, "dns")
+    x = dns(spark, d)
+    for i in range(3):
+        sinks.write_dns(x.filter(F.pmod("dns_id", F.lit(3)) == i), path, batch=i)
+    compaction.compact(spark, path)
+    return sinks.read_dns(spark, path).groupBy(F.col("day").cast("string").alias("day")).agg(F.count("*").alias("n"), F.count_distinct("_metadata.file_path").alias("files"))
+
+
 @query
 def schema_align(spark, d):
     full = dns(spark, d)

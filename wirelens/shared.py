@@ -46,8 +46,18 @@ def move(spark: SparkSession, path: str, folder: str | None) -> bool:
     system = source.getFileSystem(conf)
     if folder is None:
         return bool(system.delete(source, False))
+    if not system.exists(source):
+        return False
     system.mkdirs(hadoop.Path(folder))
-    return bool(system.exists(source)) and bool(system.rename(source, hadoop.Path(f"{folder.rstrip('/')}/{source.getName()}")))
+    if not system.rename(source, hadoop.Path(f"{folder.rstrip('/')}/{source.getName()}")):
+        raise OSError(f"{path} can't be moved to {folder}")
+    return True
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder; False if there was none."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True))
 
 
 def cut(df: DataFrame) -> DataFrame:

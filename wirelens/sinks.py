@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.attempts import ATTEMPTS
@@ -35,10 +35,15 @@ def write_dns(rows: DataFrame, path: str, sort: str | None = "dns_domainname", r
         x = (x.repartitionByRange(tasks, *order, *spread) if tasks else x.repartitionByRange(*order, *spread)).sortWithinPartitions(*order)
     x = x.withColumn("batch", F.lit(NO_BATCH if batch is None else batch).cast("long"))
     w = x.write.mode("append") if batch is None else x.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    table_files(w, rows_per_file, bloom).parquet(path)
+
+
+def table_files(w: DataFrameWriter, rows_per_file: int = 10_000_000, bloom: bool = True) -> DataFrameWriter:
+    """The table's layout: folders by day and batch, zstd, Bloom filter of domains."""
     w = w.partitionBy("day", "batch").option("compression", "zstd").option("maxRecordsPerFile", rows_per_file)
     if bloom:
         w = w.option("parquet.bloom.filter.enabled#dns_domainname", "true").option("parquet.bloom.filter.max.bytes", 1 << 20).option("parquet.dictionary.page.size", 2 << 20)
-    w.parquet(path)
+    return w
 
 
 def read_dns(spark: SparkSession, path: str) -> DataFrame:
@@ -46,13 +51,6 @@ def read_dns(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(f"{DDL}, day date, batch long").parquet(path).drop("batch")
 
 
-def compact(spark: SparkSession, path: str, target: str, rows_per_file: int = 10_000_000, sort: str = "dns_domainname") -> None:
-    """Write the table anew to ``target`` with as many files as its rows ask for, sorted over each day: joins the small
-    files that frequent appends leave."""
-    rows = read_dns(spark, path)
-    write_dns(rows.drop("day"), target, sort, rows_per_file, max(1, -(-rows.count() // rows_per_file)))
-
-
 def write_points(points: DataFrame, path: str) -> None:
     """Append metric points, by metric."""
     points.write.mode("append").partitionBy("metric").parquet(path)
