@@ -265,3 +265,6 @@ SELECT capture_file, qname, CASE WHEN qr = 0 THEN seq WHEN pqr = 0 AND pms + {WA
 ORACLES["compacted_days"] = ORACLES["day_partitions"].replace("count(*) AS n", "count(*) AS n, CAST(1 AS BIGINT) AS files")
 #: The streams give what the batch queries give.
 ORACLES |= {"stream_metrics": ORACLES["metric_points"], "rolled_rows": ORACLES["day_partitions"]}
+ORACLES["reference_as_of"] = f"WITH {M}, {DIM} SELECT CASE WHEN ts >= TIMESTAMP '2024-01-12' THEN 'N' || iso ELSE iso END AS iso, count(*) AS n FROM dns_messages LEFT JOIN dim ON client_ip = address GROUP BY 1"
+ORACLES["rdata_search"] = f"""SELECT time, dns_id, ip_src, prot_src_port, dns_qname FROM ({ORACLES["dns_rows"]}) AS r
+WHERE dns_domainname = 'zone.nl' AND len(list_filter(string_split(dns_rdata, ';'), lambda x: split_part(x, ':', 3) = '192.0.2.3')) > 0 ORDER BY ALL LIMIT 100"""

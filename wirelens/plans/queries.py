@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from .. import compaction, sinks
-from ..operators import address, assembly, attempts, metrics, names, objects, pairing, rows, tcp
+from ..operators import address, assembly, attempts, metrics, names, objects, pairing, ranges, rows, tcp
 from ..shared import cut, new_path
-from ..sources import capture, reference
+from ..sources import capture, reference, references
 from ..streaming import jobs
 from . import views as V
 
@@ -504,6 +506,24 @@ def ecs_enrich(spark, d):
     return x.groupBy("edns_ecs_ip_geo_country", "edns_ecs_ip_asn", "edns_ecs_ip_asn_org").agg(F.count("*").alias("n"))
 
 
+#: When two snapshots of the places were taken.
+TAKEN = (datetime(2024, 1, 1), datetime(2024, 1, 12))
+
+
+@query
+def reference_as_of(spark, d):
+    """Countries of clients by the list as it was at each message's time; the second snapshot has other codes."""
+    path = new_path(spark, "places")
+    references.save(places(spark), path, TAKEN[0])
+    references.save(places(spark).withColumn("iso", F.concat(F.lit("N"), "iso")), path, TAKEN[1])
+
+    def located(rows: DataFrame, nets: DataFrame) -> DataFrame:
+        found = ranges.lookup([address.longest_prefix("iso", nets, "iso")])
+        return rows.select(found("client_ip")["iso"].alias("iso"))
+
+    return references.by_snapshot(messages(spark, d), path, "ts", located).groupBy("iso").agg(F.count("*").alias("n"))
+
+
 # Metrics
 
 
@@ -642,6 +662,16 @@ def top_domains_on_date(spark, d):
     return x.groupBy("dns_domainname").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dns_domainname").limit(10)
 
 
+@query
+def rdata_search(spark, d):
+    """Rows of one domain whose records hold an address, over the written table: the domain is pushed to the files."""
+    path = new_path(spark, "dns")
+    sinks.write_dns(dns(spark, d, full=True, rdata=True), path)
+    x = sinks.read_dns(spark, path).filter((F.col("dns_domainname") == "zone.nl") & C.has_data("dns_rdata", "192.0.2.3"))
+    columns = ["time", "dns_id", "ip_src", "prot_src_port", "dns_qname"]
+    return x.select(*columns).orderBy(*columns).limit(100)
+
+
 @query
 def rcodes_per_day(spark, d):
     return dns(spark, d).groupBy(F.to_date("time").cast("string").alias("day"), "dns_rcode").agg(F.count("*").alias("n"))
