@@ -5,10 +5,12 @@ everything behind it is columns."""
 
 from __future__ import annotations
 
+import base64
 import io
 import ipaddress
 import struct
 from collections.abc import Callable, Iterator
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -160,24 +162,91 @@ def _name(m: bytes, at: int) -> tuple[str, int]:
             at += 1 + n
 
 
-def _rdata(m: bytes, kind: int, at: int, size: int) -> str | None:
+def _strings(d: bytes) -> list[str]:
+    out, at = [], 0
+    while at < len(d):
+        out.append(d[at + 1 : at + 1 + d[at]].decode("utf-8", "replace"))
+        at += 1 + d[at]
+    return out
+
+
+#: Record types whose data is numbers, then hexadecimal digits (signatures, digests, keys' prints).
+_NUMBERS_THEN_HEX = {43: "!HBB", 59: "!HBB", 32769: "!HBB", 44: "!BB", 52: "!BBB", 53: "!BBB"}
+#: Those that are a base64 key or signature behind numbers.
+_KEYS = (48, 60, 25)
+
+
+def _times(at: int) -> str:
+    return datetime.fromtimestamp(at, timezone.utc).strftime("%Y%m%d%H%M%S")
+
+
+def _types(d: bytes) -> str:
+    """The types that a bit map of windows names, by number."""
+    out, at = [], 0
+    while at + 2 <= len(d):
+        window, size = d[at], d[at + 1]
+        for i, byte in enumerate(d[at + 2 : at + 2 + size]):
+            out += [str(window << 8 | i << 3 | bit) for bit in range(8) if byte & 0x80 >> bit]
+        at += 2 + size
+    return " ".join(out)
+
+
+def _rdata(m: bytes, kind: int, at: int, size: int) -> str:
+    """A record's data as text. Types without a form of their own, and data that doesn't have its type's form, are given by
+    length and hexadecimal digits."""
     d = m[at : at + size]
+    try:
+        text = _rdata_text(m, kind, at, size, d)
+    except (IndexError, ValueError, struct.error):
+        text = None
+    return text if text is not None else f"\\# {size}" + (f" {d.hex().upper()}" if d else "")
+
+
+def _rdata_text(m: bytes, kind: int, at: int, size: int, d: bytes) -> str | None:
     if kind == 1 and size == 4 or kind == 28 and size == 16:
         return str(ipaddress.ip_address(d))
-    if kind in (2, 5, 12):
+    if kind in (2, 5, 12, 39):
         return _name(m, at)[0]
-    if kind == 15:
+    if kind in (15, 18, 21, 36):
         return f"{int.from_bytes(d[:2])} {_name(m, at + 2)[0]}"
-    if kind == 16:
-        out, i = [], 0
-        while i < size:
-            out.append(d[i + 1 : i + 1 + d[i]].decode("utf-8", "replace"))
-            i += 1 + d[i]
-        return " ".join(out)
+    if kind in (13, 16, 99):
+        return " ".join(_strings(d))
     if kind == 6:
         a, x = _name(m, at)
         b, x = _name(m, x)
         return " ".join([a, b, *map(str, struct.unpack_from("!5I", m, x))])
+    if kind == 33:
+        return " ".join([*map(str, struct.unpack_from("!HHH", d)), _name(m, at + 6)[0]])
+    if kind == 35:
+        strings, x = [], 4
+        for _ in range(3):
+            strings.append(f'"{d[x + 1 : x + 1 + d[x]].decode("utf-8", "replace")}"')
+            x += 1 + d[x]
+        return " ".join([*map(str, struct.unpack_from("!HH", d)), *strings, _name(m, at + x)[0]])
+    if kind in _NUMBERS_THEN_HEX:
+        head = struct.calcsize(_NUMBERS_THEN_HEX[kind])
+        return " ".join([*map(str, struct.unpack_from(_NUMBERS_THEN_HEX[kind], d)), d[head:].hex().upper()])
+    if kind in _KEYS:
+        return " ".join([*map(str, struct.unpack_from("!HBB", d)), base64.b64encode(d[4:]).decode()])
+    if kind == 46:
+        covers, algorithm, labels, ttl, until, since, tag = struct.unpack_from("!HBBIIIH", d)
+        signer, x = _name(m, at + 18)
+        return " ".join([str(covers), str(algorithm), str(labels), str(ttl), _times(until), _times(since), str(tag), signer, base64.b64encode(m[x : at + size]).decode()])
+    if kind == 47:
+        following, x = _name(m, at)
+        return f"{following} {_types(m[x : at + size])}".rstrip()
+    if kind in (50, 51):
+        algorithm, flags, rounds, salt = struct.unpack_from("!BBHB", d)
+        out = [str(algorithm), str(flags), str(rounds), d[5 : 5 + salt].hex().upper() or "-"]
+        if kind == 50:
+            x = 5 + salt
+            out += [base64.b32hexencode(d[x + 1 : x + 1 + d[x]]).decode().rstrip("="), _types(d[x + 1 + d[x] :])]
+        return " ".join(out).rstrip()
+    if kind == 257:
+        tag = d[2 : 2 + d[1]].decode("ascii")
+        return f'{d[0]} {tag} "{d[2 + d[1] :].decode("utf-8", "replace")}"'
+    if kind == 256:
+        return f'{struct.unpack_from("!H", d)[0]} {struct.unpack_from("!H", d, 2)[0]} "{d[4:].decode("utf-8", "replace")}"'
     return None
 
 
