@@ -268,3 +268,6 @@ ORACLES |= {"stream_metrics": ORACLES["metric_points"], "rolled_rows": ORACLES["
 ORACLES["reference_as_of"] = f"WITH {M}, {DIM} SELECT CASE WHEN ts >= TIMESTAMP '2024-01-12' THEN 'N' || iso ELSE iso END AS iso, count(*) AS n FROM dns_messages LEFT JOIN dim ON client_ip = address GROUP BY 1"
 ORACLES["rdata_search"] = f"""SELECT time, dns_id, ip_src, prot_src_port, dns_qname FROM ({ORACLES["dns_rows"]}) AS r
 WHERE dns_domainname = 'zone.nl' AND len(list_filter(string_split(dns_rdata, ';'), lambda x: split_part(x, ':', 3) = '192.0.2.3')) > 0 ORDER BY ALL LIMIT 100"""
+ORACLES["capture_files"] = f"""WITH {PKT} SELECT file || ['', '.gz', '.bz2', '.xz'][CAST(any_value(file_no) % 4 AS INT) + 1] AS file, CAST(sum(pieces) AS BIGINT) AS packets, CAST(sum(pieces) AS BIGINT) AS records, CAST(NULL AS VARCHAR) AS failure, CAST(sum(pieces) AS BIGINT) AS numbers FROM pkt GROUP BY file"""
+ORACLES["stored_order"] = ORACLES["day_partitions"].replace("count(*) AS n", "count(*) AS n, CAST(0 AS BIGINT) AS out_of_order")
+ORACLES["stored_points"] = f"SELECT tag, count(*) AS points, sum(value) AS total FROM ({ORACLES['metric_points']}) AS p WHERE metric = 'dns_rcode' GROUP BY tag"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -122,6 +122,16 @@ def capture_failures(spark, d):
     return x.groupBy("file").agg(F.max("records").alias("records"), F.max("failure").alias("failure"), F.count("seq").alias("packets"))
 
 
+@query
+def capture_files(spark, d):
+    """Packets of capture files on disk: plain ones by ranges of bytes, gz, bz2 and xz as streams."""
+    folder = new_path(spark, "captures")
+    V.capture_files(V.captures(messages(spark, d)), folder)
+    x = capture.scan_files(spark, capture.read_captures(spark, folder).select("path", "length"), block_bytes=10_000)
+    name = F.element_at(F.split("file", "/"), -1).alias("file")
+    return x.groupBy(name).agg(F.count("seq").alias("packets"), F.max("records").alias("records"), F.max("failure").alias("failure"), F.count_distinct("seq").alias("numbers"))
+
+
 @query
 def capture_tries(spark, d):
     """States of damaged captures after one to four attempts each, and what is due again."""
@@ -384,6 +394,26 @@ def stored_day(spark, d):
     return day.groupBy("dns_domainname").agg(F.count("*").alias("n"), F.max("dns_id").alias("most_id"))
 
 
+@query
+def stored_order(spark, d):
+    """Rows of the written table that don't follow the row before them in their file by domain, nulls last, by day."""
+    path = new_path(spark, "dns")
+    sinks.write_dns(dns(spark, d), path)
+    x = sinks.read_dns(spark, path).select("day", "dns_domainname", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("i"))
+    before = F.lag(F.struct(F.col("dns_domainname").isNull().alias("a"), F.col("dns_domainname").alias("b"))).over(Window.partitionBy("file").orderBy("i"))
+    wrong = F.struct(F.col("dns_domainname").isNull().alias("a"), F.col("dns_domainname").alias("b")) < before
+    return x.withColumn("wrong", F.coalesce(wrong, F.lit(False))).groupBy(F.col("day").cast("string").alias("day")).agg(F.count("*").alias("n"), F.count_if("wrong").alias("out_of_order"))
+
+
+@query
+def stored_points(spark, d):
+    """Points of one metric of the written points, of which only its folder is read."""
+    path = new_path(spark, "points")
+    sinks.write_points(metrics.metric_points(metric_rows(spark, d, places=True)), path)
+    x = spark.read.parquet(path).filter("metric = 'dns_rcode'")
+    return x.groupBy("tag").agg(F.count("*").alias("points"), F.sum("value").alias("total"))
+
+
 @query
 def compacted_days(spark, d):
     """Rows of a table of many appends after its small files were packed; files that were joined are gone."""

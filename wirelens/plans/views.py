@@ -160,6 +160,34 @@ def captures(messages: DataFrame, damaged: bool = False) -> DataFrame:
     return rows.select("path", F.unhex(whole).alias("content"))
 
 
+#: Endings of the capture files, by their number.
+CODECS = ("pcap", "gz", "bz2", "xz")
+
+
+def capture_files(captures: DataFrame, folder: str) -> None:
+    """Write (path, content) rows as files into a folder that tasks share, packed by CODECS in turn."""
+
+    def run(batches):
+        import bz2
+        import gzip
+        import lzma
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        pack = {"pcap": bytes, "gz": gzip.compress, "bz2": bz2.compress, "xz": lzma.compress}
+        system, top = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
+        for b in batches:
+            for path, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
+                codec = CODECS[int(path[1:-5]) % len(CODECS)]
+                system.create_dir(top, recursive=True)
+                with system.open_output_stream(f"{top}/{path}" + ("" if codec == "pcap" else f".{codec}"), compression=None) as f:
+                    f.write(pack[codec](content))
+            yield b.select(["path"])
+
+    captures.mapInArrow(run, "path string").write.format("noop").mode("overwrite").save()
+
+
 def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(sql, events=spark.read.parquet(f"{sf_dir}/events.parquet"))
 
