@@ -274,6 +274,46 @@ def test_chat_renders_whole_prefixes(spark):
         assert all(whole[r["content_start"] : r["content_end"]] == f"t{r['n']}" for r in rows if r["n"] not in rewriting and r["n"] > 11 or not rewriting)
 
 
+@pytest.mark.parametrize("late", [12, 90])
+def test_chat_catches_false_declarations(spark, monkeypatch, late):
+    """A template says that it doesn't look back, and rewrites the first turn later on."""
+
+    def lies(messages):
+        return "".join("[old];" if i == 0 and len(messages) > late else f"{m['text']};" for i, m in enumerate(messages))
+
+    lies.looks_back = 0
+    df = spark.createDataFrame([(c, i, "u", f"t{i}") for c, n in ((1, 100), (2, 5), (3, 70)) for i in range(n)], "conv_id long, turn long, role string, text string")
+    got = {}
+    for r in sorted(chat.format_turns(df, lies).collect(), key=lambda r: (r["conv_id"], r["n"])):
+        got.setdefault(r["conv_id"], []).append(r)
+    assert {c: [r["n"] for r in rows if r["rewrites"]] for c, rows in got.items()} == {1: [late], 2: [], 3: [late] if late < 70 else []}
+    for rows in got.values():
+        whole = ""
+        for r in rows:
+            whole = whole[: r["start"]] + r["span"]
+        assert whole == lies([{"text": f"t{i}"} for i in range(len(rows))])
+
+
+def test_chat_long_conversations_are_rendered_as_declared(monkeypatch):
+    """From WHOLE_TURNS turns on a true declaration saves rendering, and gives what whole prefixes give; what isn't held any more isn't compared."""
+    r, seen = random.Random(8), []
+
+    def template(messages):
+        seen.append(len(messages))
+        return chat.marked_turns(messages)
+
+    rows = [{"conv_id": 1, "role": r.choice(["user", "assistant"]), "text": prose(i, 4)} for i in range(200)]
+    batch = [pa.RecordBatch.from_pylist(rows)]
+    whole = [x for *_, x in chat._stream(batch, template)]
+    assert max(seen) == 200 and sum(seen) > 10_000
+    template.looks_back = 0
+    for most in (chat.VERIFIED_CHARS, 2000):
+        monkeypatch.setattr(chat, "VERIFIED_CHARS", most)
+        seen.clear()
+        out = list(chat._stream(batch, template))
+        assert [x for *_, x in out] == whole and [f for _, f, *_ in out] == [True] + [False] * 199 and sum(seen) < 10_000
+
+
 def test_chat_local_template_equals_whole_rendering():
     r = random.Random(5)
     turns = [(r.choice(["user", "assistant", "\ue000\ue001", ""]), r.choice(["", "\ue000\ue001\ue001", "a<|b", "\\", prose(i, 5)])) for i in range(60)]
