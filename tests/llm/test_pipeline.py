@@ -43,7 +43,7 @@ def test_oracles(spark, sf):
     for name, sql in queries.ORACLES.items():
         want = con.execute(sql).fetchdf()
         got = queries.QUERIES[name](spark, sf).toPandas()[list(want.columns)]
-        key = want.columns[0]
+        key = list(want.columns)
         a, b = (json.loads(x.sort_values(key).to_json(orient="records")) for x in (want, got))
         assert a == b, name
 
