@@ -93,7 +93,7 @@ def scan_files(spark: SparkSession, files: DataFrame, open_file: Callable = open
     opened by ``open_file`` in tasks; plain ones are read by ranges of ``block_bytes``."""
     name = F.col("path").alias("file")
     skip = (F.col("skip") if "skip" in files.columns else F.lit(0)).cast("long").alias("skip")
-    packed = F.lower(F.element_at(F.split("path", r"\."), -1)).isin("gz", "xz", "bz2")
+    packed = F.element_at(F.split("path", r"\."), -1).isin("gz", "xz", "bz2")
     rows = files.select(name, F.col("length").alias("size"), skip, packed.alias("packed"))
     blocks = records.stitched(rows.filter("NOT packed"), block_bytes, open_file).join(rows.select("file", "skip"), "file")
     last = F.col("failure").isNotNull() | (F.col("stop") >= F.col("size"))
