@@ -118,7 +118,8 @@ def stream_messages(segments: DataFrame) -> DataFrame:
 
 
 def dns_payloads(packets: DataFrame, port: int = 53) -> DataFrame:
-    """All DNS messages of ``packets`` with a port on either side, over both protocols: FIELDS, part, msg_len, tcp_rtt (on a
+    """All DNS messages of ``packets`` (a written table: it is read once for datagrams, fragments, segments and handshakes each,
+    with filters that reach its files; out of captures each would unpack them anew) with a port on either side, over both protocols: FIELDS, part, msg_len, tcp_rtt (on a
     client's first message of a connection whose handshake was captured) and payload."""
     near = (F.col("src_port") == port) | (F.col("dst_port") == port)
     columns = [*FIELDS, "tcp_seq", "tcp_flags", "payload"]

@@ -90,7 +90,7 @@ def dns_only(spark, d):
 
 def payloads(spark, d) -> DataFrame:
     """DNS messages of the captures over both protocols, from datagrams, fragments and segments."""
-    return assembly.dns_payloads(packets(spark, d))
+    return assembly.dns_payloads(cut(packets(spark, d)))
 
 
 @query
@@ -110,7 +110,7 @@ def dns_header(spark, d):
 @query
 def capture_pairing(spark, d):
     """Transactions of decoded captures over both protocols, from bytes to pairs, by file. Messages are decoded once and kept."""
-    x = packets(spark, d)
+    x = cut(packets(spark, d))
     m = cut(capture.flat_messages(capture.messages(assembly.dns_payloads(x))))
     return pairing.capture_stats(m, pairing.transactions(m), x.select("file"), 600_000)
 
