@@ -609,16 +609,16 @@ def stream_pairing(spark, d):
     """Pairing with expiry over micro-batches, state held as a map by name; messages come in order of time, and a last one
     far behind lets everything expire."""
     m = messages(spark, d).select(*pairing.CLIENT, "qname", "qr", "qtype", "seq", "ts")
-    path = new_path(spark, "messages")
+    path, out, checkpoint = new_path(spark, "messages"), new_path(spark, "paired"), new_path(spark, "checkpoint")
     first, last = (x.timestamp() for x in m.select(F.min("ts").cast("timestamp"), F.max("ts").cast("timestamp")).first())
-    for i in range(3):
-        t = F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000
-        share = F.least(F.floor((t - first) / max(last - first, 1) * 3), F.lit(2))
-        m.filter(share == i).repartition(FILES, *pairing.CLIENT).write.mode("append").parquet(path)
+    t = F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000
+    share = F.least(F.floor((t - first) / max(last - first, 1) * 3), F.lit(2))
     end = m.limit(1).withColumns({"qname": F.lit(None).cast("string"), "capture_file": F.lit("end"), "qr": F.lit(1), "ts": F.lit(last + 10 * WAIT_MS / 1000).cast("timestamp").cast("timestamp_ntz")})
-    end.write.mode("append").parquet(path)
-    out = new_path(spark, "paired")
-    jobs.pair_files(spark, path, m.schema, out, new_path(spark, "checkpoint"), WAIT_MS, FILES)
+    # Each part is paired before the next is there: one with few clients has fewer than FILES files, and a batch that took
+    # the rest from the next part would leave that part's other files behind the watermark.
+    for part in (*(m.filter(share == i).repartition(FILES, *pairing.CLIENT) for i in range(3)), end):
+        part.write.mode("append").parquet(path)
+        jobs.pair_files(spark, path, m.schema, out, checkpoint, WAIT_MS, FILES)
     return spark.read.schema(jobs.PAIRED).parquet(out).select("capture_file", "qname", "req_seq", "rsp_seq")
 
 

@@ -50,8 +50,11 @@ STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 
 
 class _Pairing(StatefulProcessor):
-    """Pairing of one client's messages. A batch reads and writes the entries of its own names only; a timer at the end of
-    each request's time names the requests to look at then."""
+    """Pairing of one client's messages. A batch reads and writes the entries of its own names only, each once; one timer
+    for all that a batch leaves pending looks over the client's entries, in steps of a STEPS-th of the time they wait. What a
+    batch answers or overwrites itself never becomes state."""
+
+    STEPS = 8
 
     def __init__(self, expiry_ms: int):
         self.expiry_ms = expiry_ms
@@ -59,7 +62,6 @@ class _Pairing(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.pending = handle.getMapState("pending", "name string", "seq bigint, ms bigint")
-        self.due = handle.getMapState("due", "ms bigint", "names array<string>")
         #: Responses since the last transfer's request, and its time.
         self.transfer = handle.getValueState("transfer", "answers int, ms bigint")
 
@@ -68,32 +70,38 @@ class _Pairing(StatefulProcessor):
         """A key for a name, which may be null."""
         return ("" if name is None else f"={name}",)
 
-    def _frame(self, key: tuple, rows: list[tuple]) -> pd.DataFrame:
-        frame = pd.DataFrame([(*key, *r) for r in rows], columns=[*CLIENT, "qname", "req_seq", "rsp_seq"])
-        return frame.astype({"req_seq": "Int64", "rsp_seq": "Int64"})
+    def _frame(self, key: tuple, rows: list[tuple]) -> Iterator[pd.DataFrame]:
+        if rows:
+            names, asked, answered = zip(*rows)
+            numbers = {"req_seq": pd.array(asked, dtype="Int64"), "rsp_seq": pd.array(answered, dtype="Int64")}
+            yield pd.DataFrame({**dict(zip(CLIENT, key)), "qname": pd.Series(names, dtype=object), **numbers})
+
+    def _wake(self, since: int) -> None:
+        """See to a timer once what began at ``since`` has waited long enough."""
+        step = max(1, self.expiry_ms // self.STEPS)
+        self.handle.registerTimer(-(-(since + self.expiry_ms) // step) * step)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         data = pd.concat(list(rows)).sort_values(["t", "seq"])
         held: dict[str | None, tuple[int, int] | None] = {}  # entries of this batch's names
-        out, due = [], {}
-        transfer = self.transfer.get() if self.transfer.exists() else None
-        for name, qr, qtype, seq, t in data[["qname", "qr", "qtype", "seq", "t"]].itertuples(index=False):
-            name, seq, ms = name if isinstance(name, str) else None, int(seq), t.value // 1_000_000
+        old: dict[str | None, tuple[int, int] | None] = {}  # as they are in the state
+        out = []
+        transfer = marked = self.transfer.get() if self.transfer.exists() else None
+        times = pd.DatetimeIndex(data["t"]).as_unit("ns").asi8 // 1_000_000
+        for name, qr, qtype, seq, ms in zip(data["qname"], data["qr"], data["qtype"], data["seq"].tolist(), times.tolist()):
+            name = name if isinstance(name, str) else None
             if transfer is not None and transfer[1] + self.expiry_ms <= ms:
                 transfer = None
             if qr == 0 and qtype in TRANSFERS:
                 transfer = (0, ms)
-                due.setdefault(ms + self.expiry_ms, [])
                 continue
             if name not in held:
-                entry = self._entry(name)
-                held[name] = tuple(self.pending.getValue(entry)) if self.pending.containsKey(entry) else None
+                held[name] = old[name] = self.pending.getValue(self._entry(name))
             before = held[name]
             if before is not None and before[1] + self.expiry_ms <= ms:
                 held[name] = before = None if name is None else out.append((name, before[0], None))
             if qr == 0:
                 held[name] = (seq, ms)
-                due.setdefault(ms + self.expiry_ms, []).append(self._entry(name)[0])
                 continue
             if transfer is not None:
                 transfer = (transfer[0] + 1, transfer[1])
@@ -102,36 +110,46 @@ class _Pairing(StatefulProcessor):
             held[name] = None
             if before is not None or name is not None:
                 out.append((name, before[0] if before else None, seq))
+        began = []
         for name, value in held.items():
-            if value is not None:
+            if value is None:
+                if old[name] is not None:
+                    self.pending.removeKey(self._entry(name))
+            elif old[name] is None or tuple(old[name]) != value:
                 self.pending.updateValue(self._entry(name), value)
-            elif self.pending.containsKey(self._entry(name)):
-                self.pending.removeKey(self._entry(name))
+                began.append(value[1])
         if transfer is not None:
-            self.transfer.update(transfer)
-        elif self.transfer.exists():
+            if marked is None or tuple(marked) != transfer:
+                self.transfer.update(transfer)
+                began.append(transfer[1])
+        elif marked is not None:
             self.transfer.clear()
-        for ms, names in due.items():
-            known = list(self.due.getValue((ms,))[0]) if self.due.containsKey((ms,)) else []
-            self.due.updateValue((ms,), (known + names,))
-            self.handle.registerTimer(ms)
-        yield self._frame(key, out)
+        if began:
+            self._wake(min(began))
+        yield from self._frame(key, out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        ms, out = expiredTimerInfo.getExpiryTimeInMs(), []
-        names = self.due.getValue((ms,))[0] if self.due.containsKey((ms,)) else []
-        for entry in dict.fromkeys(names):
-            if self.pending.containsKey((entry,)):
-                seq, since = self.pending.getValue((entry,))
-                if since + self.expiry_ms <= ms:
-                    self.pending.removeKey((entry,))
-                    if entry:
-                        out.append((entry[1:], seq, None))
-        if self.due.containsKey((ms,)):
-            self.due.removeKey((ms,))
-        if self.transfer.exists() and self.transfer.get()[1] + self.expiry_ms <= ms:
-            self.transfer.clear()
-        yield self._frame(key, out)
+        # No later message is older than the watermark, so what has waited until then waits in vain.
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        out, waiting, over = [], [], []
+        for (entry,), (seq, since) in self.pending.iterator():
+            if since + self.expiry_ms > now:
+                waiting.append(since)
+                continue
+            over.append(entry)
+            if entry:
+                out.append((entry[1:], seq, None))
+        for entry in over:
+            self.pending.removeKey((entry,))
+        if self.transfer.exists():
+            since = self.transfer.get()[1]
+            if since + self.expiry_ms <= now:
+                self.transfer.clear()
+            else:
+                waiting.append(since)
+        if waiting:
+            self._wake(min(waiting))
+        yield from self._frame(key, out)
 
     def close(self) -> None:
         pass
