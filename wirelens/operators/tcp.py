@@ -14,11 +14,13 @@ SYN, ACK = 2, 16
 def reassemble_fragments(packets: DataFrame) -> DataFrame:
     """Whole datagrams of fragments (frag_offset in bytes): payload, number of fragments, offset of the last one.
 
-    A datagram with a gap or without its last fragment is left out. Repeated fragments count once."""
-    parts = packets.dropDuplicates(["capture_file", "src", "dst", "ip_id", "protocol", "frag_offset"])
-    g = parts.groupBy("capture_file", "src", "dst", "ip_id", "protocol").agg(
-        F.array_sort(F.collect_list(F.struct("frag_offset", "payload", "more_fragments"))).alias("f"), F.min("ts").alias("ts")
-    )
+    A datagram with a gap or without its last fragment is left out. Of a repeated fragment the one with the least ``seq``
+    (what orders packets as they came) counts, or without that column the one with the least time, then content."""
+    order = F.col("seq") if "seq" in packets.columns else F.struct("ts", "payload", "more_fragments")
+    datagram = ["capture_file", "src", "dst", "ip_id", "protocol"]
+    first = F.min_by(F.struct("frag_offset", "payload", "more_fragments"), order).alias("p")
+    parts = packets.groupBy(*datagram, "frag_offset").agg(first, F.min_by("ts", order).alias("ts"))
+    g = parts.groupBy(*datagram).agg(F.array_sort(F.collect_list("p")).alias("f"), F.min("ts").alias("ts"))
     end = F.aggregate("f", F.lit(0).cast("long"), lambda t, x: F.when(x["frag_offset"] == t, t + F.length(x["payload"])).otherwise(F.lit(-1)))
     whole = g.withColumn("_end", end).filter((F.col("_end") >= 0) & ~F.element_at("f", -1)["more_fragments"])
     payload = F.aggregate("f", F.lit(b""), lambda t, x: F.concat(t, x["payload"]))

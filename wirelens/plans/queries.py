@@ -145,8 +145,10 @@ def capture_tries(spark, d):
 
 @query
 def ip_reassembly(spark, d):
-    """Datagrams of lineitem fragments: an order's lines are fragments of 8 bytes; orders with a missing line go."""
-    x = table(spark, d, "lineitem").select(F.lit("f").alias("capture_file"), F.lit("a").alias("src"), F.lit("b").alias("dst"), F.col("l_orderkey").alias("ip_id"), F.lit(17).alias("protocol"), ((F.col("l_linenumber") - 1) * 8).alias("frag_offset"), F.lpad(F.hex(F.col("l_partkey") % 65536), 8, "0").cast("binary").alias("payload"), F.lit(False).alias("more_fragments"), F.col("l_shipdate").alias("ts"))
+    """Datagrams of lineitem fragments: an order's lines are fragments of 8 bytes; orders with a missing line go. Of lines that
+    repeat, the first in the order of the table's files and rows counts."""
+    seq = F.struct("_metadata.file_path", "_metadata.row_index").alias("seq")
+    x = table(spark, d, "lineitem").select(seq, F.lit("f").alias("capture_file"), F.lit("a").alias("src"), F.lit("b").alias("dst"), F.col("l_orderkey").alias("ip_id"), F.lit(17).alias("protocol"), ((F.col("l_linenumber") - 1) * 8).alias("frag_offset"), F.lpad(F.hex(F.col("l_partkey") % 65536), 8, "0").cast("binary").alias("payload"), F.lit(False).alias("more_fragments"), F.col("l_shipdate").alias("ts"))
     out = tcp.reassemble_fragments(x)
     return out.select(F.col("ip_id"), F.col("fragments").cast("long").alias("fragments"), F.col("last_offset").cast("long").alias("last_offset"), F.col("payload").cast("string").alias("payload"))
 
