@@ -78,3 +78,24 @@ def test_stream_of_few_clients_loses_none(spark, tmp_path):
     columns = "capture_file, qname, req_seq, rsp_seq"
     want = con.execute(f"SELECT {columns} FROM ({ORACLES['stream_pairing']})").fetchall()
     assert plain(Q.QUERIES["stream_pairing"](spark, str(tmp_path)).select(*columns.split(", ")).collect()) == plain(want) and len(want) > 3000
+
+
+def test_rolls_read_what_is_staged_only(spark, tmp_path):
+    """After a roll nothing stays staged, and the next one reads its own files; a new process rolls what was left."""
+    read = []
+
+    def write(df, n):
+        read.append(len(df.inputFiles()))
+        df.write.mode("overwrite").parquet(f"{tmp_path}/table/roll={n}")
+
+    staged = tmp_path / "staged"
+    roller = jobs.Roller(spark, str(staged), write, 10)
+    for i in range(4):
+        roller.add(spark.range(i * 10, i * 10 + 10, numPartitions=1), i)
+        assert list(staged.glob("batch=*")) == []
+    roller.add(spark.range(40, 43, numPartitions=1), 4)
+    assert read == [1] * 4 and len(list(staged.glob("batch=*"))) == 1
+    again = jobs.Roller(spark, str(staged), write, 10)
+    again.add(spark.range(30, 40, numPartitions=1), 3)
+    again.add(spark.range(43, 50, numPartitions=1), 5)
+    assert read == [1] * 4 + [2] and sorted(r[0] for r in spark.read.parquet(str(tmp_path / "table")).select("id").collect()) == list(range(50))

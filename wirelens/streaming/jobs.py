@@ -15,7 +15,7 @@ from ..functions.columns import TRANSFERS
 from ..operators.attempts import due, outcomes, states
 from ..operators.metrics import PLACE, measures, points
 from ..operators.pairing import CLIENT
-from ..shared import cut, move
+from ..shared import cut, delete, move
 from ..sinks import note_attempts, read_attempts
 from ..sources.capture import endings, of_scan, scan_files
 
@@ -248,41 +248,57 @@ class Roller:
 
     def __init__(self, spark: SparkSession, staging: str, write: Callable[[DataFrame, int], None], least_rows: int):
         self.spark, self.staging, self.write, self.least_rows = spark, staging.rstrip("/"), write, least_rows
+        #: Numbers of the batches that were rolled, and rows of those that are staged; read once, as nothing else writes them.
+        self._done: set[int] | None = None
+        self._sizes: dict[int, int] = {}
 
     def add(self, rows: DataFrame, batch: int) -> None:
         """Stage a micro-batch (again after a restart, under its own number) and roll if there is enough. One that was
         rolled before stays as it is."""
-        if not self._noted(batch):
-            rows.write.mode("overwrite").parquet(f"{self.staging}/batch={batch:012d}")
+        self._resume()
+        if batch not in self._done:
+            rows.write.mode("overwrite").parquet(self._folder(batch))
+            self._sizes[batch] = self.spark.read.schema(rows.schema).parquet(self._folder(batch)).count()
         self._roll(self.least_rows)
 
     def flush(self) -> None:
+        self._resume()
         self._roll(1)
 
+    def _folder(self, batch: int) -> str:
+        return f"{self.staging}/batch={batch:012d}"
+
     def _read(self, path: str) -> DataFrame | None:
         """The table under a path, or None if nothing is there yet."""
         try:
             return self.spark.read.parquet(path)
         except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
             return None
 
-    def _noted(self, batch: int) -> bool:
-        done = self._read(f"{self.staging}-rolled")
-        return done is not None and not done.filter(F.col("batch") == batch).isEmpty()
+    def _resume(self) -> None:
+        """What an earlier process left: notes, and staged batches; of those that were noted only the folders are left to delete."""
+        if self._done is None:
+            done, staged = self._read(f"{self.staging}-rolled"), self._read(self.staging)
+            noted = {int(r["batch"]) for r in done.select("batch").distinct().toLocalIterator()} if done is not None else set()
+            sizes = {int(r["batch"]): r["count"] for r in staged.groupBy("batch").count().collect()} if staged is not None else {}
+            for batch in noted & sizes.keys():
+                delete(self.spark, self._folder(batch))
+            self._done, self._sizes = noted, {b: n for b, n in sizes.items() if b not in noted}
 
     def _roll(self, least: int) -> None:
-        staged, done = self._read(self.staging), self._read(f"{self.staging}-rolled")
-        if staged is None:
-            return
-        if done is not None:
-            staged = staged.join(F.broadcast(done.distinct()), "batch", "left_anti")
-        sizes = {int(r["batch"]): r["count"] for r in staged.groupBy("batch").count().collect()}  # as many as since the last roll
-        if not sizes or sum(sizes.values()) < least:
+        """Roll what is staged. Only its own folders are read and they are deleted once it is noted, so a roll costs the same
+        however many came before."""
+        if not self._sizes or sum(self._sizes.values()) < least:
             return
-        self.write(staged.drop("batch"), min(sizes))
-        self.spark.createDataFrame([(b,) for b in sorted(sizes)], "batch long").write.mode("append").parquet(f"{self.staging}-rolled")
+        batches = sorted(self._sizes)
+        self.write(self.spark.read.parquet(*map(self._folder, batches)), batches[0])
+        self.spark.createDataFrame([(b,) for b in batches], "batch long").coalesce(1).write.mode("append").parquet(f"{self.staging}-rolled")
+        self._done.update(batches)
+        self._sizes = {}
+        for batch in batches:
+            delete(self.spark, self._folder(batch))
 
 
 def roll_files(spark: SparkSession, path: str, schema, roller: Roller, checkpoint: str, files_per_trigger: int = 100) -> None:
