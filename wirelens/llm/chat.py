@@ -4,11 +4,13 @@ A template is any function from a list of {role, text} messages to a string. Eac
 as growing prefixes; what a further turn adds to the output is that turn's span, and an output that doesn't begin
 with the one before shows a template that rewrites history. The text's place inside the span comes from rendering
 the same turn with a sentinel in place of its text; where the turn's frame depends on its text, ``located`` is false.
-Prefixes are as long as the conversation, so rendering costs the square of its length. A template may declare how many
-turns it looks back (``looks_back``); then prefixes are whole for the first WHOLE_TURNS turns, and from there on as long as it
-says. The declaration isn't trusted: the end of a conversation is rendered whole once and compared with the spans, and where
-they differ the conversation is rendered again by whole prefixes. Its turns are held until then, at most VERIFIED_CHARS
-of them; what a longer conversation adds beyond that is rendered as declared.
+Prefixes are as long as the conversation, so rendering costs the square of its length. Two kinds of template need less. One
+that is made of its turns (``PerTurn``) is an opening and each turn's own output by its making, so its last turn stands for
+the prefix, at any length. Another may declare how many turns it looks back (``looks_back``); then prefixes are whole for the
+first WHOLE_TURNS turns, and from there on as long as it says. That declaration isn't trusted: a conversation is rendered
+whole at its end, and on the way each time its size has doubled, and compared with the spans, whatever its size; where they
+differ the conversation is rendered again by whole prefixes. Its turns are held until then, as for any such template, which takes
+the whole list.
 
 Null roles and texts count as empty; ties in turn follow by role and text; repeated rows are turns of their own; an
 empty table gives an empty result; further columns stay behind. A null conv_id is a conversation of its own.
@@ -45,24 +47,33 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
-def marked_turns(messages: list[dict]) -> str:
-    """The default template: begin mark, then role, text and end mark of each turn, control strings escaped."""
-    return BEGIN + "".join(f"{HEAD}{escape(m['role'])}{BODY}{escape(m['text'])}{END}" for m in messages)
+class PerTurn:
+    """A template that is an opening, then the output of each turn, which depends on nothing else."""
 
+    looks_back = 0
 
-marked_turns.looks_back = 0
+    def __init__(self, opening: str, turn: Callable[[dict], str]):
+        self.opening, self.turn = opening, turn
+
+    def __call__(self, messages: list[dict]) -> str:
+        return self.opening + "".join(map(self.turn, messages))
+
+
+#: The default template: begin mark, then role, text and end mark of each turn, control strings escaped.
+marked_turns = PerTurn(BEGIN, lambda m: f"{HEAD}{escape(m['role'])}{BODY}{escape(m['text'])}{END}")
 
 
 #: Turns of a conversation that are rendered by whole prefixes whatever the template declares.
 WHOLE_TURNS = 64
-#: Characters of a longer conversation that are held to be compared with its whole rendering.
+#: Characters held of a longer conversation from which it is compared with its whole rendering on the way.
 VERIFIED_CHARS = 1 << 25
 
 
 class Renderer:
     """Renders one conversation turn by turn and locates what each turn adds.
 
-    Every prefix is rendered whole, so a template may look at, number or rewrite any earlier turn. With ``trusting``, a
+    Every prefix is rendered whole, so a template may look at, number or rewrite any earlier turn. A ``PerTurn`` template is
+    shown its last turn and the new one. With ``trusting``, a
     template that declares ``looks_back = n`` (a turn's output depends on it and on the n turns before, besides what opens
     the conversation) is shown its last n + 1 turns from turn WHOLE_TURNS on, in memory and time that don't grow with the
     conversation; ``short`` tells that this happened.
@@ -76,9 +87,10 @@ class Renderer:
         self.length = 0  # of the conversation's output so far
         self.turns = 0
         self.short = False
+        self.exact = isinstance(template, PerTurn)  # nothing to verify
 
     def add(self, role: str, text: str) -> dict:
-        if self.most is not None and self.turns >= WHOLE_TURNS and len(self.messages) > self.most:
+        if self.most is not None and (self.exact or self.turns >= WHOLE_TURNS) and len(self.messages) > self.most:
             self.messages, self.output, self.short = self.messages[-self.most :], None, True
         self.turns += 1
         if self.output is None:
@@ -131,7 +143,7 @@ class _Held:
         self.template, self.renderer = template, Renderer(template)
         self.rows: list[dict] = []
         self.found: list[dict] = []
-        self.size, self.given = 0, 0
+        self.size, self.given, self.compare_at = 0, 0, VERIFIED_CHARS
 
     def add(self, row: dict) -> None:
         self.rows.append(row)
@@ -140,12 +152,15 @@ class _Held:
 
     def settled(self, closing: bool) -> Iterator[tuple[int, dict, dict]]:
         """(place, message, located span) of the turns that are final by now."""
-        if self.given == 0 and self.renderer.most is not None:
-            if not closing and self.size <= VERIFIED_CHARS:
+        if self.renderer.most is not None and not self.renderer.exact:
+            if not closing and self.size <= self.compare_at:
                 return
+            self.compare_at = 2 * self.size
             if self.renderer.short and self.template([{"role": r["role"], "text": r["text"]} for r in self.rows]) != _spelled(self.found):
                 self.renderer = again = Renderer(self.template, trusting=False)
                 self.found = [again.add(r["role"], r["text"]) for r in self.rows]
+            elif not closing:
+                return
         yield from ((self.given + i, r, x) for i, (r, x) in enumerate(zip(self.rows, self.found)))
         self.given += len(self.rows)
         self.rows, self.found = [], []
