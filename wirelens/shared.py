@@ -67,6 +67,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows dealt by ``columns`` to the session's number of shuffle partitions, for rows that are short but cost much, such as
+    names of files: without a number adaptive execution joins partitions of few bytes, down to one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def open_path(path: str):
     """A seekable file by URI or path; Spark's ``file:/x`` has one slash where others want three."""
     from pyarrow import fs

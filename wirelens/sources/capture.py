@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import time_of_millis
-from ..shared import open_path
+from ..shared import cut, dealt, open_path
 from . import records
 from .frames import packet
 from .records import Damaged, layout, opened
@@ -94,7 +94,7 @@ def scan_files(spark: SparkSession, files: DataFrame, open_file: Callable = open
     name = F.col("path").alias("file")
     skip = (F.col("skip") if "skip" in files.columns else F.lit(0)).cast("long").alias("skip")
     packed = F.element_at(F.split("path", r"\."), -1).isin("gz", "xz", "bz2")
-    rows = files.select(name, F.col("length").alias("size"), skip, packed.alias("packed"))
+    rows = cut(files.select(name, F.col("length").alias("size"), skip, packed.alias("packed")))  # listed once
     blocks = records.stitched(rows.filter("NOT packed"), block_bytes, open_file).join(rows.select("file", "skip"), "file")
     last = F.col("failure").isNotNull() | (F.col("stop") >= F.col("size"))
     plain = blocks.filter("records > 0 OR failure IS NOT NULL OR stop >= size").select("file", "start", "stop", "first", "failure", last.alias("last"), "skip")
@@ -109,7 +109,7 @@ def scan_files(spark: SparkSession, files: DataFrame, open_file: Callable = open
                         continue
                     yield from _range_rows(raw, r)
 
-    return _timed(plain.unionByName(whole).repartition("file", "first").mapInArrow(run, SCAN))
+    return _timed(dealt(plain.unionByName(whole), "file", "first").mapInArrow(run, SCAN))
 
 
 def _range_rows(raw, r: dict) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..shared import cut
+from ..shared import cut, dealt
 
 #: The magic numbers, with byte order and whether times count nanoseconds.
 MAGICS = {b"\xd4\xc3\xb2\xa1": ("<", False), b"\xa1\xb2\xc3\xd4": (">", False), b"\x4d\x3c\xb2\xa1": ("<", True), b"\xa1\xb2\x3c\x4d": (">", True)}
@@ -187,7 +187,7 @@ def stitched(files: DataFrame, block_bytes: int, open_file: Callable) -> DataFra
     number = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / block_bytes))))
     rows = files.select("file", "size", number.alias("block")).withColumn("begin", F.col("block") * block_bytes).withColumn("stop", F.col("begin") + block_bytes)
     none = {c: F.lit(None).cast("long") for c in ("start", "next", "records")}
-    rows = rows.withColumns({**none, "failure": F.lit(None).cast("string")}).repartition("file", "block")
+    rows = dealt(rows.withColumns({**none, "failure": F.lit(None).cast("string")}), "file", "block")
     rows = cut(_walked(rows, open_file))
     order = Window.partitionBy("file").orderBy("block")
     while True:
@@ -196,7 +196,7 @@ def stitched(files: DataFrame, block_bytes: int, open_file: Callable) -> DataFra
         seen = seen.withColumn("wrong", (F.col("block") > 0) & wrong)
         if seen.filter("wrong").isEmpty():
             break
-        again = seen.filter("wrong").withColumn("start", F.col("before")).repartition("file", "block")
+        again = dealt(seen.filter("wrong").withColumn("start", F.col("before")), "file", "block")
         rows = cut(seen.filter("NOT wrong").select(*_ARROW.names).unionByName(_walked(again, open_file)))
     # What follows a block without an end isn't reached.
     up_to = order.rowsBetween(Window.unboundedPreceding, -1)
