@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import base64
 import io
-import ipaddress
 import struct
 from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import time_of_millis
 from ..shared import cut, dealt, open_path
 from . import records
-from .frames import packet
+from .frames import address, packet
 from .records import Damaged, layout, opened
 
 PACKETS = "file string, seq long, ts_ms long, ip_version int, protocol int, ttl int, src string, src_port int, dst string, dst_port int, do_not_fragment boolean, frag_offset int, more_fragments boolean, ip_id long, tcp_seq long, tcp_flags int, payload binary"
@@ -204,7 +203,7 @@ def _rdata(m: bytes, kind: int, at: int, size: int) -> str:
 
 def _rdata_text(m: bytes, kind: int, at: int, size: int, d: bytes) -> str | None:
     if kind == 1 and size == 4 or kind == 28 and size == 16:
-        return str(ipaddress.ip_address(d))
+        return address(bytes(d))
     if kind in (2, 5, 12, 39):
         return _name(m, at)[0]
     if kind in (15, 18, 21, 36):
@@ -259,7 +258,7 @@ def _options(d: bytes) -> list[dict]:
             o["info_code"] = int.from_bytes(v[:2])
         if code == 8 and size >= 4:
             width = 4 if v[:2] == b"\x00\x01" else 16
-            o |= {"ecs_addr": str(ipaddress.ip_address(v[4:].ljust(width, b"\0")[:width])), "ecs_mask": v[2]}
+            o |= {"ecs_addr": address(bytes(v[4:].ljust(width, b"\0")[:width])), "ecs_mask": v[2]}
         out.append(o)
         at += 4 + size
     return out
@@ -299,6 +298,15 @@ def _decode(m: bytes) -> dict:
     return {"header": head, "questions": questions, "answer": sections[0], "authority": sections[1], "additional": sections[2], "opt": opt}
 
 
+def _reason(m: bytes) -> str | None:
+    """Why a message can't be decoded, or None."""
+    try:
+        _decode(m)
+    except (IndexError, ValueError, struct.error) as e:
+        return str(e) or type(e).__name__
+    return None
+
+
 def decoded(rows: DataFrame, payload: str = "payload") -> DataFrame:
     """``rows`` with the decoded message's columns in place of the payload, and ``malformed``: why a message could not be
     decoded, or null."""
@@ -329,8 +337,18 @@ def messages(rows: DataFrame, payload: str = "payload") -> DataFrame:
 
 
 def malformed(rows: DataFrame, payload: str = "payload") -> DataFrame:
-    """(file, seq, ts, reason) of rows whose payload could not be decoded, over either protocol."""
-    return decoded(rows, payload).filter("malformed IS NOT NULL").select("file", "seq", "ts", F.col("malformed").alias("reason"))
+    """(file, seq, ts, reason) of rows whose payload could not be decoded, over either protocol. What was decoded of the
+    others isn't kept, so only the few malformed ones leave Python."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            why = pa.array([_reason(m or b"") for m in b.column(3).to_pylist()], pa.string())
+            whole = pa.RecordBatch.from_arrays([*b.columns[:3], why], names=["file", "seq", "ts", "reason"])
+            yield whole.filter(why.is_valid())
+
+    x = rows.select("file", "seq", "ts", payload)
+    kinds = {f.name: f.dataType.simpleString() for f in x.schema.fields}
+    return x.mapInArrow(run, f"file {kinds['file']}, seq {kinds['seq']}, ts {kinds['ts']}, reason string")
 
 
 def flat_messages(decoded: DataFrame) -> DataFrame:
