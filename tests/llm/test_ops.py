@@ -676,6 +676,36 @@ def test_near_duplicates_deals_hot_buckets_and_centres(spark, monkeypatch):
     assert [got[i] for i in range(len(texts))] == label
 
 
+def test_near_duplicates_join_sets_plainly_unless_nodes_are_hot(spark, monkeypatch):
+    """Only a side with hot nodes is dealt; every plan stays in the driver's memory."""
+    known = spark.createDataFrame([(i, 10 * i) for i in range(9)], "node long, n long")
+    pairs = spark.createDataFrame([(0, i) for i in range(1, 7)] + [(7, 8), (1, 2)], "a long, b long")
+    want = sorted((a, b, 10 * a, 10 * b) for a, b in pairs.collect())
+    for fan, dealt in ((500, 0), (4, 1), (1, 2)):
+        monkeypatch.setattr(neardup, "FAN", fan)
+        got = neardup._with_sets(pairs, known, ["n"])
+        assert sorted(map(tuple, got.select("a", "b", "na", "nb").collect())) == want
+        assert got._jdf.queryExecution().analyzed().toString().count("Generate explode(sequence") == dealt
+    assert neardup._with_sets(pairs.limit(0), known, ["n"]) is None
+
+
+def test_components_end_without_a_confirming_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(neardup, "cut", lambda df, cut=neardup.cut: written.append(1) or cut(df))
+    r = random.Random(4)
+    chain = list(range(20, 40))
+    r.shuffle(chain)
+    many = [*zip(chain, chain[1:]), *[(r.randrange(50, 90), r.randrange(50, 90)) for _ in range(30)]]
+    for edges, most in (([(1, 2), (5, 4), (9, 3)], 2), ([(3, 1), (3, 2), (3, 8), (1, 3)], 3), (many, 12)):
+        low = {v: v for e in edges for v in e}
+        for _ in low:
+            for a, b in edges:
+                low[a] = low[b] = min(low[a], low[b])
+        written.clear()
+        got = dict(map(tuple, neardup.components(spark.createDataFrame(edges, "a long, b long")).collect()))
+        assert got == low and len(written) <= most
+
+
 def test_near_duplicates_repeated_ids(spark):
     a, b = "a b c d e f", "q r s t u v"
     docs = spark.createDataFrame([(3, a, 1), (7, a, 2), (7, b, 1), (9, b, 1), (11, None, 1), (11, "k l m n o", 1), (12, "k l m n o", 1), (3, "other words of this one document", 5), (3, a, 0), (None, a, 1), (None, "z z z z z z", 1)], "doc_id long, text string, n int")

@@ -158,24 +158,38 @@ def full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     return found if found.count() == n else cut(found.dropDuplicates(["node"]))  # repeated rows
 
 
-def _hot(pairs: DataFrame, side: str, total: int) -> DataFrame:
-    """(side, parts) of nodes that more than one ten-thousandth of the pairs have, at most 10,000 nodes."""
-    most = max(FAN, total // 10_000)
+def _loads(pairs: DataFrame) -> tuple[int, dict[str, int]]:
+    """The number of ``pairs`` (a, b), and the most that one node has on each side."""
+    ends = F.explode(F.array(*[F.struct(F.lit(side).alias("side"), F.col(side).alias("node")) for side in "ab"]))
+    each = pairs.select(ends.alias("x")).groupBy("x").agg(F.count("*").alias("c"))
+    found = each.groupBy("x.side").agg(F.sum("c").alias("total"), F.max("c").alias("most")).collect()
+    return max([r["total"] for r in found], default=0), {r["side"]: r["most"] for r in found}
+
+
+def _hot(pairs: DataFrame, side: str, most: int) -> DataFrame:
+    """(side, parts) of nodes with more than ``most`` pairs."""
     return F.broadcast(pairs.groupBy(side).agg(F.count("*").alias("c")).filter(F.col("c") > most).select(side, F.ceil(F.col("c") / most).cast("int").alias("parts")))
 
 
-def _with_sets(pairs: DataFrame, known: DataFrame, fields: list[str]) -> DataFrame:
-    """(written) ``pairs`` (a, b) with the ``fields`` of both nodes, suffixed a and b.
+def _with_sets(pairs: DataFrame, known: DataFrame, fields: list[str]) -> DataFrame | None:
+    """(written) ``pairs`` (a, b) with the ``fields`` of both nodes, suffixed a and b; None if there is no pair.
 
     A node of very many pairs, such as a centre with a third of all rows, is copied, and its pairs are dealt over the
-    copies by their other node.
+    copies by their other node. Those are nodes with more than one ten-thousandth of the pairs, at most 10,000; a side
+    without any is joined plainly, as every plan costs the driver memory.
     """
-    out, total = pairs, pairs.count()
+    total, loads = _loads(pairs)
+    if not total:
+        return None
+    out, most = pairs, max(FAN, total // 10_000)
     met = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     known = known.select("node", *fields).join(met, "node", "left_semi")
     for side, other in (("a", "b"), ("b", "a")):
-        hot = _hot(pairs, side, total)
         named = known.select(F.col("node").alias(side), *[F.col(f).alias(f + side) for f in fields])
+        if loads[side] <= most:
+            out = out.join(named, side)
+            continue
+        hot = _hot(pairs, side, most)
         copies = named.join(hot, side, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
         dealt = out.join(hot, side, "left").withColumn("_part", F.pmod(F.xxhash64(other), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
         out = dealt.join(copies, [side, "_part"]).drop("_part")
@@ -186,33 +200,38 @@ def _alike_sizes(n: str, m: str, percent: int) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
-def able(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+def able(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame | None:
     """Pairs (a, b) without those that sizes or class counts prove unlike: two sets share at most the lesser count of
-    each class."""
+    each class; None if there is no pair."""
     most = F.aggregate(F.zip_with("countsa", "countsb", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda total, x: total + x)
     fits = F.when(_alike_sizes("na", "nb", percent), most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent).otherwise(False)
-    return _with_sets(pairs, known, ["n", "counts"]).filter(fits).select("a", "b")
+    both = _with_sets(pairs, known, ["n", "counts"])
+    return None if both is None else both.filter(fits).select("a", "b")
 
 
-def confirm(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union."""
+def confirm(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame | None:
+    """The pairs (a, b) with 100 * intersection >= percent * union; None if there is no pair."""
     common = F.size(F.array_intersect("shinglesa", "shinglesb"))
-    return _with_sets(pairs, known, ["n", "shingles"]).filter(common * 100 >= (F.col("na") + F.col("nb") - common) * percent).select("a", "b").distinct()
+    both = _with_sets(pairs, known, ["n", "shingles"])
+    return None if both is None else both.filter(common * 100 >= (F.col("na") + F.col("nb") - common) * percent).select("a", "b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, label): the least node reachable over ``edges`` (a, b), by label spreading with pointer jumps."""
+    """(node, label): the least node reachable over ``edges`` (a, b), by label spreading with pointer jumps.
+
+    Labels never rise, and the least node of a component keeps its own; so they are right once both ends of every edge
+    have the same one.
+    """
     both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")))
     while True:
+        of_a, of_b = labels.toDF("a", "la"), labels.toDF("b", "lb")
+        if both.filter("a < b").join(of_a, "a").join(of_b, "b").filter("la <> lb").isEmpty():
+            return labels
         near = both.join(labels, both["a"] == labels["node"]).groupBy("b").agg(F.min("label").alias("m"))
-        low = labels.join(near, labels["node"] == near["b"], "left").select("node", F.col("label").alias("old"), F.least("label", F.coalesce("m", "label")).alias("label"))
+        low = labels.join(near, labels["node"] == near["b"], "left").select("node", F.least("label", F.coalesce("m", "label")).alias("label"))
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("above"))
-        new = cut(low.join(up, "label", "left").select("node", "old", F.least("label", F.coalesce("above", "label")).alias("label")))
-        done = new.filter("old <> label").isEmpty()
-        labels = new.select("node", "label")
-        if done:
-            return labels
+        labels = cut(low.join(up, "label", "left").select("node", F.least("label", F.coalesce("above", "label")).alias("label")))
 
 
 def _merge(labels: DataFrame | None, good: DataFrame) -> DataFrame:
@@ -323,12 +342,16 @@ def links(docs: DataFrame, rows: DataFrame, nodes: DataFrame, width: int, percen
             open_ = joined.select("bucket", "salt", "parts", "node", "n")
         if tested is not None:
             pairs = pairs.join(tested, (F.least("a", "b") == tested["lo"]) & (F.greatest("a", "b") == tested["hi"]), "left_anti")
-        pairs = cut(able(cut(pairs.select("a", "b")), known, percent))
-        if pairs.isEmpty():
+        fit = able(cut(pairs.select("a", "b")), known, percent)
+        if fit is None:
+            continue
+        pairs = cut(fit)
+        alike = confirm(pairs, known, percent)
+        if alike is None:
             continue
         done = pairs.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
         tested = done if tested is None else tested.unionByName(done)
-        good = cut(confirm(pairs, known, percent))
+        good = cut(alike)
         if not good.isEmpty():
             labels = _merge(labels, good)
     return labels
