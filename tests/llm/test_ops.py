@@ -689,6 +689,34 @@ def test_near_duplicates_join_sets_plainly_unless_nodes_are_hot(spark, monkeypat
     assert neardup._with_sets(pairs.limit(0), known, ["n"]) is None
 
 
+def test_near_duplicates_large_buckets_begin_with_the_node_amid_the_group(spark, monkeypatch):
+    """Node 9 is in every large bucket, so all have it as their centre, whatever its hash."""
+    monkeypatch.setattr(neardup, "LARGE", 2)
+    bands = {9: [0] * 6, **{i: [0 if b == i % 6 or b == i // 6 % 6 else 1000 * i + b for b in range(6)] for i in range(10, 46)}}
+    nodes = spark.createDataFrame([(i, 50, x) for i, x in bands.items()], "node long, n long, bands array<long>")
+    members = neardup._labelled(neardup._buckets(nodes), None)
+    found = neardup._open_buckets(members).collect()
+    assert len(found) == 6 and {x["a"] for x in found} == {9}
+    assert sorted(x["size"] for x in found) == sorted(sum(x[b] == 0 for x in bands.values()) for b in range(6))
+
+
+def test_near_duplicates_exact_join_counts_shingles_of_one_component_as_unshared(spark):
+    """Two components whose sets share 88 of 100 shingles, a rare one among them, and have 10 of their component each."""
+    sets = {}
+    for i in range(6):
+        for side in (0, 6):
+            sets[side + i] = [*range(100, 187), 200 + i, *range(300 + side * 10, 310 + side * 10), 1000 + 2 * (side + i), 1001 + 2 * (side + i)]
+
+    def pairs(sets: dict, label: dict) -> set:
+        known = spark.createDataFrame([(i, len(x), sorted(x)) for i, x in sets.items()], "node long, n long, shingles array<long>")
+        return {tuple(sorted(x)) for x in neardup._prefix_pairs(spark.createDataFrame(list(label.items()), "node long, label long"), known, 85).collect()}
+
+    label = {i: i // 6 for i in sets}
+    assert pairs(sets, label) == set()
+    # A third set that links with the first component is still met.
+    assert {(i, 12) for i in range(6)} <= pairs(sets | {12: sets[0][:-2] + [9000, 9001]}, label | {12: 12})
+
+
 def test_components_end_without_a_confirming_round(spark, monkeypatch):
     written = []
     monkeypatch.setattr(neardup, "cut", lambda df, cut=neardup.cut: written.append(1) or cut(df))

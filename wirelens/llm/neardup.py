@@ -8,12 +8,14 @@ further columns are left out.
 
 Texts with equal sets form a class first, so a group of exact copies costs one node however large it is. Candidate
 edges of a bucket lead from its centre to the others; the centre follows an order that all buckets share, so buckets with
-the same members give the same edges. Candidates that counts of shingles by class prove unlike are left out; every
-other one is confirmed on full sets. A centre then leaves its bucket, whose other members, if they lie in several
-components, get another one in the next round; so ROUNDS rounds test every pair of buckets with up to ROUNDS + 1
-members. The members of buckets that then still hold several components go through an exact prefix-filter join, which
-finds every link between different components among them. What remains is a pair that shares no bucket, with a
-probability under MISS by the choice of bands.
+the same members give the same edges. The order begins with the nodes whose buckets are large: they stand amid their
+group, so one star links nearly all of it, and few candidates that are unlike remain. Candidates that counts of shingles
+by class prove unlike are left out; every other one is confirmed on full sets. A centre then leaves its bucket, whose
+other members, if they lie in several components, get another one in the next round; so ROUNDS rounds test every pair of
+buckets with up to ROUNDS + 1 members. Larger buckets get centres in the first BULK rounds only, as more would test the
+texts at a group's edge against one member after the other. The members of buckets that then still hold several
+components go through an exact prefix-filter join, which finds every link between different components among them. What
+remains is a pair that shares no bucket, with a probability under MISS by the choice of bands.
 
 No bucket is held in one task: a bucket with more than one ten-thousandth of all members is dealt by member, which is
 at most 10,000 buckets, and its centre is copied to the parts.
@@ -44,8 +46,11 @@ FAN = 500
 MISS = 3e-6
 #: Star rounds before the exact join.
 ROUNDS = 4
-#: Members from which a bucket may be dealt by member; beyond it, one ten-thousandth of all members.
-HOT = 1000
+#: Star rounds that test buckets with more members than all rounds settle; these then wait for the exact join.
+BULK = 1
+#: Members from which a bucket's size counts for the order of centres, and from which it may be dealt by member; beyond
+#: these, one ten-thousandth of all members.
+LARGE, HOT = 50, 1000
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -254,21 +259,21 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _open_buckets(members: DataFrame) -> DataFrame:
-    """(bucket, salt, a, na, la): a centre for each bucket whose (labelled) members lie in several components, once for
-    each part of a hot bucket."""
-    centre = F.min(F.struct(F.xxhash64("node").alias("mark"), "node", "n", "label")).alias("c")
-    one = members.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("parts").alias("parts"), centre).filter("lo <> hi")
-    return one.select("bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.col("c.node").alias("a"), F.col("c.n").alias("na"), F.col("c.label").alias("la"))
+    """(bucket, salt, size, a, na, la): a centre for each bucket whose (labelled) members lie in several components, once
+    for each part of a hot bucket."""
+    centre = F.min(F.struct((-F.col("weight")).alias("order"), F.xxhash64("node").alias("mark"), "node", "n", "label")).alias("c")
+    one = members.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("parts").alias("parts"), F.count("*").alias("size"), centre).filter("lo <> hi")
+    return one.select("bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), "size", F.col("c.node").alias("a"), F.col("c.n").alias("na"), F.col("c.label").alias("la"))
 
 
 def _prefix_pairs(open_: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """(a, b): every pair of the nodes ``open_`` (node, label), of different labels, that may reach ``percent``.
 
-    Exact: order each set by rising frequency of its shingles, then value. If two sets link, the first shingle they share
-    is among the first n - ceil(percent * n) + 1 of the larger one, which probes, and among the first
-    n - ceil(2 * percent / (100 + percent) * n) + 1 of the smaller one, which is indexed, since no larger set can share
-    fewer with it; from there on both hold enough. A group of texts just under the threshold has its common shingles
-    behind these prefixes, so they don't meet there.
+    Exact: order each set by rising frequency of its shingles, then value, those of one component only before all others,
+    as no pair shares them. If two sets link, the first shingle they share is among the first n - ceil(percent * n) + 1
+    of the larger one, which probes, and among the first n - ceil(2 * percent / (100 + percent) * n) + 1 of the smaller
+    one, which is indexed, since no larger set can share fewer with it; from there on both hold enough. A group of texts
+    just under the threshold has its common shingles behind these prefixes, so they don't meet there.
 
     A shingle's rows of its largest component meet only rows of others, and the rows of a frequent shingle are dealt
     over copies of FAN rows.
@@ -278,13 +283,14 @@ def _prefix_pairs(open_: DataFrame, known: DataFrame, percent: int) -> DataFrame
     each = nodes.select("node", "label", "size", F.explode("shingles").alias("s"))
     # Which component counts as a shingle's largest changes the cost only: the largest of all that have it.
     most = F.max(F.struct("size", "label"))["label"].alias("major")
-    often = cut(each.groupBy("s").agg(F.count("*").alias("often"), most, (F.min("label") < F.max("label")).alias("several")).filter("often > 1"))
-    # A shingle that no other member has stands before all shared ones, so only the number of those counts.
-    order = F.array_sort(F.collect_list(F.struct("often", "s", "major", "several"))).alias("order")
+    often = each.groupBy("s").agg(F.count("*").alias("often"), most, (F.min("label") < F.max("label")).alias("several"))
+    often = cut(often.filter("several").select("s", "often", "major"))
+    # A shingle that no other component has stands before all others, so only the number of those counts.
+    order = F.array_sort(F.collect_list(F.struct("often", "s", "major"))).alias("order")
     shared = each.select("node", "s").join(often, "s").groupBy("node").agg(order).join(nodes.select("node", "label", "n"), "node")
     alone = F.col("n") - F.size("order")
     length = F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - alone).cast("int")
-    rows = shared.select("node", "label", "n", alone.alias("alone"), F.posexplode(F.slice("order", F.lit(1), length)).alias("at", "o")).filter("o.several")
+    rows = shared.select("node", "label", "n", alone.alias("alone"), F.posexplode(F.slice("order", F.lit(1), length)).alias("at", "o"))
     rest = F.col("n") - F.col("alone") - F.col("at")
     rows = rows.select("node", "label", "n", rest.alias("rest"), "o.s", (F.col("label") == F.col("o.major")).alias("most"), F.ceil(F.col("o.often") / FAN).alias("fans"))
     rows = cut(rows.withColumn("index", F.col("rest") * (100 + percent) >= 2 * F.col("n") * percent))
@@ -303,15 +309,18 @@ def _prefix_pairs(open_: DataFrame, known: DataFrame, percent: int) -> DataFrame
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
-    """(bucket, salt, parts, node, n) of the buckets with several nodes; members of hot ones are dealt over parts."""
+    """(bucket, salt, parts, node, n, weight) of the buckets with several nodes; members of hot ones are dealt over parts.
+
+    weight: how many nodes its large buckets hold, and the number of its others."""
     banded = nodes.select("node", F.posexplode("bands").alias("band", "key")).select(F.xxhash64("band", "key").alias("bucket"), "node")
     sizes = cut(banded.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1"))
     n, total = sizes.agg(F.count("*"), F.sum("c")).first()
-    most = max(HOT, (total or 0) // 10_000)  # at most 10,000 buckets hold more
+    large, most = (max(x, (total or 0) // 10_000) for x in (LARGE, HOT))  # at most 10,000 buckets hold more
     shared = cut(banded.join(checked(sizes.select("bucket"), n), "bucket", "left_semi"))
-    hot = F.broadcast(sizes.filter(F.col("c") > most).select("bucket", F.ceil(F.col("c") / most).cast("int").alias("parts")))
-    dealt = shared.join(hot, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    return dealt.join(nodes.select("node", "n"), "node").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    large = F.broadcast(sizes.filter(F.col("c") > large).select("bucket", "c", F.ceil(F.col("c") / most).cast("int").alias("parts")))
+    dealt = shared.join(large, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    weights = dealt.groupBy("node").agg(F.sum(F.coalesce("c", F.lit(1))).alias("weight")).join(nodes.select("node", "n"), "node")
+    return dealt.drop("c").join(weights, "node").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
 
 
 def _same_id(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -332,14 +341,16 @@ def links(docs: DataFrame, rows: DataFrame, nodes: DataFrame, width: int, percen
     for step in range(rounds + 1):
         placed = _labelled(open_, labels)
         joined = placed.join(_open_buckets(placed), ["bucket", "salt"])
-        joined = cut(joined if step == rounds else joined.filter("node <> a"))
+        if step < rounds:
+            joined = joined.withColumn("star", (F.col("size") <= rounds + 1 - step) | F.lit(step < BULK)).filter("node <> a OR NOT star")
+        joined = cut(joined)
         if joined.isEmpty():
             return labels
         if step == rounds:
             pairs = _prefix_pairs(joined.select("node", "label").distinct(), known, percent)
         else:
-            pairs = joined.filter("label <> la").filter(_alike_sizes("n", "na", percent)).select("a", F.col("node").alias("b")).distinct()
-            open_ = joined.select("bucket", "salt", "parts", "node", "n")
+            pairs = joined.filter("star AND label <> la").filter(_alike_sizes("n", "na", percent)).select("a", F.col("node").alias("b")).distinct()
+            open_ = joined.select("bucket", "salt", "parts", "node", "n", "weight")
         if tested is not None:
             pairs = pairs.join(tested, (F.least("a", "b") == tested["lo"]) & (F.greatest("a", "b") == tested["hi"]), "left_anti")
         fit = able(cut(pairs.select("a", "b")), known, percent)
